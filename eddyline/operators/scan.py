@@ -45,10 +45,12 @@ def _combine(op: str, carry: Column, local: Column) -> Column:
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
             value: Column, op: str, out: str, bucket: Column,
-            inclusive: bool = True) -> DataFrame:
+            inclusive: bool = True, peers: bool = False) -> DataFrame:
     """Add ``out`` = running ``op`` of ``value`` over the rows of ``keys`` in
     ``order``; ``bucket`` must be non-decreasing in ``order``.  With
     ``inclusive=False`` the current row is left out (null for the first).
+    With ``peers=True`` (one integral order column) rows with equal order
+    values are treated alike: inclusive takes all of them, exclusive none.
     Keys must be non-null."""
     agg = _AGG[op]
     keys = list(keys)
@@ -60,8 +62,11 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     carries = per_bucket.select(*keys, b, agg(total).over(over_buckets).alias(carry))
     d = d.join(carries, on=keys + [b], how="inner")
     end = Window.currentRow if inclusive else -1
-    inside = (Window.partitionBy(*keys, b).orderBy(*order)
-              .rowsBetween(Window.unboundedPreceding, end))
+    inside = Window.partitionBy(*keys, b).orderBy(*order)
+    if peers:
+        inside = inside.rangeBetween(Window.unboundedPreceding, end)
+    else:
+        inside = inside.rowsBetween(Window.unboundedPreceding, end)
     local = agg(v).over(inside)
     return d.withColumn(out, _combine(op, F.col(carry), local)).drop(b, v, carry)
 

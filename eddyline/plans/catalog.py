@@ -15,13 +15,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eddyline.operators import (
-    access_window_reduce, count_window_reduce, parse_access_lines, parse_count_lines,
+    access_window_reduce, as_table, char_counts, chunk_rows, count_average,
+    count_window_reduce, mark_late, parse_access_lines, parse_count_lines,
+    parse_first_three, parse_orders, prefix_lines, sql_filter, union_all_filtered,
+    word_count, word_sessions,
 )
 from eddyline.session import ensure_utc
-from eddyline.sources import access_lines, count_lines, read_table
+from eddyline.sinks import access_documents, count_documents, object_documents, word_documents
+from eddyline.sources import (
+    access_lines, arrival_order, count_lines, event_lines, keyed_pairs, named_pairs,
+    order_lines, read_table, text_lines,
+)
 
 REFERENCE_WINDOW = "30 seconds"   # the reference's tumbling window
 LONG_WINDOW = "6 hours"           # same job with fuller windows
+SESSION_GAP_SECONDS = 600         # the reference's session gap
+COUNT_AVERAGE_N = 2               # the reference's count threshold
+CHUNK_N = 8                       # rows per released chunk
 
 
 def _ms(c: str) -> F.Column:
@@ -77,7 +87,123 @@ def count_window_reduce_compat(spark, sf_dir):
     return _count(spark, sf_dir, LONG_WINDOW, "compat")
 
 
+def _us(c: str) -> F.Column:
+    return F.unix_micros(F.col(c)).alias(f"{c}_us")
+
+
+def word_count_q(spark, sf_dir):
+    """Words of every document, counted."""
+    return word_count(text_lines(read_table(spark, sf_dir, "documents")))
+
+
+def word_sessions_q(spark, sf_dir):
+    """Words of event lines per 10 minute event-time session."""
+    ensure_utc(spark)
+    lines = event_lines(read_table(spark, sf_dir, "events"))
+    s = word_sessions(lines, SESSION_GAP_SECONDS)
+    return s.select("word", _us("session_start"), _us("session_end"), "count_sum")
+
+
+def _count_parsed(spark, sf_dir):
+    ensure_utc(spark)
+    return parse_count_lines(count_lines(read_table(spark, sf_dir, "events")))
+
+
+def parse_rejects(spark, sf_dir):
+    """Count lines that cannot be used, with the reason."""
+    return _count_parsed(spark, sf_dir).rejects
+
+
+def first_three_fields(spark, sf_dir):
+    ensure_utc(spark)
+    return parse_first_three(count_lines(read_table(spark, sf_dir, "events")))
+
+
+def _orders(spark, sf_dir, streaming=False):
+    src = read_table(spark, sf_dir, "orders", streaming=streaming)
+    return as_table(parse_orders(order_lines(src)).rows)
+
+
+def orders_big(spark, sf_dir):
+    return sql_filter(_orders(spark, sf_dir), "amount > 300")
+
+
+def orders_small(spark, sf_dir):
+    return sql_filter(_orders(spark, sf_dir), "amount < 2")
+
+
+def orders_union(spark, sf_dir):
+    """The same topic read twice: big-ish orders from one reading, small
+    ones from the other, UNION ALL."""
+    return union_all_filtered(_orders(spark, sf_dir), _orders(spark, sf_dir))
+
+
+def prefix_lines_q(spark, sf_dir):
+    ensure_utc(spark)
+    return prefix_lines(count_lines(read_table(spark, sf_dir, "events")))
+
+
+def prefix_chars_q(spark, sf_dir):
+    """Characters of every prefixed line, counted."""
+    ensure_utc(spark)
+    return char_counts(count_lines(read_table(spark, sf_dir, "events")))
+
+
+def count_average_q(spark, sf_dir):
+    return count_average(keyed_pairs(read_table(spark, sf_dir, "events")), COUNT_AVERAGE_N)
+
+
+def chunk_rows_q(spark, sf_dir):
+    return chunk_rows(named_pairs(read_table(spark, sf_dir, "events")), CHUNK_N).full
+
+
+def late_split(spark, sf_dir):
+    """Per-record lateness of jittered arrivals, 6 hour windows."""
+    ensure_utc(spark)
+    d = mark_late(arrival_order(read_table(spark, sf_dir, "events")), LONG_WINDOW)
+    return d.select("event_id", "seq", "partition", _ms("window_start"), "watermark_ms", "late")
+
+
+def word_docs(spark, sf_dir):
+    return word_documents(word_count_q(spark, sf_dir))
+
+
+def _count_reduced(spark, sf_dir):
+    rows = _count_parsed(spark, sf_dir).rows
+    return count_window_reduce(rows, LONG_WINDOW, "clean")
+
+
+def count_docs(spark, sf_dir):
+    return count_documents(_count_reduced(spark, sf_dir))
+
+
+def access_docs(spark, sf_dir):
+    ensure_utc(spark)
+    rows = parse_access_lines(access_lines(read_table(spark, sf_dir, "events"))).rows
+    return access_documents(access_window_reduce(rows, LONG_WINDOW, "clean"))
+
+
+def order_docs(spark, sf_dir):
+    return object_documents(orders_big(spark, sf_dir))
+
+
 QUERIES = {
+    "word_count": word_count_q,
+    "word_sessions": word_sessions_q,
+    "parse_rejects": parse_rejects,
+    "first_three_fields": first_three_fields,
+    "orders_big": orders_big,
+    "orders_small": orders_small,
+    "orders_union": orders_union,
+    "prefix_lines": prefix_lines_q,
+    "prefix_chars": prefix_chars_q,
+    "count_average": count_average_q,
+    "chunk_rows": chunk_rows_q,
+    "late_split": late_split,
+    "word_docs": word_docs,
+    "count_docs": count_docs,
+    "access_docs": access_docs,
+    "order_docs": order_docs,
     "access_window_reduce": access_window_reduce_q,
     "access_window_reduce_6h": access_window_reduce_6h,
     "access_window_reduce_compat": access_window_reduce_compat,

@@ -127,3 +127,164 @@ ORACLE_SQL = {
     "count_window_reduce_6h": _count_reduce(W6H, False),
     "count_window_reduce_compat": _count_reduce(W6H, True),
 }
+
+
+WORD_SPLIT = r"'\W+'"
+GAP_US = 600 * 1_000_000
+
+WORD_COUNT = f"""
+SELECT word, CAST(count(*) AS BIGINT) AS count_sum
+FROM (SELECT unnest(regexp_split_to_array(lower(text), {WORD_SPLIT})) AS word FROM documents)
+WHERE length(word) > 0
+GROUP BY word
+"""
+
+SESSIONS = f"""
+WITH toks AS (
+  SELECT unnest(regexp_split_to_array(lower(concat_ws(' ', event_type, props)), {WORD_SPLIT})) AS word,
+         epoch_us(ts) AS us
+  FROM events WHERE ts IS NOT NULL),
+t AS (SELECT word, us FROM toks WHERE length(word) > 0),
+f AS (SELECT word, us,
+             max(us) OVER (PARTITION BY word ORDER BY us
+                           RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev
+      FROM t),
+s AS (SELECT word, us,
+             sum(CASE WHEN prev IS NULL OR us - prev > {GAP_US} THEN 1 ELSE 0 END)
+               OVER (PARTITION BY word ORDER BY us
+                     RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid
+      FROM f)
+SELECT word, min(us) AS session_start_us, max(us) + {GAP_US} AS session_end_us,
+       CAST(count(*) AS BIGINT) AS count_sum
+FROM s GROUP BY word, sid
+"""
+
+PARSE_REJECTS = f"""
+WITH {COUNT_SRC.strip()},
+r AS (
+  SELECT seq, partition, value,
+         CASE WHEN value IS NULL THEN 'null line'
+              WHEN NOT (contains(value, ',') AND len(f) = 3) THEN 'arity'
+              WHEN {_strict('f[2]', 'INTEGER')} IS NULL THEN 'bad count' END AS reason
+  FROM count_parts)
+SELECT seq, partition, value, reason FROM r WHERE reason IS NOT NULL
+"""
+
+FIRST_THREE = f"""
+WITH {COUNT_SRC.strip()},
+p AS (SELECT seq, {_jsplit('lower(value)')} AS f FROM count_src)
+SELECT seq, f[1] AS f0, f[2] AS f1, f[3] AS f2 FROM p WHERE len(f) > 2
+"""
+
+ORDERS_SRC = """
+src AS (
+  SELECT CAST(to_json({'user': o_custkey, 'product': o_orderpriority,
+                       'amount': CAST(floor(o_totalprice / 1000) AS INTEGER)}) AS VARCHAR) AS value
+  FROM orders),
+o AS (
+  SELECT CAST(json_extract_string(value, '$.user') AS BIGINT) AS "user",
+         json_extract_string(value, '$.product') AS product,
+         COALESCE(CAST(json_extract_string(value, '$.amount') AS INTEGER), 0) AS amount
+  FROM src)"""
+
+ORDERS_BIG = f'WITH {ORDERS_SRC.strip()}\nSELECT "user", product, amount FROM o WHERE amount > 300'
+ORDERS_SMALL = f'WITH {ORDERS_SRC.strip()}\nSELECT "user", product, amount FROM o WHERE amount < 2'
+ORDERS_UNION = (f'WITH {ORDERS_SRC.strip()}\nSELECT * FROM o WHERE amount > 2 '
+                f'UNION ALL SELECT * FROM o WHERE amount < 2')
+
+PREFIX_LINES = f"WITH {COUNT_SRC.strip()}\nSELECT seq, 'PREFIX:' || value AS value FROM count_src"
+PREFIX_CHARS = f"""
+WITH {COUNT_SRC.strip()}
+SELECT ch, count(*) AS n
+FROM (SELECT unnest(string_split('PREFIX:' || value, '')) AS ch FROM count_src)
+WHERE length(ch) > 0
+GROUP BY ch
+"""
+
+COUNT_AVERAGE = """
+WITH p AS (
+  SELECT user_id AS key, CAST(floor(value) AS BIGINT) AS value, event_id AS seq,
+         row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn
+  FROM events),
+g AS (SELECT key, (rn - 1) // 2 AS grp, count(*) AS n, sum(value) AS s, max(seq) AS seq
+      FROM p GROUP BY key, grp)
+SELECT key, CAST(s // 2 AS BIGINT) AS average, seq FROM g WHERE n = 2
+"""
+
+CHUNK_ROWS = """
+WITH p AS (
+  SELECT event_type AS name, CAST(floor(value) AS INTEGER) AS value, event_id AS seq,
+         CAST(user_id % 4 AS INTEGER) AS bucket
+  FROM events),
+r AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY seq) AS rn,
+             count(*) OVER (PARTITION BY bucket) AS total
+      FROM p)
+SELECT name, value, seq, bucket, CAST((rn - 1) // 8 AS BIGINT) AS chunk,
+       CAST((rn - 1) % 8 AS INTEGER) AS position
+FROM r WHERE (rn - 1) // 8 < total // 8
+"""
+
+LATE_SPLIT = f"""
+WITH a AS (
+  SELECT event_id, {MS} AS ms, event_id + (event_id * 7919) % 50 AS seq,
+         CAST(user_id % 4 AS INTEGER) AS partition
+  FROM events),
+m AS (SELECT *, max(ms) OVER (PARTITION BY partition ORDER BY seq, event_id
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS watermark_ms
+      FROM a)
+SELECT event_id, seq, partition, (ms // {W6H}) * {W6H} AS window_start_ms, watermark_ms,
+       COALESCE((ms // {W6H}) * {W6H} + {W6H} - 1 <= watermark_ms, false) AS late
+FROM m
+"""
+
+WORD_DOCS = f"""
+WITH c AS ({WORD_COUNT})
+SELECT CAST(to_json({{'data': CAST(to_json({{'word': word, 'countSum': CAST(count_sum AS INTEGER)}})
+                                   AS VARCHAR)}}) AS VARCHAR) AS doc
+FROM c
+"""
+
+COUNT_DOCS = f"""
+WITH {COUNT_SRC.strip()}
+SELECT CAST(to_json({{'key': key, 'count': CAST(sum(cnt) AS INTEGER),
+                      'times': list({_fmt_text('time_text')} ORDER BY seq, partition)}}) AS VARCHAR) AS doc
+FROM count_rows
+GROUP BY key, ms // {W6H}
+"""
+
+ACCESS_DOCS = f"""
+WITH {ACCESS_SRC.strip()}
+SELECT CAST(to_json({{'url': url, 'method': arg_min(method, seq), 'response': response,
+                      'count': CAST(sum(cnt) AS INTEGER), 'code': arg_min(code, seq),
+                      'responseTimeAvg': CAST(list_reduce(list(took ORDER BY seq, partition),
+                                                          lambda a, x: (a + x) // 2) AS INTEGER),
+                      'times': list({_fmt_text('time_text')} || ' took' || CAST(took AS VARCHAR) || 'ms'
+                                    ORDER BY seq, partition)}}) AS VARCHAR) AS doc
+FROM access_rows
+GROUP BY url, response, ms // {W6H}
+"""
+
+ORDER_DOCS = f"""
+WITH {ORDERS_SRC.strip()}
+SELECT CAST(to_json({{'user': "user", 'product': product, 'amount': amount}}) AS VARCHAR) AS doc
+FROM o WHERE amount > 300
+"""
+
+ORACLE_SQL.update({
+    "word_count": WORD_COUNT,
+    "word_sessions": SESSIONS,
+    "parse_rejects": PARSE_REJECTS,
+    "first_three_fields": FIRST_THREE,
+    "orders_big": ORDERS_BIG,
+    "orders_small": ORDERS_SMALL,
+    "orders_union": ORDERS_UNION,
+    "prefix_lines": PREFIX_LINES,
+    "prefix_chars": PREFIX_CHARS,
+    "count_average": COUNT_AVERAGE,
+    "chunk_rows": CHUNK_ROWS,
+    "late_split": LATE_SPLIT,
+    "word_docs": WORD_DOCS,
+    "count_docs": COUNT_DOCS,
+    "access_docs": ACCESS_DOCS,
+    "order_docs": ORDER_DOCS,
+})
