@@ -20,7 +20,9 @@ from eddyline.operators import (
     parse_first_three, parse_orders, prefix_lines, sql_filter, union_all_filtered,
     word_count, word_sessions,
 )
+from eddyline.operators.words import word_count_window, word_sessions_stream
 from eddyline.session import ensure_utc
+from eddyline.streaming import chunk_rows_stream, count_average_stream, run_available_now
 from eddyline.sinks import access_documents, count_documents, object_documents, word_documents
 from eddyline.sources import (
     access_lines, arrival_order, count_lines, event_lines, keyed_pairs, named_pairs,
@@ -187,6 +189,72 @@ def order_docs(spark, sf_dir):
     return object_documents(orders_big(spark, sf_dir))
 
 
+# ---- streaming twins: run to completion, return what the sink committed ----
+
+ZERO_DELAY = "0 seconds"          # punctuated watermark: each row's own time
+
+
+def _events_stream(spark, sf_dir):
+    ensure_utc(spark)
+    return read_table(spark, sf_dir, "events", streaming=True)
+
+
+def access_window_reduce_stream(spark, sf_dir):
+    """Flagship as a stream: windows are emitted once the watermark passes
+    their end; the last open window of a finite stream stays in state."""
+    rows = parse_access_lines(access_lines(_events_stream(spark, sf_dir))).rows
+    res = access_window_reduce(rows, REFERENCE_WINDOW, "clean", watermark=ZERO_DELAY)
+    return _flat_access(run_available_now(res, "access_window_reduce_stream"))
+
+
+def count_window_reduce_stream(spark, sf_dir):
+    rows = parse_count_lines(count_lines(_events_stream(spark, sf_dir))).rows
+    res = count_window_reduce(rows, REFERENCE_WINDOW, "clean", watermark=ZERO_DELAY)
+    return _flat_count(run_available_now(res, "count_window_reduce_stream"))
+
+
+def word_sessions_stream_q(spark, sf_dir):
+    lines = event_lines(_events_stream(spark, sf_dir))
+    res = word_sessions_stream(lines, SESSION_GAP_SECONDS, watermark=ZERO_DELAY)
+    out = run_available_now(res, "word_sessions_stream")
+    return out.select("word", _us("session_start"), _us("session_end"), "count_sum")
+
+
+def word_count_stream(spark, sf_dir):
+    """Processing-time 30 s windows over a document stream (complete mode);
+    summed over the windows this is the word count."""
+    docs = read_table(spark, sf_dir, "documents", streaming=True)
+    res = word_count_window(text_lines(docs), REFERENCE_WINDOW, time="processing")
+    out = run_available_now(res, "word_count_stream", output_mode="complete")
+    return out.groupBy("word").agg(F.sum("count_sum").cast("bigint").alias("count_sum"))
+
+
+def orders_union_stream(spark, sf_dir):
+    """UNION ALL of two streams over one topic."""
+    res = union_all_filtered(_orders(spark, sf_dir, True), _orders(spark, sf_dir, True))
+    return run_available_now(res, "orders_union_stream")
+
+
+def count_average_stream_q(spark, sf_dir):
+    pairs = keyed_pairs(_events_stream(spark, sf_dir))
+    return run_available_now(count_average_stream(pairs, COUNT_AVERAGE_N), "count_average_stream")
+
+
+def chunk_rows_stream_q(spark, sf_dir):
+    rows = named_pairs(_events_stream(spark, sf_dir))
+    return run_available_now(chunk_rows_stream(rows, CHUNK_N), "chunk_rows_stream")
+
+
+STREAM_QUERIES = {
+    "access_window_reduce_stream": access_window_reduce_stream,
+    "count_window_reduce_stream": count_window_reduce_stream,
+    "word_sessions_stream": word_sessions_stream_q,
+    "word_count_stream": word_count_stream,
+    "orders_union_stream": orders_union_stream,
+    "count_average_stream": count_average_stream_q,
+    "chunk_rows_stream": chunk_rows_stream_q,
+}
+
 QUERIES = {
     "word_count": word_count_q,
     "word_sessions": word_sessions_q,
@@ -211,4 +279,4 @@ QUERIES = {
     "count_window_reduce_6h": count_window_reduce_6h,
     "count_window_reduce_compat": count_window_reduce_compat,
 }
-STREAM_QUERIES: dict = {}
+QUERIES.update(STREAM_QUERIES)

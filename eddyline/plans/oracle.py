@@ -288,3 +288,23 @@ ORACLE_SQL.update({
     "access_docs": ACCESS_DOCS,
     "order_docs": ORDER_DOCS,
 })
+
+
+# Streams: a window is emitted once the watermark (the latest event time,
+# in whole milliseconds) reaches its end; the rest is still open.
+ACCESS_MAX_MS = f"(WITH {ACCESS_SRC.strip()} SELECT max(ms) FROM access_rows)"
+COUNT_MAX_MS = f"(WITH {COUNT_SRC.strip()} SELECT max(ms) FROM count_rows)"
+EVENT_MAX_US = f"(SELECT max({MS}) * 1000 FROM events)"
+
+ORACLE_SQL.update({
+    "access_window_reduce_stream":
+        f"SELECT * FROM ({_access_reduce(W30S, False)}) q WHERE window_end_ms <= {ACCESS_MAX_MS}",
+    "count_window_reduce_stream":
+        f"SELECT * FROM ({_count_reduce(W30S, False)}) q WHERE window_end_ms <= {COUNT_MAX_MS}",
+    "word_sessions_stream":
+        f"SELECT * FROM ({SESSIONS}) q WHERE session_end_us <= {EVENT_MAX_US}",
+    "word_count_stream": WORD_COUNT,
+    "orders_union_stream": ORDERS_UNION,
+    "count_average_stream": COUNT_AVERAGE,
+    "chunk_rows_stream": CHUNK_ROWS,
+})
