@@ -23,6 +23,8 @@ def java_split(col, sep: str = ",") -> Column:
     ``a,1,123,`` gives three parts and ``a,1,`` two; interior empties stay.
     """
     esc = re.escape(sep)
+    if len(sep) == 1:   # trailing run of one character: a plain trim, no regex
+        return F.split(F.rtrim(_c(col), F.lit(sep)), esc)
     return F.split(F.regexp_replace(_c(col), f"(?:{esc})+\\z", ""), esc)
 
 

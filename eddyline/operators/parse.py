@@ -25,20 +25,34 @@ class Parsed(NamedTuple):
     rejects: DataFrame
 
 
-def _split(df: DataFrame, reason: Column, keep: list[Column], on_error: str,
+def _split(df: DataFrame, reason: Column, keep: list, on_error: str,
            fatal: Column | None = None) -> Parsed:
-    d = df.withColumn("reason", reason)
+    """Route each line to ``rows`` or ``rejects``.
+
+    The split fields are computed once in a projection; each output is an
+    ``inline`` of a 0-or-1 element array over it.  (A plain filter would be
+    pushed below that projection with the split expression copied into every
+    field test, running the split several times per line.)
+    """
     if on_error == "fail" and fatal is not None:
-        d = d.withColumn("reason", F.when(
-            fatal, F.raise_error(F.concat(F.lit("bad line: "), F.col("value"))).cast("string")
-        ).otherwise(F.col("reason")))
+        reason = F.when(fatal, F.raise_error(F.concat(F.lit("bad line: "), F.col("value")))
+                        .cast("string")).otherwise(reason)
     elif on_error not in ("quarantine", "fail"):
         raise ValueError(f"on_error must be 'quarantine' or 'fail', not {on_error!r}")
-    rows = d.where(F.col("reason").isNull()).select(*keep)
-    rejects = d.where(F.col("reason").isNotNull()).select(*REJECT_COLUMNS)
+    d = df.withColumn("reason", reason)
+    ok = F.col("reason").isNull()
+    row = F.struct(*[F.col(c) if isinstance(c, str) else c for c in keep])
+    rej = F.struct(*[F.col(c) for c in REJECT_COLUMNS])
+    rows = d.select(F.inline(F.filter(F.array(row), lambda _: ok)))
+    rejects = d.select(F.inline(F.filter(F.array(rej), lambda _: ~ok)))
     return Parsed(rows, rejects)
 
 
+def _at(f: Column, i: int) -> Column:
+    """Field ``i`` (0-based), null when the line has fewer parts."""
+    return F.get(f, i)
+
+
 def _event_time(ms_text: Column) -> tuple[Column, Column]:
     """Epoch ms from text; unparsable gives 0, as the reference's extractor."""
     ms = F.coalesce(strict_long(ms_text), F.lit(0).cast("bigint"))
@@ -50,14 +64,14 @@ def parse_count_lines(lines: DataFrame, on_error: str = "quarantine") -> Parsed:
     (trailing empty parts do not count); the count must be an integer."""
     d = lines.withColumn("_f", java_split("value", ","))
     f = F.col("_f")
-    cnt = strict_int(f.getItem(1))
+    cnt = strict_int(_at(f, 1))
     arity = F.col("value").contains(",") & (F.size(f) == 3)
     reason = (F.when(F.col("value").isNull(), F.lit("null line"))
               .when(~arity, F.lit("arity"))
               .when(cnt.isNull(), F.lit("bad count")))
-    ms, ts = _event_time(f.getItem(2))
-    keep = [f.getItem(0).alias("key"), cnt.alias("count"),
-            f.getItem(2).alias("time_text"), ms.alias("ms"), ts.alias("event_time"),
+    ms, ts = _event_time(_at(f, 2))
+    keep = [_at(f, 0).alias("key"), cnt.alias("count"),
+            _at(f, 2).alias("time_text"), ms.alias("ms"), ts.alias("event_time"),
             "seq", "partition"]
     return _split(d, reason, keep, on_error, fatal=arity & cnt.isNull())
 
@@ -67,16 +81,16 @@ def parse_access_lines(lines: DataFrame, on_error: str = "quarantine") -> Parsed
     parts; count, code and took_ms must be integers."""
     d = lines.withColumn("_f", java_split("value", ","))
     f = F.col("_f")
-    cnt, code, took = (strict_int(f.getItem(i)) for i in (3, 5, 6))
+    cnt, code, took = (strict_int(_at(f, i)) for i in (3, 5, 6))
     arity = F.col("value").contains(",") & (F.size(f) == 7)
     bad_int = cnt.isNull() | code.isNull() | took.isNull()
     reason = (F.when(F.col("value").isNull(), F.lit("null line"))
               .when(~arity, F.lit("arity"))
               .when(bad_int, F.lit("bad number")))
-    ms, ts = _event_time(f.getItem(4))
-    keep = [f.getItem(0).alias("url"), f.getItem(1).alias("method"),
-            f.getItem(2).alias("response"), cnt.alias("count"),
-            f.getItem(4).alias("time_text"), ms.alias("ms"), ts.alias("event_time"),
+    ms, ts = _event_time(_at(f, 4))
+    keep = [_at(f, 0).alias("url"), _at(f, 1).alias("method"),
+            _at(f, 2).alias("response"), cnt.alias("count"),
+            _at(f, 4).alias("time_text"), ms.alias("ms"), ts.alias("event_time"),
             code.alias("code"), took.alias("took_ms"), "seq", "partition"]
     return _split(d, reason, keep, on_error, fatal=arity & bad_int)
 

@@ -21,6 +21,7 @@ DEFAULT_CONF = {
     # transformWithState needs RocksDB; it also keeps large state off-heap.
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
