@@ -8,8 +8,9 @@ Here the order range is cut into buckets.  Level one aggregates each
 ``(key, bucket)`` (a partial aggregation, no row leaves its map side),
 then carries the running total over the buckets of a key: that window
 sees one row per bucket, not one per record.  Level two runs the window
-inside ``(key, bucket)`` and adds the carry.  The big side is shuffled once,
-by ``(key, bucket)``; the result equals the one-window version exactly.
+inside ``(key, bucket)`` and adds the carry.  The rows are shuffled once, by
+``(key, bucket)``; the bucket totals reuse that partitioning and only the
+small carry table moves again.  The result equals the one-window version.
 """
 
 from __future__ import annotations
@@ -44,35 +45,45 @@ def _combine(op: str, carry: Column, local: Column) -> Column:
 
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-            value: Column, op: str, out: str, bucket: Column,
+            value: Column, op: str, out: str, bucket: Column | str,
             inclusive: bool = True, peers: bool = False) -> DataFrame:
     """Add ``out`` = running ``op`` of ``value`` over the rows of ``keys`` in
-    ``order``; ``bucket`` must be non-decreasing in ``order``.  With
+    ``order``; ``bucket`` (a column, or the name of one to reuse) must be
+    non-decreasing in ``order``.  With
     ``inclusive=False`` the current row is left out (null for the first).
     With ``peers=True`` (one integral order column) rows with equal order
     values are treated alike: inclusive takes all of them, exclusive none.
     Keys must be non-null."""
     agg = _AGG[op]
     keys = list(keys)
-    b, v, total, carry = "_scan_b", "_scan_v", "_scan_total", "_scan_carry"
-    d = df.withColumn(b, bucket).withColumn(v, value)
-    per_bucket = d.groupBy(*keys, b).agg(agg(v).alias(total))
-    over_buckets = (Window.partitionBy(*keys).orderBy(b)
-                    .rowsBetween(Window.unboundedPreceding, -1))
-    carries = per_bucket.select(*keys, b, agg(total).over(over_buckets).alias(carry))
-    d = d.join(carries, on=keys + [b], how="inner")
+    v, local, total, carry = "_scan_v", "_scan_local", "_scan_total", "_scan_carry"
+    if isinstance(bucket, str):      # an existing column: chained scans share it
+        b, d, made = bucket, df, False
+    else:
+        b, d, made = "_scan_b", df.withColumn("_scan_b", bucket), True
+    d = d.withColumn(v, value)
     end = Window.currentRow if inclusive else -1
-    inside = Window.partitionBy(*keys, b).orderBy(*order)
+    part = Window.partitionBy(*keys, b)
+    inside = part.orderBy(*order)
     if peers:
         inside = inside.rangeBetween(Window.unboundedPreceding, end)
     else:
         inside = inside.rowsBetween(Window.unboundedPreceding, end)
-    local = agg(v).over(inside)
-    return d.withColumn(out, _combine(op, F.col(carry), local)).drop(b, v, carry)
+    # The only shuffle of the rows: by (key, bucket), for these windows.
+    d = d.withColumn(local, agg(v).over(inside)).withColumn(total, agg(v).over(part))
+    # One row per bucket, read off the same partitioning (the exchange is
+    # reused); the carry window then sees one row per bucket.
+    totals = d.groupBy(*keys, b).agg(F.max(total).alias(total))
+    over_buckets = (Window.partitionBy(*keys).orderBy(b)
+                    .rowsBetween(Window.unboundedPreceding, -1))
+    carries = totals.select(*keys, b, agg(total).over(over_buckets).alias(carry))
+    d = d.join(carries, on=keys + [b], how="inner")
+    d = d.withColumn(out, _combine(op, F.col(carry), F.col(local))).drop(v, local, total, carry)
+    return d.drop(b) if made else d
 
 
 def ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-            out: str, bucket: Column) -> DataFrame:
+            out: str, bucket: Column | str) -> DataFrame:
     """1-based position of each row within its key (a ``row_number`` split
     over buckets).  ``order`` must be a total order within a key."""
     return running(df, keys, order, F.lit(1).cast("bigint"), "sum", out, bucket)

@@ -69,12 +69,12 @@ def word_sessions(lines: DataFrame, gap_seconds: int = DEFAULT_GAP_SECONDS,
     pairs = word_pairs(lines, time_col).where(F.col("ts").isNotNull())
     gap_us = gap_seconds * 1_000_000
     us = F.unix_micros("ts")
-    bucket = time_bucket("ts", bucket_seconds)
-    d = running(pairs, ["word"], [us], us, "max", "_prev", bucket, inclusive=False,
+    pairs = pairs.withColumn("_tb", time_bucket("ts", bucket_seconds))
+    d = running(pairs, ["word"], [us], us, "max", "_prev", "_tb", inclusive=False,
                 peers=True)
     d = d.withColumn("_start_here", F.when(
         F.col("_prev").isNull() | (us - F.col("_prev") > gap_us), us))
-    d = running(d, ["word"], [us], F.col("_start_here"), "max", "_session", bucket,
+    d = running(d, ["word"], [us], F.col("_start_here"), "max", "_session", "_tb",
                 peers=True)
     return (d.groupBy("word", "_session")
             .agg(F.count("*").cast("bigint").alias("count_sum"),

@@ -26,6 +26,19 @@ def kafka_options(bootstrap: str, topic: str, starting: str = "latest",
     return opts
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a static scan that yields fewer splits than the cluster has
+    task slots (a small table stored as one row group), so the per-row work
+    (parsing, tokenising) runs on every core.  A large input already has
+    more splits than slots and is returned unchanged: no shuffle."""
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a remote session): leave as is
+        return df
+    return df.repartition(slots) if parts < slots else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str,
                streaming: bool = False, max_files: int | None = None) -> DataFrame:
     """One of the given parquet tables, as a static or a streaming frame.
@@ -35,7 +48,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     if not streaming:
-        return spark.read.parquet(path)
+        return spread(spark.read.parquet(path))
     schema = spark.read.parquet(path).schema
     r = (spark.readStream.schema(schema)
          .option("pathGlobFilter", f"{name}.parquet"))
