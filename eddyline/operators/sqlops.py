@@ -7,6 +7,7 @@ is spliced into query text; this works for static and streaming frames.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 ORDER_COLUMNS = ["user", "product", "amount"]
 
@@ -24,7 +25,15 @@ def sql_filter(df: DataFrame, predicate: str) -> DataFrame:
 def union_all_filtered(a: DataFrame, b: DataFrame, pred_a: str = "amount > 2",
                        pred_b: str = "amount < 2") -> DataFrame:
     """``SELECT * FROM a WHERE pred_a UNION ALL SELECT * FROM b WHERE pred_b``;
-    duplicates are kept and rows matching neither side are dropped."""
+    duplicates are kept and rows matching neither side are dropped.
+
+    When ``a`` and ``b`` are the same static source (one topic read twice),
+    the union is one scan that emits each row once per branch it matches,
+    instead of reading and parsing the input twice.
+    """
+    if not a.isStreaming and not b.isStreaming and a.sameSemantics(b):
+        hits = F.filter(F.array(F.expr(f"({pred_a})"), F.expr(f"({pred_b})")), lambda h: h)
+        return a.select("*", F.explode(hits).alias("_hit")).drop("_hit")
     return a.sparkSession.sql(
         f"SELECT * FROM {{a}} WHERE {pred_a} UNION ALL SELECT * FROM {{b}} WHERE {pred_b}",
         a=a, b=b)

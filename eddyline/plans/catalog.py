@@ -136,7 +136,7 @@ def orders_small(spark, sf_dir):
 
 def orders_union(spark, sf_dir):
     """The same topic read twice: big-ish orders from one reading, small
-    ones from the other, UNION ALL."""
+    ones from the other, UNION ALL (planned as one scan)."""
     return union_all_filtered(_orders(spark, sf_dir), _orders(spark, sf_dir))
 
 

@@ -62,8 +62,10 @@ def read_lines(spark: SparkSession, source, streaming: bool = True,
     """Read messages from a log topic (``source`` a dict of Kafka options) or
     from a folder of files (``source`` a path).
 
-    ``fmt="text"``: one message per line; ``seq`` is then a per-run id, not a
-    transport offset.  ``fmt="parquet"``: files that already hold the line
+    ``fmt="text"``: one message per line.  Text files carry no offsets: a
+    static read numbers lines in file order, a stream uses the micro-batch
+    time as ``seq`` (batches are ordered, lines within one batch tie).  Use
+    a topic or parquet line files when the order within a batch matters.  ``fmt="parquet"``: files that already hold the line
     columns (for example written by the line sink), read unchanged.
     """
     if isinstance(source, dict):
@@ -80,8 +82,11 @@ def read_lines(spark: SparkSession, source, streaming: bool = True,
         return r.parquet(source).select(*LINE_COLUMNS)
     r = spark.readStream if streaming else spark.read
     raw = r.text(source)
+    if streaming:
+        seq = F.unix_micros(F.current_timestamp())
+        part = (F.abs(F.hash(F.col("_metadata.file_path"))) % 1024).cast("int")
+    else:
+        seq, part = F.monotonically_increasing_id(), F.spark_partition_id()
     return raw.select(
-        F.col("value"),
-        F.monotonically_increasing_id().alias("seq"),
-        F.spark_partition_id().alias("partition"),
+        F.col("value"), seq.alias("seq"), part.alias("partition"),
         F.current_timestamp().alias("timestamp"))

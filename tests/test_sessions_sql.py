@@ -39,3 +39,13 @@ def test_union_all_keeps_duplicates_drops_equal(spark):
     got = sorted(r.user for r in union_all_filtered(df, df).collect())
     assert got == [1, 1, 2]
     assert sql_filter(df, "amount > 2").count() == 2
+
+
+def test_union_of_one_source_is_one_scan(spark):
+    df = spark.createDataFrame([(1, 3), (2, 1), (3, 2), (4, 5)], "user BIGINT, amount INT")
+    u = union_all_filtered(df, df, "amount > 2", "amount > 4")   # user 4 matches both
+    assert sorted(r.user for r in u.collect()) == [1, 4, 4]
+    plan = u._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan
+    two = union_all_filtered(df, df.where("user > 1"), "amount > 2", "amount > 4")
+    assert sorted(r.user for r in two.collect()) == [1, 4, 4]
