@@ -44,12 +44,10 @@ def chunk_rows(rows: DataFrame, n: int, bucket: str = "bucket", seq: str = "seq"
     """Split rows into released chunks of exactly ``n`` per ``bucket`` (in
     ``seq`` order) and the pending remainder.  Adds ``chunk`` (0-based) and
     ``position`` (0-based within the chunk)."""
-    d = ordinal(rows, [bucket], [seq], "_rn", seq_bucket(seq, bucket_width))
+    d = ordinal(rows, [bucket], [seq], "_rn", seq_bucket(seq, bucket_width), key_total="_n")
     d = (d.withColumn("chunk", F.floor((F.col("_rn") - 1) / n).cast("bigint"))
-         .withColumn("position", ((F.col("_rn") - 1) % n).cast("int")))
-    # One row per bucket: the number of complete chunks.
-    totals = d.groupBy(bucket).agg(F.floor(F.max("_rn") / n).cast("bigint").alias("_full"))
-    d = d.join(totals, on=bucket, how="inner")
+         .withColumn("position", ((F.col("_rn") - 1) % n).cast("int"))
+         .withColumn("_full", F.floor(F.col("_n") / n).cast("bigint")))
     cols = [c for c in rows.columns] + ["chunk", "position"]
     full = d.where(F.col("chunk") < F.col("_full")).select(*cols)
     pending = d.where(F.col("chunk") >= F.col("_full")).select(*cols)

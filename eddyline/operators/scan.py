@@ -46,14 +46,16 @@ def _combine(op: str, carry: Column, local: Column) -> Column:
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
             value: Column, op: str, out: str, bucket: Column | str,
-            inclusive: bool = True, peers: bool = False) -> DataFrame:
+            inclusive: bool = True, peers: bool = False,
+            key_total: str | None = None) -> DataFrame:
     """Add ``out`` = running ``op`` of ``value`` over the rows of ``keys`` in
     ``order``; ``bucket`` (a column, or the name of one to reuse) must be
     non-decreasing in ``order``.  With
     ``inclusive=False`` the current row is left out (null for the first).
     With ``peers=True`` (one integral order column) rows with equal order
     values are treated alike: inclusive takes all of them, exclusive none.
-    Keys must be non-null."""
+    ``key_total`` names an optional column with ``op`` over all rows of the
+    key, delivered through the same carry join.  Keys must be non-null."""
     agg = _AGG[op]
     keys = list(keys)
     v, local, total, carry = "_scan_v", "_scan_local", "_scan_total", "_scan_carry"
@@ -76,14 +78,17 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     totals = d.groupBy(*keys, b).agg(F.max(total).alias(total))
     over_buckets = (Window.partitionBy(*keys).orderBy(b)
                     .rowsBetween(Window.unboundedPreceding, -1))
-    carries = totals.select(*keys, b, agg(total).over(over_buckets).alias(carry))
+    extra = [agg(total).over(Window.partitionBy(*keys)).alias(key_total)] if key_total else []
+    carries = totals.select(*keys, b, agg(total).over(over_buckets).alias(carry), *extra)
     d = d.join(carries, on=keys + [b], how="inner")
     d = d.withColumn(out, _combine(op, F.col(carry), F.col(local))).drop(v, local, total, carry)
     return d.drop(b) if made else d
 
 
 def ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-            out: str, bucket: Column | str) -> DataFrame:
+            out: str, bucket: Column | str, key_total: str | None = None) -> DataFrame:
     """1-based position of each row within its key (a ``row_number`` split
-    over buckets).  ``order`` must be a total order within a key."""
-    return running(df, keys, order, F.lit(1).cast("bigint"), "sum", out, bucket)
+    over buckets).  ``order`` must be a total order within a key.
+    ``key_total`` adds the key's row count."""
+    return running(df, keys, order, F.lit(1).cast("bigint"), "sum", out, bucket,
+                   key_total=key_total)
