@@ -26,6 +26,7 @@ HEADLINE = [
     "word_count",
     "access_window_reduce",
     "access_window_reduce_stream",
+    "access_window_stats",
     "word_sessions",
     "orders_union",
     "count_average",

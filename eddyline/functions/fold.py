@@ -21,3 +21,66 @@ def halving_average(arr) -> Column:
     rest = F.when(F.size(a) > 1, rest).otherwise(F.array().cast("array<int>"))
     return F.aggregate(rest, a.getItem(0).cast("bigint"),
                        lambda acc, x: trunc_half(acc + x)).cast("int")
+
+
+# ---- the halving fold as composable maps --------------------------------
+#
+# Folding values y1..yk into an accumulator a with a <- floor((a + y) / 2)
+# gives a |-> q + floor((a + r) / 2^m), 0 <= r < 2^m.  Two such maps compose
+# into a third (below), so the fold of a long ordered run can be computed
+# per bucket and the buckets combined in order.  All inputs are ints >= 0 and
+# a never exceeds the largest input (< 2^31): once 2^m > 2^31 the map only
+# tells whether a reaches a threshold t, which is kept as m = 31,
+# r = 2^31 - t (or r = 0 when no a reaches it).  Every number fits in 64 bits.
+# For non-negative inputs floor equals Java's truncating division.
+
+INT_LIMIT = (1 << 31) - 1
+_M_CAP = 31
+
+
+def _l(v: int) -> Column:
+    return F.lit(v).cast("bigint")
+
+
+def _shl(x: Column, n: Column) -> Column:
+    return F.call_function("shiftleft", x, n)
+
+
+def _shr(x: Column, n: Column) -> Column:
+    return F.call_function("shiftright", x, n)
+
+
+def _canon(q: Column, r: Column, m: Column) -> Column:
+    t = _shl(_l(1), m) - r
+    r_cap = F.when(t > _l(INT_LIMIT), _l(0)).otherwise(_l(1 << _M_CAP) - t)
+    big = m > _M_CAP
+    return F.struct(q.alias("q"), F.when(big, r_cap).otherwise(r).alias("r"),
+                    F.when(big, F.lit(_M_CAP)).otherwise(m).alias("m"))
+
+
+def halving_map(x: Column) -> Column:
+    """The map of one value: a |-> floor((a + x) / 2)."""
+    x = x.cast("bigint")
+    return F.struct(_shr(x, F.lit(1)).alias("q"), (x % 2).alias("r"), F.lit(1).alias("m"))
+
+
+def identity_map() -> Column:
+    return F.struct(_l(0).alias("q"), _l(0).alias("r"), F.lit(0).alias("m"))
+
+
+def compose_maps(f: Column, g: Column) -> Column:
+    """``g`` after ``f``."""
+    a = f["q"] + g["r"]
+    q = g["q"] + _shr(a, g["m"])
+    low = a - _shl(_shr(a, g["m"]), g["m"])     # a mod 2^g.m
+    r = f["r"] + _shl(low, f["m"])
+    return _canon(q, r, f["m"] + g["m"])
+
+
+def fold_maps(maps: Column) -> Column:
+    """Compose an ordered array of maps (first applied first)."""
+    return F.aggregate(maps, identity_map(), compose_maps)
+
+
+def apply_map(f: Column, a: Column) -> Column:
+    return (f["q"] + _shr(a.cast("bigint") + f["r"], f["m"])).cast("int")

@@ -6,7 +6,9 @@ from eddyline.operators.parse import (
 from eddyline.operators.words import (
     word_count, word_count_window, word_pairs, word_sessions, word_sessions_stream,
 )
-from eddyline.operators.window_reduce import access_window_reduce, count_window_reduce
+from eddyline.operators.window_reduce import (
+    access_window_reduce, access_window_stats, count_window_reduce,
+)
 from eddyline.operators.keyed import chunk_rows, count_average
 from eddyline.operators.late import mark_late, split_late
 from eddyline.operators.sqlops import as_table, sql_filter, union_all_filtered
@@ -16,7 +18,7 @@ from eddyline.operators.scan import ordinal, running
 __all__ = [
     "Parsed", "parse_access_lines", "parse_count_lines", "parse_first_three",
     "parse_orders", "word_count", "word_count_window", "word_pairs", "word_sessions",
-    "word_sessions_stream", "access_window_reduce", "count_window_reduce",
+    "word_sessions_stream", "access_window_reduce", "access_window_stats", "count_window_reduce",
     "chunk_rows", "count_average", "mark_late", "split_late", "as_table",
     "sql_filter", "union_all_filtered", "char_counts", "prefix_chars",
     "prefix_lines", "ordinal", "running",

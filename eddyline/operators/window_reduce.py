@@ -21,11 +21,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eddyline.functions.fold import halving_average
+from eddyline.functions.fold import apply_map, fold_maps, halving_average, halving_map
+from eddyline.operators.scan import seq_bucket
 from eddyline.functions.text import strict_long
 from eddyline.functions.timefmt import fmt_epoch_ms, took_note
 
 DEFAULT_WINDOW = "30 seconds"
+STATS_BUCKET = 1 << 16          # arrival positions per first-level group
 # Fixed value: the reference formats a first time only if its text has "000".
 COMPAT_MARK = "000"
 
@@ -101,3 +103,46 @@ def access_window_reduce(rows: DataFrame, window: str = DEFAULT_WINDOW,
         halving_average(F.transform("_rows", lambda r: r["took_ms"])).alias("response_time_avg"),
         "response_time_mean",
         _times(F.col("_rows"), times_mode, note=True).alias("times"))
+
+
+def access_window_stats(rows: DataFrame, window: str = DEFAULT_WINDOW,
+                        bucket_width: int = STATS_BUCKET) -> DataFrame:
+    """``access_window_reduce`` without the ``times`` list (static frames):
+    every output is computed without bringing a window's rows together.
+
+    Level one groups ``(window, url, response, seq bucket)``: partial sums,
+    the first row, and the halving fold of the bucket's latencies as a
+    composable map (bounded by the bucket width).  Level two combines the
+    buckets of a window in order.  A window holding a third of all rows is
+    spread over its buckets.  Latencies must be non-negative (a negative
+    one stops the query rather than give a wrong average).
+    """
+    w = F.window("event_time", window).alias("w")
+    order = F.struct("seq", "partition")
+    keys = ["w", "url", "response"]
+    lvl1 = (rows.select(w, "url", "response", "count", "method", "code", "took_ms", "seq",
+                        "partition", seq_bucket("seq", bucket_width).alias("_b"))
+            .groupBy(*keys, "_b").agg(
+                F.sum("count").cast("bigint").alias("count"),
+                F.count("*").alias("_n"), F.sum("took_ms").cast("bigint").alias("_took"),
+                F.min_by(F.struct("method", "code", "took_ms"), order).alias("_first"),
+                F.min(order).alias("_first_at"), F.min("took_ms").alias("_min_took"),
+                F.sort_array(F.collect_list(F.struct("seq", "partition", "took_ms")))
+                .alias("_rows"))
+            .select(*keys, "_b", "count", "_n", "_took", "_first", "_first_at", "_min_took",
+                    fold_maps(F.transform("_rows", lambda r: halving_map(r["took_ms"])))
+                    .alias("_map")))
+    g = lvl1.groupBy(*keys).agg(
+        F.sum("count").cast("bigint").alias("count"), F.sum("_n").alias("_n"),
+        F.sum("_took").alias("_took"), F.min_by("_first", "_first_at").alias("_first"),
+        F.min("_min_took").alias("_min_took"),
+        F.sort_array(F.collect_list(F.struct("_b", "_map"))).alias("_maps"))
+    avg = apply_map(fold_maps(F.transform("_maps", lambda m: m["_map"])), F.col("_first.took_ms"))
+    avg = F.when(F.col("_min_took") < 0, F.raise_error(
+        F.lit("access_window_stats needs non-negative latencies")).cast("int")).otherwise(avg)
+    return g.select(
+        "url", "response", F.col("w.start").alias("window_start"),
+        F.col("w.end").alias("window_end"),
+        F.col("_first.method").alias("method"), F.col("_first.code").alias("code"), "count",
+        avg.alias("response_time_avg"),
+        (F.col("_took") / F.col("_n")).alias("response_time_mean"))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eddyline.operators import (
-    access_window_reduce, as_table, char_counts, chunk_rows, count_average,
+    access_window_reduce, access_window_stats, as_table, char_counts, chunk_rows, count_average,
     count_window_reduce, mark_late, parse_access_lines, parse_count_lines,
     parse_first_three, parse_orders, prefix_lines, sql_filter, union_all_filtered,
     word_count, word_sessions,
@@ -77,6 +77,24 @@ def access_window_reduce_compat(spark, sf_dir):
     return _access(spark, sf_dir, LONG_WINDOW, "compat")
 
 
+def _stats(spark, sf_dir, window):
+    ensure_utc(spark)
+    rows = parse_access_lines(access_lines(read_table(spark, sf_dir, "events"))).rows
+    return access_window_stats(rows, window).select(
+        "url", "response", _ms("window_start"), _ms("window_end"), "method", "code",
+        "count", "response_time_avg",
+        F.round("response_time_mean", 6).alias("response_time_mean"))
+
+
+def access_window_stats_q(spark, sf_dir):
+    """The flagship's scalar outputs, with no group's rows brought together."""
+    return _stats(spark, sf_dir, REFERENCE_WINDOW)
+
+
+def access_window_stats_6h(spark, sf_dir):
+    return _stats(spark, sf_dir, LONG_WINDOW)
+
+
 def count_window_reduce_q(spark, sf_dir):
     return _count(spark, sf_dir, REFERENCE_WINDOW, "clean")
 
@@ -275,6 +293,8 @@ QUERIES = {
     "access_window_reduce": access_window_reduce_q,
     "access_window_reduce_6h": access_window_reduce_6h,
     "access_window_reduce_compat": access_window_reduce_compat,
+    "access_window_stats": access_window_stats_q,
+    "access_window_stats_6h": access_window_stats_6h,
     "count_window_reduce": count_window_reduce_q,
     "count_window_reduce_6h": count_window_reduce_6h,
     "count_window_reduce_compat": count_window_reduce_compat,

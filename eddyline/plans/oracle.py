@@ -65,6 +65,21 @@ count_rows AS (
   WHERE contains(value, ',') AND len(f) = 3 AND {_strict('f[2]', 'INTEGER')} IS NOT NULL)"""
 
 
+def _access_stats(window_ms: int) -> str:
+    return f"""
+WITH {ACCESS_SRC.strip()}
+SELECT url, response, (ms // {window_ms}) * {window_ms} AS window_start_ms,
+       (ms // {window_ms}) * {window_ms} + {window_ms} AS window_end_ms,
+       arg_min(method, seq) AS method, arg_min(code, seq) AS code,
+       CAST(sum(cnt) AS BIGINT) AS count,
+       CAST(list_reduce(list(took ORDER BY seq, partition), lambda a, x: (a + x) // 2) AS INTEGER)
+         AS response_time_avg,
+       round(avg(took), 6) AS response_time_mean
+FROM access_rows
+GROUP BY url, response, ms // {window_ms}
+"""
+
+
 def _access_reduce(window_ms: int, compat: bool) -> str:
     clean = f"{_fmt_text('time_text')} || ' took' || CAST(took AS VARCHAR) || 'ms'"
     if compat:
@@ -123,6 +138,8 @@ ORACLE_SQL = {
     "access_window_reduce": _access_reduce(W30S, False),
     "access_window_reduce_6h": _access_reduce(W6H, False),
     "access_window_reduce_compat": _access_reduce(W6H, True),
+    "access_window_stats": _access_stats(W30S),
+    "access_window_stats_6h": _access_stats(W6H),
     "count_window_reduce": _count_reduce(W30S, False),
     "count_window_reduce_6h": _count_reduce(W6H, False),
     "count_window_reduce_compat": _count_reduce(W6H, True),

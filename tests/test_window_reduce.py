@@ -61,3 +61,29 @@ def test_two_key_compat_single_row(spark):
     rows = parse_access_lines(lines_df(spark, ["/b,GET,ok,1,1540000000000,200,70"])).rows
     (c,) = access_window_reduce(rows, times_mode="compat").collect()
     assert c.times == ["1540000000000"] and c.response_time_avg == 70
+
+
+def test_window_stats_equal_list_reduce(spark):
+    from conftest import SF_ORACLE
+    from eddyline.operators import access_window_stats
+    from eddyline.sources import access_lines, read_table
+    rows = parse_access_lines(access_lines(read_table(spark, SF_ORACLE, "events"))).rows
+    cols = ["url", "response", "window_start", "method", "code", "count", "response_time_avg"]
+    full = access_window_reduce(rows, "6 hours").select(*cols)
+    for width in (1 << 40, 5):      # one bucket per window / about 6 rows per bucket
+        stats = access_window_stats(rows, "6 hours", bucket_width=width).select(*cols)
+        assert stats.exceptAll(full).count() == 0 and full.exceptAll(stats).count() == 0
+
+
+def test_window_stats_one_hot_window(spark):
+    from eddyline.operators import access_window_stats
+    import random
+    random.seed(7)
+    took = [random.randint(0, 5000) for _ in range(3000)]
+    msgs = [f"/hot,GET,ok,1,{1540000000000 + i},200,{t}" for i, t in enumerate(took)]
+    rows = parse_access_lines(lines_df(spark, msgs)).rows
+    (r,) = access_window_stats(rows, "1 hour", bucket_width=17).collect()
+    acc = took[0]
+    for t in took[1:]:
+        acc = (acc + t) // 2
+    assert r.response_time_avg == acc and r["count"] == 3000
