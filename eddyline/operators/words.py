@@ -34,17 +34,18 @@ def word_count_window(lines: DataFrame, window: str = DEFAULT_WINDOW,
 
     ``time="event"`` windows on ``time_col``; ``time="processing"`` stamps
     each row with the micro-batch time, like a job with no time
-    characteristic.  ``watermark`` (event time only) bounds the state of a
-    stream; rows behind it are dropped.
+    characteristic.  ``watermark`` bounds the state of a stream: a window is
+    emitted (append mode) and dropped from state once the watermark passes
+    its end; on processing time that is when a later batch starts after it.
     """
     if time == "processing":
         d = lines.withColumn("_t", F.current_timestamp())
     elif time == "event":
         d = lines.withColumn("_t", F.col(time_col).cast("timestamp"))
-        if watermark is not None:
-            d = d.withWatermark("_t", watermark)
     else:
         raise ValueError("time must be 'event' or 'processing'")
+    if watermark is not None:
+        d = d.withWatermark("_t", watermark)
     pairs = d.select(F.explode(tokens("value")).alias("word"), F.lit(1).alias("one"), "_t")
     return (pairs.groupBy(F.window("_t", window).alias("window"), "word")
             .agg(F.sum("one").cast("bigint").alias("count_sum"))

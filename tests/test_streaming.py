@@ -102,3 +102,31 @@ def test_stream_drops_late_rows_per_batch(spark, tmp_path):
     assert 240 not in strict                      # still open at the end
     default = _first_window_count(spark, tmp_path / "b", "true")
     assert default[0] == 4
+
+
+def test_processing_time_window_with_watermark(spark, tmp_path):
+    from eddyline.operators import word_count_window
+    from eddyline.sources import read_lines
+    src = tmp_path / "txt"
+    src.mkdir()
+    (src / "a.txt").write_text("a b a\n")
+    stream = read_lines(spark, str(src), streaming=True)
+    res = word_count_window(stream, "1 second", time="processing", watermark="0 seconds")
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ck")
+    _run(res, out, ckpt)
+    import time
+    time.sleep(1.2)                       # the next batch starts after the window
+    (src / "b.txt").write_text("c\n")
+    _run(word_count_window(read_lines(spark, str(src), streaming=True), "1 second",
+                           time="processing", watermark="0 seconds"), out, ckpt)
+    got = {r.word: r.count_sum for r in spark.read.parquet(out).collect()}
+    assert got == {"a": 2, "b": 1}        # first window emitted; "c" still open
+
+
+def test_event_time_word_window(spark):
+    from eddyline.operators import word_count_window
+    df = spark.createDataFrame([("x y", 0), ("x", 31)], "value STRING, s BIGINT") \
+        .select("value", F.timestamp_seconds("s").alias("timestamp"))
+    got = sorted((r.word, int(r.window_start.timestamp()), r.count_sum)
+                 for r in word_count_window(df, "30 seconds").collect())
+    assert got == [("x", 0, 1), ("x", 30, 1), ("y", 0, 1)]
