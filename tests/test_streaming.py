@@ -130,3 +130,38 @@ def test_event_time_word_window(spark):
     got = sorted((r.word, int(r.window_start.timestamp()), r.count_sum)
                  for r in word_count_window(df, "30 seconds").collect())
     assert got == [("x", 0, 1), ("x", 30, 1), ("y", 0, 1)]
+
+
+def _line_files(spark, df, folder, parts=5):
+    """Write a frame as ``parts`` parquet files in seq order, one write each
+    so the file source sees them in that order."""
+    lo, hi = df.agg(F.min("seq"), F.max("seq")).first()
+    step = (hi - lo) // parts + 1
+    for i in range(parts):
+        chunk = df.where((F.col("seq") >= lo + i * step) & (F.col("seq") < lo + (i + 1) * step))
+        chunk.coalesce(1).write.mode("append").parquet(folder)
+
+
+def test_many_batches_equal_static(spark, tmp_path):
+    from eddyline.operators import count_average
+    from eddyline.sources import keyed_pairs
+    ev = read_table(spark, SF_ORACLE, "events")
+    lines_dir = str(tmp_path / "access")
+    _line_files(spark, access_lines(ev), lines_dir)
+    stream = (spark.readStream.schema("value STRING, seq BIGINT, partition INT, timestamp TIMESTAMP")
+              .option("maxFilesPerTrigger", 1).parquet(lines_dir))
+    res = access_window_reduce(parse_access_lines(stream).rows, "6 hours", watermark="0 seconds")
+    streamed = run_available_now(res, "many_batches")
+    static_rows = parse_access_lines(access_lines(ev)).rows
+    wm = static_rows.agg(F.max("event_time")).first()[0]
+    closed = access_window_reduce(static_rows, "6 hours").where(F.col("window_end") <= F.lit(wm))
+    assert streamed.count() == closed.count() > 0
+    assert streamed.exceptAll(closed).count() == 0
+
+    pairs_dir = str(tmp_path / "pairs")
+    _line_files(spark, keyed_pairs(ev), pairs_dir)
+    pstream = spark.readStream.schema(PAIRS).option("maxFilesPerTrigger", 1).parquet(pairs_dir)
+    got = run_available_now(count_average_stream(pstream), "many_batches_avg")
+    want = count_average(keyed_pairs(ev))
+    assert got.count() == want.count() == 4960
+    assert got.exceptAll(want).count() == 0
