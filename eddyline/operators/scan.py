@@ -16,6 +16,7 @@ small carry table moves again.  The result equals the one-window version.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -63,25 +64,27 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
         b, d, made = bucket, df, False
     else:
         b, d, made = "_scan_b", df.withColumn("_scan_b", bucket), True
-    d = d.withColumn(v, value)
+    # Keys are non-null by contract; stating it here keeps the join from
+    # inferring the filter at a different depth in each branch below.
+    d = d.where(reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys + [b]]))
+    # The only shuffle of the rows, by (key, bucket).  Both the window and the
+    # bucket totals read it: the totals as a hash aggregate (no sort), so
+    # nothing upstream (scan, tokenising) runs twice.
+    d = d.withColumn(v, value).repartition(*keys, b)
+    totals = d.groupBy(*keys, b).agg(agg(v).alias(total))
+    over_buckets = (Window.partitionBy(*keys).orderBy(b)
+                    .rowsBetween(Window.unboundedPreceding, -1))
+    extra = [agg(total).over(Window.partitionBy(*keys)).alias(key_total)] if key_total else []
+    carries = totals.select(*keys, b, agg(total).over(over_buckets).alias(carry), *extra)
     end = Window.currentRow if inclusive else -1
-    part = Window.partitionBy(*keys, b)
-    inside = part.orderBy(*order)
+    inside = Window.partitionBy(*keys, b).orderBy(*order)
     if peers:
         inside = inside.rangeBetween(Window.unboundedPreceding, end)
     else:
         inside = inside.rowsBetween(Window.unboundedPreceding, end)
-    # The only shuffle of the rows: by (key, bucket), for these windows.
-    d = d.withColumn(local, agg(v).over(inside)).withColumn(total, agg(v).over(part))
-    # One row per bucket, read off the same partitioning (the exchange is
-    # reused); the carry window then sees one row per bucket.
-    totals = d.groupBy(*keys, b).agg(F.max(total).alias(total))
-    over_buckets = (Window.partitionBy(*keys).orderBy(b)
-                    .rowsBetween(Window.unboundedPreceding, -1))
-    extra = [agg(total).over(Window.partitionBy(*keys)).alias(key_total)] if key_total else []
-    carries = totals.select(*keys, b, agg(total).over(over_buckets).alias(carry), *extra)
+    d = d.withColumn(local, agg(v).over(inside))
     d = d.join(carries, on=keys + [b], how="inner")
-    d = d.withColumn(out, _combine(op, F.col(carry), F.col(local))).drop(v, local, total, carry)
+    d = d.withColumn(out, _combine(op, F.col(carry), F.col(local))).drop(v, local, carry)
     return d.drop(b) if made else d
 
 
