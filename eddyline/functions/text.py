@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 # The word separator is a run of non-word characters, where a
 # word character is ASCII [A-Za-z0-9_] (so accented letters split words).
 WORD_SEPARATOR = r"\W+"
+WORD = r"\w+"
 INT_PATTERN = r"^[+-]?[0-9]+$"
 
 
@@ -40,9 +41,10 @@ def strict_long(col) -> Column:
 
 
 def tokens(col) -> Column:
-    """Lower-cased words of a line as an array, empty tokens removed."""
-    parts = F.split(F.lower(_c(col)), WORD_SEPARATOR)
-    return F.filter(parts, lambda t: F.length(t) > 0)
+    """Lower-cased words of a line as an array, empty tokens removed: the
+    maximal runs of word characters, i.e. the non-empty parts of a split on
+    ``WORD_SEPARATOR`` (extracting them is about twice as fast)."""
+    return F.regexp_extract_all(F.lower(_c(col)), F.lit(WORD), 0)
 
 
 def first_three(col) -> Column:
