@@ -20,6 +20,8 @@ DEFAULT_CONF = {
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # transformWithState needs RocksDB; it also keeps large state off-heap.
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    # Commit a changelog per batch instead of a full state snapshot.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

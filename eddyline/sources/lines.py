@@ -44,7 +44,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     """One of the given parquet tables, as a static or a streaming frame.
 
     A stream over a single file uses its folder with a glob filter, since the
-    file source needs a directory.
+    file source needs a directory.  A single file is one task per micro-batch
+    whatever its size, so its rows are round-robined over the task slots.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     if not streaming:
@@ -54,7 +55,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
          .option("pathGlobFilter", f"{name}.parquet"))
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(sf_dir)
+    return r.parquet(sf_dir).repartition(spark.sparkContext.defaultParallelism)
 
 
 def read_lines(spark: SparkSession, source, streaming: bool = True,

@@ -15,11 +15,18 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+# The processors travel to the Python workers by value, so executors need no
+# installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 AVERAGE_OUT = "key LONG, average LONG, seq LONG"
 CHUNK_ROW = "name STRING, value INT, seq LONG"
 CHUNK_OUT = "name STRING, value INT, seq LONG, bucket INT, chunk LONG, position INT"
