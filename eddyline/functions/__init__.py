@@ -3,7 +3,9 @@
 from eddyline.functions.text import (
     java_split, strict_int, strict_long, tokens, first_three, prefix_chars_array,
 )
-from eddyline.functions.timefmt import TIME_FORMAT, fmt_epoch_ms, took_note, epoch_ms
+from eddyline.functions.timefmt import (
+    TIME_FORMAT, epoch_ms, fmt_epoch_ms, took_note, valid_epoch_ms,
+)
 from eddyline.functions.fold import (
     apply_map, compose_maps, fold_maps, halving_average, halving_map, identity_map, trunc_half,
 )
@@ -11,6 +13,7 @@ from eddyline.functions.fold import (
 __all__ = [
     "java_split", "strict_int", "strict_long", "tokens", "first_three",
     "prefix_chars_array", "TIME_FORMAT", "fmt_epoch_ms", "took_note", "epoch_ms",
+    "valid_epoch_ms",
     "halving_average", "trunc_half", "apply_map", "compose_maps", "fold_maps",
     "halving_map", "identity_map",
 ]

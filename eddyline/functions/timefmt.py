@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 # Fixed value: display format of event times (day before month).
 TIME_FORMAT = "yyyy/dd/MM HH:mm:ss"
+# Epoch milliseconds of 0001-01-01 00:00:00 and 9999-12-31 23:59:59.999 UTC.
+MIN_EPOCH_MS = -62135596800000
+MAX_EPOCH_MS = 253402300799999
 
 
 def _c(c) -> Column:
@@ -19,6 +22,13 @@ def fmt_epoch_ms(ms) -> Column:
     return F.date_format(F.timestamp_millis(_c(ms).cast("bigint")), TIME_FORMAT)
 
 
+def valid_epoch_ms(ms) -> Column:
+    """``ms`` when it is a time in years 1 to 9999, else null (a larger number
+    would overflow the timestamp type)."""
+    c = _c(ms)
+    return F.when(c.between(MIN_EPOCH_MS, MAX_EPOCH_MS), c)
+
+
 def took_note(text, took_ms) -> Column:
     """``<text> took<ms>ms``."""
     return F.concat(_c(text), F.lit(" took"), _c(took_ms).cast("string"), F.lit("ms"))

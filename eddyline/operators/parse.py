@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eddyline.functions.text import first_three, java_split, strict_int, strict_long
+from eddyline.functions.timefmt import valid_epoch_ms
 
 REJECT_COLUMNS = ["seq", "partition", "value", "reason"]
 ORDER_SCHEMA = "user STRING, product STRING, amount STRING, _corrupt STRING"
@@ -54,8 +55,9 @@ def _at(f: Column, i: int) -> Column:
 
 
 def _event_time(ms_text: Column) -> tuple[Column, Column]:
-    """Epoch ms from text; unparsable gives 0, as the reference's extractor."""
-    ms = F.coalesce(strict_long(ms_text), F.lit(0).cast("bigint"))
+    """Epoch ms from text; unparsable (or out of range) gives 0, as the
+    reference's extractor does."""
+    ms = F.coalesce(valid_epoch_ms(strict_long(ms_text)), F.lit(0).cast("bigint"))
     return ms, F.timestamp_millis(ms)
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from eddyline.functions.fold import apply_map, fold_maps, halving_average, halving_map
 from eddyline.operators.scan import seq_bucket
 from eddyline.functions.text import strict_long
-from eddyline.functions.timefmt import fmt_epoch_ms, took_note
+from eddyline.functions.timefmt import fmt_epoch_ms, took_note, valid_epoch_ms
 
 DEFAULT_WINDOW = "30 seconds"
 STATS_BUCKET = 1 << 16          # arrival positions per first-level group
@@ -34,7 +34,7 @@ COMPAT_MARK = "000"
 
 def _fmt_text(text: Column) -> Column:
     """Formatted time of epoch-ms text; text that is not a number stays."""
-    return F.coalesce(fmt_epoch_ms(strict_long(text)), text)
+    return F.coalesce(fmt_epoch_ms(valid_epoch_ms(strict_long(text))), text)
 
 
 def _times(rows: Column, mode: str, note: bool) -> Column:

@@ -49,3 +49,18 @@ def test_orders_quoted_amount_and_bad_user(spark):
     p = parse_orders(lines_df(spark, ['{"user":"7","amount":"5"}', '{"user":"x"}']))
     assert [(r.user, r.amount) for r in p.rows.collect()] == [(7, 5)]
     assert [r.reason for r in p.rejects.collect()] == ["bad user"]
+
+
+def test_extreme_numbers_do_not_stop_the_query(spark):
+    from eddyline.operators import access_window_reduce, count_window_reduce
+    msgs = ["k,1,9223372036854775807", "k,1,-9223372036854775808",
+            "k,2147483647,1540000000000", "k,2147483647,1540000000001"]
+    rows = parse_count_lines(lines_df(spark, msgs)).rows
+    got = {(r.window_start.timestamp(), r["count"]) for r in count_window_reduce(rows).collect()}
+    assert got == {(0.0, 2), (1539999990.0, 4294967294)}     # huge times count as time 0
+    out = count_window_reduce(rows, times_mode="compat").where("count = 2").first()
+    assert sorted(out.times) == sorted(["9223372036854775807", "-9223372036854775808"])
+    acc = parse_access_lines(lines_df(spark, ["/a,GET,ok,1,1,200,2147483647",
+                                              "/a,GET,ok,1,2,200,2147483647"])).rows
+    (r,) = access_window_reduce(acc).collect()
+    assert r.response_time_avg == 2147483647
