@@ -9,8 +9,9 @@ Here the order range is cut into buckets.  Level one aggregates each
 then carries the running total over the buckets of a key: that window
 sees one row per bucket, not one per record.  Level two runs the window
 inside ``(key, bucket)`` and adds the carry.  The rows are shuffled once, by
-``(key, bucket)``; the bucket totals reuse that partitioning and only the
-small carry table moves again.  The result equals the one-window version.
+``(key, bucket)``; the bucket totals are combined map-side, so only one row
+per bucket and map task moves for them.  The result equals the one-window
+version.
 """
 
 from __future__ import annotations
@@ -64,18 +65,16 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
         b, d, made = bucket, df, False
     else:
         b, d, made = "_scan_b", df.withColumn("_scan_b", bucket), True
-    # Keys are non-null by contract; stating it here keeps the join from
-    # inferring the filter at a different depth in each branch below.
     d = d.where(reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys + [b]]))
-    # The only shuffle of the rows, by (key, bucket).  Both the window and the
-    # bucket totals read it: the totals as a hash aggregate (no sort), so
-    # nothing upstream (scan, tokenising) runs twice.
-    d = d.withColumn(v, value).repartition(*keys, b)
+    d = d.withColumn(v, value)
+    # Level one: one row per (key, bucket), combined map-side before the
+    # shuffle; the carry window then sees one row per bucket.
     totals = d.groupBy(*keys, b).agg(agg(v).alias(total))
     over_buckets = (Window.partitionBy(*keys).orderBy(b)
                     .rowsBetween(Window.unboundedPreceding, -1))
     extra = [agg(total).over(Window.partitionBy(*keys)).alias(key_total)] if key_total else []
     carries = totals.select(*keys, b, agg(total).over(over_buckets).alias(carry), *extra)
+    # Level two: the rows' only shuffle, by (key, bucket), for this window.
     end = Window.currentRow if inclusive else -1
     inside = Window.partitionBy(*keys, b).orderBy(*order)
     if peers:

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eddyline.functions.text import tokens
-from eddyline.operators.scan import DEFAULT_TIME_BUCKET_SECONDS, running, time_bucket
+from eddyline.operators.scan import running
+from eddyline.session import materialize
 
 DEFAULT_WINDOW = "30 seconds"
 DEFAULT_GAP_SECONDS = 600
+DEFAULT_SESSION_BUCKET_SECONDS = 7 * 24 * 3600   # slots per scan bucket: about 1,000
 
 
 def word_pairs(lines: DataFrame, time_col: str | None = "timestamp") -> DataFrame:
@@ -55,34 +57,42 @@ def word_count_window(lines: DataFrame, window: str = DEFAULT_WINDOW,
 
 def word_sessions(lines: DataFrame, gap_seconds: int = DEFAULT_GAP_SECONDS,
                   time_col: str = "timestamp",
-                  bucket_seconds: int = DEFAULT_TIME_BUCKET_SECONDS) -> DataFrame:
+                  bucket_seconds: int = DEFAULT_SESSION_BUCKET_SECONDS) -> DataFrame:
     """Count per word per event-time session (static frames).
 
     A word's session ends when its next occurrence is more than
     ``gap_seconds`` later; rows exactly ``gap`` apart share a session.  The
     session's end is its last row plus the gap.
 
-    Gaps and islands as two running maxima, split over time buckets so a
-    word on every line (a hot key) is spread over many tasks: the previous
-    time of the word gives the session starts, the latest start up to a row
-    names its session.
+    Rows are first counted per word and time slot of ``gap`` width (a partial
+    aggregate, combined map-side): rows of one slot are less than ``gap``
+    apart, so a slot lies inside one session.  Sessions are then gaps and
+    islands over the slots: a slot opens a session when its first row is
+    more than ``gap`` after the last row of the word's previous slot.  A word
+    on every line (a hot key) costs one row per slot, bounded by its time
+    span rather than its row count; the two running maxima over the slots
+    are split further into ``bucket_seconds`` ranges.  The slot table is
+    checkpointed to the shared folder (an eager job), since both scans read it.
     """
-    pairs = word_pairs(lines, time_col).where(F.col("ts").isNotNull())
     gap_us = gap_seconds * 1_000_000
+    pairs = word_pairs(lines, time_col).where(F.col("ts").isNotNull())
     us = F.unix_micros("ts")
-    pairs = pairs.withColumn("_tb", time_bucket("ts", bucket_seconds))
-    d = running(pairs, ["word"], [us], us, "max", "_prev", "_tb", inclusive=False,
-                peers=True)
+    slots = (pairs.groupBy("word", F.floor(us / gap_us).alias("_slot"))
+             .agg(F.min(us).alias("_first"), F.max(us).alias("_last"),
+                  F.count("*").alias("_n")))
+    slots = slots.withColumn("_tb", F.floor(F.col("_first") / (bucket_seconds * 1_000_000)))
+    # Both scans below read the slots several times: compute them once.
+    slots = materialize(slots)
+    d = running(slots, ["word"], ["_slot"], F.col("_last"), "max", "_prev", "_tb",
+                inclusive=False)
     d = d.withColumn("_start_here", F.when(
-        F.col("_prev").isNull() | (us - F.col("_prev") > gap_us), us))
-    d = running(d, ["word"], [us], F.col("_start_here"), "max", "_session", "_tb",
-                peers=True)
+        F.col("_prev").isNull() | (F.col("_first") - F.col("_prev") > gap_us), F.col("_first")))
+    d = running(d, ["word"], ["_slot"], F.col("_start_here"), "max", "_session", "_tb")
     return (d.groupBy("word", "_session")
-            .agg(F.count("*").cast("bigint").alias("count_sum"),
-                 F.max(us).alias("_last"))
+            .agg(F.sum("_n").cast("bigint").alias("count_sum"), F.max("_last").alias("_end"))
             .select("word",
                     F.timestamp_micros("_session").alias("session_start"),
-                    F.timestamp_micros(F.col("_last") + gap_us).alias("session_end"),
+                    F.timestamp_micros(F.col("_end") + gap_us).alias("session_end"),
                     "count_sum"))
 
 

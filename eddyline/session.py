@@ -82,3 +82,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     d = tempfile.mkdtemp(prefix="eddyline-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
+
+
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and continue from there:
+    a frame read by several branches of a plan is computed once, and a lost
+    executor does not send the work back to the source.  (Set
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` to remove the files
+    when the frame is garbage-collected.)"""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
