@@ -13,7 +13,8 @@ the mean and the first row are partial aggregates combined map-side; only the
 ``times_mode="clean"`` formats every time.  ``times_mode="compat"``
 reproduces the reference's text exactly: a window with one row keeps its raw
 epoch text and no note; in a longer window the first time is formatted only
-if its raw text contains ``000``.
+if its raw text contains ``000``.  ``times_mode="none"`` leaves the list out:
+no window's rows are then brought together (static frames).
 """
 
 from __future__ import annotations
@@ -72,6 +73,10 @@ def count_window_reduce(rows: DataFrame, window: str = DEFAULT_WINDOW,
     """Per key and window: ``count`` (sum) and ``times`` (array, arrival order).
     ``rows`` are parsed count lines (``parse_count_lines(...).rows``)."""
     d, w = _windowed(rows, window, watermark)
+    if times_mode == "none":
+        return (d.groupBy(w, "key").agg(F.sum("count").cast("bigint").alias("count"))
+                .select("key", F.col("w.start").alias("window_start"),
+                        F.col("w.end").alias("window_end"), "count"))
     g = d.groupBy(w, "key").agg(
         F.sum("count").cast("bigint").alias("count"),
         F.sort_array(F.collect_list(F.struct("seq", "partition", "time_text"))).alias("_rows"))
@@ -87,6 +92,10 @@ def access_window_reduce(rows: DataFrame, window: str = DEFAULT_WINDOW,
     ``code``, ``response_time_avg`` (halving average, later rows weigh more),
     ``response_time_mean`` and ``times`` with latency notes.
     ``rows`` are parsed access lines (``parse_access_lines(...).rows``)."""
+    if times_mode == "none":
+        if rows.isStreaming:
+            raise ValueError("times_mode='none' is for static frames; a stream keeps the list")
+        return access_window_stats(rows, window)
     d, w = _windowed(rows, window, watermark)
     order = F.struct("seq", "partition")
     g = d.groupBy(w, "url", "response").agg(

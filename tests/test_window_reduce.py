@@ -87,3 +87,19 @@ def test_window_stats_one_hot_window(spark):
     for t in took[1:]:
         acc = (acc + t) // 2
     assert r.response_time_avg == acc and r["count"] == 3000
+
+
+def test_times_mode_none(spark):
+    msgs = ["/a,GET,ok,1,1540000000000,200,100", "/a,POST,ok,1,1540000001000,500,200",
+            "/a,PUT,ok,1,1540000002000,404,400"]
+    (r,) = access_window_reduce(parse_access_lines(lines_df(spark, msgs)).rows,
+                                times_mode="none").collect()
+    assert "times" not in r.asDict() and r.response_time_avg == 275 and r.method == "GET"
+    (c,) = _count_none(spark)
+    assert c["count"] == 6 and "times" not in c.asDict()
+
+
+def _count_none(spark):
+    msgs = ["k,1,1540000000000", "k,2,1540000001234", "k,3,1540000002000"]
+    rows = parse_count_lines(lines_df(spark, msgs)).rows
+    return count_window_reduce(rows, times_mode="none").collect()
