@@ -23,7 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-# The processors travel to the Python workers by value, so executors need no
+# The processors are shipped to the Python workers by value, so executors need no
 # installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
