@@ -73,3 +73,21 @@ def test_fan_out_and_console(spark, tmp_path):
     s = write_documents_stream(docs, str(tmp_path / "idx"), "obj", str(tmp_path / "ck2"))
     s.awaitTermination()
     assert spark.read.text(str(tmp_path / "idx" / "obj")).count() == 2
+
+
+def test_topic_source_needs_the_connector(spark):
+    import pytest
+    from eddyline.sources import kafka_options
+    opts = kafka_options("broker:9092", "access", maxOffsetsPerTrigger=1000)
+    assert opts["subscribe"] == "access" and opts["maxOffsetsPerTrigger"] == "1000"
+    assert opts["startingOffsets"] == "latest"
+    try:
+        spark._jvm.java.lang.Class.forName("org.apache.spark.sql.kafka010.KafkaSourceProvider")
+        has_connector = True
+    except Exception:
+        has_connector = False
+    if has_connector:
+        assert read_lines(spark, opts).isStreaming
+    else:
+        with pytest.raises(Exception, match="(?i)kafka"):
+            read_lines(spark, opts).schema
