@@ -1,7 +1,6 @@
 import json
 
 import pandas as pd
-from pyspark.sql import functions as F
 
 from conftest import lines_df
 from eddyline.operators import word_count
@@ -21,11 +20,10 @@ def test_text_source_static_and_stream(spark, tmp_path):
     assert sorted(r.value for r in static.collect()) == ["To be", "or not"]
     stream = read_lines(spark, str(d), streaming=True)
     assert stream.isStreaming
-    q = (word_count_stream_query := stream.select("value").writeStream.format("memory")
+    q = (stream.select("value").writeStream.format("memory")
          .queryName("text_src_test").trigger(availableNow=True).start())
-    word_count_stream_query.awaitTermination()
+    q.awaitTermination()
     assert spark.table("text_src_test").count() == 2
-    q.stop()
 
 
 def test_line_sink_round_trip(spark, tmp_path):
