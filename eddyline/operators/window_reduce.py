@@ -28,7 +28,9 @@ from eddyline.functions.text import strict_long
 from eddyline.functions.timefmt import fmt_epoch_ms, took_note, valid_epoch_ms
 
 DEFAULT_WINDOW = "30 seconds"
-STATS_BUCKET = 1 << 16          # arrival positions per first-level group
+# Arrival positions per first-level group.  seq is a per-partition offset, so
+# a group holds at most this many rows per source partition.
+STATS_BUCKET = 1 << 12
 # Fixed value: the reference formats a first time only if its text has "000".
 COMPAT_MARK = "000"
 
