@@ -47,7 +47,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=int(cpus),
                           conf={"spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
     runs = int(os.environ.get("BENCH_RUNS", "3"))

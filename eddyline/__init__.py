@@ -7,6 +7,6 @@ DataFrame to DataFrame built on ``pyspark.sql.functions`` and works on static
 and streaming frames alike.
 """
 
-from eddyline.session import build_session, checkpoint_root, ensure_utc
+from eddyline.session import build_session, checkpoint_root, prepare_session
 
-__all__ = ["build_session", "checkpoint_root", "ensure_utc"]
+__all__ = ["build_session", "checkpoint_root", "prepare_session"]

@@ -21,7 +21,7 @@ from eddyline.operators import (
     word_count, word_sessions,
 )
 from eddyline.operators.words import word_count_window, word_sessions_stream
-from eddyline.session import ensure_utc
+from eddyline.session import prepare_session
 from eddyline.streaming import chunk_rows_stream, count_average_stream, run_available_now
 from eddyline.sinks import access_documents, count_documents, object_documents, word_documents
 from eddyline.sources import (
@@ -54,13 +54,13 @@ def _flat_count(df: DataFrame) -> DataFrame:
 
 
 def _access(spark: SparkSession, sf_dir: str, window: str, mode: str) -> DataFrame:
-    ensure_utc(spark)
+    prepare_session(spark)
     rows = parse_access_lines(access_lines(read_table(spark, sf_dir, "events"))).rows
     return _flat_access(access_window_reduce(rows, window, mode))
 
 
 def _count(spark: SparkSession, sf_dir: str, window: str, mode: str) -> DataFrame:
-    ensure_utc(spark)
+    prepare_session(spark)
     rows = parse_count_lines(count_lines(read_table(spark, sf_dir, "events"))).rows
     return _flat_count(count_window_reduce(rows, window, mode))
 
@@ -78,7 +78,7 @@ def access_window_reduce_compat(spark, sf_dir):
 
 
 def _stats(spark, sf_dir, window):
-    ensure_utc(spark)
+    prepare_session(spark)
     rows = parse_access_lines(access_lines(read_table(spark, sf_dir, "events"))).rows
     return access_window_stats(rows, window).select(
         "url", "response", _ms("window_start"), _ms("window_end"), "method", "code",
@@ -118,14 +118,14 @@ def word_count_q(spark, sf_dir):
 
 def word_sessions_q(spark, sf_dir):
     """Words of event lines per 10 minute event-time session."""
-    ensure_utc(spark)
+    prepare_session(spark)
     lines = event_lines(read_table(spark, sf_dir, "events"))
     s = word_sessions(lines, SESSION_GAP_SECONDS)
     return s.select("word", _us("session_start"), _us("session_end"), "count_sum")
 
 
 def _count_parsed(spark, sf_dir):
-    ensure_utc(spark)
+    prepare_session(spark)
     return parse_count_lines(count_lines(read_table(spark, sf_dir, "events")))
 
 
@@ -135,7 +135,7 @@ def parse_rejects(spark, sf_dir):
 
 
 def first_three_fields(spark, sf_dir):
-    ensure_utc(spark)
+    prepare_session(spark)
     return parse_first_three(count_lines(read_table(spark, sf_dir, "events")))
 
 
@@ -159,13 +159,13 @@ def orders_union(spark, sf_dir):
 
 
 def prefix_lines_q(spark, sf_dir):
-    ensure_utc(spark)
+    prepare_session(spark)
     return prefix_lines(count_lines(read_table(spark, sf_dir, "events")))
 
 
 def prefix_chars_q(spark, sf_dir):
     """Characters of every prefixed line, counted."""
-    ensure_utc(spark)
+    prepare_session(spark)
     return char_counts(count_lines(read_table(spark, sf_dir, "events")))
 
 
@@ -179,7 +179,7 @@ def chunk_rows_q(spark, sf_dir):
 
 def late_split(spark, sf_dir):
     """Per-record lateness of jittered arrivals, 6 hour windows."""
-    ensure_utc(spark)
+    prepare_session(spark)
     d = mark_late(arrival_order(read_table(spark, sf_dir, "events")), LONG_WINDOW)
     return d.select("event_id", "seq", "partition", _ms("window_start"), "watermark_ms", "late")
 
@@ -198,7 +198,7 @@ def count_docs(spark, sf_dir):
 
 
 def access_docs(spark, sf_dir):
-    ensure_utc(spark)
+    prepare_session(spark)
     rows = parse_access_lines(access_lines(read_table(spark, sf_dir, "events"))).rows
     return access_documents(access_window_reduce(rows, LONG_WINDOW, "clean"))
 
@@ -213,7 +213,7 @@ ZERO_DELAY = "0 seconds"          # punctuated watermark: each row's own time
 
 
 def _events_stream(spark, sf_dir):
-    ensure_utc(spark)
+    prepare_session(spark)
     return read_table(spark, sf_dir, "events", streaming=True)
 
 

@@ -18,6 +18,11 @@ DEFAULT_CONF = {
     # Session windows: merge sessions inside each map partition before the
     # shuffle, so a hot word ships sessions instead of rows.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    # Sort-based aggregation for collect_list: with more than 128 groups per
+    # task (always, at scale) the object hash aggregate falls back to sorting
+    # anyway, after building a hash map first; sorting directly is faster
+    # (measured 1.4 s -> 0.8 s on the flagship) and spills safely.
+    "spark.sql.execution.useObjectHashAggregateExec": "false",
     # transformWithState needs RocksDB; it also keeps large state off-heap.
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     # Commit a changelog per batch instead of a full state snapshot.
@@ -41,14 +46,16 @@ def build_session(master: str | None = None, app: str = "eddyline",
     for k, v in settings.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    ensure_utc(spark)
+    prepare_session(spark)
     return spark
 
 
-def ensure_utc(spark: SparkSession) -> None:
-    """Pin the session zone to UTC and enable the state store the stateful
-    operators need.  Both are runtime SQL settings, safe to set per query."""
+def prepare_session(spark: SparkSession) -> None:
+    """Settings the named queries rely on, all runtime SQL settings: the UTC
+    zone (times are defined in UTC), sort-based aggregation for the list
+    reduces, and the state store the stateful operators need."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.execution.useObjectHashAggregateExec", "false")
     try:
         cur = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
     except Exception:  # pragma: no cover - conf missing on some builds
