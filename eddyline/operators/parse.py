@@ -31,9 +31,10 @@ def _split(df: DataFrame, reason: Column, keep: list, on_error: str,
     """Route each line to ``rows`` or ``rejects``.
 
     The split fields are computed once in a projection; each output is an
-    ``inline`` of a 0-or-1 element array over it.  (A plain filter would be
-    pushed below that projection with the split expression copied into every
-    field test, running the split several times per line.)
+    ``inline`` of a 0-or-1 element array over it, cut with ``slice`` (code
+    generated, unlike a lambda filter).  A plain filter would be pushed below
+    that projection with the split expression copied into every field test,
+    running the split several times per line.
     """
     if on_error == "fail" and fatal is not None:
         reason = F.when(fatal, F.raise_error(F.concat(F.lit("bad line: "), F.col("value")))
@@ -44,8 +45,9 @@ def _split(df: DataFrame, reason: Column, keep: list, on_error: str,
     ok = F.col("reason").isNull()
     row = F.struct(*[F.col(c) if isinstance(c, str) else c for c in keep])
     rej = F.struct(*[F.col(c) for c in REJECT_COLUMNS])
-    rows = d.select(F.inline(F.filter(F.array(row), lambda _: ok)))
-    rejects = d.select(F.inline(F.filter(F.array(rej), lambda _: ~ok)))
+    keep_row = F.when(ok, F.lit(1)).otherwise(F.lit(0))
+    rows = d.select(F.inline(F.slice(F.array(row), 1, keep_row)))
+    rejects = d.select(F.inline(F.slice(F.array(rej), 1, 1 - keep_row)))
     return Parsed(rows, rejects)
 
 
