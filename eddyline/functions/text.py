@@ -58,4 +58,4 @@ def first_three(col) -> Column:
 def prefix_chars_array(col, prefix: str) -> Column:
     """Characters of ``prefix + line`` as an array of one-character strings."""
     s = F.concat(F.lit(prefix), _c(col))
-    return F.filter(F.split(s, ""), lambda ch: F.length(ch) > 0)
+    return F.when(F.length(s) == 0, F.array().cast("array<string>")).otherwise(F.split(s, ""))
