@@ -28,14 +28,20 @@ DEFAULT_SEQ_BUCKET = 1 << 20        # arrival positions per bucket
 DEFAULT_TIME_BUCKET_SECONDS = 600   # event-time seconds per bucket
 
 
+def floor_div(col: str | Column, n: int) -> Column:
+    """Exact integer ``floor(col / n)`` for a whole-number column."""
+    c = (F.col(col) if isinstance(col, str) else col).cast("bigint")
+    k = F.lit(n).cast("bigint")
+    return F.call_function("div", c - F.pmod(c, k), k)
+
+
 def seq_bucket(col: str | Column, width: int = DEFAULT_SEQ_BUCKET) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return F.floor(c / F.lit(width)).cast("bigint")
+    return floor_div(col, width)
 
 
 def time_bucket(col: str | Column, seconds: int = DEFAULT_TIME_BUCKET_SECONDS) -> Column:
     c = F.col(col) if isinstance(col, str) else col
-    return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(seconds * 1_000_000)).cast("bigint")
+    return floor_div(F.unix_micros(c.cast("timestamp")), seconds * 1_000_000)
 
 
 def _combine(op: str, carry: Column, local: Column) -> Column:

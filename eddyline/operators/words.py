@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eddyline.functions.text import tokens
-from eddyline.operators.scan import running
+from eddyline.operators.scan import floor_div, running
 from eddyline.session import materialize
 
 DEFAULT_WINDOW = "30 seconds"
@@ -77,10 +77,10 @@ def word_sessions(lines: DataFrame, gap_seconds: int = DEFAULT_GAP_SECONDS,
     gap_us = gap_seconds * 1_000_000
     pairs = word_pairs(lines, time_col).where(F.col("ts").isNotNull())
     us = F.unix_micros("ts")
-    slots = (pairs.groupBy("word", F.floor(us / gap_us).alias("_slot"))
+    slots = (pairs.groupBy("word", floor_div(us, gap_us).alias("_slot"))
              .agg(F.min(us).alias("_first"), F.max(us).alias("_last"),
                   F.count("*").alias("_n")))
-    slots = slots.withColumn("_tb", F.floor(F.col("_first") / (bucket_seconds * 1_000_000)))
+    slots = slots.withColumn("_tb", floor_div("_first", bucket_seconds * 1_000_000))
     # Both scans below read the slots several times: compute them once.
     slots = materialize(slots)
     d = running(slots, ["word"], ["_slot"], F.col("_last"), "max", "_prev", "_tb",
