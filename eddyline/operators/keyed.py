@@ -18,7 +18,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eddyline.operators.scan import DEFAULT_SEQ_BUCKET, ordinal, seq_bucket
+from eddyline.operators.scan import DEFAULT_SEQ_BUCKET, floor_div, ordinal, seq_bucket
 
 
 class Chunks(NamedTuple):
@@ -31,7 +31,7 @@ def count_average(pairs: DataFrame, n: int = 2, key: str = "key", value: str = "
     """``(key, average, seq)`` for every complete group of ``n`` values of a
     key in ``seq`` order; ``seq`` is that of the row that completes it."""
     d = ordinal(pairs, [key], [seq], "_rn", seq_bucket(seq, bucket_width))
-    d = d.withColumn("_group", F.floor((F.col("_rn") - 1) / n))
+    d = d.withColumn("_group", floor_div(F.col("_rn") - 1, n))
     g = d.groupBy(key, "_group").agg(
         F.count("*").alias("_n"), F.sum(value).cast("bigint").alias("_sum"),
         F.max(seq).alias(seq))
@@ -45,9 +45,9 @@ def chunk_rows(rows: DataFrame, n: int, bucket: str = "bucket", seq: str = "seq"
     ``seq`` order) and the pending remainder.  Adds ``chunk`` (0-based) and
     ``position`` (0-based within the chunk)."""
     d = ordinal(rows, [bucket], [seq], "_rn", seq_bucket(seq, bucket_width), key_total="_n")
-    d = (d.withColumn("chunk", F.floor((F.col("_rn") - 1) / n).cast("bigint"))
+    d = (d.withColumn("chunk", floor_div(F.col("_rn") - 1, n))
          .withColumn("position", ((F.col("_rn") - 1) % n).cast("int"))
-         .withColumn("_full", F.floor(F.col("_n") / n).cast("bigint")))
+         .withColumn("_full", floor_div("_n", n)))
     cols = [c for c in rows.columns] + ["chunk", "position"]
     full = d.where(F.col("chunk") < F.col("_full")).select(*cols)
     pending = d.where(F.col("chunk") >= F.col("_full")).select(*cols)
