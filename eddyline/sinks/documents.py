@@ -41,17 +41,25 @@ def object_documents(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("doc"))
 
 
-def write_documents(docs: DataFrame, target: str, index: str, mode: str = "append") -> None:
-    """Write a static frame of documents into ``target/index`` as JSON lines."""
-    docs.select("doc").write.mode(mode).text(f"{target.rstrip('/')}/{index}")
+def write_documents(docs: DataFrame, target: str, index: str, mode: str = "append",
+                    max_records_per_file: int | None = None) -> None:
+    """Write a static frame of documents into ``target/index`` as JSON lines;
+    ``max_records_per_file`` caps a file (the bulk-request size)."""
+    w = docs.select("doc").write.mode(mode)
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", max_records_per_file)
+    w.text(f"{target.rstrip('/')}/{index}")
 
 
 def write_documents_stream(docs: DataFrame, target: str, index: str, checkpoint: str,
-                           trigger: dict | None = None) -> StreamingQuery:
+                           trigger: dict | None = None,
+                           max_records_per_file: int | None = None) -> StreamingQuery:
     """Stream documents into ``target/index``; exactly once through the
     file sink's commit log and the checkpoint."""
-    return (docs.select("doc").writeStream.format("text")
-            .option("checkpointLocation", checkpoint)
+    w = docs.select("doc").writeStream.format("text")
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", max_records_per_file)
+    return (w.option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True}))
             .start(f"{target.rstrip('/')}/{index}"))
 

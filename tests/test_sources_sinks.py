@@ -89,3 +89,10 @@ def test_topic_source_needs_the_connector(spark):
     else:
         with pytest.raises(Exception, match="(?i)kafka"):
             read_lines(spark, opts).schema
+
+
+def test_document_file_size_cap(spark, tmp_path):
+    docs = object_documents(spark.range(10).withColumnRenamed("id", "n").coalesce(1))
+    write_documents(docs, str(tmp_path), "capped", max_records_per_file=3)
+    files = [p for p in (tmp_path / "capped").iterdir() if p.name.startswith("part-")]
+    assert len(files) == 4 and spark.read.text(str(tmp_path / "capped")).count() == 10
