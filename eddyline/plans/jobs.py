@@ -6,7 +6,9 @@ operators as the named queries, and starts a streaming query.  Documents go
 to ``target/<index>`` (one folder of JSON lines per index) and, where the
 reference also printed them, to the console in the same micro-batch
 (:func:`eddyline.sinks.fan_out`).  The micro-batch trigger interval is the
-checkpoint interval; checkpoints go under ``checkpoint``.
+checkpoint interval; checkpoints go under ``checkpoint``.  Late rows are
+filtered with the current micro-batch's watermark
+(``spark.sql.streaming.statefulOperator.allowMultiple=false``).
 
     python -m eddyline.plans.jobs access --source /data/lines --fmt parquet \
         --target /shared/index --checkpoint /shared/ckpt/access --available-now
@@ -57,8 +59,15 @@ def _to_index_and_console(docs: DataFrame, target: str, index: str, checkpoint:
     return fan_out(docs, [to_index, to_console], checkpoint, trigger, output_mode)
 
 
-def _lines(spark, source, fmt):
+def _prepare(spark) -> None:
     prepare_session(spark)
+    # Each job has one stateful operator: filter late rows with the current
+    # micro-batch's watermark, the closest Spark gets to a per-record one.
+    spark.conf.set("spark.sql.streaming.statefulOperator.allowMultiple", "false")
+
+
+def _lines(spark, source, fmt):
+    _prepare(spark)
     return read_lines(spark, source, streaming=True, fmt=fmt)
 
 
@@ -145,7 +154,7 @@ def passthrough_job(spark, source, target, checkpoint, fmt="text", available_now
 def count_average_job(spark, pairs: DataFrame, target, checkpoint, n=2,
                       available_now=False):
     """Average of every ``n`` values per key (``pairs``: key, value, seq stream)."""
-    prepare_session(spark)
+    _prepare(spark)
     return start_stream(count_average_stream(pairs, n), f"{target.rstrip('/')}/averages",
                         checkpoint, trigger=_trigger("average", available_now))
 
@@ -154,7 +163,7 @@ def buffered_sink_job(spark, rows: DataFrame, target, checkpoint, n,
                       available_now=False):
     """Rows released in chunks of exactly ``n`` per bucket (``rows``: name,
     value, seq, bucket stream); the remainder waits in state."""
-    prepare_session(spark)
+    _prepare(spark)
     return start_stream(chunk_rows_stream(rows, n), f"{target.rstrip('/')}/chunks",
                         checkpoint, trigger=_trigger("buffer", available_now))
 
