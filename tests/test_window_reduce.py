@@ -103,3 +103,11 @@ def _count_none(spark):
     msgs = ["k,1,1540000000000", "k,2,1540000001234", "k,3,1540000002000"]
     rows = parse_count_lines(lines_df(spark, msgs)).rows
     return count_window_reduce(rows, times_mode="none").collect()
+
+
+def test_two_key_compat_first_time_without_marker(spark):
+    msgs = ["/a,GET,ok,1,1541234567890,200,10", "/a,POST,ok,1,1541234568890,500,20"]
+    rows = parse_access_lines(lines_df(spark, msgs)).rows
+    (c,) = access_window_reduce(rows, "1 hour", times_mode="compat").collect()
+    assert c.times == ["1541234567890 took10ms", "2018/03/11 08:42:48 took20ms"]
+    assert (c.method, c.code, c.response_time_avg) == ("GET", 200, 15)
