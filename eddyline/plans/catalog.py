@@ -22,7 +22,10 @@ from eddyline.operators import (
 )
 from eddyline.operators.words import word_count_window, word_sessions_stream
 from eddyline.session import prepare_session
-from eddyline.streaming import chunk_rows_stream, count_average_stream, run_available_now
+from eddyline.streaming import (
+    chunk_rows_stream, count_average_stream, run_available_now, stream_dir,
+)
+from eddyline.sinks import write_lines
 from eddyline.sinks import access_documents, count_documents, object_documents, word_documents
 from eddyline.sources import (
     access_lines, arrival_order, count_lines, event_lines, keyed_pairs, named_pairs,
@@ -263,6 +266,35 @@ def chunk_rows_stream_q(spark, sf_dir):
     return run_available_now(chunk_rows_stream(rows, CHUNK_N), "chunk_rows_stream")
 
 
+# ---- the reference's jobs end to end: lines -> job -> document index ----
+
+def _job_docs(spark, sf_dir, name, table, derive, job, index):
+    from eddyline.plans import jobs
+    prepare_session(spark)
+    base = stream_dir(spark, name)
+    write_lines(derive(read_table(spark, sf_dir, table)), f"{base}/lines")
+    q = getattr(jobs, job)(spark, f"{base}/lines", f"{base}/index", f"{base}/checkpoint",
+                           fmt="parquet", available_now=True, console=False)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return spark.read.schema("value STRING").text(f"{base}/index/{index}").select(
+        F.col("value").alias("doc"))
+
+
+def access_job_docs(spark, sf_dir):
+    """Access lines written as message files, the access job reading them as a
+    stream, and the documents it indexed."""
+    return _job_docs(spark, sf_dir, "access_job", "events", access_lines,
+                     "access_reduce_job", "access-result")
+
+
+def order_job_docs(spark, sf_dir):
+    """Order messages through the SQL filter job into the order index."""
+    return _job_docs(spark, sf_dir, "order_job", "orders", order_lines,
+                     "orders_filter_job", "order-result")
+
+
 STREAM_QUERIES = {
     "access_window_reduce_stream": access_window_reduce_stream,
     "count_window_reduce_stream": count_window_reduce_stream,
@@ -271,6 +303,8 @@ STREAM_QUERIES = {
     "orders_union_stream": orders_union_stream,
     "count_average_stream": count_average_stream_q,
     "chunk_rows_stream": chunk_rows_stream_q,
+    "access_job_docs": access_job_docs,
+    "order_job_docs": order_job_docs,
 }
 
 QUERIES = {

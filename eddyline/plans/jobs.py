@@ -49,14 +49,16 @@ def _trigger(name: str, available_now: bool) -> dict:
 
 
 def _to_index_and_console(docs: DataFrame, target: str, index: str, checkpoint: str,
-                          trigger: dict, output_mode: str = "append") -> StreamingQuery:
+                          trigger: dict, output_mode: str = "append",
+                          console: bool = True) -> StreamingQuery:
     def to_index(batch: DataFrame, epoch_id: int) -> None:
         batch.select("doc").write.mode("append").text(f"{target.rstrip('/')}/{index}")
 
     def to_console(batch: DataFrame, epoch_id: int) -> None:
         batch.show(20, truncate=False)
 
-    return fan_out(docs, [to_index, to_console], checkpoint, trigger, output_mode)
+    writers = [to_index, to_console] if console else [to_index]
+    return fan_out(docs, writers, checkpoint, trigger, output_mode)
 
 
 def _prepare(spark) -> None:
@@ -71,37 +73,41 @@ def _lines(spark, source, fmt):
     return read_lines(spark, source, streaming=True, fmt=fmt)
 
 
-def word_count_job(spark, source, target, checkpoint, fmt="text", available_now=False):
+def word_count_job(spark, source, target, checkpoint, fmt="text", available_now=False,
+                   console=True):
     """Words per 30 s processing-time window -> word documents + console."""
     counts = word_count_window(_lines(spark, source, fmt), "30 seconds", time="processing",
                                watermark="0 seconds")
     return _to_index_and_console(word_documents(counts), target, INDEX["word"], checkpoint,
-                                 _trigger("word", available_now))
+                                 _trigger("word", available_now), console=console)
 
 
-def word_session_job(spark, source, target, checkpoint, fmt="text", available_now=False):
+def word_session_job(spark, source, target, checkpoint, fmt="text", available_now=False,
+                     console=True):
     """Words per 10 minute session on the message time -> word documents."""
     sessions = word_sessions_stream(_lines(spark, source, fmt), 600, time_col="timestamp")
     return _to_index_and_console(word_documents(sessions), target, INDEX["session"],
-                                 checkpoint, _trigger("session", available_now))
+                                 checkpoint, _trigger("session", available_now),
+                                 console=console)
 
 
 def count_reduce_job(spark, source, target, checkpoint, fmt="text", available_now=False,
-                     times_mode="clean"):
+                     times_mode="clean", console=True):
     """``key,count,ms`` lines per key and 30 s event-time window -> count documents."""
     rows = parse_count_lines(_lines(spark, source, fmt)).rows
     reduced = count_window_reduce(rows, "30 seconds", times_mode, watermark="0 seconds")
     return _to_index_and_console(count_documents(reduced), target, INDEX["count"], checkpoint,
-                                 _trigger("count", available_now))
+                                 _trigger("count", available_now), console=console)
 
 
 def access_reduce_job(spark, source, target, checkpoint, fmt="text", available_now=False,
-                      times_mode="clean"):
+                      times_mode="clean", console=True):
     """Access lines per (url, response) and 30 s window -> access documents."""
     rows = parse_access_lines(_lines(spark, source, fmt)).rows
     reduced = access_window_reduce(rows, "30 seconds", times_mode, watermark="0 seconds")
     return _to_index_and_console(access_documents(reduced), target, INDEX["access"],
-                                 checkpoint, _trigger("access", available_now))
+                                 checkpoint, _trigger("access", available_now),
+                                 console=console)
 
 
 def first_three_job(spark, source, target, checkpoint, fmt="text", available_now=False):
@@ -122,11 +128,12 @@ def orders_union_job(spark, source, target, checkpoint, fmt="text", available_no
                         trigger=_trigger("union", available_now))
 
 
-def orders_filter_job(spark, source, target, checkpoint, fmt="text", available_now=False):
+def orders_filter_job(spark, source, target, checkpoint, fmt="text", available_now=False,
+                      console=True):
     """amount > 300 -> order documents."""
     out = sql_filter(_orders(spark, source, fmt), "amount > 300")
     return _to_index_and_console(object_documents(out), target, INDEX["order"], checkpoint,
-                                 _trigger("order", available_now))
+                                 _trigger("order", available_now), console=console)
 
 
 def orders_state_job(spark, source, target, checkpoint, fmt="text", available_now=False):

@@ -281,6 +281,21 @@ FROM access_rows
 GROUP BY url, response, ms // {W6H}
 """
 
+def _access_docs(window_ms: int) -> str:
+    return f"""
+WITH {ACCESS_SRC.strip()}
+SELECT CAST(to_json({{'url': url, 'method': arg_min(method, seq), 'response': response,
+                      'count': CAST(sum(cnt) AS INTEGER), 'code': arg_min(code, seq),
+                      'responseTimeAvg': CAST(list_reduce(list(took ORDER BY seq, partition),
+                                                          lambda a, x: (a + x) // 2) AS INTEGER),
+                      'times': list({_fmt_text('time_text')} || ' took' || CAST(took AS VARCHAR) || 'ms'
+                                    ORDER BY seq, partition)}}) AS VARCHAR) AS doc,
+       (ms // {window_ms}) * {window_ms} + {window_ms} AS window_end_ms
+FROM access_rows
+GROUP BY url, response, ms // {window_ms}
+"""
+
+
 ORDER_DOCS = f"""
 WITH {ORDERS_SRC.strip()}
 SELECT CAST(to_json({{'user': "user", 'product': product, 'amount': amount}}) AS VARCHAR) AS doc
@@ -325,3 +340,10 @@ ORACLE_SQL.update({
     "count_average_stream": COUNT_AVERAGE,
     "chunk_rows_stream": CHUNK_ROWS,
 })
+
+
+ORACLE_SQL.update({
+    "access_job_docs":
+        f"SELECT doc FROM ({_access_docs(W30S)}) q WHERE window_end_ms <= {ACCESS_MAX_MS}",
+    "order_job_docs": ORDER_DOCS,
+})
