@@ -295,6 +295,18 @@ def order_job_docs(spark, sf_dir):
                      "orders_filter_job", "order-result")
 
 
+def count_job_docs(spark, sf_dir):
+    """Count lines (with damaged ones) through the count job."""
+    return _job_docs(spark, sf_dir, "count_job", "events", count_lines,
+                     "count_reduce_job", "count-result")
+
+
+def word_session_job_docs(spark, sf_dir):
+    """Event lines through the word-session job."""
+    return _job_docs(spark, sf_dir, "session_job", "events", event_lines,
+                     "word_session_job", "word-result-session")
+
+
 STREAM_QUERIES = {
     "access_window_reduce_stream": access_window_reduce_stream,
     "count_window_reduce_stream": count_window_reduce_stream,
@@ -305,6 +317,8 @@ STREAM_QUERIES = {
     "chunk_rows_stream": chunk_rows_stream_q,
     "access_job_docs": access_job_docs,
     "order_job_docs": order_job_docs,
+    "count_job_docs": count_job_docs,
+    "word_session_job_docs": word_session_job_docs,
 }
 
 QUERIES = {

@@ -347,3 +347,25 @@ ORACLE_SQL.update({
         f"SELECT doc FROM ({_access_docs(W30S)}) q WHERE window_end_ms <= {ACCESS_MAX_MS}",
     "order_job_docs": ORDER_DOCS,
 })
+
+
+COUNT_DOCS_30S = f"""
+WITH {COUNT_SRC.strip()}
+SELECT CAST(to_json({{'key': key, 'count': CAST(sum(cnt) AS INTEGER),
+                      'times': list({_fmt_text('time_text')} ORDER BY seq, partition)}}) AS VARCHAR) AS doc,
+       (ms // {W30S}) * {W30S} + {W30S} AS window_end_ms
+FROM count_rows
+GROUP BY key, ms // {W30S}
+"""
+
+SESSION_DOCS = f"""
+SELECT CAST(to_json({{'data': CAST(to_json({{'word': word, 'countSum': CAST(count_sum AS INTEGER)}})
+                                   AS VARCHAR)}}) AS VARCHAR) AS doc
+FROM ({SESSIONS}) q WHERE session_end_us <= {EVENT_MAX_US}
+"""
+
+ORACLE_SQL.update({
+    "count_job_docs":
+        f"SELECT doc FROM ({COUNT_DOCS_30S}) q WHERE window_end_ms <= {COUNT_MAX_MS}",
+    "word_session_job_docs": SESSION_DOCS,
+})
