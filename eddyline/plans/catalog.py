@@ -23,7 +23,7 @@ from eddyline.operators import (
 from eddyline.operators.words import word_count_window, word_sessions_stream
 from eddyline.session import prepare_session
 from eddyline.streaming import (
-    chunk_rows_stream, count_average_stream, run_available_now, stream_dir,
+    chunk_rows_stream, count_average_stream, run_available_now, stream_dir, write_in_order,
 )
 from eddyline.sinks import write_lines
 from eddyline.sinks import access_documents, count_documents, object_documents, word_documents
@@ -266,6 +266,29 @@ def chunk_rows_stream_q(spark, sf_dir):
     return run_available_now(chunk_rows_stream(rows, CHUNK_N), "chunk_rows_stream")
 
 
+LATE_FILES = 10   # micro-batches the jittered arrivals are cut into
+
+
+def late_rows_stream(spark, sf_dir):
+    """Events in their jittered arrival order, streamed as ten consecutive
+    micro-batches, counted per 6 hour window behind a zero-delay watermark.
+    A row is dropped when its window was already closed by the watermark of
+    the earlier batches (the reference's rule, per micro-batch)."""
+    prepare_session(spark)
+    spark.conf.set("spark.sql.streaming.statefulOperator.allowMultiple", "false")
+    ev = arrival_order(read_table(spark, sf_dir, "events"))
+    base = stream_dir(spark, "late_rows")
+    write_in_order(ev, "seq", f"{base}/in", LATE_FILES)
+    stream = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1)
+              .parquet(f"{base}/in"))
+    counts = (stream.withWatermark("ts", ZERO_DELAY)
+              .groupBy(F.window("ts", LONG_WINDOW).alias("w"))
+              .agg(F.count("*").alias("n")))
+    out = run_available_now(counts, "late_rows_stream")
+    return out.select(F.unix_millis("w.start").alias("window_start_ms"),
+                      F.unix_millis("w.end").alias("window_end_ms"), "n")
+
+
 # ---- the reference's jobs end to end: lines -> job -> document index ----
 
 def _job_docs(spark, sf_dir, name, table, derive, job, index):
@@ -318,6 +341,7 @@ STREAM_QUERIES = {
     "access_job_docs": access_job_docs,
     "order_job_docs": order_job_docs,
     "count_job_docs": count_job_docs,
+    "late_rows_stream": late_rows_stream,
     "word_session_job_docs": word_session_job_docs,
 }
 

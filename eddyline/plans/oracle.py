@@ -369,3 +369,24 @@ ORACLE_SQL.update({
         f"SELECT doc FROM ({COUNT_DOCS_30S}) q WHERE window_end_ms <= {COUNT_MAX_MS}",
     "word_session_job_docs": SESSION_DOCS,
 })
+
+
+# Streamed late rows: batch b holds seq range b; a row is kept unless its
+# window ended at or before the watermark of the earlier batches (their
+# latest event time, in whole milliseconds).
+LATE_ROWS_STREAM = f"""
+WITH a AS (SELECT epoch_us(ts) AS us, event_id + (event_id * 7919) % 50 AS seq FROM events),
+p AS (SELECT min(seq) AS lo, (max(seq) - min(seq)) // 10 + 1 AS step FROM a),
+b AS (SELECT a.*, (seq - p.lo) // p.step AS batch, (us // 1000 // {W6H}) * {W6H} AS ws FROM a, p),
+m AS (SELECT batch, max(us) AS mx FROM b GROUP BY batch),
+w AS (SELECT m1.batch, (SELECT max(m2.mx) FROM m m2 WHERE m2.batch < m1.batch) AS prev_max
+      FROM m m1),
+kept AS (SELECT b.* FROM b JOIN w USING (batch)
+         WHERE w.prev_max IS NULL OR (ws + {W6H}) * 1000 > (w.prev_max // 1000) * 1000)
+SELECT ws AS window_start_ms, ws + {W6H} AS window_end_ms, count(*) AS n
+FROM kept
+GROUP BY ws
+HAVING ws + {W6H} <= (SELECT max(us) // 1000 FROM a)
+"""
+
+ORACLE_SQL["late_rows_stream"] = LATE_ROWS_STREAM

@@ -54,3 +54,18 @@ def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
     if q.exception() is not None:
         raise q.exception()
     return spark.read.schema(df.schema).parquet(out)
+
+
+def write_in_order(df: DataFrame, order_col: str, folder: str, files: int) -> None:
+    """Write ``df`` as ``files`` parquet files holding consecutive ranges of
+    ``order_col``, one write after another, so a file stream reading them one
+    per micro-batch sees the rows arrive in that order (a replayable stand-in
+    for a topic)."""
+    from pyspark.sql import functions as F
+    lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
+    if lo is None:
+        return
+    step = (hi - lo) // files + 1
+    for i in range(files):
+        part = df.where((F.col(order_col) >= lo + i * step) & (F.col(order_col) < lo + (i + 1) * step))
+        part.coalesce(1).write.mode("append").parquet(folder)
