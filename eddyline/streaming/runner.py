@@ -43,13 +43,25 @@ def start_stream(df: DataFrame, out: str, checkpoint: str, output_mode: str = "a
 
 
 def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
-                      out: str | None = None, checkpoint: str | None = None) -> DataFrame:
-    """Process everything available, stop, and return what was written."""
+                      out: str | None = None, checkpoint: str | None = None,
+                      state_partitions: int | None = None) -> DataFrame:
+    """Process everything available, stop, and return what was written.
+
+    A stream fixes its number of state partitions when it first starts (no
+    adaptive coalescing); a new checkpoint starts with ``state_partitions``
+    (default: one per task slot of the cluster, one wave of tasks).
+    """
     spark = df.sparkSession
     base = stream_dir(spark, name)
     out = out or f"{base}/out"
     checkpoint = checkpoint or f"{base}/checkpoint"
-    q = start_stream(df, out, checkpoint, output_mode)
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))
+    try:
+        q = start_stream(df, out, checkpoint, output_mode)
+    finally:
+        spark.conf.set(key, before)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
