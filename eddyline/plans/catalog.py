@@ -296,8 +296,14 @@ def _job_docs(spark, sf_dir, name, table, derive, job, index):
     prepare_session(spark)
     base = stream_dir(spark, name)
     write_lines(derive(read_table(spark, sf_dir, table)), f"{base}/lines")
-    q = getattr(jobs, job)(spark, f"{base}/lines", f"{base}/index", f"{base}/checkpoint",
-                           fmt="parquet", available_now=True, console=False)
+    key = "spark.sql.shuffle.partitions"      # state partitions: one per task slot
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+    try:
+        q = getattr(jobs, job)(spark, f"{base}/lines", f"{base}/index", f"{base}/checkpoint",
+                               fmt="parquet", available_now=True, console=False)
+    finally:
+        spark.conf.set(key, before)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
