@@ -67,3 +67,14 @@ def test_keyed_state_job(spark, tmp_path):
                           available_now=True)
     q.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out" / "averages")).count() == 4960
+
+
+def test_command_line(spark, tmp_path):
+    from eddyline.plans.jobs import main
+    src = tmp_path / "txt"
+    src.mkdir()
+    (src / "a.txt").write_text("A,B,C,D\nA,B\nx,y,z\n")
+    main(["first_three", "--source", str(src), "--target", str(tmp_path / "out"),
+          "--checkpoint", str(tmp_path / "ck"), "--available-now"])
+    got = sorted((r.f0, r.f1, r.f2) for r in spark.read.parquet(str(tmp_path / "out" / "first-three")).collect())
+    assert got == [("a", "b", "c"), ("x", "y", "z")]
