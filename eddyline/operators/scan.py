@@ -63,7 +63,8 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     With ``peers=True`` (one integral order column) rows with equal order
     values are treated alike: inclusive takes all of them, exclusive none.
     ``key_total`` names an optional column with ``op`` over all rows of the
-    key, delivered through the same carry join.  Keys must be non-null."""
+    key, delivered through the same carry join.  Keys must be non-null; a
+    ``sum`` over only nulls is 0 (a window would give null)."""
     agg = _AGG[op]
     keys = list(keys)
     v, local, total, carry = "_scan_v", "_scan_local", "_scan_total", "_scan_carry"

@@ -73,3 +73,36 @@ def test_halving_maps_equal_list_fold(spark):
         apply_map(fold_maps(per_part), F.col("xs")[0]).alias("by_maps"))
     for r in out.collect():
         assert r.list_fold == r.want and r.by_maps == r.want
+
+
+def test_running_equals_one_window(spark):
+    from pyspark.sql import Window
+    from eddyline.operators import running
+    from eddyline.operators.scan import seq_bucket
+    rows = []
+    for i in range(3000):
+        key = random.choice([1, 1, 1, 2, 3])              # key 1 is hot
+        v = random.choice([None, random.randint(-50, 50)])
+        rows.append((key, random.randint(0, 400), i, v))  # ord has ties; seq is unique
+    df = spark.createDataFrame(rows, "k INT, ord BIGINT, seq BIGINT, v BIGINT")
+    for op, agg in (("sum", F.sum), ("max", F.max)):
+        for inclusive in (True, False):
+            end = Window.currentRow if inclusive else -1
+            w = Window.partitionBy("k").orderBy("seq").rowsBetween(Window.unboundedPreceding, end)
+            want = df.withColumn("r", agg("v").over(w))
+            if op == "sum":
+                want = want.withColumn("r", F.coalesce("r", F.lit(0)))
+            for width in (7, 97, 10**6):
+                got = running(df, ["k"], ["seq"], F.col("v"), op, "r", seq_bucket("seq", width),
+                              inclusive=inclusive)
+                if op == "sum":
+                    got = got.withColumn("r", F.coalesce("r", F.lit(0)))
+                assert got.exceptAll(want).count() == 0, (op, inclusive, width)
+        # peers: equal order values are taken together
+        wp = Window.partitionBy("k").orderBy("ord").rangeBetween(Window.unboundedPreceding, 0)
+        want = df.withColumn("r", agg("v").over(wp))
+        got = running(df, ["k"], ["ord"], F.col("v"), op, "r", seq_bucket("ord", 13), peers=True)
+        if op == "sum":
+            want = want.withColumn("r", F.coalesce("r", F.lit(0)))
+            got = got.withColumn("r", F.coalesce("r", F.lit(0)))
+        assert got.exceptAll(want).count() == 0, (op, "peers")
