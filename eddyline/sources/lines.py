@@ -39,23 +39,35 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(slots) if parts < slots else df
 
 
+def _is_dir(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a directory, on any Hadoop file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getFileStatus(p).isDirectory()
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str,
                streaming: bool = False, max_files: int | None = None) -> DataFrame:
-    """One of the given parquet tables, as a static or a streaming frame.
+    """One of the given parquet tables (``<name>.parquet``, a file or a
+    directory of files), as a static or a streaming frame.
 
     A stream over a single file uses its folder with a glob filter, since the
-    file source needs a directory.  A single file is one task per micro-batch
-    whatever its size, so its rows are round-robined over the task slots.
+    file source needs a directory; a single file is one task per micro-batch
+    whatever its size, so its rows are round-robined over the task slots.  A
+    directory of files is streamed as it is.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     if not streaming:
         return spread(spark.read.parquet(path))
     schema = spark.read.parquet(path).schema
-    r = (spark.readStream.schema(schema)
-         .option("pathGlobFilter", f"{name}.parquet"))
+    r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(sf_dir).repartition(spark.sparkContext.defaultParallelism)
+    if _is_dir(spark, path):
+        return r.parquet(path)
+    return (r.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+            .repartition(spark.sparkContext.defaultParallelism))
 
 
 def read_lines(spark: SparkSession, source, streaming: bool = True,

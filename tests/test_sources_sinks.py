@@ -96,3 +96,16 @@ def test_document_file_size_cap(spark, tmp_path):
     write_documents(docs, str(tmp_path), "capped", max_records_per_file=3)
     files = [p for p in (tmp_path / "capped").iterdir() if p.name.startswith("part-")]
     assert len(files) == 4 and spark.read.text(str(tmp_path / "capped")).count() == 10
+
+
+def test_table_as_directory(spark, tmp_path):
+    from conftest import SF_SMALL
+    from eddyline.sources import read_table
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(3).write.parquet(
+        str(tmp_path / "events.parquet"))
+    static = read_table(spark, str(tmp_path), "events")
+    assert static.count() == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+    stream = read_table(spark, str(tmp_path), "events", streaming=True)
+    q = stream.writeStream.format("memory").queryName("dir_tbl").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert spark.table("dir_tbl").count() == static.count()
