@@ -68,94 +68,103 @@ def _prepare(spark) -> None:
     spark.conf.set("spark.sql.streaming.statefulOperator.allowMultiple", "false")
 
 
-def _lines(spark, source, fmt):
+def _lines(spark, source, fmt, max_per_trigger=None):
+    """``max_per_trigger`` bounds a micro-batch (offsets or files)."""
     _prepare(spark)
-    return read_lines(spark, source, streaming=True, fmt=fmt)
+    return read_lines(spark, source, streaming=True, fmt=fmt,
+                      max_per_trigger=max_per_trigger)
 
 
 def word_count_job(spark, source, target, checkpoint, fmt="text", available_now=False,
-                   console=True):
+                   max_per_trigger=None, console=True):
     """Words per 30 s processing-time window -> word documents + console."""
-    counts = word_count_window(_lines(spark, source, fmt), "30 seconds", time="processing",
-                               watermark="0 seconds")
+    lines = _lines(spark, source, fmt, max_per_trigger)
+    counts = word_count_window(lines, "30 seconds", time="processing", watermark="0 seconds")
     return _to_index_and_console(word_documents(counts), target, INDEX["word"], checkpoint,
                                  _trigger("word", available_now), console=console)
 
 
 def word_session_job(spark, source, target, checkpoint, fmt="text", available_now=False,
-                     console=True):
+                     max_per_trigger=None, console=True):
     """Words per 10 minute session on the message time -> word documents."""
-    sessions = word_sessions_stream(_lines(spark, source, fmt), 600, time_col="timestamp")
+    lines = _lines(spark, source, fmt, max_per_trigger)
+    sessions = word_sessions_stream(lines, 600, time_col="timestamp")
     return _to_index_and_console(word_documents(sessions), target, INDEX["session"],
                                  checkpoint, _trigger("session", available_now),
                                  console=console)
 
 
 def count_reduce_job(spark, source, target, checkpoint, fmt="text", available_now=False,
-                     times_mode="clean", console=True):
+                     max_per_trigger=None, times_mode="clean", console=True):
     """``key,count,ms`` lines per key and 30 s event-time window -> count documents."""
-    rows = parse_count_lines(_lines(spark, source, fmt)).rows
+    rows = parse_count_lines(_lines(spark, source, fmt, max_per_trigger)).rows
     reduced = count_window_reduce(rows, "30 seconds", times_mode, watermark="0 seconds")
     return _to_index_and_console(count_documents(reduced), target, INDEX["count"], checkpoint,
                                  _trigger("count", available_now), console=console)
 
 
 def access_reduce_job(spark, source, target, checkpoint, fmt="text", available_now=False,
-                      times_mode="clean", console=True):
+                      max_per_trigger=None, times_mode="clean", console=True):
     """Access lines per (url, response) and 30 s window -> access documents."""
-    rows = parse_access_lines(_lines(spark, source, fmt)).rows
+    rows = parse_access_lines(_lines(spark, source, fmt, max_per_trigger)).rows
     reduced = access_window_reduce(rows, "30 seconds", times_mode, watermark="0 seconds")
     return _to_index_and_console(access_documents(reduced), target, INDEX["access"],
                                  checkpoint, _trigger("access", available_now),
                                  console=console)
 
 
-def first_three_job(spark, source, target, checkpoint, fmt="text", available_now=False):
-    """First three lower-cased CSV fields of each line -> console."""
-    out = parse_first_three(_lines(spark, source, fmt))
+def first_three_job(spark, source, target, checkpoint, fmt="text", available_now=False,
+                    max_per_trigger=None):
+    """First three lower-cased CSV fields of each line -> rows."""
+    out = parse_first_three(_lines(spark, source, fmt, max_per_trigger))
     return start_stream(out, f"{target.rstrip('/')}/first-three", checkpoint,
                         trigger=_trigger("first_three", available_now))
 
 
-def _orders(spark, source, fmt):
-    return as_table(parse_orders(_lines(spark, source, fmt)).rows)
+def _orders(spark, source, fmt, max_per_trigger=None):
+    return as_table(parse_orders(_lines(spark, source, fmt, max_per_trigger)).rows)
 
 
-def orders_union_job(spark, source, target, checkpoint, fmt="text", available_now=False):
+def orders_union_job(spark, source, target, checkpoint, fmt="text", available_now=False,
+                     max_per_trigger=None):
     """One topic read twice: amount > 2 UNION ALL amount < 2 -> order rows."""
-    out = union_all_filtered(_orders(spark, source, fmt), _orders(spark, source, fmt))
+    out = union_all_filtered(_orders(spark, source, fmt, max_per_trigger),
+                             _orders(spark, source, fmt, max_per_trigger))
     return start_stream(out, f"{target.rstrip('/')}/orders-union", checkpoint,
                         trigger=_trigger("union", available_now))
 
 
 def orders_filter_job(spark, source, target, checkpoint, fmt="text", available_now=False,
-                      console=True):
+                      max_per_trigger=None, console=True):
     """amount > 300 -> order documents."""
-    out = sql_filter(_orders(spark, source, fmt), "amount > 300")
+    out = sql_filter(_orders(spark, source, fmt, max_per_trigger), "amount > 300")
     return _to_index_and_console(object_documents(out), target, INDEX["order"], checkpoint,
                                  _trigger("order", available_now), console=console)
 
 
-def orders_state_job(spark, source, target, checkpoint, fmt="text", available_now=False):
+def orders_state_job(spark, source, target, checkpoint, fmt="text", available_now=False,
+                     max_per_trigger=None):
     """amount > 300 with the query state on the shared file system -> rows."""
-    out = sql_filter(_orders(spark, source, fmt), "amount > 300")
+    out = sql_filter(_orders(spark, source, fmt, max_per_trigger), "amount > 300")
     return start_stream(out, f"{target.rstrip('/')}/orders-state", checkpoint,
                         trigger=_trigger("order_state", available_now))
 
 
 def prefix_job(spark, source, target, checkpoint, fmt="text", available_now=False,
-               prefix="PREFIX:", chars=False):
+               max_per_trigger=None, prefix="PREFIX:", chars=False):
     """Each line with a prefix (or, ``chars=True``, each of its characters)."""
-    lines = _lines(spark, source, fmt)
+    lines = _lines(spark, source, fmt, max_per_trigger)
     out = prefix_chars(lines, prefix) if chars else prefix_lines(lines, prefix)
     return start_stream(out, f"{target.rstrip('/')}/prefix", checkpoint,
                         trigger=_trigger("prefix", available_now))
 
 
-def passthrough_job(spark, source, target, checkpoint, fmt="text", available_now=False):
+def passthrough_job(spark, source, target, checkpoint, fmt="text", available_now=False,
+                    max_per_trigger=None):
     """Every message unchanged, exactly once."""
-    return start_stream(_lines(spark, source, fmt), f"{target.rstrip('/')}/passthrough",
-                        checkpoint, trigger=_trigger("passthrough", available_now))
+    lines = _lines(spark, source, fmt, max_per_trigger)
+    return start_stream(lines, f"{target.rstrip('/')}/passthrough", checkpoint,
+                        trigger=_trigger("passthrough", available_now))
 
 
 def count_average_job(spark, pairs: DataFrame, target, checkpoint, n=2,
@@ -194,13 +203,15 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--target", required=True)
     ap.add_argument("--checkpoint", required=True)
     ap.add_argument("--available-now", action="store_true")
+    ap.add_argument("--max-per-trigger", type=int,
+                    help="offsets (topic) or files (folder) per micro-batch")
     a = ap.parse_args(argv)
     from eddyline.session import build_session
     from eddyline.sources import kafka_options
     spark: SparkSession = build_session()
     source = kafka_options(a.source, a.topic) if a.topic else a.source
     q = JOBS[a.job](spark, source, a.target, a.checkpoint, fmt=a.fmt,
-                    available_now=a.available_now)
+                    available_now=a.available_now, max_per_trigger=a.max_per_trigger)
     q.awaitTermination()
 
 

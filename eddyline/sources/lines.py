@@ -71,7 +71,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
 
 
 def read_lines(spark: SparkSession, source, streaming: bool = True,
-               fmt: str = "text") -> DataFrame:
+               fmt: str = "text", max_per_trigger: int | None = None) -> DataFrame:
     """Read messages from a log topic (``source`` a dict of Kafka options) or
     from a folder of files (``source`` a path).
 
@@ -83,6 +83,8 @@ def read_lines(spark: SparkSession, source, streaming: bool = True,
     """
     if isinstance(source, dict):
         r = spark.readStream if streaming else spark.read
+        if streaming and max_per_trigger:
+            r = r.option("maxOffsetsPerTrigger", max_per_trigger)
         raw = r.format("kafka").options(**source).load()
         return raw.select(
             F.col("value").cast("string").alias("value"),
@@ -92,8 +94,12 @@ def read_lines(spark: SparkSession, source, streaming: bool = True,
     if fmt == "parquet":
         schema = "value STRING, seq BIGINT, partition INT, timestamp TIMESTAMP"
         r = spark.readStream.schema(schema) if streaming else spark.read.schema(schema)
+        if streaming and max_per_trigger:
+            r = r.option("maxFilesPerTrigger", max_per_trigger)
         return r.parquet(source).select(*LINE_COLUMNS)
     r = spark.readStream if streaming else spark.read
+    if streaming and max_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_per_trigger)
     raw = r.text(source)
     if streaming:
         seq = F.unix_micros(F.current_timestamp())

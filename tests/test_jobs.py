@@ -78,3 +78,16 @@ def test_command_line(spark, tmp_path):
           "--checkpoint", str(tmp_path / "ck"), "--available-now"])
     got = sorted((r.f0, r.f1, r.f2) for r in spark.read.parquet(str(tmp_path / "out" / "first-three")).collect())
     assert got == [("a", "b", "c"), ("x", "y", "z")]
+
+
+def test_micro_batch_bound(spark, tmp_path):
+    from eddyline.plans.jobs import main
+    src = tmp_path / "txt"
+    src.mkdir()
+    for i in range(3):
+        (src / f"{i}.txt").write_text(f"a{i},b,c\n")
+    main(["first_three", "--source", str(src), "--target", str(tmp_path / "out"),
+          "--checkpoint", str(tmp_path / "ck"), "--available-now", "--max-per-trigger", "1"])
+    assert spark.read.parquet(str(tmp_path / "out" / "first-three")).count() == 3
+    commits = [p for p in (tmp_path / "ck" / "commits").iterdir() if p.name.isdigit()]
+    assert len(commits) == 3                      # one file per micro-batch
