@@ -54,7 +54,8 @@ def count_lines(events: DataFrame, damaged: bool = True) -> DataFrame:
     if damaged:
         eid = F.col("event_id")
         value = (F.when(eid % BAD_ARITY_EVERY == 0, F.concat(F.col("event_type"), F.lit(",1,")))
-                 .when(eid % BAD_COUNT_EVERY == 0, F.concat_ws(",", F.col("event_type"), F.lit("x"), ms))
+                 .when(eid % BAD_COUNT_EVERY == 0,
+                       F.concat_ws(",", F.col("event_type"), F.lit("x"), ms))
                  .when(eid % TRAILING_COMMA_EVERY == 0, F.concat(good, F.lit(",")))
                  .otherwise(good))
     return events.select(

@@ -78,8 +78,12 @@ def read_lines(spark: SparkSession, source, streaming: bool = True,
     ``fmt="text"``: one message per line.  Text files carry no offsets: a
     static read numbers lines in file order, a stream uses the micro-batch
     time as ``seq`` (batches are ordered, lines within one batch tie).  Use
-    a topic or parquet line files when the order within a batch matters.  ``fmt="parquet"``: files that already hold the line
-    columns (for example written by the line sink), read unchanged.
+    a topic or parquet line files when the order within a batch matters.
+    ``fmt="parquet"``: files that already hold the line columns (for example
+    written by the line sink), read unchanged.
+
+    ``max_per_trigger`` bounds a micro-batch (offsets for a topic, files for
+    a folder), and with it what one key's state holds in memory per batch.
     """
     if isinstance(source, dict):
         r = spark.readStream if streaming else spark.read

@@ -79,5 +79,6 @@ def write_in_order(df: DataFrame, order_col: str, folder: str, files: int) -> No
         return
     step = (hi - lo) // files + 1
     for i in range(files):
-        part = df.where((F.col(order_col) >= lo + i * step) & (F.col(order_col) < lo + (i + 1) * step))
+        c = F.col(order_col)
+        part = df.where((c >= lo + i * step) & (c < lo + (i + 1) * step))
         part.coalesce(1).write.mode("append").parquet(folder)
