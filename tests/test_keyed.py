@@ -74,3 +74,19 @@ def test_late_split_jitter_counts(spark):
     d = mark_late(arrival_order(read_table(spark, SF_ORACLE, "events")), "6 hours")
     late = d.where("late").count()
     assert 900 < late < 1100           # about 1,001 of 10,000
+
+
+def test_hot_key_runs_in_many_tasks(spark):
+    # One key holds every row; its running count must not run in one task.
+    df = spark.range(0, 20000).select(F.lit(7).alias("k"), F.col("id").alias("seq"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        d = running(df, ["k"], ["seq"], F.lit(1).cast("bigint"), "sum", "rn",
+                    seq_bucket("seq", 1000))
+        tasks = d.select(F.spark_partition_id().alias("p")).distinct().count()
+        assert tasks > 1
+        assert d.agg(F.max("rn")).first()[0] == 20000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
