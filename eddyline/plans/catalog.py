@@ -98,6 +98,15 @@ def access_window_stats_6h(spark, sf_dir):
     return _stats(spark, sf_dir, LONG_WINDOW)
 
 
+def count_window_totals(spark, sf_dir):
+    """Counts per key and 30 s window without the time list: a pure partial
+    aggregate, no window's rows brought together."""
+    prepare_session(spark)
+    rows = parse_count_lines(count_lines(read_table(spark, sf_dir, "events"))).rows
+    out = count_window_reduce(rows, REFERENCE_WINDOW, "none")
+    return out.select("key", _ms("window_start"), _ms("window_end"), "count")
+
+
 def count_window_reduce_q(spark, sf_dir):
     return _count(spark, sf_dir, REFERENCE_WINDOW, "clean")
 
@@ -376,5 +385,6 @@ QUERIES = {
     "count_window_reduce": count_window_reduce_q,
     "count_window_reduce_6h": count_window_reduce_6h,
     "count_window_reduce_compat": count_window_reduce_compat,
+    "count_window_totals": count_window_totals,
 }
 QUERIES.update(STREAM_QUERIES)

@@ -390,3 +390,12 @@ HAVING ws + {W6H} <= (SELECT max(us) // 1000 FROM a)
 """
 
 ORACLE_SQL["late_rows_stream"] = LATE_ROWS_STREAM
+
+
+ORACLE_SQL["count_window_totals"] = f"""
+WITH {COUNT_SRC.strip()}
+SELECT key, (ms // {W30S}) * {W30S} AS window_start_ms,
+       (ms // {W30S}) * {W30S} + {W30S} AS window_end_ms, CAST(sum(cnt) AS BIGINT) AS count
+FROM count_rows
+GROUP BY key, ms // {W30S}
+"""
