@@ -50,7 +50,7 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", shuffle_partitions=int(cpus),
                           conf={"spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     _run(spark, "prefix_lines", sf_dir)      # JVM and file-listing warm-up
     times, cold = {}, {}
     for name in names:
