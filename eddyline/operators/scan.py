@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 _AGG = {"max": F.max, "min": F.min, "sum": F.sum}
 
 DEFAULT_SEQ_BUCKET = 1 << 20        # arrival positions per bucket
-DEFAULT_TIME_BUCKET_SECONDS = 600   # event-time seconds per bucket
 
 
 def floor_div(col: str | Column, n: int) -> Column:
@@ -39,10 +38,6 @@ def seq_bucket(col: str | Column, width: int = DEFAULT_SEQ_BUCKET) -> Column:
     return floor_div(col, width)
 
 
-def time_bucket(col: str | Column, seconds: int = DEFAULT_TIME_BUCKET_SECONDS) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return floor_div(F.unix_micros(c.cast("timestamp")), seconds * 1_000_000)
-
 
 def _combine(op: str, carry: Column, local: Column) -> Column:
     if op == "sum":

@@ -109,3 +109,16 @@ def test_table_as_directory(spark, tmp_path):
     q = stream.writeStream.format("memory").queryName("dir_tbl").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("dir_tbl").count() == static.count()
+
+
+def test_topic_sink_options_and_split_late(spark):
+    from pyspark.sql import functions as F
+    from eddyline.operators import split_late
+    from eddyline.sinks import topic_sink_options
+    assert topic_sink_options("b:9092", "out", acks="all") == {
+        "kafka.bootstrap.servers": "b:9092", "topic": "out", "acks": "all"}
+    df = spark.createDataFrame([(0, 1000, 0, 0), (1, 100000, 1, 0), (2, 5000, 2, 0)],
+                               "event_id BIGINT, ms BIGINT, seq BIGINT, partition INT")
+    s = split_late(df.withColumn("ts", F.timestamp_millis("ms")), "30 seconds")
+    assert sorted(r.ms for r in s.on_time.collect()) == [1000, 100000]
+    assert [r.ms for r in s.late.collect()] == [5000]
