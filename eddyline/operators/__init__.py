@@ -13,7 +13,7 @@ from eddyline.operators.keyed import chunk_rows, count_average
 from eddyline.operators.late import mark_late, split_late
 from eddyline.operators.sqlops import as_table, sql_filter, union_all_filtered
 from eddyline.operators.prefix import char_counts, prefix_chars, prefix_lines
-from eddyline.operators.scan import ordinal, running
+from eddyline.operators.scan import hot_key_bucket, ordinal, running
 
 __all__ = [
     "Parsed", "parse_access_lines", "parse_count_lines", "parse_first_three",
@@ -21,5 +21,5 @@ __all__ = [
     "word_sessions_stream", "access_window_reduce", "access_window_stats", "count_window_reduce",
     "chunk_rows", "count_average", "mark_late", "split_late", "as_table",
     "sql_filter", "union_all_filtered", "char_counts", "prefix_chars",
-    "prefix_lines", "ordinal", "running",
+    "prefix_lines", "ordinal", "running", "hot_key_bucket",
 ]

@@ -18,7 +18,20 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eddyline.operators.scan import DEFAULT_SEQ_BUCKET, floor_div, ordinal, seq_bucket
+from eddyline.operators.scan import (
+    DEFAULT_SEQ_BUCKET, floor_div, hot_key_bucket, ordinal, seq_bucket,
+)
+
+
+def _bucket(df: DataFrame, keys: list[str], seq: str, width: int, split: str):
+    """Bucket every key's seq range (``split="all"``), or only those of the
+    frequent keys (``split="hot"``, one extra frequent-items pass)."""
+    b = seq_bucket(seq, width)
+    if split == "all":
+        return b
+    if split == "hot":
+        return hot_key_bucket(df, keys, b)
+    raise ValueError("split must be 'all' or 'hot'")
 
 
 class Chunks(NamedTuple):
@@ -27,10 +40,11 @@ class Chunks(NamedTuple):
 
 
 def count_average(pairs: DataFrame, n: int = 2, key: str = "key", value: str = "value",
-                  seq: str = "seq", bucket_width: int = DEFAULT_SEQ_BUCKET) -> DataFrame:
+                  seq: str = "seq", bucket_width: int = DEFAULT_SEQ_BUCKET,
+                  split: str = "all") -> DataFrame:
     """``(key, average, seq)`` for every complete group of ``n`` values of a
     key in ``seq`` order; ``seq`` is that of the row that completes it."""
-    d = ordinal(pairs, [key], [seq], "_rn", seq_bucket(seq, bucket_width))
+    d = ordinal(pairs, [key], [seq], "_rn", _bucket(pairs, [key], seq, bucket_width, split))
     d = d.withColumn("_group", floor_div(F.col("_rn") - 1, n))
     g = d.groupBy(key, "_group").agg(
         F.count("*").alias("_n"), F.sum(value).cast("bigint").alias("_sum"),
@@ -40,11 +54,12 @@ def count_average(pairs: DataFrame, n: int = 2, key: str = "key", value: str = "
 
 
 def chunk_rows(rows: DataFrame, n: int, bucket: str = "bucket", seq: str = "seq",
-               bucket_width: int = DEFAULT_SEQ_BUCKET) -> Chunks:
+               bucket_width: int = DEFAULT_SEQ_BUCKET, split: str = "all") -> Chunks:
     """Split rows into released chunks of exactly ``n`` per ``bucket`` (in
     ``seq`` order) and the pending remainder.  Adds ``chunk`` (0-based) and
     ``position`` (0-based within the chunk)."""
-    d = ordinal(rows, [bucket], [seq], "_rn", seq_bucket(seq, bucket_width), key_total="_n")
+    d = ordinal(rows, [bucket], [seq], "_rn", _bucket(rows, [bucket], seq, bucket_width, split),
+                key_total="_n")
     d = (d.withColumn("chunk", floor_div(F.col("_rn") - 1, n))
          .withColumn("position", ((F.col("_rn") - 1) % n).cast("int"))
          .withColumn("_full", floor_div("_n", n)))

@@ -96,3 +96,25 @@ def ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     ``key_total`` adds the key's row count."""
     return running(df, keys, order, F.lit(1).cast("bigint"), "sum", out, bucket,
                    key_total=key_total)
+
+
+def hot_key_bucket(df: DataFrame, keys: Sequence[str], bucket: Column,
+                   support: float = 1e-3) -> Column:
+    """``bucket`` for keys holding more than about ``support`` of the rows, one
+    bucket (-1) for every other key, so cold keys add no carry rows.
+
+    The hot keys come from one frequent-items pass over the key columns (a
+    static frame): at most ``1 / support`` values reach the driver, a bound
+    that does not grow with the data, and they become a literal set (no
+    join).  A false positive only means one more split key.
+    """
+    keys = list(keys)
+    k = F.col(keys[0]) if len(keys) == 1 else F.struct(*[F.col(c) for c in keys])
+    found = df.select(k.alias("_hk")).stat.freqItems(["_hk"], support).first()[0]
+    if not found:
+        return F.lit(-1).cast("bigint")
+    if len(keys) == 1:
+        values = [F.lit(v) for v in found]
+    else:
+        values = [F.struct(*[F.lit(x).alias(c) for x, c in zip(v, keys)]) for v in found]
+    return F.when(k.isin(*values), bucket).otherwise(F.lit(-1).cast("bigint"))

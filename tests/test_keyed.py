@@ -90,3 +90,23 @@ def test_hot_key_runs_in_many_tasks(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_split_only_hot_keys(spark):
+    from eddyline.operators import hot_key_bucket
+    # key 0 holds half the rows; keys 1..2000 one row each... a few each
+    rows = [(0, i, i % 7) for i in range(0, 20000, 2)]
+    rows += [(1 + (i % 2000), i, i % 5) for i in range(1, 20000, 2)]
+    df = spark.createDataFrame(rows, "key BIGINT, seq BIGINT, value BIGINT")
+    b = df.select("key", hot_key_bucket(df, ["key"], seq_bucket("seq", 100), 0.01).alias("b"))
+    per_key = {r.key: r.n for r in b.groupBy("key").agg(F.countDistinct("b").alias("n")).collect()}
+    split = [k for k, v in per_key.items() if v > 1]
+    assert per_key[0] > 50 and 0 in split
+    assert len(split) <= 100          # at most 1 / support keys, false positives included
+    got = count_average(df, split="hot", bucket_width=100)
+    want = count_average(df, bucket_width=1 << 40)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    two = spark.createDataFrame([(0, 0, i, "x", i) for i in range(50)],
+                                "a INT, b INT, seq BIGINT, name STRING, value INT")
+    hb = hot_key_bucket(two, ["a", "b"], seq_bucket("seq", 10), 0.1)
+    assert two.select(hb.alias("x")).distinct().count() == 5
