@@ -14,7 +14,7 @@ the mean and the first row are partial aggregates combined map-side; only the
 reproduces the reference's text exactly: a window with one row keeps its raw
 epoch text and no note; in a longer window the first time is formatted only
 if its raw text contains ``000``.  ``times_mode="none"`` leaves the list out:
-no window's rows are then brought together (static frames).
+no window's rows are then brought together.
 """
 
 from __future__ import annotations
@@ -95,9 +95,7 @@ def access_window_reduce(rows: DataFrame, window: str = DEFAULT_WINDOW,
     ``response_time_mean`` and ``times`` with latency notes.
     ``rows`` are parsed access lines (``parse_access_lines(...).rows``)."""
     if times_mode == "none":
-        if rows.isStreaming:
-            raise ValueError("times_mode='none' is for static frames; a stream keeps the list")
-        return access_window_stats(rows, window)
+        return access_window_stats(rows, window, watermark=watermark)
     d, w = _windowed(rows, window, watermark)
     order = F.struct("seq", "partition")
     g = d.groupBy(w, "url", "response").agg(
@@ -117,33 +115,37 @@ def access_window_reduce(rows: DataFrame, window: str = DEFAULT_WINDOW,
 
 
 def access_window_stats(rows: DataFrame, window: str = DEFAULT_WINDOW,
-                        bucket_width: int = STATS_BUCKET) -> DataFrame:
-    """``access_window_reduce`` without the ``times`` list (static frames):
-    every output is computed without bringing a window's rows together.
+                        bucket_width: int = STATS_BUCKET,
+                        watermark: str | None = None) -> DataFrame:
+    """``access_window_reduce`` without the ``times`` list: every output is
+    computed without bringing a window's rows together, on static frames and
+    on streams (give ``watermark``).
 
     Level one groups ``(window, url, response, seq bucket)``: partial sums,
     the first row, and the halving fold of the bucket's latencies as a
     composable map (bounded by the bucket width).  Level two combines the
-    buckets of a window in order.  A window holding a third of all rows is
-    spread over its buckets.  Latencies must be non-negative (a negative
-    one stops the query rather than give a wrong average).
+    buckets of a window in order; it groups by the window of the level-one
+    window's time, which on a stream chains the two stateful aggregations
+    through the watermark.  A window holding a third of all rows is spread
+    over its buckets.  Latencies must be non-negative (a negative one stops
+    the query rather than give a wrong average).
     """
-    w = F.window("event_time", window).alias("w")
+    d = rows if watermark is None else rows.withWatermark("event_time", watermark)
     order = F.struct("seq", "partition")
-    keys = ["w", "url", "response"]
-    lvl1 = (rows.select(w, "url", "response", "count", "method", "code", "took_ms", "seq",
-                        "partition", seq_bucket("seq", bucket_width).alias("_b"))
-            .groupBy(*keys, "_b").agg(
-                F.sum("count").cast("bigint").alias("count"),
-                F.count("*").alias("_n"), F.sum("took_ms").cast("bigint").alias("_took"),
-                F.min_by(F.struct("method", "code", "took_ms"), order).alias("_first"),
-                F.min(order).alias("_first_at"), F.min("took_ms").alias("_min_took"),
-                F.sort_array(F.collect_list(F.struct("seq", "partition", "took_ms")))
-                .alias("_rows"))
-            .select(*keys, "_b", "count", "_n", "_took", "_first", "_first_at", "_min_took",
+    keys = ["url", "response"]
+    lvl1 = (d.groupBy(F.window("event_time", window).alias("w"), *keys,
+                      seq_bucket("seq", bucket_width).alias("_b"))
+            .agg(F.sum("count").cast("bigint").alias("count"),
+                 F.count("*").alias("_n"), F.sum("took_ms").cast("bigint").alias("_took"),
+                 F.min_by(F.struct("method", "code", "took_ms"), order).alias("_first"),
+                 F.min(order).alias("_first_at"), F.min("took_ms").alias("_min_took"),
+                 F.sort_array(F.collect_list(F.struct("seq", "partition", "took_ms")))
+                 .alias("_rows"))
+            .select("w", *keys, "_b", "count", "_n", "_took", "_first", "_first_at",
+                    "_min_took",
                     fold_maps(F.transform("_rows", lambda r: halving_map(r["took_ms"])))
                     .alias("_map")))
-    g = lvl1.groupBy(*keys).agg(
+    g = lvl1.groupBy(F.window(F.window_time("w"), window).alias("w"), *keys).agg(
         F.sum("count").cast("bigint").alias("count"), F.sum("_n").alias("_n"),
         F.sum("_took").alias("_took"), F.min_by("_first", "_first_at").alias("_first"),
         F.min("_min_took").alias("_min_took"),
@@ -152,8 +154,7 @@ def access_window_stats(rows: DataFrame, window: str = DEFAULT_WINDOW,
     avg = F.when(F.col("_min_took") < 0, F.raise_error(
         F.lit("access_window_stats needs non-negative latencies")).cast("int")).otherwise(avg)
     return g.select(
-        "url", "response", F.col("w.start").alias("window_start"),
-        F.col("w.end").alias("window_end"),
+        *keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
         F.col("_first.method").alias("method"), F.col("_first.code").alias("code"), "count",
         avg.alias("response_time_avg"),
         (F.col("_took") / F.col("_n")).alias("response_time_mean"))

@@ -237,6 +237,17 @@ def access_window_reduce_stream(spark, sf_dir):
     return _flat_access(run_available_now(res, "access_window_reduce_stream"))
 
 
+def access_window_stats_stream(spark, sf_dir):
+    """The list-free flagship as a stream: two chained stateful aggregations."""
+    rows = parse_access_lines(access_lines(_events_stream(spark, sf_dir))).rows
+    res = access_window_stats(rows, REFERENCE_WINDOW, watermark=ZERO_DELAY)
+    out = run_available_now(res, "access_window_stats_stream")
+    return out.select(
+        "url", "response", _ms("window_start"), _ms("window_end"), "method", "code",
+        "count", "response_time_avg",
+        F.round("response_time_mean", 6).alias("response_time_mean"))
+
+
 def count_window_reduce_stream(spark, sf_dir):
     rows = parse_count_lines(count_lines(_events_stream(spark, sf_dir))).rows
     res = count_window_reduce(rows, REFERENCE_WINDOW, "clean", watermark=ZERO_DELAY)
@@ -348,6 +359,7 @@ def word_session_job_docs(spark, sf_dir):
 STREAM_QUERIES = {
     "access_window_reduce_stream": access_window_reduce_stream,
     "count_window_reduce_stream": count_window_reduce_stream,
+    "access_window_stats_stream": access_window_stats_stream,
     "word_sessions_stream": word_sessions_stream_q,
     "word_count_stream": word_count_stream,
     "orders_union_stream": orders_union_stream,

@@ -399,3 +399,6 @@ SELECT key, (ms // {W30S}) * {W30S} AS window_start_ms,
 FROM count_rows
 GROUP BY key, ms // {W30S}
 """
+
+ORACLE_SQL["access_window_stats_stream"] = (
+    f"SELECT * FROM ({_access_stats(W30S)}) q WHERE window_end_ms <= {ACCESS_MAX_MS}")

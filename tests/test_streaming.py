@@ -165,3 +165,19 @@ def test_many_batches_equal_static(spark, tmp_path):
     want = count_average(keyed_pairs(ev))
     assert got.count() == want.count() == 4960
     assert got.exceptAll(want).count() == 0
+
+
+def test_stats_stream_many_batches(spark, tmp_path):
+    from eddyline.operators import access_window_stats
+    ev = read_table(spark, SF_ORACLE, "events")
+    lines_dir = str(tmp_path / "access")
+    _line_files(spark, access_lines(ev), lines_dir)
+    stream = (spark.readStream.schema("value STRING, seq BIGINT, partition INT, timestamp TIMESTAMP")
+              .option("maxFilesPerTrigger", 1).parquet(lines_dir))
+    res = access_window_stats(parse_access_lines(stream).rows, "6 hours", watermark="0 seconds")
+    streamed = run_available_now(res, "stats_many_batches")
+    static_rows = parse_access_lines(access_lines(ev)).rows
+    wm = static_rows.agg(F.max("event_time")).first()[0]
+    closed = access_window_stats(static_rows, "6 hours").where(F.col("window_end") <= F.lit(wm))
+    assert streamed.count() == closed.count() > 0
+    assert streamed.exceptAll(closed).count() == 0
