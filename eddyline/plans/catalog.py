@@ -21,7 +21,7 @@ from eddyline.operators import (
     word_count, word_sessions,
 )
 from eddyline.operators.words import word_count_window, word_sessions_stream
-from eddyline.session import prepare_session
+from eddyline.session import prepare_session, settings_for_start
 from eddyline.streaming import (
     chunk_rows_stream, count_average_stream, run_available_now, stream_dir, write_in_order,
 )
@@ -295,7 +295,6 @@ def late_rows_stream(spark, sf_dir):
     A row is dropped when its window was already closed by the watermark of
     the earlier batches (the reference's rule, per micro-batch)."""
     prepare_session(spark)
-    spark.conf.set("spark.sql.streaming.statefulOperator.allowMultiple", "false")
     ev = arrival_order(read_table(spark, sf_dir, "events"))
     base = stream_dir(spark, "late_rows")
     write_in_order(ev, "seq", f"{base}/in", LATE_FILES)
@@ -304,7 +303,9 @@ def late_rows_stream(spark, sf_dir):
     counts = (stream.withWatermark("ts", ZERO_DELAY)
               .groupBy(F.window("ts", LONG_WINDOW).alias("w"))
               .agg(F.count("*").alias("n")))
-    out = run_available_now(counts, "late_rows_stream")
+    # late rows filtered with the current batch's watermark
+    with settings_for_start(spark, {"spark.sql.streaming.statefulOperator.allowMultiple": "false"}):
+        out = run_available_now(counts, "late_rows_stream")
     return out.select(F.unix_millis("w.start").alias("window_start_ms"),
                       F.unix_millis("w.end").alias("window_end_ms"), "n")
 
@@ -316,14 +317,10 @@ def _job_docs(spark, sf_dir, name, table, derive, job, index):
     prepare_session(spark)
     base = stream_dir(spark, name)
     write_lines(derive(read_table(spark, sf_dir, table)), f"{base}/lines")
-    key = "spark.sql.shuffle.partitions"      # state partitions: one per task slot
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
-    try:
+    slots = spark.sparkContext.defaultParallelism      # state partitions: one per slot
+    with settings_for_start(spark, {"spark.sql.shuffle.partitions": slots}):
         q = getattr(jobs, job)(spark, f"{base}/lines", f"{base}/index", f"{base}/checkpoint",
                                fmt="parquet", available_now=True, console=False)
-    finally:
-        spark.conf.set(key, before)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

@@ -27,7 +27,9 @@ from eddyline.operators import (
     parse_first_three, parse_orders, prefix_chars, prefix_lines, sql_filter,
     union_all_filtered, word_count_window, word_sessions_stream, as_table,
 )
-from eddyline.session import prepare_session
+import functools
+
+from eddyline.session import prepare_session, settings_for_start
 from eddyline.sinks import (
     access_documents, count_documents, fan_out, object_documents, word_documents,
 )
@@ -61,11 +63,22 @@ def _to_index_and_console(docs: DataFrame, target: str, index: str, checkpoint:
     return fan_out(docs, writers, checkpoint, trigger, output_mode)
 
 
+# Each job has one stateful operator: filter late rows with the current
+# micro-batch's watermark, the closest Spark gets to a per-record one.
+JOB_SETTINGS = {"spark.sql.streaming.statefulOperator.allowMultiple": "false"}
+
+
+def _job(fn):
+    """Start the job's query with ``JOB_SETTINGS`` (restored afterwards)."""
+    @functools.wraps(fn)
+    def run(spark, *args, **kwargs):
+        with settings_for_start(spark, JOB_SETTINGS):
+            return fn(spark, *args, **kwargs)
+    return run
+
+
 def _prepare(spark) -> None:
     prepare_session(spark)
-    # Each job has one stateful operator: filter late rows with the current
-    # micro-batch's watermark, the closest Spark gets to a per-record one.
-    spark.conf.set("spark.sql.streaming.statefulOperator.allowMultiple", "false")
 
 
 def _lines(spark, source, fmt, max_per_trigger=None):
@@ -75,6 +88,7 @@ def _lines(spark, source, fmt, max_per_trigger=None):
                       max_per_trigger=max_per_trigger)
 
 
+@_job
 def word_count_job(spark, source, target, checkpoint, fmt="text", available_now=False,
                    max_per_trigger=None, console=True):
     """Words per 30 s processing-time window -> word documents + console."""
@@ -84,6 +98,7 @@ def word_count_job(spark, source, target, checkpoint, fmt="text", available_now=
                                  _trigger("word", available_now), console=console)
 
 
+@_job
 def word_session_job(spark, source, target, checkpoint, fmt="text", available_now=False,
                      max_per_trigger=None, console=True):
     """Words per 10 minute session on the message time -> word documents."""
@@ -94,6 +109,7 @@ def word_session_job(spark, source, target, checkpoint, fmt="text", available_no
                                  console=console)
 
 
+@_job
 def count_reduce_job(spark, source, target, checkpoint, fmt="text", available_now=False,
                      max_per_trigger=None, times_mode="clean", console=True):
     """``key,count,ms`` lines per key and 30 s event-time window -> count documents."""
@@ -103,6 +119,7 @@ def count_reduce_job(spark, source, target, checkpoint, fmt="text", available_no
                                  _trigger("count", available_now), console=console)
 
 
+@_job
 def access_reduce_job(spark, source, target, checkpoint, fmt="text", available_now=False,
                       max_per_trigger=None, times_mode="clean", console=True):
     """Access lines per (url, response) and 30 s window -> access documents."""
@@ -113,6 +130,7 @@ def access_reduce_job(spark, source, target, checkpoint, fmt="text", available_n
                                  console=console)
 
 
+@_job
 def first_three_job(spark, source, target, checkpoint, fmt="text", available_now=False,
                     max_per_trigger=None):
     """First three lower-cased CSV fields of each line -> rows."""
@@ -125,6 +143,7 @@ def _orders(spark, source, fmt, max_per_trigger=None):
     return as_table(parse_orders(_lines(spark, source, fmt, max_per_trigger)).rows)
 
 
+@_job
 def orders_union_job(spark, source, target, checkpoint, fmt="text", available_now=False,
                      max_per_trigger=None):
     """One topic read twice: amount > 2 UNION ALL amount < 2 -> order rows."""
@@ -134,6 +153,7 @@ def orders_union_job(spark, source, target, checkpoint, fmt="text", available_no
                         trigger=_trigger("union", available_now))
 
 
+@_job
 def orders_filter_job(spark, source, target, checkpoint, fmt="text", available_now=False,
                       max_per_trigger=None, console=True):
     """amount > 300 -> order documents."""
@@ -142,6 +162,7 @@ def orders_filter_job(spark, source, target, checkpoint, fmt="text", available_n
                                  _trigger("order", available_now), console=console)
 
 
+@_job
 def orders_state_job(spark, source, target, checkpoint, fmt="text", available_now=False,
                      max_per_trigger=None):
     """amount > 300 with the query state on the shared file system -> rows."""
@@ -150,6 +171,7 @@ def orders_state_job(spark, source, target, checkpoint, fmt="text", available_no
                         trigger=_trigger("order_state", available_now))
 
 
+@_job
 def prefix_job(spark, source, target, checkpoint, fmt="text", available_now=False,
                max_per_trigger=None, prefix="PREFIX:", chars=False):
     """Each line with a prefix (or, ``chars=True``, each of its characters)."""
@@ -159,6 +181,7 @@ def prefix_job(spark, source, target, checkpoint, fmt="text", available_now=Fals
                         trigger=_trigger("prefix", available_now))
 
 
+@_job
 def passthrough_job(spark, source, target, checkpoint, fmt="text", available_now=False,
                     max_per_trigger=None):
     """Every message unchanged, exactly once."""
@@ -167,6 +190,7 @@ def passthrough_job(spark, source, target, checkpoint, fmt="text", available_now
                         trigger=_trigger("passthrough", available_now))
 
 
+@_job
 def count_average_job(spark, pairs: DataFrame, target, checkpoint, n=2,
                       available_now=False):
     """Average of every ``n`` values per key (``pairs``: key, value, seq stream)."""
@@ -175,6 +199,7 @@ def count_average_job(spark, pairs: DataFrame, target, checkpoint, n=2,
                         checkpoint, trigger=_trigger("average", available_now))
 
 
+@_job
 def buffered_sink_job(spark, rows: DataFrame, target, checkpoint, n,
                       available_now=False):
     """Rows released in chunks of exactly ``n`` per bucket (``rows``: name,

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -99,3 +101,21 @@ def materialize(df):
     when the frame is garbage-collected.)"""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+@contextmanager
+def settings_for_start(spark: SparkSession, settings: dict) -> Iterator[None]:
+    """Apply SQL settings while a streaming query starts, then restore them.
+    A stream copies the session's settings when it starts, so the query keeps
+    them and later queries of the session are not affected."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, str(v))
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -14,7 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from eddyline.session import checkpoint_root
+from eddyline.session import checkpoint_root, settings_for_start
 
 
 def stream_dir(spark: SparkSession, name: str) -> str:
@@ -55,13 +55,9 @@ def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
     base = stream_dir(spark, name)
     out = out or f"{base}/out"
     checkpoint = checkpoint or f"{base}/checkpoint"
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))
-    try:
+    parts = state_partitions or spark.sparkContext.defaultParallelism
+    with settings_for_start(spark, {"spark.sql.shuffle.partitions": parts}):
         q = start_stream(df, out, checkpoint, output_mode)
-    finally:
-        spark.conf.set(key, before)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
