@@ -27,6 +27,7 @@ HEADLINE = [
     "access_window_reduce",
     "access_window_reduce_stream",
     "access_window_stats",
+    "access_window_stats_stream",
     "word_sessions",
     "orders_union",
     "count_average",
