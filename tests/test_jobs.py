@@ -91,3 +91,30 @@ def test_micro_batch_bound(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out" / "first-three")).count() == 3
     commits = [p for p in (tmp_path / "ck" / "commits").iterdir() if p.name.isdigit()]
     assert len(commits) == 3                      # one file per micro-batch
+
+
+def test_remaining_jobs(spark, tmp_path):
+    from eddyline.plans.jobs import buffered_sink_job
+    src = tmp_path / "txt"
+    src.mkdir()
+    (src / "a.txt").write_text("ab\n{\"user\":5,\"product\":\"tv\",\"amount\":301}\n")
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    for name, kwargs in [("prefix", {}), ("passthrough", {}), ("orders_state", {})]:
+        q = JOBS[name](spark, str(src), out, f"{ck}-{name}", available_now=True, **kwargs)
+        q.awaitTermination()
+        assert q.exception() is None
+    q = JOBS["prefix"](spark, str(src), str(tmp_path / "chars"), f"{ck}-chars",
+                       available_now=True, chars=True)
+    q.awaitTermination()
+    chars = spark.read.parquet(str(tmp_path / "chars" / "prefix")).count()
+    assert chars == len("PREFIX:ab") + len('PREFIX:{"user":5,"product":"tv","amount":301}')
+    assert sorted(r.value for r in spark.read.parquet(f"{out}/prefix").collect())[0] == "PREFIX:ab"
+    assert spark.read.parquet(f"{out}/passthrough").count() == 2
+    assert [r.user for r in spark.read.parquet(f"{out}/orders-state").collect()] == [5]
+    rows_dir = str(tmp_path / "rows")
+    spark.createDataFrame([("x", i, i, 0) for i in range(7)],
+                          "name STRING, value INT, seq BIGINT, bucket INT").write.parquet(rows_dir)
+    stream = spark.readStream.schema("name STRING, value INT, seq BIGINT, bucket INT").parquet(rows_dir)
+    q = buffered_sink_job(spark, stream, out, f"{ck}-buf", n=3, available_now=True)
+    q.awaitTermination()
+    assert spark.read.parquet(f"{out}/chunks").count() == 6
