@@ -128,7 +128,8 @@ def access_window_stats(rows: DataFrame, window: str = DEFAULT_WINDOW,
     window's time, which on a stream chains the two stateful aggregations
     through the watermark.  A window holding a third of all rows is spread
     over its buckets.  Latencies must be non-negative (a negative one stops
-    the query rather than give a wrong average).
+    the query rather than give a wrong average).  A stream needs
+    ``spark.sql.streaming.statefulOperator.allowMultiple=true`` (the default).
     """
     d = rows if watermark is None else rows.withWatermark("event_time", watermark)
     order = F.struct("seq", "partition")

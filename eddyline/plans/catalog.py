@@ -222,6 +222,8 @@ def order_docs(spark, sf_dir):
 # ---- streaming twins: run to completion, return what the sink committed ----
 
 ZERO_DELAY = "0 seconds"          # punctuated watermark: each row's own time
+# Chained stateful aggregations need this (Spark's default).
+CHAINED = {"spark.sql.streaming.statefulOperator.allowMultiple": "true"}
 
 
 def _events_stream(spark, sf_dir):
@@ -241,7 +243,7 @@ def access_window_stats_stream(spark, sf_dir):
     """The list-free flagship as a stream: two chained stateful aggregations."""
     rows = parse_access_lines(access_lines(_events_stream(spark, sf_dir))).rows
     res = access_window_stats(rows, REFERENCE_WINDOW, watermark=ZERO_DELAY)
-    out = run_available_now(res, "access_window_stats_stream")
+    out = run_available_now(res, "access_window_stats_stream", settings=CHAINED)
     return out.select(
         "url", "response", _ms("window_start"), _ms("window_end"), "method", "code",
         "count", "response_time_avg",
@@ -304,8 +306,9 @@ def late_rows_stream(spark, sf_dir):
               .groupBy(F.window("ts", LONG_WINDOW).alias("w"))
               .agg(F.count("*").alias("n")))
     # late rows filtered with the current batch's watermark
-    with settings_for_start(spark, {"spark.sql.streaming.statefulOperator.allowMultiple": "false"}):
-        out = run_available_now(counts, "late_rows_stream")
+    out = run_available_now(
+        counts, "late_rows_stream",
+        settings={"spark.sql.streaming.statefulOperator.allowMultiple": "false"})
     return out.select(F.unix_millis("w.start").alias("window_start_ms"),
                       F.unix_millis("w.end").alias("window_end_ms"), "n")
 

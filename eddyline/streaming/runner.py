@@ -44,19 +44,21 @@ def start_stream(df: DataFrame, out: str, checkpoint: str, output_mode: str = "a
 
 def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
                       out: str | None = None, checkpoint: str | None = None,
-                      state_partitions: int | None = None) -> DataFrame:
+                      state_partitions: int | None = None,
+                      settings: dict | None = None) -> DataFrame:
     """Process everything available, stop, and return what was written.
 
     A stream fixes its number of state partitions when it first starts (no
     adaptive coalescing); a new checkpoint starts with ``state_partitions``
     (default: one per task slot of the cluster, one wave of tasks).
+    ``settings`` are further SQL settings for this query only.
     """
     spark = df.sparkSession
     base = stream_dir(spark, name)
     out = out or f"{base}/out"
     checkpoint = checkpoint or f"{base}/checkpoint"
     parts = state_partitions or spark.sparkContext.defaultParallelism
-    with settings_for_start(spark, {"spark.sql.shuffle.partitions": parts}):
+    with settings_for_start(spark, {"spark.sql.shuffle.partitions": parts, **(settings or {})}):
         q = start_stream(df, out, checkpoint, output_mode)
     q.awaitTermination()
     if q.exception() is not None:
