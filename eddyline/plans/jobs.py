@@ -209,12 +209,44 @@ def buffered_sink_job(spark, rows: DataFrame, target, checkpoint, n,
                         checkpoint, trigger=_trigger("buffer", available_now))
 
 
+def _pair_fields(lines: DataFrame, first: str, first_type: str):
+    """``<first>,<value>`` lines as typed columns; other lines are dropped."""
+    from pyspark.sql import functions as F
+    from eddyline.functions import java_split, strict_int, strict_long
+    f = java_split("value", ",")
+    head = strict_long(F.get(f, 0)) if first_type == "long" else F.get(f, 0)
+    val = strict_long(F.get(f, 1)) if first_type == "long" else strict_int(F.get(f, 1))
+    ok = (F.size(f) == 2) & head.isNotNull() & val.isNotNull()
+    return lines.where(ok).select(head.alias(first), val.alias("value"), "seq", "partition")
+
+
+@_job
+def count_average_lines_job(spark, source, target, checkpoint, fmt="text",
+                            available_now=False, max_per_trigger=None, n=2):
+    """``key,value`` lines -> the average of every ``n`` values per key."""
+    pairs = _pair_fields(_lines(spark, source, fmt, max_per_trigger), "key", "long")
+    return start_stream(count_average_stream(pairs.select("key", "value", "seq"), n),
+                        f"{target.rstrip('/')}/averages", checkpoint,
+                        trigger=_trigger("average", available_now))
+
+
+@_job
+def buffered_sink_lines_job(spark, source, target, checkpoint, fmt="text",
+                            available_now=False, max_per_trigger=None, n=2):
+    """``name,value`` lines -> released in chunks of ``n`` per source partition."""
+    rows = _pair_fields(_lines(spark, source, fmt, max_per_trigger), "name", "string")
+    rows = rows.select("name", "value", "seq", rows["partition"].alias("bucket"))
+    return start_stream(chunk_rows_stream(rows, n), f"{target.rstrip('/')}/chunks",
+                        checkpoint, trigger=_trigger("buffer", available_now))
+
+
 JOBS: dict[str, Callable[..., StreamingQuery]] = {
     "word_count": word_count_job, "word_sessions": word_session_job,
     "count": count_reduce_job, "access": access_reduce_job,
     "first_three": first_three_job, "orders_union": orders_union_job,
     "orders_filter": orders_filter_job, "orders_state": orders_state_job,
     "prefix": prefix_job, "passthrough": passthrough_job,
+    "count_average": count_average_lines_job, "buffered_sink": buffered_sink_lines_job,
 }
 
 

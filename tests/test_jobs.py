@@ -76,7 +76,8 @@ def test_command_line(spark, tmp_path):
     (src / "a.txt").write_text("A,B,C,D\nA,B\nx,y,z\n")
     main(["first_three", "--source", str(src), "--target", str(tmp_path / "out"),
           "--checkpoint", str(tmp_path / "ck"), "--available-now"])
-    got = sorted((r.f0, r.f1, r.f2) for r in spark.read.parquet(str(tmp_path / "out" / "first-three")).collect())
+    out = spark.read.parquet(str(tmp_path / "out" / "first-three"))
+    got = sorted((r.f0, r.f1, r.f2) for r in out.collect())
     assert got == [("a", "b", "c"), ("x", "y", "z")]
 
 
@@ -118,3 +119,21 @@ def test_remaining_jobs(spark, tmp_path):
     q = buffered_sink_job(spark, stream, out, f"{ck}-buf", n=3, available_now=True)
     q.awaitTermination()
     assert spark.read.parquet(f"{out}/chunks").count() == 6
+
+
+def test_keyed_state_jobs_from_lines(spark, tmp_path):
+    from eddyline.plans.jobs import main
+    from eddyline.sinks import write_lines
+    lines = spark.createDataFrame(
+        [(v, i, 0) for i, v in enumerate(["1,3", "1,5", "1,7", "bad", "1,4", "1,2"])],
+        "value STRING, seq BIGINT, partition INT")
+    src = str(tmp_path / "lines")
+    write_lines(lines, src)
+    main(["count_average", "--source", src, "--fmt", "parquet",
+          "--target", str(tmp_path / "o1"), "--checkpoint", str(tmp_path / "c1"), "--available-now"])
+    out = spark.read.parquet(str(tmp_path / "o1" / "averages"))
+    got = sorted((r.key, r.average) for r in out.collect())
+    assert got == [(1, 4), (1, 5)]
+    main(["buffered_sink", "--source", src, "--fmt", "parquet",
+          "--target", str(tmp_path / "o2"), "--checkpoint", str(tmp_path / "c2"), "--available-now"])
+    assert spark.read.parquet(str(tmp_path / "o2" / "chunks")).count() == 4   # 5 rows, chunks of 2
