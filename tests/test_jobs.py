@@ -137,3 +137,23 @@ def test_keyed_state_jobs_from_lines(spark, tmp_path):
     main(["buffered_sink", "--source", src, "--fmt", "parquet",
           "--target", str(tmp_path / "o2"), "--checkpoint", str(tmp_path / "c2"), "--available-now"])
     assert spark.read.parquet(str(tmp_path / "o2" / "chunks")).count() == 4   # 5 rows, chunks of 2
+
+
+def test_word_count_job(spark, tmp_path, monkeypatch):
+    import time
+    from eddyline.plans import jobs
+    src = tmp_path / "txt"
+    src.mkdir()
+    (src / "a.txt").write_text("to be or not to be\n")
+    # 1 s windows instead of 30 s, so the test is short; same job otherwise
+    real = jobs.word_count_window
+    monkeypatch.setattr(jobs, "word_count_window",
+                        lambda lines, window, **kw: real(lines, "1 second", **kw))
+    args = (spark, str(src), str(tmp_path / "index"), str(tmp_path / "ck"))
+    jobs.word_count_job(*args, available_now=True, console=False).awaitTermination()
+    time.sleep(1.2)                       # the next batch starts after the window
+    (src / "b.txt").write_text("x\n")
+    jobs.word_count_job(*args, available_now=True, console=False).awaitTermination()
+    docs = [json.loads(json.loads(r.value)["data"])
+            for r in spark.read.text(str(tmp_path / "index" / "word-result")).collect()]
+    assert {d["word"]: d["countSum"] for d in docs} == {"to": 2, "be": 2, "or": 1, "not": 1}
