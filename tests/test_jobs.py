@@ -157,3 +157,15 @@ def test_word_count_job(spark, tmp_path, monkeypatch):
     docs = [json.loads(json.loads(r.value)["data"])
             for r in spark.read.text(str(tmp_path / "index" / "word-result")).collect()]
     assert {d["word"]: d["countSum"] for d in docs} == {"to": 2, "be": 2, "or": 1, "not": 1}
+
+
+def test_compat_times_from_command_line(spark, tmp_path):
+    from eddyline.plans.jobs import main
+    src = tmp_path / "txt"
+    src.mkdir()
+    (src / "a.txt").write_text("s,5,1540000000000\nt,1,1540000100000\n")
+    main(["count", "--source", str(src), "--target", str(tmp_path / "index"),
+          "--checkpoint", str(tmp_path / "ck"), "--available-now", "--times-mode", "compat"])
+    # the first window is closed by the second row; the second stays open
+    docs = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "index" / "count-result")).collect()]
+    assert docs == [{"key": "s", "count": 5, "times": ["1540000000000"]}]
