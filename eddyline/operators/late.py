@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eddyline.functions.timefmt import epoch_ms
-from eddyline.operators.scan import DEFAULT_SEQ_BUCKET, running, seq_bucket
+from eddyline.operators.scan import DEFAULT_SEQ_BUCKET, hot_key_bucket, running, seq_bucket
 
 
 class LateSplit(NamedTuple):
@@ -26,13 +26,18 @@ class LateSplit(NamedTuple):
 
 def mark_late(df: DataFrame, window: str, ts: str = "ts", seq: str = "seq",
               partition: str = "partition", tie: str | None = "event_id",
-              bucket_width: int = DEFAULT_SEQ_BUCKET) -> DataFrame:
+              bucket_width: int = DEFAULT_SEQ_BUCKET, split: str = "all") -> DataFrame:
     """Add ``window_start``, ``window_end``, ``watermark_ms`` (before the row)
-    and ``late``."""
+    and ``late``.  ``split="hot"`` buckets only the busy partitions."""
     order = [seq] + ([tie] if tie else [])
     d = df.withColumn("_ms", epoch_ms(ts))
-    d = running(d, [partition], order, F.col("_ms"), "max", "watermark_ms",
-                seq_bucket(seq, bucket_width), inclusive=False)
+    bucket = seq_bucket(seq, bucket_width)
+    if split == "hot":
+        bucket = hot_key_bucket(d, [partition], bucket)
+    elif split != "all":
+        raise ValueError("split must be 'all' or 'hot'")
+    d = running(d, [partition], order, F.col("_ms"), "max", "watermark_ms", bucket,
+                inclusive=False)
     w = F.window(F.col(ts).cast("timestamp"), window)
     d = d.withColumn("_w", w)
     end_ms = F.unix_millis(F.col("_w.end"))

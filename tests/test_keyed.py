@@ -110,3 +110,10 @@ def test_split_only_hot_keys(spark):
                                 "a INT, b INT, seq BIGINT, name STRING, value INT")
     hb = hot_key_bucket(two, ["a", "b"], seq_bucket("seq", 10), 0.1)
     assert two.select(hb.alias("x")).distinct().count() == 5
+
+
+def test_mark_late_hot_split_equal(spark):
+    ev = arrival_order(read_table(spark, SF_ORACLE, "events"))
+    a = mark_late(ev, "6 hours", bucket_width=1 << 40)
+    b = mark_late(ev, "6 hours", bucket_width=101, split="hot")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
