@@ -181,3 +181,16 @@ def test_stats_stream_many_batches(spark, tmp_path):
     closed = access_window_stats(static_rows, "6 hours").where(F.col("window_end") <= F.lit(wm))
     assert streamed.count() == closed.count() > 0
     assert streamed.exceptAll(closed).count() == 0
+
+
+def test_stream_sessions_gap_golden(spark, tmp_path):
+    from eddyline.operators import word_sessions_stream
+    src = str(tmp_path / "ev")
+    rows = [("a", 0), ("a", 600), ("a", 1199), ("b", 0), ("b", 601), ("z", 100000)]
+    (spark.createDataFrame(rows, "value STRING, s BIGINT")
+     .select("value", F.timestamp_seconds("s").alias("timestamp")).coalesce(1).write.parquet(src))
+    stream = spark.readStream.schema("value STRING, timestamp TIMESTAMP").parquet(src)
+    out = run_available_now(word_sessions_stream(stream, 600), "session_golden")
+    got = sorted((r.word, int(r.session_start.timestamp()), int(r.session_end.timestamp()),
+                  r.count_sum) for r in out.collect())
+    assert got == [("a", 0, 1799, 3), ("b", 0, 600, 1), ("b", 601, 1201, 1)]   # z still open
