@@ -27,11 +27,13 @@ def union_all_filtered(a: DataFrame, b: DataFrame, pred_a: str = "amount > 2",
     """``SELECT * FROM a WHERE pred_a UNION ALL SELECT * FROM b WHERE pred_b``;
     duplicates are kept and rows matching neither side are dropped.
 
-    When ``a`` and ``b`` are the same static source (one topic read twice),
-    the union is one scan that emits each row once per branch it matches,
-    instead of reading and parsing the input twice.
+    When ``a`` and ``b`` are the same source (the same frame, or static frames
+    with the same plan: one topic read twice), the union is one scan that
+    emits each row once per branch it matches, instead of reading and parsing
+    the input twice.
     """
-    if not a.isStreaming and not b.isStreaming and a.sameSemantics(b):
+    same = a is b or (not a.isStreaming and not b.isStreaming and a.sameSemantics(b))
+    if same:
         hits = F.filter(F.array(F.expr(f"({pred_a})"), F.expr(f"({pred_b})")), lambda h: h)
         return a.select("*", F.explode(hits).alias("_hit")).drop("_hit")
     return a.sparkSession.sql(

@@ -194,3 +194,15 @@ def test_stream_sessions_gap_golden(spark, tmp_path):
     got = sorted((r.word, int(r.session_start.timestamp()), int(r.session_end.timestamp()),
                   r.count_sum) for r in out.collect())
     assert got == [("a", 0, 1799, 3), ("b", 0, 600, 1), ("b", 601, 1201, 1)]   # z still open
+
+
+def test_union_of_one_stream_is_one_scan(spark, tmp_path):
+    from eddyline.operators import union_all_filtered
+    src = str(tmp_path / "o")
+    spark.createDataFrame([(1, 3), (2, 1), (3, 2), (4, 5)], "user BIGINT, amount INT") \
+        .coalesce(1).write.parquet(src)
+    s = spark.readStream.schema("user BIGINT, amount INT").parquet(src)
+    u = union_all_filtered(s, s, "amount > 2", "amount > 4")
+    assert "Union" not in u._jdf.queryExecution().logical().toString()
+    out = run_available_now(u, "union_one_stream")
+    assert sorted(r.user for r in out.collect()) == [1, 4, 4]
