@@ -1,6 +1,7 @@
 import json
 
 import pandas as pd
+from pyspark.sql import functions as F
 
 from conftest import lines_df
 from eddyline.operators import word_count
@@ -122,3 +123,20 @@ def test_topic_sink_options_and_split_late(spark):
     s = split_late(df.withColumn("ts", F.timestamp_millis("ms")), "30 seconds")
     assert sorted(r.ms for r in s.on_time.collect()) == [1000, 100000]
     assert [r.ms for r in s.late.collect()] == [5000]
+
+
+def test_spread_only_small_inputs(spark, tmp_path):
+    from eddyline.sources.lines import spread
+    slots = spark.sparkContext.defaultParallelism
+    one = spark.range(100).coalesce(1)
+    assert spread(one).rdd.getNumPartitions() == slots
+    many = spark.range(1000).repartition(slots * 2)
+    assert spread(many).rdd.getNumPartitions() == slots * 2      # left alone
+
+
+def test_materialize_cuts_lineage(spark):
+    from eddyline.session import materialize
+    df = spark.range(50).withColumn("y", F.col("id") * 2)
+    m = materialize(df)
+    assert sorted(r.y for r in m.collect()) == [2 * i for i in range(50)]
+    assert "Range" not in m._jdf.queryExecution().optimizedPlan().toString()
