@@ -64,3 +64,14 @@ def test_extreme_numbers_do_not_stop_the_query(spark):
                                               "/a,GET,ok,1,2,200,2147483647"])).rows
     (r,) = access_window_reduce(acc).collect()
     assert r.response_time_avg == 2147483647
+
+
+def test_fail_mode_orders_and_access(spark):
+    with pytest.raises(Exception):
+        parse_orders(lines_df(spark, ['{"user":1,"amount":2}', "{bad"]), on_error="fail").rows.collect()
+    ok = parse_orders(lines_df(spark, ['{"user":1,"amount":2}']), on_error="fail").rows.collect()
+    assert [(r.user, r.amount) for r in ok] == [(1, 2)]
+    with pytest.raises(Exception):
+        parse_access_lines(lines_df(spark, ["/a,GET,ok,1,1,200,x"]), on_error="fail").rows.collect()
+    with pytest.raises(ValueError):
+        parse_access_lines(lines_df(spark, ["x"]), on_error="ignore")
