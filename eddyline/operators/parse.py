@@ -128,4 +128,4 @@ def parse_orders(lines: DataFrame, on_error: str = "quarantine") -> Parsed:
               .when(bad_amount, F.lit("bad amount")))
     keep = [user.alias("user"), F.col("_j.product").alias("product"),
             F.coalesce(amount, F.lit(0)).alias("amount"), "seq", "partition"]
-    return _split(d, reason, keep, on_error, fatal=F.col("reason").isNotNull())
+    return _split(d, reason, keep, on_error, fatal=reason.isNotNull())
