@@ -206,3 +206,16 @@ def test_union_of_one_stream_is_one_scan(spark, tmp_path):
     assert "Union" not in u._jdf.queryExecution().logical().toString()
     out = run_available_now(u, "union_one_stream")
     assert sorted(r.user for r in out.collect()) == [1, 4, 4]
+
+
+def test_event_time_word_windows_stream(spark):
+    from eddyline.operators import word_count_window
+    from eddyline.sources import event_lines
+    stream = event_lines(read_table(spark, SF_ORACLE, "events", streaming=True))
+    out = run_available_now(word_count_window(stream, "6 hours", watermark="0 seconds"),
+                            "word_windows")
+    static_lines = event_lines(read_table(spark, SF_ORACLE, "events"))
+    wm = static_lines.agg(F.max("timestamp")).first()[0]
+    closed = word_count_window(static_lines, "6 hours").where(F.col("window_end") <= F.lit(wm))
+    assert out.count() == closed.count() > 0
+    assert out.exceptAll(closed).count() == 0
