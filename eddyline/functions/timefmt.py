@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: display format of event times (day before month).
+# Display format of event times (day before month), and the
+# text around a latency note ("<time> took<ms>ms").
 TIME_FORMAT = "yyyy/dd/MM HH:mm:ss"
+NOTE_BEFORE = " took"
+NOTE_AFTER = "ms"
 # Epoch milliseconds of 0001-01-01 00:00:00 and 9999-12-31 23:59:59.999 UTC.
 MIN_EPOCH_MS = -62135596800000
 MAX_EPOCH_MS = 253402300799999
@@ -31,7 +34,7 @@ def valid_epoch_ms(ms) -> Column:
 
 def took_note(text, took_ms) -> Column:
     """``<text> took<ms>ms``."""
-    return F.concat(_c(text), F.lit(" took"), _c(took_ms).cast("string"), F.lit("ms"))
+    return F.concat(_c(text), F.lit(NOTE_BEFORE), _c(took_ms).cast("string"), F.lit(NOTE_AFTER))
 
 
 def epoch_ms(ts) -> Column:
