@@ -32,6 +32,8 @@ from eddyline.sources import (
     order_lines, read_table, text_lines,
 )
 
+# Fixed value: the separator of the reference's time list text.
+TIMES_SEPARATOR = "|"
 REFERENCE_WINDOW = "30 seconds"   # the reference's tumbling window
 LONG_WINDOW = "6 hours"           # same job with fuller windows
 SESSION_GAP_SECONDS = 600         # the reference's session gap
@@ -48,12 +50,12 @@ def _flat_access(df: DataFrame) -> DataFrame:
         "url", "response", _ms("window_start"), _ms("window_end"), "method", "code",
         "count", "response_time_avg",
         F.round("response_time_mean", 6).alias("response_time_mean"),
-        F.array_join("times", "|").alias("times"))
+        F.array_join("times", TIMES_SEPARATOR).alias("times"))
 
 
 def _flat_count(df: DataFrame) -> DataFrame:
     return df.select("key", _ms("window_start"), _ms("window_end"), "count",
-                     F.array_join("times", "|").alias("times"))
+                     F.array_join("times", TIMES_SEPARATOR).alias("times"))
 
 
 def _access(spark: SparkSession, sf_dir: str, window: str, mode: str) -> DataFrame:
