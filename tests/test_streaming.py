@@ -1,3 +1,5 @@
+import os
+
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -74,7 +76,9 @@ def _late_files(tmp_path):
         for ms in b:
             rows.append({"value": f"k,1,{ms}", "seq": seq, "partition": 0})
             seq += 1
-        pd.DataFrame(rows).astype({"partition": "int32"}).to_parquet(src / f"b{i}.parquet")
+        path = src / f"b{i}.parquet"
+        pd.DataFrame(rows).astype({"partition": "int32"}).to_parquet(path)
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))   # the file source orders by mtime
     return str(src)
 
 
