@@ -264,14 +264,22 @@ def main(argv: list[str] | None = None) -> None:
                     help="offsets (topic) or files (folder) per micro-batch")
     ap.add_argument("--times-mode", choices=["clean", "compat"],
                     help="time list text of the count and access jobs")
+    ap.add_argument("--chars", action="store_true",
+                    help="prefix job: one row per character")
     a = ap.parse_args(argv)
+    extra: dict = {}
+    if a.times_mode:
+        if a.job not in ("count", "access"):
+            ap.error("--times-mode applies to the count and access jobs")
+        extra["times_mode"] = a.times_mode
+    if a.chars:
+        if a.job != "prefix":
+            ap.error("--chars applies to the prefix job")
+        extra["chars"] = True
     from eddyline.session import build_session
     from eddyline.sources import kafka_options
     spark: SparkSession = build_session()
     source = kafka_options(a.source, a.topic) if a.topic else a.source
-    extra = {"times_mode": a.times_mode} if a.times_mode else {}
-    if extra and a.job not in ("count", "access"):
-        ap.error("--times-mode applies to the count and access jobs")
     q = JOBS[a.job](spark, source, a.target, a.checkpoint, fmt=a.fmt,
                     available_now=a.available_now, max_per_trigger=a.max_per_trigger,
                     **extra)
