@@ -169,3 +169,17 @@ def test_compat_times_from_command_line(spark, tmp_path):
     # the first window is closed by the second row; the second stays open
     docs = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "index" / "count-result")).collect()]
     assert docs == [{"key": "s", "count": 5, "times": ["1540000000000"]}]
+
+
+def test_prefix_chars_from_command_line(spark, tmp_path):
+    import pytest
+    from eddyline.plans.jobs import main
+    src = tmp_path / "txt"
+    src.mkdir()
+    (src / "a.txt").write_text("ab\n")
+    main(["prefix", "--source", str(src), "--target", str(tmp_path / "out"),
+          "--checkpoint", str(tmp_path / "ck"), "--available-now", "--chars"])
+    chars = sorted(r.ch for r in spark.read.parquet(str(tmp_path / "out" / "prefix")).collect())
+    assert chars == sorted("PREFIX:ab")
+    with pytest.raises(SystemExit):
+        main(["count", "--source", str(src), "--target", "x", "--checkpoint", "y", "--chars"])
