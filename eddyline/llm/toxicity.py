@@ -14,7 +14,8 @@
    anchor the classes.
 4. Classifier: a logistic regression on the presence of the ranked words,
    beginnings and patterns, trained on the sample with the label model's
-   posteriors as targets; a sampled row's own label counts as one more voter.
+   posteriors as targets; a sampled row's own label counts as one more voter.  Its
+   log odds are scaled and shifted to fit the sampled labels.
 
 Labels are read only of rows whose ``crc32(id as text) mod 3`` is not 1.  Neither
 labels nor id, language or source are inputs of a score; only the text is.
@@ -50,16 +51,19 @@ LABEL_ACCURACY = 0.97       # of a row's own label, as a voter
 THRESHOLD = 0.7             # a document is rejected from this score on
 PRIOR_DOCS = 1.0            # smoothing of voter rates, in documents
 TABLE_WORDS = 300_000       # words a worker keeps; then it starts anew
+WORD_LENGTH = 64            # longer words are no features
 FLUSH = 400_000             # counted features a task holds before it passes them on
 
 WORD = re.compile(r"\w+")
 
-# Pattern voters, over the text as it is.
+# Pattern voters.  The first looks at the text as it is, the others at what stands
+# between white space, lower-cased.
+SHOUTING = re.compile(r"[A-Z]{3,}\W+[A-Z]{3,}\W+[A-Z]{3,}")
 PATTERNS = {
-    "shouting": re.compile(r"(?:\b[^\W\d_a-zà-ÿ]{3,}\b\W+){3}"),
-    "marks": re.compile(r"[!?]{3,}"),
-    "masked": re.compile(r"\b[A-Za-z]+[*#@$]{2,}[A-Za-z]*"),
-    "mixed": re.compile(r"\b[A-Za-z]+[013457]+[A-Za-z]+\b"),
+    "!shouting": SHOUTING,
+    "!marks": re.compile(r"[!?]{3,}"),
+    "!masked": re.compile(r"\w[*#@$]{2,}"),
+    "!mixed": re.compile(r"[^\W\d_][013457]+[^\W\d_]"),
 }
 
 
@@ -74,42 +78,44 @@ def blocks(text: str) -> Iterator[str]:
         at = end
 
 
-def word_features(word: str) -> list[str]:
-    """A word and its beginnings."""
-    return [word] + [word[:k] + "*" for k in BEGINNINGS if len(word) > k]
+def chunk_features(chunk: str) -> list[str]:
+    """Features of what stands between white space: its words, their beginnings
+    and the patterns."""
+    out = [name for name, p in PATTERNS.items() if p is not SHOUTING and p.search(chunk)]
+    for word in WORD.findall(chunk):
+        if len(word) <= WORD_LENGTH:
+            out.append(word)
+            out += [word[:k] + "*" for k in BEGINNINGS if len(word) > k]
+    return out
 
 
-def text_words(text: str) -> set[str]:
+def text_chunks(text: str) -> set[str]:
     out: set[str] = set()
     for b in blocks(text):
-        out.update(WORD.findall(b.lower()))
+        out.update(b.lower().split())
     return out
 
 
-def text_patterns(text: str) -> list[str]:
-    return [name for name, p in PATTERNS.items() if any(p.search(b) for b in blocks(text))]
-
-
 class _Index(dict):
-    """Word to the numbers of its features, filled on demand."""
+    """Chunk to the numbers of its features, filled on demand."""
 
-    def __init__(self, known: dict[str, int]) -> None:
-        self.known = known
+    def __init__(self, features: list[str]) -> None:
+        self.known = {f: i for i, f in enumerate(features)}
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        got = tuple(self.known[f] for f in word_features(word) if f in self.known)
-        if len(word) <= 64:
-            self[word] = got
+    def __missing__(self, chunk: str) -> tuple[int, ...]:
+        got = tuple(self.known[f] for f in chunk_features(chunk) if f in self.known)
+        if len(chunk) <= WORD_LENGTH:
+            self[chunk] = got
         return got
 
     def of(self, text: str) -> list[int]:
         """The numbers of all features present in ``text``."""
         found: set[int] = set()
-        for hit in map(self.__getitem__, text_words(text)):
-            found.update(hit)
+        found.update(*map(self.__getitem__, text_chunks(text)))
         if len(self) > TABLE_WORDS:
             self.clear()
-        found.update(self.known[p] for p in text_patterns(text) if p in self.known)
+        if any(SHOUTING.search(b) for b in blocks(text)):
+            found.add(self.known["!shouting"])
         return sorted(found)
 
 
@@ -154,7 +160,7 @@ def rank_features(sample: DataFrame, sizes: dict[int, int], top: int = FEATURES)
                  pa.array([got[k] for k in keys], pa.int64())], names=["f", "y", "n"])
         for b in batches:
             for y, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                found = {f for w in text_words(text) if len(w) <= 64 for f in word_features(w)}
+                found = {f for c in text_chunks(text) for f in chunk_features(c) if f not in PATTERNS}
                 got.update((f, y) for f in found)
                 if len(got) > FLUSH:
                     yield out()
@@ -224,7 +230,7 @@ def fit_label_model(patterns: np.ndarray, counts: np.ndarray, labelled: np.ndarr
 
 
 def fit_classifier(rows: list[list[int]], target: np.ndarray, weight: np.ndarray, width: int,
-                   l2: float = 2e-4, steps: int = 400) -> tuple[np.ndarray, float]:
+                   l2: float = 1e-5, steps: int = 600) -> tuple[np.ndarray, float]:
     """Logistic regression on present features, by Adam over all rows."""
     size = np.array([len(r) for r in rows])
     col = np.array([c for r in rows for c in r], dtype=np.int64)
@@ -244,6 +250,26 @@ def fit_classifier(rows: list[list[int]], target: np.ndarray, weight: np.ndarray
     return w[:width], float(w[width])
 
 
+def calibrate(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Scale and shift of the classifier's log odds that fit the sampled labels
+    best (a logistic fit by Newton steps, held in a sane range)."""
+    a, b = 1.0, 0.0
+    weight = weight / weight.sum()
+    # Targets just off 0 and 1, so that separable classes have a finite fit.
+    n1 = max(1, int(y.sum()))
+    t = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (len(y) - n1 + 2))
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))
+        g, h = (p - t) * weight, np.maximum(p * (1 - p), 1e-9) * weight
+        hess = np.array([[h @ (z * z), h @ z], [h @ z, h.sum()]]) + 1e-9 * np.eye(2)
+        step = np.linalg.solve(hess, np.array([g @ z, g.sum()]))
+        step *= min(1.0, 1 / max(1e-12, float(np.abs(step).max())))
+        a, b = float(np.clip(a - step[0], 0.2, 5.0)), b - float(step[1])
+        if np.abs(step).max() < 1e-6:
+            break
+    return a, b
+
+
 class ToxicityModel:
     """The fitted classifier, with the label model's estimates beside it."""
 
@@ -258,7 +284,7 @@ class ToxicityModel:
         @F.arrow_udf(T.DoubleType())
         def f(col: pa.Array) -> pa.Array:
             if not held:
-                held.append(_Index({f: i for i, f in enumerate(features)}))
+                held.append(_Index(features))
             z = [math.fsum(weights[held[0].of(x or "")]) + bias for x in col.to_pylist()]
             return pa.array(1 / (1 + np.exp(-np.clip(np.array(z, dtype=float), -500, 500))), pa.float64())
         return f(F.col(text) if isinstance(text, str) else text)
@@ -277,7 +303,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     lexicon, n_words = make_voters(words), len(words)
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = _Index({f: i for i, f in enumerate(features)})
+        index = _Index(features)
         for b in batches:
             found = [index.of(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int32()))], names=["y", "found"])
@@ -289,7 +315,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def vote(col: pa.Array) -> pa.Array:
         if not held:
-            held.append(_Index({f: i for i, f in enumerate(features)}))
+            held.append(_Index(features))
         return pa.array([votes_of(held[0].of(t or ""), lexicon, n_words) for t in col.to_pylist()], pa.int32())
     held: list[_Index] = []
     mask = F.arrow_udf(vote, T.IntegerType())
@@ -312,6 +338,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     target = 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
     weight = np.array([stands[c] for c in y.tolist()])
     weights, bias = fit_classifier(found, target, weight, len(features))
+    a, b = calibrate(np.array([weights[f].sum() + bias for f in found]), y, weight)
+    weights, bias = a * weights, a * bias + b
     return ToxicityModel(features, weights, bias, model)
 
 
