@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +23,28 @@ BLOCK_BYTES = 1 << 20
 WHITE = re.compile(rb"[\x20\x09-\x0d]")
 
 
+def once_per_worker(key: Any, make: Callable[[], Any]) -> Any:
+    """``make()``, once in each Python worker process for a ``key``.  Functions
+    shipped by value get new globals with every task, so what should outlive
+    a task is kept in a module of the process; the last two keys are kept."""
+    held = sys.modules.setdefault("_eddyline_llm_worker", types.ModuleType("_eddyline_llm_worker")).__dict__
+    made = held.setdefault("made", {})
+    if key not in made:
+        while len(made) > 1:
+            made.pop(next(iter(made)))
+        made[key] = make()
+    return made[key]
+
+
+def in_slices(values: Any, each: Callable[[Any], Any], kind: Any, rows: int = 256) -> Any:
+    """An Arrow array of ``each`` value, made in slices: Python objects of only
+    ``rows`` rows exist at a time."""
+    import pyarrow as pa
+    parts = [pa.array(map(each, values.slice(i, rows).to_pylist()), kind, size=min(rows, len(values) - i))
+             for i in range(0, len(values), rows)]
+    return pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 

@@ -31,11 +31,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eddyline.llm.common import word_blocks
+from eddyline.llm.common import in_slices, once_per_worker, word_blocks
 
 WORDS = 5               # words of a shingle
-FRACTION = 1 / 16       # of the hash range that is retained
-FLOOR = 32              # hashes that a short text keeps at least
+FRACTION = 1 / 8        # of the hash range that is retained
+FLOOR = 64              # hashes that a short text keeps at least
 FULL = (1 << 64) - 1
 TABLE_WORDS = 500_000   # word hashes a worker keeps; then it starts anew
 ODD = np.uint64(0x9E3779B97F4A7C15)    # multiplier of the shingle polynomial
@@ -49,9 +49,6 @@ class _WordHashes(dict):
         return h
 
 
-_TABLE = _WordHashes()
-
-
 def _mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of a polynomial hash (xor-shift and multiply, twice)."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -61,7 +58,7 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 def hash_blocks(raw: bytes, words: int) -> Iterator[np.ndarray]:
     """Hashes of all word shingles of the lower-cased text, block by block."""
-    table = _TABLE
+    table = once_per_worker("sketch words", _WordHashes)
     if len(table) > TABLE_WORDS:
         table.clear()
     for block in word_blocks(raw.decode("utf-8", "replace").lower().encode(), words):
@@ -140,8 +137,8 @@ def sketch_column(text: str | Column, words: int = WORDS, fraction: float = FRAC
     """The sketch string of a text column."""
     @F.arrow_udf(T.StringType())
     def f(col: pa.Array) -> pa.Array:
-        return pa.array([Sketch.of(x or b"", words, fraction, floor).text(fraction)
-                         for x in col.cast(pa.binary()).to_pylist()], pa.string())
+        return in_slices(col.cast(pa.binary()), lambda x: Sketch.of(x or b"", words, fraction, floor).text(fraction),
+                         pa.string())
     return f(F.col(text) if isinstance(text, str) else text)
 
 
@@ -238,6 +235,13 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - k] + following[:k]
 
 
+def small_slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[tuple]:
+    """The rows of all batches; only a few are Python objects at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield from zip(*(c.to_pylist() for c in b.slice(at, rows).columns))
+
+
 def compare_with_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         words: int = WORDS, fraction: float = FRACTION,
                         part_rows: int = PART_ROWS) -> DataFrame:
@@ -266,18 +270,17 @@ def compare_with_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             return pa.RecordBatch.from_arrays(arrays, names=names)
 
         waiting = False
-        for b in batches:
-            for part, guest, i, raw in zip(*(c.to_pylist() for c in b.columns)):
-                if last is not None and part != last[0]:
-                    last, waiting = None, False
-                if guest and not waiting:
-                    continue            # a further row of the guest id
-                s = Sketch.of(raw, words, fraction)
-                if waiting:
-                    result(last, raw, s)
-                last, waiting = (part, i, raw, s), not guest
-                if len(out) >= 256:
-                    yield flush()
+        for part, guest, i, raw in small_slices(batches):
+            if last is not None and part != last[0]:
+                last, waiting = None, False
+            if guest and not waiting:
+                continue            # a further row of the guest id
+            s = Sketch.of(raw, words, fraction)
+            if waiting:
+                result(last, raw, s)
+            last, waiting = (part, i, raw, s), not guest
+            if len(out) >= 256:
+                yield flush()
         if out:
             yield flush()
 

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eddyline.llm.common import BLOCK_BYTES, fresh, materialize
+from eddyline.llm.common import BLOCK_BYTES, fresh, in_slices, materialize, once_per_worker
 
 SAMPLE_PER_CLASS = 4000     # labelled documents of each class that the models are fitted on
 FEATURES = 2048             # ranked words and beginnings
@@ -279,14 +279,13 @@ class ToxicityModel:
     def score_column(self, text: str | Column) -> Column:
         """Probability that a text is toxic."""
         features, weights, bias = self.features, self.weights, self.bias
-        held: list[_Index] = []
+        key = "toxicity", hash(tuple(features))
 
         @F.arrow_udf(T.DoubleType())
         def f(col: pa.Array) -> pa.Array:
-            if not held:
-                held.append(_Index(features))
-            z = [math.fsum(weights[held[0].of(x or "")]) + bias for x in col.to_pylist()]
-            return pa.array(1 / (1 + np.exp(-np.clip(np.array(z, dtype=float), -500, 500))), pa.float64())
+            index = once_per_worker(key, lambda: _Index(features))
+            z = in_slices(col, lambda x: math.fsum(weights[index.of(x or "")]) + bias, pa.float64()).to_numpy()
+            return pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500))), pa.float64())
         return f(F.col(text) if isinstance(text, str) else text)
 
 
@@ -314,10 +313,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     found = [r["found"] for r in rows]
 
     def vote(col: pa.Array) -> pa.Array:
-        if not held:
-            held.append(_Index(features))
-        return pa.array([votes_of(held[0].of(t or ""), lexicon, n_words) for t in col.to_pylist()], pa.int32())
-    held: list[_Index] = []
+        index = once_per_worker(key, lambda: _Index(features))
+        return in_slices(col, lambda t: votes_of(index.of(t or ""), lexicon, n_words), pa.int32())
+    key = "toxicity", hash(tuple(features))
     mask = F.arrow_udf(vote, T.IntegerType())
     tally = {r["v"]: r["n"] for r in docs.select(mask(F.col(f"`{text_col}`")).alias("v")).groupBy("v").agg(
         F.count(F.lit(1)).alias("n")).collect()}
