@@ -35,10 +35,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from eddyline.llm.common import BLOCK_BYTES
+from eddyline.llm.common import BLOCK_BYTES, in_slices, once_per_worker
 
 MAX_TOKENIZER_BYTES = 64 << 20     # a larger file is refused, as it is broadcast
-TABLE_ENTRIES = 400_000            # words, and fragments, a worker keeps; then it starts anew
+TABLE_ENTRIES = 250_000            # words, and fragments, a worker keeps; then it starts anew
 TABLE_WORD = 64                    # longer ones are not kept
 PLAIN_END = 0x250                  # characters tried for the quick word pattern: Latin
 
@@ -242,17 +242,10 @@ class _Fragments(dict):
         return ids
 
 
-_CODERS: dict[int, ForcedBoundaryBPE] = {}
-
-
 def _coder(shared) -> ForcedBoundaryBPE:
     """The worker's coder for a broadcast tokenizer text."""
     text = shared.value
-    key = hash(text)
-    if key not in _CODERS:
-        _CODERS.clear()
-        _CODERS[key] = ForcedBoundaryBPE(text)
-    return _CODERS[key]
+    return once_per_worker(("bpe", len(text), hash(text)), lambda: ForcedBoundaryBPE(text))
 
 
 def share_tokenizer(spark: SparkSession, path: str):
@@ -263,30 +256,27 @@ def share_tokenizer(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(text)
 
 
-def _udf(kind: T.DataType, shared, each):
+def _udf(kind: T.DataType, arrow: pa.DataType, shared, each):
     @F.arrow_udf(kind)
     def f(col: pa.Array) -> pa.Array:
         coder = _coder(shared)
-        return each(coder, col)
+        return in_slices(col, lambda x: each(coder, x), arrow)
     return f
 
 
 def encode_column(shared, text: str | Column) -> Column:
     """Packed ids (BINARY) of a text column."""
-    return _udf(T.BinaryType(), shared, lambda coder, col: pa.array(
-        [coder.encode(x or "") for x in col.to_pylist()], pa.binary()))(text)
+    return _udf(T.BinaryType(), pa.binary(), shared, lambda coder, x: coder.encode(x or ""))(text)
 
 
 def count_column(shared, text: str | Column) -> Column:
     """Number of tokens of a text column; the ids stay in the worker."""
-    return _udf(T.LongType(), shared, lambda coder, col: pa.array(
-        [len(coder.encode(x or "")) // 4 for x in col.to_pylist()], pa.int64()))(text)
+    return _udf(T.LongType(), pa.int64(), shared, lambda coder, x: len(coder.encode(x or "")) // 4)(text)
 
 
 def decode_column(shared, ids: str | Column) -> Column:
     """The text of a column of packed ids."""
-    return _udf(T.StringType(), shared, lambda coder, col: pa.array(
-        [coder.decode(x or b"") for x in col.to_pylist()], pa.string()))(ids)
+    return _udf(T.StringType(), pa.string(), shared, lambda coder, x: coder.decode(x or b""))(ids)
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, text_col: str = "text",
