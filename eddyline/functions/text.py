@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 # word character is ASCII [A-Za-z0-9_] (so accented letters split words).
 WORD_SEPARATOR = r"\W+"
 WORD = r"\w+"
-INT_PATTERN = r"^[+-]?[0-9]+$"
+INT_PATTERN = r"^[+-]?[0-9]+\z"
 
 
 def _c(c) -> Column:

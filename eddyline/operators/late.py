@@ -28,7 +28,8 @@ def mark_late(df: DataFrame, window: str, ts: str = "ts", seq: str = "seq",
               partition: str = "partition", tie: str | None = "event_id",
               bucket_width: int = DEFAULT_SEQ_BUCKET, split: str = "all") -> DataFrame:
     """Add ``window_start``, ``window_end``, ``watermark_ms`` (before the row)
-    and ``late``.  ``split="hot"`` buckets only the busy partitions."""
+    and ``late``.  A row without a time has no window and is not late; rows of a
+    null partition are a partition of their own.  ``split="hot"`` buckets only the busy partitions."""
     order = [seq] + ([tie] if tie else [])
     d = df.withColumn("_ms", epoch_ms(ts))
     bucket = seq_bucket(seq, bucket_width)
@@ -38,8 +39,10 @@ def mark_late(df: DataFrame, window: str, ts: str = "ts", seq: str = "seq",
         raise ValueError("split must be 'all' or 'hot'")
     d = running(d, [partition], order, F.col("_ms"), "max", "watermark_ms", bucket,
                 inclusive=False)
-    w = F.window(F.col(ts).cast("timestamp"), window)
-    d = d.withColumn("_w", w)
+    # ``window`` would drop rows without a time: they get a stand-in, and no window.
+    known = F.col(ts).isNotNull()
+    w = F.window(F.coalesce(F.col(ts).cast("timestamp"), F.timestamp_millis(F.lit(0))), window)
+    d = d.withColumn("_w", w).withColumn("_w", F.when(known, F.col("_w")))
     end_ms = F.unix_millis(F.col("_w.end"))
     late = F.coalesce(end_ms - 1 <= F.col("watermark_ms"), F.lit(False))
     return (d.withColumn("window_start", F.col("_w.start"))

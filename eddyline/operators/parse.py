@@ -56,9 +56,15 @@ def _at(f: Column, i: int) -> Column:
     return F.get(f, i)
 
 
+def _out_of_range(ms_text: Column) -> Column:
+    """A whole number that is no time in years 1 to 9999."""
+    ms = strict_long(ms_text)
+    return ms.isNotNull() & valid_epoch_ms(ms).isNull()
+
+
 def _event_time(ms_text: Column) -> tuple[Column, Column]:
-    """Epoch ms from text; unparsable (or out of range) gives 0, as the
-    reference's extractor does."""
+    """Epoch ms from text; unparsable gives 0, as the reference's extractor
+    does.  (Numbers out of range are rejected before.)"""
     ms = F.coalesce(valid_epoch_ms(strict_long(ms_text)), F.lit(0).cast("bigint"))
     return ms, F.timestamp_millis(ms)
 
@@ -72,7 +78,8 @@ def parse_count_lines(lines: DataFrame, on_error: str = "quarantine") -> Parsed:
     arity = F.col("value").contains(",") & (F.size(f) == 3)
     reason = (F.when(F.col("value").isNull(), F.lit("null line"))
               .when(~arity, F.lit("arity"))
-              .when(cnt.isNull(), F.lit("bad count")))
+              .when(cnt.isNull(), F.lit("bad count"))
+              .when(_out_of_range(_at(f, 2)), F.lit("time out of range")))
     ms, ts = _event_time(_at(f, 2))
     keep = [_at(f, 0).alias("key"), cnt.alias("count"),
             _at(f, 2).alias("time_text"), ms.alias("ms"), ts.alias("event_time"),
@@ -90,7 +97,8 @@ def parse_access_lines(lines: DataFrame, on_error: str = "quarantine") -> Parsed
     bad_int = cnt.isNull() | code.isNull() | took.isNull()
     reason = (F.when(F.col("value").isNull(), F.lit("null line"))
               .when(~arity, F.lit("arity"))
-              .when(bad_int, F.lit("bad number")))
+              .when(bad_int, F.lit("bad number"))
+              .when(_out_of_range(_at(f, 4)), F.lit("time out of range")))
     ms, ts = _event_time(_at(f, 4))
     keep = [_at(f, 0).alias("url"), _at(f, 1).alias("method"),
             _at(f, 2).alias("response"), cnt.alias("count"),
@@ -111,7 +119,8 @@ def parse_orders(lines: DataFrame, on_error: str = "quarantine") -> Parsed:
     """JSON orders ``{"user": long, "product": string, "amount": int}``.
 
     Empty lines and the JSON literal ``null`` give no row.  A missing amount
-    is 0, missing user/product are null.  Malformed JSON, a non-object, or a
+    is 0, missing user/product are null.  Malformed JSON (text after the object
+    included), a non-object, or a
     non-integer user/amount is rejected.
     """
     v = F.col("value")
@@ -123,7 +132,12 @@ def parse_orders(lines: DataFrame, on_error: str = "quarantine") -> Parsed:
     user, amount = strict_long(user_t), strict_int(amount_t)
     bad_user = user_t.isNotNull() & user.isNull()
     bad_amount = amount_t.isNotNull() & amount.isNull()
-    reason = (F.when(F.col("_j._corrupt").isNotNull(), F.lit("malformed json"))
+    # The parser stops after the first object: the line must also be one element
+    # of an array and one value of an object, or text follows it.
+    alone = F.coalesce((F.json_array_length(F.concat(F.lit("["), v, F.lit("]"))) == 1)
+                       & (F.size(F.json_object_keys(F.concat(F.lit('{"v":'), v, F.lit("}")))) == 1),
+                       F.lit(False))
+    reason = (F.when(F.col("_j._corrupt").isNotNull() | ~alone, F.lit("malformed json"))
               .when(bad_user, F.lit("bad user"))
               .when(bad_amount, F.lit("bad amount")))
     keep = [user.alias("user"), F.col("_j.product").alias("product"),

@@ -17,7 +17,6 @@ version.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,34 +57,35 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     With ``peers=True`` (one integral order column) rows with equal order
     values are treated alike: inclusive takes all of them, exclusive none.
     ``key_total`` names an optional column with ``op`` over all rows of the
-    key, delivered through the same carry join.  Keys must be non-null; a
-    ``sum`` over only nulls is 0 (a window would give null)."""
+    key, delivered through the same carry join.  Null keys are a key of
+    their own; a ``sum`` over only nulls is 0 (a window would give null)."""
     agg = _AGG[op]
     keys = list(keys)
-    v, local, total, carry = "_scan_v", "_scan_local", "_scan_total", "_scan_carry"
+    v, local, total, carry, cell = "_scan_v", "_scan_local", "_scan_total", "_scan_carry", "_scan_cell"
     if isinstance(bucket, str):      # an existing column: chained scans share it
         b, d, made = bucket, df, False
     else:
         b, d, made = "_scan_b", df.withColumn("_scan_b", bucket), True
-    d = d.where(reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys + [b]]))
-    d = d.withColumn(v, value)
+    # Structs compare null fields as equal, so rows of a null key or bucket form
+    # a group of their own and meet their carry in a plain equi-join.
+    d = d.withColumn(cell, F.struct(*keys, b)).withColumn(v, value)
     # Level one: one row per (key, bucket), combined map-side before the
     # shuffle; the carry window then sees one row per bucket.
-    totals = d.groupBy(*keys, b).agg(agg(v).alias(total))
+    totals = d.groupBy(*keys, b, cell).agg(agg(v).alias(total))
     over_buckets = (Window.partitionBy(*keys).orderBy(b)
                     .rowsBetween(Window.unboundedPreceding, -1))
     extra = [agg(total).over(Window.partitionBy(*keys)).alias(key_total)] if key_total else []
-    carries = totals.select(*keys, b, agg(total).over(over_buckets).alias(carry), *extra)
+    carries = totals.select(cell, agg(total).over(over_buckets).alias(carry), *extra)
     # Level two: the rows' only shuffle, by (key, bucket), for this window.
     end = Window.currentRow if inclusive else -1
-    inside = Window.partitionBy(*keys, b).orderBy(*order)
+    inside = Window.partitionBy(cell).orderBy(*order)
     if peers:
         inside = inside.rangeBetween(Window.unboundedPreceding, end)
     else:
         inside = inside.rowsBetween(Window.unboundedPreceding, end)
     d = d.withColumn(local, agg(v).over(inside))
-    d = d.join(carries, on=keys + [b], how="inner")
-    d = d.withColumn(out, _combine(op, F.col(carry), F.col(local))).drop(v, local, carry)
+    d = d.join(carries, on=cell, how="inner")
+    d = d.withColumn(out, _combine(op, F.col(carry), F.col(local))).drop(v, local, carry, cell)
     return d.drop(b) if made else d
 
 

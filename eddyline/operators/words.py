@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eddyline.functions.text import tokens
-from eddyline.operators.scan import floor_div, running
-from eddyline.session import materialize
+from eddyline.operators.scan import floor_div
 
 DEFAULT_WINDOW = "30 seconds"
 DEFAULT_GAP_SECONDS = 600
-DEFAULT_SESSION_BUCKET_SECONDS = 7 * 24 * 3600   # slots per scan bucket: about 1,000
 
 
 def word_pairs(lines: DataFrame, time_col: str | None = "timestamp") -> DataFrame:
@@ -56,8 +54,7 @@ def word_count_window(lines: DataFrame, window: str = DEFAULT_WINDOW,
 
 
 def word_sessions(lines: DataFrame, gap_seconds: int = DEFAULT_GAP_SECONDS,
-                  time_col: str = "timestamp",
-                  bucket_seconds: int = DEFAULT_SESSION_BUCKET_SECONDS) -> DataFrame:
+                  time_col: str = "timestamp") -> DataFrame:
     """Count per word per event-time session (static frames).
 
     A word's session ends when its next occurrence is more than
@@ -70,9 +67,8 @@ def word_sessions(lines: DataFrame, gap_seconds: int = DEFAULT_GAP_SECONDS,
     islands over the slots: a slot opens a session when its first row is
     more than ``gap`` after the last row of the word's previous slot.  A word
     on every line (a hot key) costs one row per slot, bounded by its time
-    span rather than its row count; the two running maxima over the slots
-    are split further into ``bucket_seconds`` ranges.  The slot table is
-    checkpointed to the shared folder (an eager job), since both scans read it.
+    span rather than its row count, so two windows over a word's slots are
+    enough: no join and no checkpoint.
     """
     gap_us = gap_seconds * 1_000_000
     pairs = word_pairs(lines, time_col).where(F.col("ts").isNotNull())
@@ -80,14 +76,12 @@ def word_sessions(lines: DataFrame, gap_seconds: int = DEFAULT_GAP_SECONDS,
     slots = (pairs.groupBy("word", floor_div(us, gap_us).alias("_slot"))
              .agg(F.min(us).alias("_first"), F.max(us).alias("_last"),
                   F.count("*").alias("_n")))
-    slots = slots.withColumn("_tb", floor_div("_first", bucket_seconds * 1_000_000))
-    # Both scans below read the slots several times: compute them once.
-    slots = materialize(slots)
-    d = running(slots, ["word"], ["_slot"], F.col("_last"), "max", "_prev", "_tb",
-                inclusive=False)
-    d = d.withColumn("_start_here", F.when(
-        F.col("_prev").isNull() | (F.col("_first") - F.col("_prev") > gap_us), F.col("_first")))
-    d = running(d, ["word"], ["_slot"], F.col("_start_here"), "max", "_session", "_tb")
+    in_order = Window.partitionBy("word").orderBy("_slot")
+    prev = F.lag("_last").over(in_order)
+    d = slots.withColumn("_start_here", F.when(
+        prev.isNull() | (F.col("_first") - prev > gap_us), F.col("_first")))
+    d = d.withColumn("_session", F.max("_start_here").over(
+        in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     return (d.groupBy("word", "_session")
             .agg(F.sum("_n").cast("bigint").alias("count_sum"), F.max("_last").alias("_end"))
             .select("word",

@@ -27,11 +27,20 @@ from eddyline.streaming import (
 )
 from eddyline.sinks import write_lines
 from eddyline.sinks import access_documents, count_documents, object_documents, word_documents
+from eddyline import sources
 from eddyline.sources import (
     access_lines, arrival_order, count_lines, event_lines, keyed_pairs, named_pairs,
-    order_lines, read_table, text_lines,
+    order_lines, text_lines,
 )
 
+
+
+def read_table(spark, sf_dir, name, **kw):
+    """The given tables are single small files here: their rows are dealt over
+    the task slots before the per-row work."""
+    return sources.read_table(spark, sf_dir, name, spread_small=True, **kw)
+
+
 # Fixed value: the separator of the reference's time list text.
 TIMES_SEPARATOR = "|"
 REFERENCE_WINDOW = "30 seconds"   # the reference's tumbling window

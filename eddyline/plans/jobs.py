@@ -4,8 +4,8 @@ Each job reads messages with :func:`eddyline.sources.read_lines` (a dict of
 topic options, or a folder of text or parquet line files), runs the same
 operators as the named queries, and starts a streaming query.  Documents go
 to ``target/<index>`` (one folder of JSON lines per index) and, where the
-reference also printed them, to the console in the same micro-batch
-(:func:`eddyline.sinks.fan_out`).  The micro-batch trigger interval is the
+reference also printed them, to the printout ``target/<index>-print`` in the same
+micro-batch (:func:`eddyline.sinks.fan_out`).  The micro-batch trigger interval is the
 checkpoint interval; checkpoints go under ``checkpoint``.  Late rows are
 filtered with the current micro-batch's watermark
 (``spark.sql.streaming.statefulOperator.allowMultiple=false``).
@@ -31,7 +31,7 @@ import functools
 
 from eddyline.session import prepare_session, settings_for_start
 from eddyline.sinks import (
-    access_documents, count_documents, fan_out, object_documents, word_documents,
+    access_documents, batch_writer, count_documents, fan_out, object_documents, word_documents,
 )
 from eddyline.sources import read_lines
 from eddyline.streaming import chunk_rows_stream, count_average_stream, start_stream
@@ -53,13 +53,11 @@ def _trigger(name: str, available_now: bool) -> dict:
 def _to_index_and_console(docs: DataFrame, target: str, index: str, checkpoint: str,
                           trigger: dict, output_mode: str = "append",
                           console: bool = True) -> StreamingQuery:
-    def to_index(batch: DataFrame, epoch_id: int) -> None:
-        batch.select("doc").write.mode("append").text(f"{target.rstrip('/')}/{index}")
-
-    def to_console(batch: DataFrame, epoch_id: int) -> None:
-        batch.show(20, truncate=False)
-
-    writers = [to_index, to_console] if console else [to_index]
+    """The documents into the index and, with ``console``, all of them into
+    the printout ``<index>-print`` too, written by the executors."""
+    writers = [batch_writer(target, index)]
+    if console:
+        writers.append(batch_writer(target, f"{index}-print"))
     return fan_out(docs, writers, checkpoint, trigger, output_mode)
 
 

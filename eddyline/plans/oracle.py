@@ -256,36 +256,27 @@ FROM m
 
 WORD_DOCS = f"""
 WITH c AS ({WORD_COUNT})
-SELECT CAST(to_json({{'data': CAST(to_json({{'word': word, 'countSum': CAST(count_sum AS INTEGER)}})
+SELECT CAST(to_json({{'data': CAST(to_json({{'word': word, 'countSum': CAST(count_sum AS BIGINT)}})
                                    AS VARCHAR)}}) AS VARCHAR) AS doc
 FROM c
 """
 
-COUNT_DOCS = f"""
+def _count_docs(window_ms: int) -> str:
+    return f"""
 WITH {COUNT_SRC.strip()}
-SELECT CAST(to_json({{'key': key, 'count': CAST(sum(cnt) AS INTEGER),
-                      'times': list({_fmt_text('time_text')} ORDER BY seq, partition)}}) AS VARCHAR) AS doc
+SELECT CAST(to_json({{'key': key, 'count': CAST(sum(cnt) AS BIGINT),
+                      'times': list({_fmt_text('time_text')} ORDER BY seq, partition)}}) AS VARCHAR) AS doc,
+       (ms // {window_ms}) * {window_ms} + {window_ms} AS window_end_ms
 FROM count_rows
-GROUP BY key, ms // {W6H}
+GROUP BY key, ms // {window_ms}
 """
 
-ACCESS_DOCS = f"""
-WITH {ACCESS_SRC.strip()}
-SELECT CAST(to_json({{'url': url, 'method': arg_min(method, seq), 'response': response,
-                      'count': CAST(sum(cnt) AS INTEGER), 'code': arg_min(code, seq),
-                      'responseTimeAvg': CAST(list_reduce(list(took ORDER BY seq, partition),
-                                                          lambda a, x: (a + x) // 2) AS INTEGER),
-                      'times': list({_fmt_text('time_text')} || ' took' || CAST(took AS VARCHAR) || 'ms'
-                                    ORDER BY seq, partition)}}) AS VARCHAR) AS doc
-FROM access_rows
-GROUP BY url, response, ms // {W6H}
-"""
 
 def _access_docs(window_ms: int) -> str:
     return f"""
 WITH {ACCESS_SRC.strip()}
 SELECT CAST(to_json({{'url': url, 'method': arg_min(method, seq), 'response': response,
-                      'count': CAST(sum(cnt) AS INTEGER), 'code': arg_min(code, seq),
+                      'count': CAST(sum(cnt) AS BIGINT), 'code': arg_min(code, seq),
                       'responseTimeAvg': CAST(list_reduce(list(took ORDER BY seq, partition),
                                                           lambda a, x: (a + x) // 2) AS INTEGER),
                       'times': list({_fmt_text('time_text')} || ' took' || CAST(took AS VARCHAR) || 'ms'
@@ -316,8 +307,8 @@ ORACLE_SQL.update({
     "chunk_rows": CHUNK_ROWS,
     "late_split": LATE_SPLIT,
     "word_docs": WORD_DOCS,
-    "count_docs": COUNT_DOCS,
-    "access_docs": ACCESS_DOCS,
+    "count_docs": f"SELECT doc FROM ({_count_docs(W6H)}) q",
+    "access_docs": f"SELECT doc FROM ({_access_docs(W6H)}) q",
     "order_docs": ORDER_DOCS,
 })
 
@@ -349,24 +340,15 @@ ORACLE_SQL.update({
 })
 
 
-COUNT_DOCS_30S = f"""
-WITH {COUNT_SRC.strip()}
-SELECT CAST(to_json({{'key': key, 'count': CAST(sum(cnt) AS INTEGER),
-                      'times': list({_fmt_text('time_text')} ORDER BY seq, partition)}}) AS VARCHAR) AS doc,
-       (ms // {W30S}) * {W30S} + {W30S} AS window_end_ms
-FROM count_rows
-GROUP BY key, ms // {W30S}
-"""
-
 SESSION_DOCS = f"""
-SELECT CAST(to_json({{'data': CAST(to_json({{'word': word, 'countSum': CAST(count_sum AS INTEGER)}})
+SELECT CAST(to_json({{'data': CAST(to_json({{'word': word, 'countSum': CAST(count_sum AS BIGINT)}})
                                    AS VARCHAR)}}) AS VARCHAR) AS doc
 FROM ({SESSIONS}) q WHERE session_end_us <= {EVENT_MAX_US}
 """
 
 ORACLE_SQL.update({
     "count_job_docs":
-        f"SELECT doc FROM ({COUNT_DOCS_30S}) q WHERE window_end_ms <= {COUNT_MAX_MS}",
+        f"SELECT doc FROM ({_count_docs(W30S)}) q WHERE window_end_ms <= {COUNT_MAX_MS}",
     "word_session_job_docs": SESSION_DOCS,
 })
 

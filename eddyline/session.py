@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -71,7 +71,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     Uses ``spark.checkpoint.dir`` (or the context's checkpoint dir) as the
     cluster names it.  Only a local-mode session without that setting, as in
-    tests, gets a fresh temporary folder of its own.
+    tests, gets a new folder of its own, below the warehouse folder.
     """
     d = None
     try:
@@ -88,7 +88,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; a cluster job needs a shared folder")
-    d = tempfile.mkdtemp(prefix="eddyline-ckpt-")
+    d = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints-{uuid.uuid4().hex[:12]}"
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 

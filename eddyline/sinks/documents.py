@@ -18,27 +18,28 @@ from pyspark.sql.streaming import StreamingQuery
 def word_documents(counts: DataFrame) -> DataFrame:
     """``{"data": "<JSON text of {word, countSum}>"}``: the word count JSON
     is a string inside the document."""
-    inner = F.to_json(F.struct(F.col("word"), F.col("count_sum").cast("int").alias("countSum")))
+    inner = F.to_json(F.struct(F.col("word"), F.col("count_sum").alias("countSum")))
     return counts.select(F.to_json(F.struct(inner.alias("data"))).alias("doc"))
 
 
 def count_documents(reduced: DataFrame) -> DataFrame:
     """``{"key", "count", "times": [..]}`` from a count window reduce."""
     return reduced.select(F.to_json(F.struct(
-        "key", F.col("count").cast("int").alias("count"), "times")).alias("doc"))
+        "key", "count", "times")).alias("doc"))
 
 
 def access_documents(reduced: DataFrame) -> DataFrame:
     """``{"url", "method", "response", "count", "code", "responseTimeAvg",
     "times": [..]}`` from an access window reduce."""
     return reduced.select(F.to_json(F.struct(
-        "url", "method", "response", F.col("count").cast("int").alias("count"), "code",
+        "url", "method", "response", "count", "code",
         F.col("response_time_avg").alias("responseTimeAvg"), "times")).alias("doc"))
 
 
 def object_documents(df: DataFrame) -> DataFrame:
-    """Every field of the row as a JSON object."""
-    return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("doc"))
+    """Every field of the row as a JSON object, null fields included."""
+    return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns]),
+                               {"ignoreNullFields": "false"}).alias("doc"))
 
 
 def write_documents(docs: DataFrame, target: str, index: str, mode: str = "append",
@@ -64,6 +65,16 @@ def write_documents_stream(docs: DataFrame, target: str, index: str, checkpoint:
             .start(f"{target.rstrip('/')}/{index}"))
 
 
+def batch_writer(target: str, name: str) -> Callable[[DataFrame, int], None]:
+    """A writer for :func:`fan_out`: the batch's documents as JSON lines in
+    ``target/name/batch=<epoch>``.  A batch that is replayed after a failure
+    overwrites its own folder, so no document is lost or doubled."""
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        (batch.select("doc").write.mode("overwrite")
+         .text(f"{target.rstrip('/')}/{name}/batch={epoch_id}"))
+    return write
+
+
 def fan_out(df: DataFrame, writers: Sequence[Callable[[DataFrame, int], None]],
             checkpoint: str, trigger: dict | None = None,
             output_mode: str = "append") -> StreamingQuery:
@@ -84,7 +95,8 @@ def fan_out(df: DataFrame, writers: Sequence[Callable[[DataFrame, int], None]],
 
 def print_stream(df: DataFrame, output_mode: str = "append", rows: int = 20,
                  trigger: dict | None = None) -> StreamingQuery:
-    """Print each micro-batch (the console sink)."""
+    """A preview of each micro-batch on the driver's console, ``rows`` rows at
+    most.  The whole printout of a job is written by :func:`batch_writer`."""
     return (df.writeStream.format("console").outputMode(output_mode)
             .option("numRows", rows).option("truncate", False)
             .trigger(**(trigger or {"availableNow": True})).start())

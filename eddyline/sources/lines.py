@@ -48,18 +48,21 @@ def _is_dir(spark: SparkSession, path: str) -> bool:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str,
-               streaming: bool = False, max_files: int | None = None) -> DataFrame:
+               streaming: bool = False, max_files: int | None = None,
+               spread_small: bool = False) -> DataFrame:
     """One of the given parquet tables (``<name>.parquet``, a file or a
     directory of files), as a static or a streaming frame.
 
     A stream over a single file uses its folder with a glob filter, since the
     file source needs a directory; a single file is one task per micro-batch
     whatever its size, so its rows are round-robined over the task slots.  A
-    directory of files is streamed as it is.
+    directory of files is streamed as it is.  ``spread_small`` deals a static
+    table of fewer splits than task slots over the slots, for small tables.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     if not streaming:
-        return spread(spark.read.parquet(path))
+        df = spark.read.parquet(path)
+        return spread(df) if spread_small else df
     schema = spark.read.parquet(path).schema
     r = spark.readStream.schema(schema)
     if max_files:
@@ -107,7 +110,7 @@ def read_lines(spark: SparkSession, source, streaming: bool = True,
     raw = r.text(source)
     if streaming:
         seq = F.unix_micros(F.current_timestamp())
-        part = (F.abs(F.hash(F.col("_metadata.file_path"))) % 1024).cast("int")
+        part = F.pmod(F.hash(F.col("_metadata.file_path")), F.lit(1024)).cast("int")
     else:
         seq, part = F.monotonically_increasing_id(), F.spark_partition_id()
     return raw.select(

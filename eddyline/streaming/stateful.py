@@ -99,15 +99,15 @@ class ChunkBuffer(StatefulProcessor):
             out["bucket"] = np.int32(key[0])
             out["chunk"] = (done + idx // self.n).astype(np.int64)
             out["position"] = (idx % self.n).astype(np.int32)
-            out["value"] = out["value"].astype(np.int32)
-            out["seq"] = out["seq"].astype(np.int64)
+            out["value"] = out["value"].astype("Int32")
+            out["seq"] = out["seq"].astype("Int64")
             self.released.update((int(done + full // self.n),))
             yield out[["name", "value", "seq", "bucket", "chunk", "position"]]
         rest = pdf.iloc[full:]
         self.buffer.clear()
         if len(rest):
-            self.buffer.put([(str(r.name), int(r.value), int(r.seq))
-                             for r in rest.itertuples(index=False)])
+            self.buffer.put([(n, None if pd.isna(v) else int(v), None if pd.isna(s) else int(s))
+                             for n, v, s in rest.itertuples(index=False, name=None)])
 
     def close(self) -> None:
         pass

@@ -11,9 +11,10 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from eddyline.session import build_session
-    s = build_session("local[4]", app="eddyline-tests", shuffle_partitions=8)
+    s = build_session("local[4]", app="eddyline-tests", shuffle_partitions=8, conf={
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

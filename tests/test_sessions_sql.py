@@ -21,14 +21,14 @@ def test_gap_equal_merges(spark):
 def test_equal_times_share_a_session(spark):
     df = _lines(spark, [("a", 0), ("a", 700), ("a", 700), ("a", 700)])
     got = sorted((int(r.session_start.timestamp()), r.count_sum)
-                 for r in word_sessions(df, bucket_seconds=60).collect())
+                 for r in word_sessions(df).collect())
     assert got == [(0, 1), (700, 3)]
 
 
-def test_session_buckets_do_not_change_result(spark):
+def test_session_partitioning_does_not_change_result(spark):
     lines = event_lines(read_table(spark, SF_ORACLE, "events"))
-    a = word_sessions(lines, bucket_seconds=10**7)      # one bucket per word
-    b = word_sessions(lines.repartition(5), bucket_seconds=97)
+    a = word_sessions(lines)
+    b = word_sessions(lines.repartition(5))
     assert a.count() == 17079
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
