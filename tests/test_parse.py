@@ -61,7 +61,7 @@ def test_extreme_numbers_do_not_stop_the_query(spark):
     assert [r.reason for r in parse_count_lines(lines_df(spark, msgs)).rejects.collect()] == [
         "time out of range"] * 2
     out = count_window_reduce(rows, times_mode="compat").first()
-    assert sorted(out.times) == ["1540000000000", "1540000000001"]
+    assert out.times == ["2018/20/10 01:46:40"] * 2
     acc = parse_access_lines(lines_df(spark, ["/a,GET,ok,1,1,200,2147483647",
                                               "/a,GET,ok,1,2,200,2147483647"])).rows
     (r,) = access_window_reduce(acc).collect()
