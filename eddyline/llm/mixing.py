@@ -45,12 +45,20 @@ def unit(key: Column) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << 52))
 
 
-def poisson_inverse(mean: Column, u: Column) -> Column:
-    """The smallest ``k`` whose cumulative Poisson probability exceeds ``u``."""
-    zero = F.struct(F.lit(0).cast("bigint").alias("k"), F.exp(-mean).alias("p"), F.exp(-mean).alias("c"))
-    step = lambda s, i: F.when(u < s["c"], s).otherwise(F.struct(
-        i.cast("bigint").alias("k"), (s["p"] * mean / i).alias("p"), (s["c"] + s["p"] * mean / i).alias("c")))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(TERMS)), zero, step, lambda s: s["k"])
+def poisson_table(mean: Column) -> Column:
+    """Cumulative Poisson probabilities of 0, 1, 2, ... up to ``TERMS``, those
+    below 1."""
+    zero = F.struct(F.exp(-mean).alias("p"), F.array(F.exp(-mean)).alias("c"))
+    step = lambda s, i: F.struct(
+        (s["p"] * mean / i).alias("p"),
+        F.concat(s["c"], F.array(F.element_at(s["c"], -1) + s["p"] * mean / i)).alias("c"))
+    table = F.aggregate(F.sequence(F.lit(1), F.lit(TERMS)), zero, step, lambda s: s["c"])
+    return F.filter(table, lambda c: c < 1.0)
+
+
+def poisson_inverse(table: Column, u: Column) -> Column:
+    """The smallest ``k`` whose cumulative probability exceeds ``u``."""
+    return F.size(F.filter(table, lambda c: c <= u)).cast("bigint")
 
 
 def repetition_rates(docs: DataFrame, source_col: str = "source",
@@ -74,10 +82,14 @@ def repetition_rates(docs: DataFrame, source_col: str = "source",
 
 
 def with_rates(docs: DataFrame, rates: DataFrame, source_col: str, key: str, rate: str) -> DataFrame:
-    """``docs`` joined to their source's rate.  The rates are broadcast only
+    """``docs`` joined to their source's rate, number of parts and table of
+    probabilities, which is made once per source.  The rates are broadcast only
     after a check of their size; beyond it, both sides are dealt out by source
     and a salt, so a hot source is spread over ``SALTS`` tasks."""
-    r = rates.select(F.col("source").alias(key), F.col("rate").alias(rate))
+    parts = F.greatest(F.ceil(F.col("rate") / PIECE), F.lit(1)).cast("int")
+    r = (rates.withColumn(rate + "_parts", parts)
+         .withColumn(rate + "_table", poisson_table(F.col("rate") / F.col(rate + "_parts")))
+         .select(F.col("source").alias(key), F.col("rate").alias(rate), rate + "_parts", rate + "_table"))
     on = F.col(f"`{source_col}`").eqNullSafe(F.col(key))
     rows, chars = rates.agg(F.count(F.lit(1)), F.sum(F.length("source"))).first()
     if rows <= BROADCAST_SOURCES and (chars or 0) <= 100 * BROADCAST_SOURCES:
@@ -102,9 +114,10 @@ def poisson_mix(docs: DataFrame, weights: Mapping[str, float] | None = None, epo
     named = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\0"))
     d = (with_rates(docs, rates, source_col, key, rate)
          .withColumn(digest, F.concat_ws("|", F.lit(seed), named(id_col), F.md5(named(text_col)))))
-    parts = F.greatest(F.ceil(F.col(rate) / PIECE), F.lit(1)).cast("int")
-    drawn = F.aggregate(F.sequence(F.lit(1), parts), F.lit(0).cast("bigint"), lambda acc, i: acc + poisson_inverse(
-        F.col(rate) / parts, unit(F.concat_ws("|", F.col(digest), F.lit("n"), i.cast("string")))))
+    drawn = F.aggregate(
+        F.sequence(F.lit(1), F.col(rate + "_parts")), F.lit(0).cast("bigint"),
+        lambda acc, i: acc + poisson_inverse(
+            F.col(rate + "_table"), unit(F.concat_ws("|", F.col(digest), F.lit("n"), i.cast("string")))))
     d = d.withColumn(copies, drawn).where(F.col(copies) > 0)
     d = d.withColumn(copy, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(copies) - 1)))
     d = d.withColumn(order, F.md5(F.concat_ws("|", F.col(digest), F.lit("o"), F.col(copy).cast("string"))))
