@@ -130,9 +130,15 @@ def canonical(text: Column) -> Column:
     """The canonical form of a text."""
     s = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "\n")
     s = F.concat(F.lit(" "), F.trim(F.regexp_replace(s, NOT_WORD, " ")), F.lit(" "))
+    return respelt(s)
+
+
+def respelt(s: Column) -> Column:
+    """Equivalent spellings made one; a text that holds none is left as it is."""
+    out = s
     for spelt, as_ in EQUIVALENT.items():
-        s = F.replace(s, F.lit(f" {spelt} "), F.lit(f" {as_} "))
-    return F.trim(s)
+        out = F.replace(out, F.lit(f" {spelt} "), F.lit(f" {as_} "))
+    return F.trim(F.when(s.rlike(" (" + "|".join(EQUIVALENT) + ") "), out).otherwise(s))
 
 
 def known_digests(spark: SparkSession, known: Mapping[str, str] | DataFrame) -> DataFrame:
