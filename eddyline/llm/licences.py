@@ -7,9 +7,9 @@ licences by a hash join.  Units are the whole document and each of its lines, so
 both a licence file and a licence notice inside another text are found; a unit
 matches only if the whole unit is the licence.
 
-Every step is a built-in function; a document is never shuffled.  The known
-licences are a small table; whether it is broadcast is left to Spark's own
-check of its size.
+Every step is a built-in function; a text is never shuffled.  The digests of up
+to ``BROADCAST_ROWS`` known licences are broadcast; of more, or of a table of known
+licences, Spark's own check of the size decides.
 
 Nulls: a null text has no units.  A unit that is empty after normalising matches
 nothing.  Repeated rows each give their own matches.
@@ -17,6 +17,7 @@ nothing.  Repeated rows each give their own matches.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -125,20 +126,39 @@ KNOWN = {
 COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*"
 NOT_WORD = r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f©«»‘’‚“”„–—…]+"
 
+# The same two rules in the forms that run faster here: line starts, and single characters.
+LINE_OF_COPYRIGHT = r"(?dm)^[ \t]*+(?:copyright|\(c\)|©)[^\n]*+"
+NOT_WORD_CHARS = "".join(c for c in map(chr, range(0x2100)) if re.fullmatch(NOT_WORD, c) and c != "\n")
+BROADCAST_ROWS = 50_000      # known texts whose digests (about 100 bytes each) are broadcast; more are joined by shuffle
+
+
+def plain_lines(text: Column) -> Column:
+    """Lower case, copyright lines emptied, all that is no word one space; line
+    breaks are kept."""
+    s = F.regexp_replace(F.lower(text), LINE_OF_COPYRIGHT, "")
+    return F.regexp_replace(F.translate(s, NOT_WORD_CHARS, " " * len(NOT_WORD_CHARS)), " {2,}", " ")
+
+
+def one_line(s: Column) -> Column:
+    return F.trim(F.regexp_replace(F.replace(s, F.lit("\n"), F.lit(" ")), " {2,}", " "))
 
-def canonical(text: Column) -> Column:
-    """The canonical form of a text."""
-    s = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "\n")
-    s = F.concat(F.lit(" "), F.trim(F.regexp_replace(s, NOT_WORD, " ")), F.lit(" "))
-    return respelt(s)
+
+def spelt_otherwise(s: Column) -> Column:
+    """Whether a text of plain words holds an equivalent spelling."""
+    return F.concat(F.lit(" "), s, F.lit(" ")).rlike(" (" + "|".join(EQUIVALENT) + ") ")
 
 
 def respelt(s: Column) -> Column:
-    """Equivalent spellings made one; a text that holds none is left as it is."""
-    out = s
+    """Equivalent spellings made one."""
+    out = F.concat(F.lit(" "), s, F.lit(" "))
     for spelt, as_ in EQUIVALENT.items():
         out = F.replace(out, F.lit(f" {spelt} "), F.lit(f" {as_} "))
-    return F.trim(F.when(s.rlike(" (" + "|".join(EQUIVALENT) + ") "), out).otherwise(s))
+    return F.trim(out)
+
+
+def canonical(text: Column) -> Column:
+    """The canonical form of a text."""
+    return respelt(one_line(plain_lines(text)))
 
 
 def known_digests(spark: SparkSession, known: Mapping[str, str] | DataFrame) -> DataFrame:
@@ -153,11 +173,19 @@ def scan_licences(docs: DataFrame, known: Mapping[str, str] | DataFrame = KNOWN,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, unit, digest, licence`` per matching unit; unit 0 is the whole
     text, unit ``n`` its ``n``-th line (of a text of several lines)."""
-    lines = F.split(F.col("text"), "\n")
-    units = F.concat(F.array(F.col("text")), F.when(F.size(lines) > 1, lines).otherwise(F.array().cast("array<string>")))
-    d = (docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-         .select("doc_id", F.posexplode(units).alias("unit", "text"))
-         .select("doc_id", F.col("unit").cast("bigint").alias("unit"),
-                 F.sha2(canonical(F.col("text")), 256).alias("digest")))
-    return d.join(known_digests(docs.sparkSession, known), "digest").select(
-        "doc_id", "unit", "digest", "licence")
+    # A text is made plain once; its lines and the whole are both cut from that.
+    plain = (docs.select(F.col(f"`{id_col}`").alias("doc_id"), plain_lines(F.col(f"`{text_col}`")).alias("plain"))
+             .select("doc_id", "plain", one_line(F.col("plain")).alias("whole"))
+             .withColumn("otherwise", spelt_otherwise(F.col("whole"))))
+    lines = F.split(F.col("plain"), "\n")
+    units = F.concat(F.array("whole"), F.when(F.size(lines) > 1, lines).otherwise(F.array().cast("array<string>")))
+    # No digest is null, so no filter on it repeats the work below.
+    d = (plain.select("doc_id", "otherwise", F.posexplode(units).alias("unit", "text"))
+         .select("doc_id", "otherwise", F.col("unit").cast("bigint").alias("unit"), F.trim("text").alias("text"))
+         .select("doc_id", "unit", F.coalesce(F.sha2(
+             F.when(F.col("otherwise"), respelt(F.col("text"))).otherwise(F.col("text")), 256),
+             F.lit("")).alias("digest")))
+    digests = known_digests(docs.sparkSession, known)
+    if not isinstance(known, DataFrame) and len(known) <= BROADCAST_ROWS:
+        digests = F.broadcast(digests)
+    return d.join(digests, "digest").select("doc_id", "unit", "digest", "licence")
