@@ -84,3 +84,33 @@ def fold_maps(maps: Column) -> Column:
 
 def apply_map(f: Column, a: Column) -> Column:
     return (f["q"] + _shr(a.cast("bigint") + f["r"], f["m"])).cast("int")
+
+
+# ---- the same for values of any sign -------------------------------------
+#
+# The maps hold only while the accumulator is not negative.  From any int, 32
+# steps with values >= 0 bring it to 0 or above (each halves its distance),
+# and it stays there until the next negative value.  So an ordered run is kept
+# as its values up to 32 past its last negative one, and the map of the rest.
+
+SETTLED = 32
+
+
+def signed_run(values: Column) -> Column:
+    """An ordered int array as ``struct(head, map)``."""
+    n = F.size(values)
+    from_end = F.array_position(F.reverse(F.transform(values, lambda x: x < 0)), True).cast("int")
+    last = F.when(from_end == 0, F.lit(0)).otherwise(n - from_end + 1)
+    head = F.least(n, last + SETTLED)
+    rest = F.slice(values, head + 1, n - head)
+    return F.struct(F.slice(values, F.lit(1), head).alias("head"),
+                    fold_maps(F.transform(rest, halving_map)).alias("map"))
+
+
+def fold_runs(runs: Column, first: Column) -> Column:
+    """The halving fold of ordered runs from their first value."""
+    def step(acc: Column, run: Column) -> Column:
+        settled = F.aggregate(run["head"], acc, lambda a, x: trunc_half(a + x))
+        f = run["map"]
+        return f["q"] + _shr(settled + f["r"], f["m"])
+    return F.aggregate(runs, first.cast("bigint"), step).cast("int")

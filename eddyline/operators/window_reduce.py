@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eddyline.functions.fold import apply_map, fold_maps, halving_average, halving_map
+from eddyline.functions.fold import fold_runs, halving_average, signed_run
 from eddyline.operators.scan import seq_bucket
 from eddyline.functions.text import strict_long
 from eddyline.functions.timefmt import fmt_epoch_ms, took_note, valid_epoch_ms
@@ -122,13 +122,15 @@ def access_window_stats(rows: DataFrame, window: str = DEFAULT_WINDOW,
     on streams (give ``watermark``).
 
     Level one groups ``(window, url, response, seq bucket)``: partial sums,
-    the first row, and the halving fold of the bucket's latencies as a
-    composable map (bounded by the bucket width).  Level two combines the
+    the first row, and the halving fold of the bucket's latencies as a few
+    values and a composable map (``signed_run``; bounded by the bucket
+    width).  Level two combines the
     buckets of a window in order; it groups by the window of the level-one
     window's time, which on a stream chains the two stateful aggregations
     through the watermark.  A window holding a third of all rows is spread
-    over its buckets.  Latencies must be non-negative (a negative one stops
-    the query rather than give a wrong average).  A stream needs
+    over its buckets.  Latencies may have any sign: of a bucket, the values up
+    to 32 past its last negative one reach level two, all others as one map.
+    A stream needs
     ``spark.sql.streaming.statefulOperator.allowMultiple=true`` (the default).
     """
     d = rows if watermark is None else rows.withWatermark("event_time", watermark)
@@ -139,21 +141,16 @@ def access_window_stats(rows: DataFrame, window: str = DEFAULT_WINDOW,
             .agg(F.sum("count").cast("bigint").alias("count"),
                  F.count("*").alias("_n"), F.sum("took_ms").cast("bigint").alias("_took"),
                  F.min_by(F.struct("method", "code", "took_ms"), order).alias("_first"),
-                 F.min(order).alias("_first_at"), F.min("took_ms").alias("_min_took"),
+                 F.min(order).alias("_first_at"),
                  F.sort_array(F.collect_list(F.struct("seq", "partition", "took_ms")))
                  .alias("_rows"))
             .select("w", *keys, "_b", "count", "_n", "_took", "_first", "_first_at",
-                    "_min_took",
-                    fold_maps(F.transform("_rows", lambda r: halving_map(r["took_ms"])))
-                    .alias("_map")))
+                    signed_run(F.transform("_rows", lambda r: r["took_ms"])).alias("_run")))
     g = lvl1.groupBy(F.window(F.window_time("w"), window).alias("w"), *keys).agg(
         F.sum("count").cast("bigint").alias("count"), F.sum("_n").alias("_n"),
         F.sum("_took").alias("_took"), F.min_by("_first", "_first_at").alias("_first"),
-        F.min("_min_took").alias("_min_took"),
-        F.sort_array(F.collect_list(F.struct("_b", "_map"))).alias("_maps"))
-    avg = apply_map(fold_maps(F.transform("_maps", lambda m: m["_map"])), F.col("_first.took_ms"))
-    avg = F.when(F.col("_min_took") < 0, F.raise_error(
-        F.lit("access_window_stats needs non-negative latencies")).cast("int")).otherwise(avg)
+        F.sort_array(F.collect_list(F.struct("_b", "_run"))).alias("_runs"))
+    avg = fold_runs(F.transform("_runs", lambda r: r["_run"]), F.col("_first.took_ms"))
     return g.select(
         *keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
         F.col("_first.method").alias("method"), F.col("_first.code").alias("code"), "count",

@@ -111,3 +111,29 @@ def test_two_key_compat_first_time_without_marker(spark):
     (c,) = access_window_reduce(rows, "1 hour", times_mode="compat").collect()
     assert c.times == ["1541234567890 took10ms", "2018/03/11 08:42:48 took20ms"]
     assert (c.method, c.code, c.response_time_avg) == ("GET", 200, 15)
+
+
+def test_window_stats_latencies_of_any_sign(spark):
+    from eddyline.operators import access_window_stats
+    import random
+    random.seed(11)
+    extremes = [-2**31, 2**31 - 1, -1, 0, 1]
+    runs = {"/mixed": [random.randint(-5000, 5000) for _ in range(700)],
+            "/rare": [t if random.random() < 0.02 else abs(t)
+                      for t in (random.randint(-3, 3) for _ in range(700))],
+            "/below": [-random.randint(0, 9) for _ in range(200)],
+            "/ends": random.choices(extremes, k=400),
+            "/first": [-2**31] + [0] * 90, "/one": [-5], "/last": [0] * 60 + [-7]}
+    msgs = [f"{url},GET,ok,1,{1540000000000 + i},200,{t}" for url, took in runs.items()
+            for i, t in enumerate(took)]
+    rows = parse_access_lines(lines_df(spark, msgs)).rows
+    expect = {}
+    for url, took in runs.items():
+        acc = took[0]
+        for t in took[1:]:
+            acc = int((acc + t) / 2)     # toward zero
+        expect[url] = acc
+    for width in (1 << 40, 100, 7):
+        got = {r.url: r.response_time_avg
+               for r in access_window_stats(rows, "1 hour", bucket_width=width).collect()}
+        assert got == expect
