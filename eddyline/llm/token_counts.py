@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eddyline.llm.bpe import count_column, share_tokenizer
+from eddyline.llm.common import materialize
 
 RANGE = 1 << 10      # lengths of one range
 
@@ -72,7 +73,9 @@ def suffix_sums(histogram: DataFrame) -> DataFrame:
 
 
 def token_counts(docs: DataFrame, tokenizer: str, text_col: str = "text") -> DataFrame:
-    return suffix_sums(length_histogram(encoded_lengths(docs, tokenizer, text_col)))
+    """The sums of the documents' lengths.  The histogram is written once, as
+    two branches of the sums read it: the texts are encoded only once."""
+    return suffix_sums(materialize(length_histogram(encoded_lengths(docs, tokenizer, text_col))))
 
 
 def at_limit(counts: DataFrame, limit: int) -> DataFrame:
