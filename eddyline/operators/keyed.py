@@ -34,6 +34,12 @@ def _bucket(df: DataFrame, keys: list[str], seq: str, width: int, split: str):
     raise ValueError("split must be 'all' or 'hot'")
 
 
+def arrival(df: DataFrame, seq: str) -> list[str]:
+    """The order columns: ``seq``, then ``partition`` where the rows have one (the
+    positions of different source partitions repeat)."""
+    return [seq] + [c for c in ("partition",) if c in df.columns]
+
+
 class Chunks(NamedTuple):
     full: DataFrame
     pending: DataFrame
@@ -44,7 +50,7 @@ def count_average(pairs: DataFrame, n: int = 2, key: str = "key", value: str = "
                   split: str = "all") -> DataFrame:
     """``(key, average, seq)`` for every complete group of ``n`` values of a
     key in ``seq`` order; ``seq`` is that of the row that completes it."""
-    d = ordinal(pairs, [key], [seq], "_rn", _bucket(pairs, [key], seq, bucket_width, split))
+    d = ordinal(pairs, [key], arrival(pairs, seq), "_rn", _bucket(pairs, [key], seq, bucket_width, split))
     d = d.withColumn("_group", floor_div(F.col("_rn") - 1, n))
     g = d.groupBy(key, "_group").agg(
         F.count("*").alias("_n"), F.sum(value).cast("bigint").alias("_sum"),
@@ -58,7 +64,7 @@ def chunk_rows(rows: DataFrame, n: int, bucket: str = "bucket", seq: str = "seq"
     """Split rows into released chunks of exactly ``n`` per ``bucket`` (in
     ``seq`` order) and the pending remainder.  Adds ``chunk`` (0-based) and
     ``position`` (0-based within the chunk)."""
-    d = ordinal(rows, [bucket], [seq], "_rn", _bucket(rows, [bucket], seq, bucket_width, split),
+    d = ordinal(rows, [bucket], arrival(rows, seq), "_rn", _bucket(rows, [bucket], seq, bucket_width, split),
                 key_total="_n")
     d = (d.withColumn("chunk", floor_div(F.col("_rn") - 1, n))
          .withColumn("position", ((F.col("_rn") - 1) % n).cast("int"))

@@ -27,19 +27,21 @@ from eddyline.operators import (
     parse_first_three, parse_orders, prefix_chars, prefix_lines, sql_filter,
     union_all_filtered, word_count_window, word_sessions_stream, as_table,
 )
+from eddyline.operators.prefix import DEFAULT_PREFIX
 import functools
 
 from eddyline.session import prepare_session, settings_for_start
 from eddyline.sinks import (
-    access_documents, batch_writer, count_documents, fan_out, object_documents, word_documents,
+    access_documents, batch_writer, count_documents, fan_out, object_documents,
+    topic_sink_options, word_documents, write_lines,
 )
 from eddyline.sources import read_lines
 from eddyline.streaming import chunk_rows_stream, count_average_stream, start_stream
 
-# Index names and trigger intervals of the jobs (our own index names; the
-# intervals are the reference's checkpoint intervals).
+# Index names of the jobs, our own.
 INDEX = {"word": "word-result", "session": "word-result-session",
          "count": "count-result", "access": "access-result", "order": "order-result"}
+# The reference's checkpoint intervals.
 EVERY = {"word": "1 second", "session": "1 second", "count": "35 seconds",
          "access": "35 seconds", "first_three": "5 seconds", "union": "30 milliseconds",
          "order": "1 second", "order_state": "30 seconds", "prefix": "5 seconds",
@@ -171,10 +173,14 @@ def orders_state_job(spark, source, target, checkpoint, fmt="text", available_no
 
 @_job
 def prefix_job(spark, source, target, checkpoint, fmt="text", available_now=False,
-               max_per_trigger=None, prefix="PREFIX:", chars=False):
-    """Each line with a prefix (or, ``chars=True``, each of its characters)."""
+               max_per_trigger=None, prefix=DEFAULT_PREFIX, chars=False):
+    """Each line with a prefix (or, ``chars=True``, each of its characters).
+    With topic-sink options as ``target`` they go to that topic as messages."""
     lines = _lines(spark, source, fmt, max_per_trigger)
     out = prefix_chars(lines, prefix) if chars else prefix_lines(lines, prefix)
+    if isinstance(target, dict):
+        return write_lines(out.withColumnRenamed("ch", "value"), target, checkpoint,
+                           _trigger("prefix", available_now))
     return start_stream(out, f"{target.rstrip('/')}/prefix", checkpoint,
                         trigger=_trigger("prefix", available_now))
 
@@ -223,7 +229,7 @@ def count_average_lines_job(spark, source, target, checkpoint, fmt="text",
                             available_now=False, max_per_trigger=None, n=2):
     """``key,value`` lines -> the average of every ``n`` values per key."""
     pairs = _pair_fields(_lines(spark, source, fmt, max_per_trigger), "key", "long")
-    return start_stream(count_average_stream(pairs.select("key", "value", "seq"), n),
+    return start_stream(count_average_stream(pairs, n),
                         f"{target.rstrip('/')}/averages", checkpoint,
                         trigger=_trigger("average", available_now))
 
@@ -233,7 +239,7 @@ def buffered_sink_lines_job(spark, source, target, checkpoint, fmt="text",
                             available_now=False, max_per_trigger=None, n=2):
     """``name,value`` lines -> released in chunks of ``n`` per source partition."""
     rows = _pair_fields(_lines(spark, source, fmt, max_per_trigger), "name", "string")
-    rows = rows.select("name", "value", "seq", rows["partition"].alias("bucket"))
+    rows = rows.select("name", "value", "seq", "partition", rows["partition"].alias("bucket"))
     return start_stream(chunk_rows_stream(rows, n), f"{target.rstrip('/')}/chunks",
                         checkpoint, trigger=_trigger("buffer", available_now))
 
@@ -264,8 +270,26 @@ def main(argv: list[str] | None = None) -> None:
                     help="time list text of the count and access jobs")
     ap.add_argument("--chars", action="store_true",
                     help="prefix job: one row per character")
+    ap.add_argument("--prefix", help=f"prefix job: the prefix (default {DEFAULT_PREFIX})")
+    ap.add_argument("--sink-topic", help="prefix job: write messages to this topic of the "
+                    "bootstrap servers named by --target")
+    ap.add_argument("--starting", default="latest",
+                    help="where a topic is read from at a first start: latest, earliest or offsets as JSON")
+    ap.add_argument("--option", action="append", default=[], metavar="NAME=VALUE",
+                    help="further option of the topic source (repeatable)")
     a = ap.parse_args(argv)
     extra: dict = {}
+    for o in a.option:
+        if "=" not in o:
+            ap.error(f"--option {o}: not NAME=VALUE")
+    if not a.topic and (a.option or a.starting != "latest"):
+        ap.error("--option and --starting apply to a topic source")
+    if a.prefix is not None:
+        if a.job != "prefix":
+            ap.error("--prefix applies to the prefix job")
+        extra["prefix"] = a.prefix
+    if a.sink_topic and a.job != "prefix":
+        ap.error("--sink-topic applies to the prefix job")
     if a.times_mode:
         if a.job not in ("count", "access"):
             ap.error("--times-mode applies to the count and access jobs")
@@ -277,8 +301,10 @@ def main(argv: list[str] | None = None) -> None:
     from eddyline.session import build_session
     from eddyline.sources import kafka_options
     spark: SparkSession = build_session()
-    source = kafka_options(a.source, a.topic) if a.topic else a.source
-    q = JOBS[a.job](spark, source, a.target, a.checkpoint, fmt=a.fmt,
+    source = (kafka_options(a.source, a.topic, a.starting, **dict(o.split("=", 1) for o in a.option))
+              if a.topic else a.source)
+    target = topic_sink_options(a.target, a.sink_topic) if a.sink_topic else a.target
+    q = JOBS[a.job](spark, source, target, a.checkpoint, fmt=a.fmt,
                     available_now=a.available_now, max_per_trigger=a.max_per_trigger,
                     **extra)
     q.awaitTermination()

@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+POSITION_BITS = 34             # a streamed text file's positions
+ZERO_SECOND = 1_577_836_800    # file times count from 2020 (2003 to 2037 fit)
+
 LINE_COLUMNS = ["value", "seq", "partition", "timestamp"]
 
 
@@ -79,9 +82,9 @@ def read_lines(spark: SparkSession, source, streaming: bool = True,
     from a folder of files (``source`` a path).
 
     ``fmt="text"``: one message per line.  Text files carry no offsets: a
-    static read numbers lines in file order, a stream uses the micro-batch
-    time as ``seq`` (batches are ordered, lines within one batch tie).  Use
-    a topic or parquet line files when the order within a batch matters.
+    static read numbers lines in file order; a stream orders them by the file's
+    modification time (whole seconds) and the position in the file, and a file is
+    a partition (see :func:`_numbered`).
     ``fmt="parquet"``: files that already hold the line columns (for example
     written by the line sink), read unchanged.
 
@@ -92,6 +95,8 @@ def read_lines(spark: SparkSession, source, streaming: bool = True,
         r = spark.readStream if streaming else spark.read
         if streaming and max_per_trigger:
             r = r.option("maxOffsetsPerTrigger", max_per_trigger)
+        if not streaming and source.get("startingOffsets") == "latest":
+            source = {**source, "startingOffsets": "earliest"}   # all there is: a static read has no later
         raw = r.format("kafka").options(**source).load()
         return raw.select(
             F.col("value").cast("string").alias("value"),
@@ -109,10 +114,44 @@ def read_lines(spark: SparkSession, source, streaming: bool = True,
         r = r.option("maxFilesPerTrigger", max_per_trigger)
     raw = r.text(source)
     if streaming:
-        seq = F.unix_micros(F.current_timestamp())
-        part = F.pmod(F.hash(F.col("_metadata.file_path")), F.lit(1024)).cast("int")
-    else:
-        seq, part = F.monotonically_increasing_id(), F.spark_partition_id()
+        return _numbered(raw)
     return raw.select(
-        F.col("value"), seq.alias("seq"), part.alias("partition"),
+        F.col("value"), F.monotonically_increasing_id().alias("seq"),
+        F.spark_partition_id().alias("partition"), F.current_timestamp().alias("timestamp"))
+
+
+def _numbered(raw: DataFrame) -> DataFrame:
+    """Streamed text lines with ``seq`` = file time in seconds, then the line's
+    position in its file.
+
+    A line of a file block is counted from the block's first byte; a line takes a
+    byte at least, so the numbers of later blocks are larger, and a file may be
+    read by many tasks.  Spark has no line number for streamed text, so an Arrow
+    map counts the lines of each block as they come.  A file of 2 ** ``POSITION_BITS``
+    bytes (16 GiB) or more stops the query with a message instead of taking a
+    wrong order.  Files of one second are partitions side by side.
+    """
+    def count(batches):
+        import numpy as np
+        import pyarrow as pa
+        block, done = None, 0
+        for b in batches:
+            paths, starts = b.column(1).to_pylist(), b.column(2).to_pylist()
+            at = np.empty(b.num_rows, dtype=np.int64)
+            for i, here in enumerate(zip(paths, starts)):
+                if here != block:
+                    block, done = here, 0
+                at[i] = here[1] + done
+                done += 1
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(at)], [*b.schema.names, "at"])
+
+    meta = raw.select("value", F.col("_metadata.file_path").alias("path"),
+                      F.col("_metadata.file_block_start").cast("bigint").alias("start"),
+                      F.unix_seconds(F.col("_metadata.file_modification_time")).alias("sec"))
+    lines = meta.mapInArrow(count, "value STRING, path STRING, start BIGINT, sec BIGINT, at BIGINT")
+    at = F.when(F.col("at") < 1 << POSITION_BITS, F.col("at")).otherwise(
+        F.raise_error(F.concat(F.lit("text file too long to be ordered: "), "path")).cast("bigint"))
+    seq = (F.col("sec") - ZERO_SECOND) * F.lit(1 << POSITION_BITS).cast("bigint") + at
+    return lines.select(
+        "value", seq.alias("seq"), F.hash("path").bitwiseAND(0x7FFFFFFF).alias("partition"),
         F.current_timestamp().alias("timestamp"))

@@ -1,9 +1,9 @@
 """Structured Streaming: runner and stateful processors."""
 
-from eddyline.streaming.runner import run_available_now, start_stream, stream_dir, write_in_order
+from eddyline.streaming.runner import run_available_now, start_stream, stream_dir, run_in_ranges
 from eddyline.streaming.stateful import (
     ChunkBuffer, CountAverage, chunk_rows_stream, count_average_stream,
 )
 
-__all__ = ["run_available_now", "start_stream", "stream_dir", "write_in_order", "ChunkBuffer",
+__all__ = ["run_available_now", "start_stream", "stream_dir", "run_in_ranges", "ChunkBuffer",
            "CountAverage", "chunk_rows_stream", "count_average_stream"]

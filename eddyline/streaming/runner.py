@@ -10,8 +10,11 @@ the whole result per batch, which is idempotent for a replayed batch.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from eddyline.session import checkpoint_root, settings_for_start
@@ -66,17 +69,34 @@ def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
     return spark.read.schema(df.schema).parquet(out)
 
 
-def write_in_order(df: DataFrame, order_col: str, folder: str, files: int) -> None:
-    """Write ``df`` as ``files`` parquet files holding consecutive ranges of
-    ``order_col``, one write after another, so a file stream reading them one
-    per micro-batch sees the rows arrive in that order (a replayable stand-in
-    for a topic)."""
-    from pyspark.sql import functions as F
+def run_in_ranges(df: DataFrame, order_col: str, ranges: int, name: str,
+                  build: Callable[[DataFrame], DataFrame],
+                  settings: dict | None = None) -> DataFrame:
+    """Stream a static ``df`` as ``ranges`` consecutive micro-batches of equal
+    ranges of ``order_col``, and return what ``build(stream)`` wrote.
+
+    ``df`` is scanned once and written by range, by all tasks.  Then every range
+    is appended to the stream's folder, in parallel, and the query resumes from
+    its checkpoint until it has taken that range in: rows of a range arrive
+    together, after all earlier ones.  A range holds many files and tasks;
+    rows of a null ``order_col`` come with the first.
+    """
+    spark = df.sparkSession
+    base = stream_dir(spark, name)
     lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
-    if lo is None:
-        return
-    step = (hi - lo) // files + 1
-    for i in range(files):
-        c = F.col(order_col)
-        part = df.where((c >= lo + i * step) & (c < lo + (i + 1) * step))
-        part.coalesce(1).write.mode("append").parquet(folder)
+    step = (hi - lo) // ranges + 1 if lo is not None else 1
+    place = F.coalesce(F.floor((F.col(order_col) - F.lit(lo)) / F.lit(step)), F.lit(0)).cast("int")
+    (df.withColumn("_range", place if lo is not None else F.lit(0)).write.partitionBy("_range")
+     .parquet(f"{base}/ranges"))
+    whole = (spark.read.schema(T.StructType([*df.schema, T.StructField("_range", T.IntegerType())]))
+             .parquet(f"{base}/ranges"))
+    spark.createDataFrame([], df.schema).write.parquet(f"{base}/in")     # a stream's folder must exist
+    # Windows are closed by the next range's batch; only the last range needs an
+    # empty batch behind it.
+    no_empty = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+    for i in range(ranges):
+        whole.where(F.col("_range") == i).drop("_range").write.mode("append").parquet(f"{base}/in")
+        out = run_available_now(build(spark.readStream.schema(df.schema).parquet(f"{base}/in")), name,
+                                out=f"{base}/out", checkpoint=f"{base}/checkpoint",
+                                settings={**(settings or {}), **(no_empty if i < ranges - 1 else {})})
+    return out

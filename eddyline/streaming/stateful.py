@@ -6,8 +6,8 @@ value emits ``sum div n`` and clears it; a lone last value stays pending.
 whenever ``n`` are present they are released as one chunk.  The pending rows
 are checkpointed with the query and restored on restart.
 
-Rows of one key within one micro-batch are ordered by ``seq`` (the arrival
-order) before use; the micro-batch size (``maxFilesPerTrigger`` /
+Rows of one key within one micro-batch are ordered by ``seq`` and source
+partition (the arrival order) before use; the micro-batch size (``maxFilesPerTrigger`` /
 ``maxOffsetsPerTrigger``) bounds what one key holds in memory at once.
 """
 
@@ -37,11 +37,18 @@ def _trunc_div(x: np.ndarray, n: int) -> np.ndarray:
     return np.sign(x) * (np.abs(x) // n)
 
 
-def _sorted(rows: Iterator[pd.DataFrame], by: str) -> pd.DataFrame:
+def _sorted(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
     frames = [f for f in rows if len(f)]
     if not frames:
         return pd.DataFrame()
-    return pd.concat(frames, ignore_index=True).sort_values(by, kind="stable")
+    pdf = pd.concat(frames, ignore_index=True)
+    return pdf.sort_values([c for c in ("seq", "partition") if c in pdf.columns], kind="stable")
+
+
+def _ordered(df: DataFrame, *cols: str) -> DataFrame:
+    """``cols`` and, where the rows have one, the source partition (it orders
+    rows of equal ``seq``)."""
+    return df.select(*cols, *[c for c in ("partition",) if c in df.columns])
 
 
 class CountAverage(StatefulProcessor):
@@ -52,7 +59,7 @@ class CountAverage(StatefulProcessor):
         self.acc = handle.getValueState("average", "count LONG, total LONG")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows, "seq")
+        pdf = _sorted(rows)
         if pdf.empty:
             return
         c, s = self.acc.get() if self.acc.exists() else (0, 0)
@@ -85,7 +92,7 @@ class ChunkBuffer(StatefulProcessor):
         self.released = handle.getValueState("released", "chunks LONG")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = _sorted(rows, "seq")
+        new = _sorted(rows)
         if new.empty:
             return
         old = list(self.buffer.get()) if self.buffer.exists() else []
@@ -115,12 +122,12 @@ class ChunkBuffer(StatefulProcessor):
 
 def count_average_stream(pairs: DataFrame, n: int = 2) -> DataFrame:
     """Streaming twin of :func:`eddyline.operators.keyed.count_average`."""
-    return (pairs.select("key", "value", "seq").groupBy("key")
+    return (_ordered(pairs, "key", "value", "seq").groupBy("key")
             .transformWithStateInPandas(CountAverage(n), AVERAGE_OUT, "Append", "None"))
 
 
 def chunk_rows_stream(rows: DataFrame, n: int) -> DataFrame:
     """Streaming twin of :func:`eddyline.operators.keyed.chunk_rows` (the
     released chunks; the remainder stays in state)."""
-    return (rows.select("name", "value", "seq", "bucket").groupBy("bucket")
+    return (_ordered(rows, "name", "value", "seq", "bucket").groupBy("bucket")
             .transformWithStateInPandas(ChunkBuffer(n), CHUNK_OUT, "Append", "None"))
