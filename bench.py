@@ -35,6 +35,9 @@ HEADLINE = [
     "chunk_rows",
     "late_split",
     "word_sessions_stream",
+    "late_rows_stream",
+    "count_average_stream",
+    "chunk_rows_stream",
 ]
 
 

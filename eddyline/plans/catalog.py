@@ -23,7 +23,7 @@ from eddyline.operators import (
 from eddyline.operators.words import word_count_window, word_sessions_stream
 from eddyline.session import prepare_session, settings_for_start
 from eddyline.streaming import (
-    chunk_rows_stream, count_average_stream, run_available_now, stream_dir, write_in_order,
+    chunk_rows_stream, count_average_stream, run_available_now, run_in_ranges, stream_dir,
 )
 from eddyline.sinks import write_lines
 from eddyline.sinks import access_documents, count_documents, object_documents, word_documents
@@ -91,15 +91,19 @@ def access_window_reduce_compat(spark, sf_dir):
     return _access(spark, sf_dir, LONG_WINDOW, "compat")
 
 
-def _stats(spark, sf_dir, window):
-    prepare_session(spark)
-    rows = parse_access_lines(access_lines(read_table(spark, sf_dir, "events"))).rows
-    return access_window_stats(rows, window).select(
+def _flat_stats(df: DataFrame) -> DataFrame:
+    return df.select(
         "url", "response", _ms("window_start"), _ms("window_end"), "method", "code",
         "count", "response_time_avg",
         F.round("response_time_mean", 6).alias("response_time_mean"))
 
 
+def _stats(spark, sf_dir, window):
+    prepare_session(spark)
+    rows = parse_access_lines(access_lines(read_table(spark, sf_dir, "events"))).rows
+    return _flat_stats(access_window_stats(rows, window))
+
+
 def access_window_stats_q(spark, sf_dir):
     """The flagship's scalar outputs, with no group's rows brought together."""
     return _stats(spark, sf_dir, REFERENCE_WINDOW)
@@ -200,6 +204,51 @@ def chunk_rows_q(spark, sf_dir):
     return chunk_rows(named_pairs(read_table(spark, sf_dir, "events")), CHUNK_N).full
 
 
+def chunk_pending(spark, sf_dir):
+    """The rows that the buffered sink still holds."""
+    return chunk_rows(named_pairs(read_table(spark, sf_dir, "events")), CHUNK_N).pending
+
+
+def _damaged_access(spark, sf_dir):
+    prepare_session(spark)
+    return parse_access_lines(access_lines(read_table(spark, sf_dir, "events"), damaged=True))
+
+
+def access_rejects(spark, sf_dir):
+    """Access lines that cannot be used, with the reason."""
+    return _damaged_access(spark, sf_dir).rejects
+
+
+def access_window_stats_mixed(spark, sf_dir):
+    """Latencies of both signs among damaged lines, 6 hour windows, list-free."""
+    return _flat_stats(access_window_stats(_damaged_access(spark, sf_dir).rows, LONG_WINDOW))
+
+
+def _damaged_orders(spark, sf_dir):
+    return parse_orders(order_lines(read_table(spark, sf_dir, "orders"), damaged=True))
+
+
+def order_rejects(spark, sf_dir):
+    """Order messages that cannot be used, with the reason."""
+    return _damaged_orders(spark, sf_dir).rejects
+
+
+def order_docs_damaged(spark, sf_dir):
+    """Documents of all usable orders among damaged messages, null fields kept."""
+    return object_documents(as_table(_damaged_orders(spark, sf_dir).rows))
+
+
+def _flat_windows(df: DataFrame) -> DataFrame:
+    return df.select("word", _ms("window_start"), _ms("window_end"), "count_sum")
+
+
+def word_windows(spark, sf_dir):
+    """Words of event lines per 30 s event-time window."""
+    prepare_session(spark)
+    lines = event_lines(read_table(spark, sf_dir, "events"))
+    return _flat_windows(word_count_window(lines, REFERENCE_WINDOW))
+
+
 def late_split(spark, sf_dir):
     """Per-record lateness of jittered arrivals, 6 hour windows."""
     prepare_session(spark)
@@ -254,11 +303,21 @@ def access_window_stats_stream(spark, sf_dir):
     """The list-free flagship as a stream: two chained stateful aggregations."""
     rows = parse_access_lines(access_lines(_events_stream(spark, sf_dir))).rows
     res = access_window_stats(rows, REFERENCE_WINDOW, watermark=ZERO_DELAY)
-    out = run_available_now(res, "access_window_stats_stream", settings=CHAINED)
-    return out.select(
-        "url", "response", _ms("window_start"), _ms("window_end"), "method", "code",
-        "count", "response_time_avg",
-        F.round("response_time_mean", 6).alias("response_time_mean"))
+    return _flat_stats(run_available_now(res, "access_window_stats_stream", settings=CHAINED))
+
+
+def access_window_stats_mixed_stream(spark, sf_dir):
+    """Latencies of both signs among damaged lines, as a stream."""
+    rows = parse_access_lines(access_lines(_events_stream(spark, sf_dir), damaged=True)).rows
+    res = access_window_stats(rows, LONG_WINDOW, watermark=ZERO_DELAY)
+    return _flat_stats(run_available_now(res, "access_window_stats_mixed_stream", settings=CHAINED))
+
+
+def word_windows_stream(spark, sf_dir):
+    """Event-time word windows as a stream: those that the watermark has closed."""
+    res = word_count_window(event_lines(_events_stream(spark, sf_dir)), REFERENCE_WINDOW,
+                            watermark=ZERO_DELAY)
+    return _flat_windows(run_available_now(res, "word_windows_stream"))
 
 
 def count_window_reduce_stream(spark, sf_dir):
@@ -275,12 +334,17 @@ def word_sessions_stream_q(spark, sf_dir):
 
 
 def word_count_stream(spark, sf_dir):
-    """Processing-time 30 s windows over a document stream (complete mode);
-    summed over the windows this is the word count."""
+    """Processing-time 30 s windows over a document stream (complete mode).  The
+    windows themselves hang on the clock, so a word's sum over them is returned
+    and whether all of them start on a multiple of 30 s and last 30 s."""
+    prepare_session(spark)
     docs = read_table(spark, sf_dir, "documents", streaming=True)
     res = word_count_window(text_lines(docs), REFERENCE_WINDOW, time="processing")
     out = run_available_now(res, "word_count_stream", output_mode="complete")
-    return out.groupBy("word").agg(F.sum("count_sum").cast("bigint").alias("count_sum"))
+    start, end = F.unix_millis("window_start"), F.unix_millis("window_end")
+    return out.groupBy("word").agg(
+        F.sum("count_sum").cast("bigint").alias("count_sum"),
+        F.bool_and((F.pmod(start, F.lit(30_000)) == 0) & (end - start == 30_000)).alias("windows_aligned"))
 
 
 def orders_union_stream(spark, sf_dir):
@@ -299,7 +363,7 @@ def chunk_rows_stream_q(spark, sf_dir):
     return run_available_now(chunk_rows_stream(rows, CHUNK_N), "chunk_rows_stream")
 
 
-LATE_FILES = 10   # micro-batches the jittered arrivals are cut into
+LATE_RANGES = 10   # micro-batches the jittered arrivals are cut into
 
 
 def late_rows_stream(spark, sf_dir):
@@ -308,17 +372,16 @@ def late_rows_stream(spark, sf_dir):
     A row is dropped when its window was already closed by the watermark of
     the earlier batches (the reference's rule, per micro-batch)."""
     prepare_session(spark)
-    ev = arrival_order(read_table(spark, sf_dir, "events"))
-    base = stream_dir(spark, "late_rows")
-    write_in_order(ev, "seq", f"{base}/in", LATE_FILES)
-    stream = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1)
-              .parquet(f"{base}/in"))
-    counts = (stream.withWatermark("ts", ZERO_DELAY)
-              .groupBy(F.window("ts", LONG_WINDOW).alias("w"))
-              .agg(F.count("*").alias("n")))
+
+    def counts(stream):
+        return (stream.withWatermark("ts", ZERO_DELAY)
+                .groupBy(F.window("ts", LONG_WINDOW).alias("w"))
+                .agg(F.count("*").alias("n")))
+
     # late rows filtered with the current batch's watermark
-    out = run_available_now(
-        counts, "late_rows_stream",
+    out = run_in_ranges(
+        arrival_order(read_table(spark, sf_dir, "events")), "seq", LATE_RANGES,
+        "late_rows_stream", counts,
         settings={"spark.sql.streaming.statefulOperator.allowMultiple": "false"})
     return out.select(F.unix_millis("w.start").alias("window_start_ms"),
                       F.unix_millis("w.end").alias("window_end_ms"), "n")
@@ -326,15 +389,28 @@ def late_rows_stream(spark, sf_dir):
 
 # ---- the reference's jobs end to end: lines -> job -> document index ----
 
-def _job_docs(spark, sf_dir, name, table, derive, job, index):
+def _parquet_lines(lines, folder):
+    write_lines(lines, folder)
+    return "parquet"
+
+
+def _text_lines_by_url(lines, folder):
+    """Text files in arrival order, all lines of a URL in one of them."""
+    url = F.substring_index("value", ",", 1)
+    lines.repartition(url).sortWithinPartitions("seq", "partition").select("value").write.text(folder)
+    return "text"
+
+
+def _job_docs(spark, sf_dir, name, table, derive, job, index, lay=_parquet_lines):
+    """Documents that the job wrote to ``index``; the job writes both its sinks."""
     from eddyline.plans import jobs
     prepare_session(spark)
     base = stream_dir(spark, name)
-    write_lines(derive(read_table(spark, sf_dir, table)), f"{base}/lines")
+    fmt = lay(derive(read_table(spark, sf_dir, table)), f"{base}/lines")
     slots = spark.sparkContext.defaultParallelism      # state partitions: one per slot
     with settings_for_start(spark, {"spark.sql.shuffle.partitions": slots}):
         q = getattr(jobs, job)(spark, f"{base}/lines", f"{base}/index", f"{base}/checkpoint",
-                               fmt="parquet", available_now=True, console=False)
+                               fmt=fmt, available_now=True)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
@@ -349,6 +425,18 @@ def access_job_docs(spark, sf_dir):
                      "access_reduce_job", "access-result")
 
 
+def access_text_job_docs(spark, sf_dir):
+    """The access job over streamed text files: lines in file order."""
+    return _job_docs(spark, sf_dir, "access_text_job", "events", access_lines,
+                     "access_reduce_job", "access-result", _text_lines_by_url)
+
+
+def order_job_print(spark, sf_dir):
+    """The printout of the order job: every document, beside the index."""
+    return _job_docs(spark, sf_dir, "order_job", "orders", order_lines,
+                     "orders_filter_job", "order-result-print")
+
+
 def order_job_docs(spark, sf_dir):
     """Order messages through the SQL filter job into the order index."""
     return _job_docs(spark, sf_dir, "order_job", "orders", order_lines,
@@ -376,7 +464,11 @@ STREAM_QUERIES = {
     "orders_union_stream": orders_union_stream,
     "count_average_stream": count_average_stream_q,
     "chunk_rows_stream": chunk_rows_stream_q,
+    "access_window_stats_mixed_stream": access_window_stats_mixed_stream,
+    "word_windows_stream": word_windows_stream,
     "access_job_docs": access_job_docs,
+    "access_text_job_docs": access_text_job_docs,
+    "order_job_print": order_job_print,
     "order_job_docs": order_job_docs,
     "count_job_docs": count_job_docs,
     "late_rows_stream": late_rows_stream,
@@ -395,6 +487,12 @@ QUERIES = {
     "prefix_chars": prefix_chars_q,
     "count_average": count_average_q,
     "chunk_rows": chunk_rows_q,
+    "chunk_pending": chunk_pending,
+    "access_rejects": access_rejects,
+    "access_window_stats_mixed": access_window_stats_mixed,
+    "order_rejects": order_rejects,
+    "order_docs_damaged": order_docs_damaged,
+    "word_windows": word_windows,
     "late_split": late_split,
     "word_docs": word_docs,
     "count_docs": count_docs,

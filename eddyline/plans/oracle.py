@@ -48,6 +48,37 @@ access_rows AS (
     AND {_strict('f[4]', 'INTEGER')} IS NOT NULL AND {_strict('f[6]', 'INTEGER')} IS NOT NULL
     AND {_strict('f[7]', 'INTEGER')} IS NOT NULL)"""
 
+# Damaged access lines: see eddyline.sources.derive.
+_HEAD = f"""concat_ws(',', '/u/' || CAST(user_id % 20 AS VARCHAR),
+          CASE WHEN event_type = 'view' THEN 'GET' ELSE 'POST' END, event_type, '1',
+          CASE WHEN event_id % 109 = 0 THEN '999999999999999999' ELSE CAST({MS} AS VARCHAR) END,
+          CASE WHEN event_type = 'error' THEN '500' ELSE '200' END)"""
+_TOOK = "(CASE WHEN event_id % 7 = 0 THEN -1 ELSE 1 END * CAST(floor(value) AS INTEGER))"
+
+DAMAGED_PARTS = f"""
+damaged AS (
+  SELECT event_id AS seq, CAST(user_id % 4 AS INTEGER) AS partition,
+         CASE WHEN event_id % 97 = 0 THEN {_HEAD}
+              WHEN event_id % 101 = 0 THEN {_HEAD} || ',x'
+              WHEN event_id % 103 = 0 THEN {_HEAD} || ',' || CAST({_TOOK} AS VARCHAR) || chr(10)
+              WHEN event_id % 107 = 0 THEN NULL
+              ELSE {_HEAD} || ',' || CAST({_TOOK} AS VARCHAR) END AS value
+  FROM events),
+damaged_parts AS (SELECT seq, partition, value, {_jsplit('value')} AS f FROM damaged),
+judged AS (
+  SELECT *, CASE WHEN value IS NULL THEN 'null line'
+                 WHEN NOT (contains(value, ',') AND len(f) = 7) THEN 'arity'
+                 WHEN {_strict('f[7]', 'INTEGER')} IS NULL THEN 'bad number'
+                 WHEN f[5] = '999999999999999999' THEN 'time out of range' END AS reason
+  FROM damaged_parts)"""
+
+DAMAGED_ROWS = f"""{DAMAGED_PARTS},
+access_rows AS (
+  SELECT seq, partition, f[1] AS url, f[2] AS method, f[3] AS response, CAST(f[4] AS INTEGER) AS cnt,
+         f[5] AS time_text, CAST(f[5] AS BIGINT) AS ms, CAST(f[6] AS INTEGER) AS code,
+         CAST(f[7] AS INTEGER) AS took
+  FROM judged WHERE reason IS NULL)"""
+
 COUNT_SRC = f"""
 count_src AS (
   SELECT event_id AS seq, CAST(user_id % 4 AS INTEGER) AS partition,
@@ -65,9 +96,9 @@ count_rows AS (
   WHERE contains(value, ',') AND len(f) = 3 AND {_strict('f[2]', 'INTEGER')} IS NOT NULL)"""
 
 
-def _access_stats(window_ms: int) -> str:
+def _access_stats(window_ms: int, source: str = ACCESS_SRC) -> str:
     return f"""
-WITH {ACCESS_SRC.strip()}
+WITH {source.strip()}
 SELECT url, response, (ms // {window_ms}) * {window_ms} AS window_start_ms,
        (ms // {window_ms}) * {window_ms} + {window_ms} AS window_end_ms,
        arg_min(method, seq) AS method, arg_min(code, seq) AS code,
@@ -384,3 +415,64 @@ GROUP BY key, ms // {W30S}
 
 ORACLE_SQL["access_window_stats_stream"] = (
     f"SELECT * FROM ({_access_stats(W30S)}) q WHERE window_end_ms <= {ACCESS_MAX_MS}")
+
+
+# Damaged lines, rows still held, word windows, the printout and text files.
+_GOOD = """CAST(to_json({'user': o_custkey, 'product': o_orderpriority,
+          'amount': CAST(floor(o_totalprice / 1000) AS INTEGER)}) AS VARCHAR)"""
+DAMAGED_ORDERS = f"""
+o AS (
+  SELECT *, CASE WHEN o_orderkey % 97 = 0 THEN 'malformed json'
+                 WHEN o_orderkey % 101 = 0 THEN 'malformed json'
+                 WHEN o_orderkey % 103 = 0 OR o_orderkey % 107 = 0 THEN NULL
+                 WHEN o_orderkey % 109 = 0 THEN 'bad amount'
+                 WHEN o_orderkey % 113 = 0 THEN 'malformed json' END AS reason
+  FROM orders)"""
+
+ORACLE_SQL.update({
+    "access_rejects": f"""
+WITH {DAMAGED_PARTS.strip()}
+SELECT seq, partition, value, reason FROM judged WHERE reason IS NOT NULL
+""",
+    "access_window_stats_mixed": _access_stats(W6H, DAMAGED_ROWS),
+    "access_window_stats_mixed_stream": (
+        f"SELECT * FROM ({_access_stats(W6H, DAMAGED_ROWS)}) q WHERE window_end_ms <= "
+        f"(WITH {DAMAGED_ROWS.strip()} SELECT max(ms) FROM access_rows)"),
+    "order_rejects": f"""
+WITH {DAMAGED_ORDERS.strip()}
+SELECT o_orderkey AS seq, CAST(o_custkey % 4 AS INTEGER) AS partition,
+       CASE WHEN o_orderkey % 97 = 0 THEN {_GOOD} || ' trailing'
+            WHEN o_orderkey % 101 = 0 THEN {_GOOD} || {_GOOD}
+            WHEN o_orderkey % 109 = 0 THEN CAST(to_json({{'user': o_custkey, 'product': o_orderpriority,
+                                                          'amount': 'x'}}) AS VARCHAR)
+            ELSE {_GOOD} || '}}' END AS value,
+       reason
+FROM o WHERE reason IS NOT NULL
+""",
+    "order_docs_damaged": f"""
+WITH {DAMAGED_ORDERS.strip()}
+SELECT CAST(to_json({{
+         'user': o_custkey,
+         'product': CASE WHEN o_orderkey % 103 = 0 THEN NULL ELSE o_orderpriority END,
+         'amount': CASE WHEN o_orderkey % 103 <> 0 AND o_orderkey % 107 = 0 THEN 0
+                        ELSE CAST(floor(o_totalprice / 1000) AS INTEGER) END}}) AS VARCHAR) AS doc
+FROM o WHERE reason IS NULL
+""",
+    "chunk_pending": CHUNK_ROWS.replace("WHERE (rn - 1) // 8 < total // 8",
+                                        "WHERE (rn - 1) // 8 >= total // 8"),
+    "word_count_stream": f"SELECT word, count_sum, true AS windows_aligned FROM ({WORD_COUNT}) q",
+    "order_job_print": ORDER_DOCS,
+    "access_text_job_docs": ORACLE_SQL["access_job_docs"],
+})
+
+WORD_WINDOWS = f"""
+SELECT word, ({MS} // {W30S}) * {W30S} AS window_start_ms,
+       ({MS} // {W30S}) * {W30S} + {W30S} AS window_end_ms, CAST(count(*) AS BIGINT) AS count_sum
+FROM (SELECT ts, unnest(regexp_split_to_array(lower(concat_ws(' ', event_type, props)), {WORD_SPLIT})) AS word
+      FROM events WHERE ts IS NOT NULL)
+WHERE length(word) > 0
+GROUP BY ALL
+"""
+ORACLE_SQL["word_windows"] = WORD_WINDOWS
+ORACLE_SQL["word_windows_stream"] = (
+    f"SELECT * FROM ({WORD_WINDOWS}) q WHERE window_end_ms <= (SELECT max({MS}) FROM events)")

@@ -18,6 +18,10 @@ SOURCE_PARTITIONS = 4
 BAD_ARITY_EVERY = 97      # line loses its time: only two parts
 BAD_COUNT_EVERY = 101     # count field becomes "x"
 TRAILING_COMMA_EVERY = 89  # good line plus a trailing comma
+CUT_EVERY, NAN_EVERY, LINE_END_EVERY, NULL_EVERY, FAR_EVERY, MINUS_EVERY = 97, 101, 103, 107, 109, 7
+TAIL_EVERY, TWICE_EVERY, NO_PRODUCT_EVERY, NO_AMOUNT_EVERY, BAD_AMOUNT_EVERY, CLOSER_EVERY = (
+    97, 101, 103, 107, 109, 113)
+FAR_MS = "999999999999999999"     # a whole number of ms past the year 9999
 JITTER_PRIME = 7919
 JITTER_SPAN = 50
 
@@ -65,17 +69,31 @@ def count_lines(events: DataFrame, damaged: bool = True) -> DataFrame:
         _ts().alias("timestamp"))
 
 
-def access_lines(events: DataFrame) -> DataFrame:
-    """``url,method,response,count,epoch ms,code,took ms`` lines."""
-    value = F.concat_ws(
+def access_lines(events: DataFrame, damaged: bool = False) -> DataFrame:
+    """``url,method,response,count,epoch ms,code,took ms`` lines.  With
+    ``damaged`` some latencies are negative and some lines are cut, null, end in
+    a line feed, or hold a word as latency or a time out of range."""
+    eid = F.col("event_id")
+    ms = epoch_ms("ts").cast("string")
+    took = F.floor("value").cast("int")
+    if damaged:
+        ms = F.when(eid % FAR_EVERY == 0, F.lit(FAR_MS)).otherwise(ms)
+        took = F.when(eid % MINUS_EVERY == 0, -took).otherwise(took)
+    head = F.concat_ws(
         ",",
         F.concat(F.lit("/u/"), (F.col("user_id") % 20).cast("string")),
         F.when(F.col("event_type") == "view", F.lit("GET")).otherwise(F.lit("POST")),
         F.col("event_type"),
         F.lit("1"),
-        epoch_ms("ts").cast("string"),
-        F.when(F.col("event_type") == "error", F.lit("500")).otherwise(F.lit("200")),
-        F.floor("value").cast("int").cast("string"))
+        ms,
+        F.when(F.col("event_type") == "error", F.lit("500")).otherwise(F.lit("200")))
+    value = F.concat_ws(",", head, took.cast("string"))
+    if damaged:
+        value = (F.when(eid % CUT_EVERY == 0, head)
+                 .when(eid % NAN_EVERY == 0, F.concat(head, F.lit(",x")))
+                 .when(eid % LINE_END_EVERY == 0, F.concat(value, F.lit("\n")))
+                 .when(eid % NULL_EVERY == 0, F.lit(None).cast("string"))
+                 .otherwise(value))
     return events.select(
         value.alias("value"),
         F.col("event_id").alias("seq"),
@@ -83,14 +101,27 @@ def access_lines(events: DataFrame) -> DataFrame:
         _ts().alias("timestamp"))
 
 
-def order_lines(orders: DataFrame) -> DataFrame:
-    """JSON order messages ``{"user":..,"product":..,"amount":..}``."""
-    doc = F.struct(
-        F.col("o_custkey").alias("user"),
-        F.col("o_orderpriority").alias("product"),
-        F.floor(F.col("o_totalprice") / 1000).cast("int").alias("amount"))
+def order_lines(orders: DataFrame, damaged: bool = False) -> DataFrame:
+    """JSON order messages ``{"user":..,"product":..,"amount":..}``.  With
+    ``damaged`` some have text, a second object or a stray closer behind them,
+    some a null product, a missing amount or a word as amount."""
+    key = F.col("o_orderkey")
+    user, product = F.col("o_custkey").alias("user"), F.col("o_orderpriority").alias("product")
+    amount = F.floor(F.col("o_totalprice") / 1000).cast("int").alias("amount")
+    value = good = F.to_json(F.struct(user, product, amount))
+    if damaged:
+        nothing = F.lit(None).cast("string").alias("product")
+        value = (F.when(key % TAIL_EVERY == 0, F.concat(good, F.lit(" trailing")))
+                 .when(key % TWICE_EVERY == 0, F.concat(good, good))
+                 .when(key % NO_PRODUCT_EVERY == 0,
+                       F.to_json(F.struct(user, nothing, amount), {"ignoreNullFields": "false"}))
+                 .when(key % NO_AMOUNT_EVERY == 0, F.to_json(F.struct(user, product)))
+                 .when(key % BAD_AMOUNT_EVERY == 0,
+                       F.to_json(F.struct(user, product, F.lit("x").alias("amount"))))
+                 .when(key % CLOSER_EVERY == 0, F.concat(good, F.lit("}")))
+                 .otherwise(good))
     return orders.select(
-        F.to_json(doc).alias("value"),
+        value.alias("value"),
         F.col("o_orderkey").alias("seq"),
         (F.col("o_custkey") % SOURCE_PARTITIONS).cast("int").alias("partition"),
         F.col("o_orderdate").cast("timestamp").alias("timestamp"))
