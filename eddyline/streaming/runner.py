@@ -75,7 +75,7 @@ def run_in_ranges(df: DataFrame, order_col: str, ranges: int, name: str,
     """Stream a static ``df`` as ``ranges`` consecutive micro-batches of equal
     ranges of ``order_col``, and return what ``build(stream)`` wrote.
 
-    ``df`` is scanned once and written by range, by all tasks.  Then every range
+    After a pass for the bounds of ``order_col``, ``df`` is written by range, by all tasks.  Then every range
     is appended to the stream's folder, in parallel, and the query resumes from
     its checkpoint until it has taken that range in: rows of a range arrive
     together, after all earlier ones.  A range holds many files and tasks;
