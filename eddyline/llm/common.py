@@ -80,8 +80,9 @@ def word_blocks(raw: bytes, words: int) -> Iterator[list[bytes]]:
 
 
 def _signature(edges: DataFrame) -> tuple:
-    h = F.xxhash64("a", "b")
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.shiftright(h, 8)), F.bit_xor(h)).first())
+    """The count and 128 bits of a set of distinct edges; XOR cannot overflow."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")),
+                           F.bit_xor(F.xxhash64(F.lit("second"), "a", "b"))).first())
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -116,6 +116,13 @@ def test_components_of_a_long_chain(spark):
     assert {r.node: r.label for r in got} == {**{i: 0 for i in range(401)}, 900: 900, 901: 900}
 
 
+def test_components_of_a_million_links(spark):
+    e = spark.range(1_000_000).select((F.col("id") * 2 + 1).alias("a"), (F.col("id") * 2).alias("b"))
+    got = common.components(e)
+    assert got.count() == 2_000_000
+    assert got.where(F.col("label") != F.col("node") - F.col("node") % 2).count() == 0
+
+
 # ---- 2 sketches ----
 
 def test_edited_texts_and_sketches(spark, docs):
