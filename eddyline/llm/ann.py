@@ -207,18 +207,24 @@ def _search(dim: int, k: int):
         for i in range(len(q)):
             s = rough[i]
             at = np.arange(len(s))
-            if len(s) > k + 2:
-                at = np.flatnonzero(s >= np.partition(s, len(s) - k - 1)[len(s) - k - 1] - NEAR)
+            many = k + 1
+            while many + 1 < len(s):
+                cut = np.partition(s, len(s) - many)[len(s) - many]
+                # Enough once k other ids are at or above the cut itself; repeats take no place.
+                if len(set(cid[s >= cut].tolist()) - {qid[i]}) >= k:
+                    at = np.flatnonzero(s >= cut - NEAR)
+                    break
+                many *= 2
             at = at[cid[at] != qid[i]]
             if not len(at):
                 continue
             exact = cosine_many(q[i], c[at])
             ids = cid[at]
-            top, last = [], None
-            for j in np.lexsort((ids, -exact)):
-                if ids[j] != last:
+            top, seen = [], set()
+            for j in np.lexsort((ids, -exact)).tolist():
+                if ids[j] not in seen:
                     top.append(j)
-                    last = ids[j]
+                    seen.add(ids[j])
                 if len(top) == k:
                     break
             out_q += [qid[i]] * len(top)

@@ -191,6 +191,25 @@ def test_neighbours_edges(spark):
     assert ann.nearest(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_neighbours_among_repeated_rows(spark):
+    rng = np.random.default_rng(8)
+    x = {i: rng.standard_normal(6) for i in range(40)}
+    rows = [(i, v) for i, v in x.items()]
+    near = sorted((i for i in x if i), key=lambda i: -ann.cosine_many(x[0], x[i][None, :])[0])
+    rows += [(0, x[0])] * 9 + [(near[0], x[near[0]])] * 30 + [(near[1], x[near[1]])] * 2
+    # Other vectors of one id, some of them nearer than the next ids; its best one counts.
+    rows += [(near[2], x[0] + e * x[near[2]]) for e in (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8)]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id BIGINT, embedding ARRAY<DOUBLE>").coalesce(1)
+    best = {}
+    for i, v in rows:
+        if i:
+            best[i] = max(best.get(i, -9), float(ann.cosine_many(x[0], v[None, :])[0]))
+    want = sorted(best, key=lambda i: (-best[i], i))[:5]
+    got = sorted((r["rank"], r.vec_id, r.score) for r in ann.nearest(df, F.col("vec_id") == 0, k=5).collect())
+    assert [r[:2] for r in got] == list(enumerate(want, 1))
+    assert all(abs(best[i] - s) < 1e-12 for _, i, s in got)
+
+
 # ---- 4, 7, 9, 10: SQL ----
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
