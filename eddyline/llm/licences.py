@@ -11,14 +11,21 @@ Every step is a built-in function; a text is never shuffled.  The digests of up
 to ``BROADCAST_ROWS`` known licences are broadcast; of more, or of a table of known
 licences, Spark's own check of the size decides.
 
+A copyright line begins with ``copyright``, ``(c)`` or ``©`` and names a year, a
+sign or a holder; a line of wrapped licence text (``copyright notice and this
+...``, ``(c) You must retain ...``) is none.  A line that is only ``All rights
+reserved`` is dropped too.  A holder without year, sign or ``by`` is known by its
+capital letter.
+
 Nulls: a null text has no units.  A unit that is empty after normalising matches
 nothing.  Repeated rows each give their own matches.
 """
 
 from __future__ import annotations
 
+import pkgutil
 import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -122,20 +129,78 @@ KNOWN = {
         "3. This notice may not be removed or altered from any source distribution."),
 }
 
-# Fixed values, the same in Spark and in SQL: a copyright line, and what becomes a space.
+# Titles that the licence texts carry.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "Expat License"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "BSD Zero Clause License (0BSD)", "0BSD License"),
+    "Zlib": ("zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "Simplified BSD License",
+                     "The 2-Clause BSD License", "BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "New BSD License",
+                     "The 3-Clause BSD License", "BSD License"),
+}
+
+# Wordings in use besides those above.
+WORDINGS = {
+    "MIT": (("this permission notice shall", "this permission notice (including the next paragraph) shall"),),
+    "ISC": (("modify, and/or distribute", "modify, and distribute"),),
+    "0BSD": (("modify, and/or distribute", "modify, and distribute"),),
+}
+
+# Licences whose full texts lie in the folder ``texts``.
+FULL_TEXTS = ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GPL-1.0", "GPL-2.0", "GPL-3.0",
+              "LGPL-2.1", "LGPL-3.0", "MPL-1.1", "MPL-2.0")
+END_OF_TERMS = "END OF TERMS AND CONDITIONS"
+
+
+def known_texts() -> list[tuple[str, str]]:
+    """``licence, text``: KNOWN and the full texts, each in the wordings, with the
+    titles and without the appendix that files of it have."""
+    texts = list(KNOWN.items())
+    for name in FULL_TEXTS:
+        text = pkgutil.get_data(__package__, f"texts/{name}.txt").decode()
+        texts += [(name, text), (name, text.replace("https://", "http://"))]
+        if name.startswith("BSD"):
+            texts.append((name, re.sub(r"(?m)^[123]\.", "*", text)))
+        if END_OF_TERMS in text:
+            ends = text[:text.index(END_OF_TERMS)]
+            texts += [(name, t) for e in (ends, ends.replace("https://", "http://")) for t in (e, e + END_OF_TERMS)]
+    texts += [(n, t.replace(a, b)) for n, t in texts for a, b in WORDINGS.get(n, ())]
+    texts += [(n, f"{title}\n\n{t}") for n, t in texts for title in TITLES.get(n, ())]
+    return list(dict.fromkeys(texts))
+
+
+# Fixed values of the SQL: a copyright line (wider than the rule below, and with
+# KNOWN alone: the SQL holds where neither makes a difference), and what becomes a space.
 COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*"
 NOT_WORD = r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f©«»‘’‚“”„–—…]+"
 
-# The same two rules in the forms that run faster here: line starts, and single characters.
-LINE_OF_COPYRIGHT = r"(?dm)^[ \t]*+(?:copyright|\(c\)|©)[^\n]*+"
+# Words that follow "copyright" in the text of a licence, not in a copyright line.
+_TEXT = (r"(?!(?i:notices?|licen[cs]\w*|holders?|owners?|ownership|laws?|acts?|treaty|treaties|statements?|interests?|"
+         r"permissions?|rights?|protection|office|infringement|claims?|status|information|disclaimers?|works?|"
+         r"material|grants?|exceptions?|terms?|directive|convention|and|or|in|on|of|to|is|for|with|the)\b)")
+_YEAR = r"\b(?:19|20)\d\d\b"
+# A copyright line, before the text becomes lower case.
+LINE_OF_COPYRIGHT = (
+    r"(?dm)^[ \t]*+(?:(?:©"
+    r"|\([cC]\)[ \t,:]*+(?:" + _YEAR + r"|(?i:by)[ \t]|[^\n]*" + _YEAR + r"\.?[ \t\r]*$|\p{Lu}[\p{L}.'’-]*+[ \t]++\p{Lu}\p{Ll})"
+    r"|(?:\([cC]\)[ \t]*+)?(?i:copyright)(?:"
+    r"[ \t,:]*+(?:\([cC]\)|©|" + _YEAR + r"|[\[{<])"
+    r"|(?:[ \t]++(?i:holders?|owners?))?[ \t]*+:[ \t]*+[^\s]"
+    r"|[ \t]++(?i:by)[ \t]"
+    r"|[ \t]++" + _TEXT + r"[^\n]*" + _YEAR +
+    r"|(?<=opyright)[ \t]++(?:[Tt]he[ \t]++)?" + _TEXT + r"\p{Lu}))[^\n]*+"
+    r"|(?i:all[ \t]++rights[ \t]++reserved)[ \t]*+[.!]?[ \t\r]*+$)")
+# NOT_WORD in the form that runs faster here: single characters.
 NOT_WORD_CHARS = "".join(c for c in map(chr, range(0x2100)) if re.fullmatch(NOT_WORD, c) and c != "\n")
 BROADCAST_ROWS = 50_000      # known texts whose digests (about 100 bytes each) are broadcast; more are joined by shuffle
 
 
 def plain_lines(text: Column) -> Column:
-    """Lower case, copyright lines emptied, all that is no word one space; line
+    """Copyright lines emptied, lower case, all that is no word one space; line
     breaks are kept."""
-    s = F.regexp_replace(F.lower(text), LINE_OF_COPYRIGHT, "")
+    s = F.lower(F.regexp_replace(text, LINE_OF_COPYRIGHT, ""))
     return F.regexp_replace(F.translate(s, NOT_WORD_CHARS, " " * len(NOT_WORD_CHARS)), " {2,}", " ")
 
 
@@ -161,18 +226,21 @@ def canonical(text: Column) -> Column:
     return respelt(one_line(plain_lines(text)))
 
 
-def known_digests(spark: SparkSession, known: Mapping[str, str] | DataFrame) -> DataFrame:
+def known_digests(spark: SparkSession, known: Mapping[str, str] | Iterable[tuple[str, str]] | DataFrame) -> DataFrame:
     """``digest, licence``: one row per digest (the first name in order)."""
     if not isinstance(known, DataFrame):
-        known = spark.createDataFrame(list(known.items()), "licence string, text string")
+        pairs = known.items() if isinstance(known, Mapping) else known
+        known = spark.createDataFrame(list(pairs), "licence string, text string")
     c = canonical(F.col("text"))
     return known.where(c != "").groupBy(F.sha2(c, 256).alias("digest")).agg(F.min("licence").alias("licence"))
 
 
-def scan_licences(docs: DataFrame, known: Mapping[str, str] | DataFrame = KNOWN,
+def scan_licences(docs: DataFrame, known: Mapping[str, str] | DataFrame | None = None,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, unit, digest, licence`` per matching unit; unit 0 is the whole
-    text, unit ``n`` its ``n``-th line (of a text of several lines)."""
+    text, unit ``n`` its ``n``-th line (of a text of several lines).  Without
+    ``known`` the texts of :func:`known_texts` are looked up."""
+    known = known_texts() if known is None else known
     # A text is made plain once; its lines and the whole are both cut from that.
     plain = (docs.select(F.col(f"`{id_col}`").alias("doc_id"), plain_lines(F.col(f"`{text_col}`")).alias("plain"))
              .select("doc_id", "plain", one_line(F.col("plain")).alias("whole"))

@@ -2,8 +2,10 @@
 accuracy and their SQL, and the defined results of edge cases."""
 
 import hashlib
+import pkgutil
 import random
 import re
+import textwrap
 
 import numpy as np
 import pytest
@@ -227,6 +229,38 @@ def test_licence_spellings_and_copyright_lines(spark):
     assert licences.scan_licences(df.limit(0)).count() == 0
 
 
+def test_wrapped_titled_and_full_licences(spark):
+    def wrapped(text, width):
+        return "\n\n".join(textwrap.fill(p, width) for p in text.split("\n\n"))
+    want, rows = {}, []
+
+    def add(name, text):
+        want[len(rows)] = name
+        rows.append((len(rows), text))
+    for name in ("MIT", "ISC"):
+        for width in range(30, 100):
+            add(name, wrapped(licences.KNOWN[name], width))
+    isc = ("ISC License\n\nCopyright (c) 2004-2020 by Some Body\nCopyright Jane Doe\n\n"
+           + licences.KNOWN["ISC"].replace("permission notice", "permission\nnotice").replace("above copyright", "above\ncopyright"))
+    assert "\ncopyright notice and this permission\nnotice appear" in isc
+    add("ISC", isc)
+    add("MIT", "The MIT License (MIT)\n\nCopyright © 2020 X, Inc.\nAll rights reserved.\n\n"
+        + licences.KNOWN["MIT"].replace("OR COPYRIGHT", "OR\nCOPYRIGHT"))
+    for name in licences.FULL_TEXTS:
+        text = pkgutil.get_data("eddyline.llm", f"texts/{name}.txt").decode()
+        add(name, text)
+        if name in ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause"):
+            add(name, wrapped(text, 1000).replace("Copyright [yyyy] [name of copyright owner]", "Copyright 2021 Jane Doe"))
+    add("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2017, The Authors\nAll rights reserved.\n\n"
+        + pkgutil.get_data("eddyline.llm", "texts/BSD-3-Clause.txt").decode())
+    for line in ("Copyright", "copyright notice", "COPYRIGHT HOLDERS BE", "(c) You must retain", "Copyright Act of 1976",
+                 "all rights reserved by us"):
+        add(None, f"{line}\n{licences.KNOWN['MIT']}")
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    got = {r.doc_id: r.licence for r in licences.scan_licences(df).where("unit = 0").collect()}
+    assert {i: n for i, n in want.items() if got.get(i) != n} == {}
+
+
 def test_mixing_means_and_edges(spark):
     d = spark.range(4000).select(
         F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"),
