@@ -4,7 +4,8 @@ A ``revisit`` record says that a URL was fetched and the server answered 304
 Not Modified; it has no payload of its own.  It is resolved by an as-of join to
 the latest earlier full response of the same canonical URL.  The validators
 (entity tag, then last-modified time) must agree: if the revisit names one and
-the response's differs, the revisit stays unresolved with a reason.  The resolved
+the response's differs, the revisit stays unresolved with a reason; the time is
+not asked where both have entity tags.  The resolved
 record takes the response's payload and headers, updated by the headers that a
 304 may carry.
 
@@ -84,8 +85,8 @@ def resolve_revisits(records: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -
                   .when(~usable | F.col("canonical_url").isNull(), "no url or time")
                   .when(f.isNull(), "no earlier response")
                   .when(F.col("etag") != f["etag"], "etag differs")
-                  .when(F.col("etag").isNull() & (F.col("last_modified") != f["last_modified"]),
-                        "last-modified differs")
+                  .when((F.col("etag").isNull() | f["etag"].isNull())
+                        & (F.col("last_modified") != f["last_modified"]), "last-modified differs")
                   .otherwise("resolved"))
     own = F.coalesce("headers", F.create_map().cast("map<string,string>"))
     sent = F.map_filter(own, lambda k, _: F.lower(k).isin(*PERMITTED))

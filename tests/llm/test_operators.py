@@ -299,6 +299,18 @@ def test_revisit_edges(spark):
     assert got[2].refers_to == 1 and got[2].resolved_headers == {"etag": "e1", "x": "1", "date": "d"}
 
 
+def test_revisit_validators(spark):
+    rows = [(1, 0, "response", None, 10), (2, 1, "revisit", "e", 20), (3, 2, "revisit", "e", 10), (4, 3, "revisit", None, 20),
+            (5, 4, "revisit", "e", None), (6, 10, "response", "e", 10), (7, 11, "revisit", "e", 20), (8, 12, "revisit", "f", 10)]
+    df = spark.createDataFrame(rows, "record_id BIGINT, at BIGINT, kind STRING, etag STRING, lm BIGINT").select(
+        "record_id", F.lit("http://a.com/").alias("url"), F.timestamp_seconds("at").alias("fetched_at"), "kind", "etag",
+        F.timestamp_seconds("lm").alias("last_modified"), F.lit(None).cast("map<string,string>").alias("headers"),
+        F.lit("p").alias("payload_digest"))
+    assert {r.record_id: r.resolution for r in warc.resolve_revisits(df).collect()} == {
+        1: "full", 2: "last-modified differs", 3: "resolved", 4: "last-modified differs", 5: "resolved",
+        6: "full", 7: "resolved", 8: "etag differs"}
+
+
 # ---- 5 and 6 tokens ----
 
 def test_bpe_equals_the_library(spark, docs):
