@@ -8,8 +8,10 @@ hashes that another holds estimates containment between texts of very unequal
 length.  A text with fewer than ``FLOOR`` hashes below the threshold keeps its
 ``FLOOR`` smallest ones; its own threshold is then the largest hash it keeps (the
 whole range if it keeps all), and two sketches are compared, or merged, below
-the smaller of their thresholds.  So short texts are compared too, and with all
-their shingles.
+the smaller of their thresholds.  So short texts are compared with each other by
+all their shingles, and with a long text by those below the long one's threshold:
+about 1/8 of them, so a containment rests on few hashes there, and is null
+(unknown) if there is none.
 
 The sketch is a string of hashes, 16 hex digits each, ascending; a leading
 ``*`` marks one that holds every shingle of its text, ``+`` one cut at its
@@ -102,14 +104,15 @@ class Sketch:
         limit = min(self.limit, other.limit)
         return Sketch(np.union1d(self.below(limit), other.below(limit)), limit)
 
-    def containment(self, other: Sketch) -> float:
-        """Estimated share of this text's shingles that the other text has."""
+    def containment(self, other: Sketch) -> float | None:
+        """Estimated share of this text's shingles that the other text has; None
+        if this sketch holds no hash below the common threshold."""
         if self.limit == FULL and not len(self.hashes) or other.limit == FULL and not len(other.hashes):
             return float(len(self.hashes) == len(other.hashes))
         limit = min(self.limit, other.limit)
         a = self.below(limit)
-        if not len(a):      # nothing of this short text is below the other's threshold
-            return 0.0
+        if not len(a):
+            return None
         return len(np.intersect1d(a, other.below(limit), assume_unique=True)) / len(a)
 
     def likeness(self, other: Sketch) -> float:

@@ -163,6 +163,18 @@ def test_sketch_edges(spark):
     assert one[0].near_next == 1.0
 
 
+def test_containment_of_a_short_text_is_known_or_null(spark):
+    words = [str(i * i) for i in range(30_000)]
+    long = sketch.Sketch.of(" ".join(words).encode())
+    got = [sketch.Sketch.of(" ".join(words[i:i + 14]).encode()).containment(long) for i in range(0, 29_000, 100)]
+    assert set(got) == {1.0, None} and 0.15 < got.count(None) / len(got) < 0.4
+    i = 100 * got.index(None)
+    rows = [(2, " ".join(words[i:i + 14])), (1, " ".join(words))]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    seen = {r.doc_id: r for r in sketch.compare_with_edited(df).collect()}
+    assert seen[2].contained_next is None and seen[1].contained_next is not None
+
+
 # ---- 3 nearest neighbours ----
 
 def test_neighbours_recall_and_scores(spark):
