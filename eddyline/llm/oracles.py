@@ -156,3 +156,38 @@ def warc() -> str:
         WHEN 'resolved' THEN 'cache-control=max-age=' || v || ';content-length=1;content-type=text/html;date='
              || at_s || ';etag=' || f.etag END AS headers
     FROM judged"""
+
+
+def lexical() -> str:
+    """Every score of an item and a document that share a term, ranked."""
+    return r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+item_terms AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+len AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+whole AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS total FROM len),
+tf AS (SELECT doc_id, term, count(*)::BIGINT AS tf FROM words
+       WHERE term IN (SELECT term FROM item_terms) GROUP BY doc_id, term),
+weight AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM tf, whole GROUP BY term, n_docs),
+part AS (
+  SELECT term, doc_id,
+         w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // total))) AS part
+  FROM tf JOIN weight USING (term) JOIN len USING (doc_id), whole),
+score AS (
+  SELECT item_id, doc_id, sum(part)::BIGINT AS score
+  FROM item_terms JOIN part USING (term) GROUP BY item_id, doc_id),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank,
+         doc_id, score
+  FROM score WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""

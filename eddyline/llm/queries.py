@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eddyline.llm import oracles
+from eddyline.llm.alignment import align
 from eddyline.llm.ann import nearest
 from eddyline.llm.bpe import decode_documents, encode_documents
 from eddyline.llm.common import read
+from eddyline.llm.jaccard import jaccard_components
+from eddyline.llm.lexical import rank_documents
 from eddyline.llm.licences import scan_licences
 from eddyline.llm.mixing import poisson_mix
 from eddyline.llm.simhash import near_duplicates
@@ -22,9 +25,9 @@ from eddyline.llm.urlfilter import judge_urls
 from eddyline.llm.warc import records_from_pages, resolve_revisits
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,13 +82,29 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
         "resolution", "refers_to", "resolved_digest", F.array_join(lines, ";").alias("headers"))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(read(spark, sf_dir, "documents").select("doc_id", "text"),
+                          read(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+def op12_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return align(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))[0]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_simhash, op2_sketch, op3_ann, op4_licences, op5_bpe, op6_token_counts,
-                            op7_mixing, op8_toxicity, op9_url_filter, op10_warc_revisits)}
+                            op7_mixing, op8_toxicity, op9_url_filter, op10_warc_revisits, op11_lexical,
+                            op12_jaccard, op13_alignment)}
 
 ORACLE_SQL: dict[str, str] = {
     "op4_licences": oracles.licences(),
     "op7_mixing": oracles.mixing(),
     "op9_url_filter": oracles.url_filter(),
     "op10_warc_revisits": oracles.warc(),
+    "op11_lexical": oracles.lexical(),
 }
