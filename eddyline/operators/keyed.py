@@ -40,6 +40,18 @@ def arrival(df: DataFrame, seq: str) -> list[str]:
     return [seq] + [c for c in ("partition",) if c in df.columns]
 
 
+def average_pending(pairs: DataFrame, n: int = 2, key: str = "key", value: str = "value", seq: str = "seq",
+                    bucket_width: int = DEFAULT_SEQ_BUCKET, split: str = "all") -> DataFrame:
+    """``key, count, total, known`` of every key's last, incomplete group: the rows in it, their
+    sum and the number of values that are not null."""
+    d = ordinal(pairs, [key], arrival(pairs, seq), "_rn", _bucket(pairs, [key], seq, bucket_width, split),
+                key_total="_total")
+    rest = d.where(F.col("_rn") > F.col("_total") - F.pmod("_total", F.lit(n)))
+    return rest.groupBy(F.col(key).alias("key")).agg(
+        F.count(F.lit(1)).alias("count"), F.coalesce(F.sum(value).cast("bigint"), F.lit(0)).alias("total"),
+        F.count(value).alias("known"))
+
+
 class Chunks(NamedTuple):
     full: DataFrame
     pending: DataFrame
@@ -73,3 +85,14 @@ def chunk_rows(rows: DataFrame, n: int, bucket: str = "bucket", seq: str = "seq"
     full = d.where(F.col("chunk") < F.col("_full")).select(*cols)
     pending = d.where(F.col("chunk") >= F.col("_full")).select(*cols)
     return Chunks(full, pending)
+
+
+def chunk_state(chunks: Chunks, bucket: str = "bucket") -> DataFrame:
+    """What the sink instances hold after :func:`chunk_rows`: the pending rows (``held``), and one
+    row per bucket with the number of chunks released in ``chunk``."""
+    cols = ["name", "value", "seq", bucket]
+    last = chunks.full.groupBy(bucket).agg((F.max("chunk") + 1).alias("chunk"))
+    none = last.select(F.lit(None).cast("string").alias("name"), F.lit(None).cast("int").alias("value"),
+                       F.lit(None).cast("bigint").alias("seq"), bucket, "chunk", F.lit(0).alias("position"),
+                       F.lit(False).alias("held"))
+    return chunks.pending.select(*cols, "chunk", "position", F.lit(True).alias("held")).unionByName(none)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eddyline.functions.fold import fold_runs, halving_average, signed_run
-from eddyline.operators.scan import seq_bucket
+from eddyline.operators.scan import ordinal, seq_bucket
 from eddyline.functions.text import strict_long
 from eddyline.functions.timefmt import fmt_epoch_ms, took_note, valid_epoch_ms
 
@@ -156,3 +156,32 @@ def access_window_stats(rows: DataFrame, window: str = DEFAULT_WINDOW,
         F.col("_first.method").alias("method"), F.col("_first.code").alias("code"), "count",
         avg.alias("response_time_avg"),
         (F.col("_took") / F.col("_n")).alias("response_time_mean"))
+
+
+def _positions(rows: DataFrame, keys: list[str], window: str, bucket_width: int) -> DataFrame:
+    d = rows.withColumn("_w", F.window("event_time", window))
+    d = d.withColumn("window_start", F.col("_w.start")).withColumn("window_end", F.col("_w.end")).drop("_w")
+    d = ordinal(d, [*keys, "window_start"], ["seq", "partition"], "_n", seq_bucket("seq", bucket_width))
+    return d.withColumn("position", F.col("_n") - 1)
+
+
+def count_window_times(rows: DataFrame, window: str = DEFAULT_WINDOW,
+                       bucket_width: int = STATS_BUCKET) -> DataFrame:
+    """The ``times`` of :func:`count_window_reduce` as rows: ``key, window_start, window_end,
+    position`` (from 0, arrival order) and ``time``.  No window's rows meet in one task: positions
+    come from the bucketed running count."""
+    d = _positions(rows, ["key"], window, bucket_width)
+    return d.select("key", "window_start", "window_end", "position", _fmt_text(F.col("time_text")).alias("time"))
+
+
+def access_window_times(rows: DataFrame, window: str = DEFAULT_WINDOW,
+                        bucket_width: int = STATS_BUCKET) -> DataFrame:
+    """The ``times`` of :func:`access_window_reduce` as rows, with their latency notes, beside
+    the scalar rows of :func:`access_window_stats`."""
+    d = _positions(rows, ["url", "response"], window, bucket_width)
+    return d.select("url", "response", "window_start", "window_end", "position", noted_time().alias("time"))
+
+
+def noted_time(text: str = "time_text", took: str = "took_ms") -> Column:
+    """An event time's display text with its latency note."""
+    return took_note(_fmt_text(F.col(text)), F.col(took))

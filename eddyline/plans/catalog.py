@@ -15,22 +15,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eddyline.operators import (
-    access_window_reduce, access_window_stats, as_table, char_counts, chunk_rows, count_average,
-    count_window_reduce, mark_late, parse_access_lines, parse_count_lines,
-    parse_first_three, parse_orders, prefix_lines, sql_filter, union_all_filtered,
-    word_count, word_sessions,
+    access_window_reduce, access_window_stats, access_window_times, as_table, average_pending, char_counts,
+    chunk_rows, chunk_state, count_average, count_window_reduce, count_window_times, mark_late,
+    parse_access_lines, parse_count_lines, parse_first_three, parse_orders, prefix_chars, prefix_lines,
+    sql_filter, union_all_filtered, word_count, word_pairs, word_sessions,
 )
+from eddyline.operators.window_reduce import noted_time
 from eddyline.operators.words import word_count_window, word_sessions_stream
 from eddyline.session import prepare_session, settings_for_start
 from eddyline.streaming import (
-    chunk_rows_stream, count_average_stream, run_available_now, run_in_ranges, stream_dir,
+    access_window_timers, chunk_rows_stream, count_average_stream, mark_late_stream, pending_averages,
+    pending_chunks, run_available_now, run_until_idle, stream_dir, word_clock_windows,
 )
 from eddyline.sinks import write_lines
 from eddyline.sinks import access_documents, count_documents, object_documents, word_documents
 from eddyline import sources
 from eddyline.sources import (
-    access_lines, arrival_order, count_lines, event_lines, keyed_pairs, named_pairs,
-    order_lines, text_lines,
+    access_lines, arrival_lines, arrival_order, count_lines, event_lines, keyed_pairs, named_pairs,
+    order_lines, read_log, text_lines,
 )
 
 
@@ -363,30 +365,245 @@ def chunk_rows_stream_q(spark, sf_dir):
     return run_available_now(chunk_rows_stream(rows, CHUNK_N), "chunk_rows_stream")
 
 
-LATE_RANGES = 10   # micro-batches the jittered arrivals are cut into
+LATE_RANGES = 10   # files, and so micro-batches, of the jittered arrivals
 
 
 def late_rows_stream(spark, sf_dir):
-    """Events in their jittered arrival order, streamed as ten consecutive
-    micro-batches, counted per 6 hour window behind a zero-delay watermark.
+    """Events in their jittered arrival order, streamed from ten consecutive files, a
+    micro-batch each, and counted per 6 hour window behind a zero-delay watermark.
     A row is dropped when its window was already closed by the watermark of
     the earlier batches (the reference's rule, per micro-batch)."""
     prepare_session(spark)
+    rows = arrival_order(read_table(spark, sf_dir, "events"))
+    folder = f"{stream_dir(spark, 'late_rows_stream')}/in"
+    lo, hi = rows.agg(F.min("seq"), F.max("seq")).first()
+    step = (hi - lo) // LATE_RANGES + 1
+    for i in range(LATE_RANGES):        # one after the other: files are taken by their time
+        rows.where(F.col("seq").between(lo + i * step, lo + (i + 1) * step - 1)).coalesce(1).write.mode(
+            "append").parquet(folder)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    counts = (stream.withWatermark("ts", ZERO_DELAY)
+              .groupBy(F.window("ts", LONG_WINDOW).alias("w")).agg(F.count("*").alias("n")))
+    # late rows filtered with the current batch's watermark
+    out = run_available_now(counts, "late_rows_stream",
+                            settings={"spark.sql.streaming.statefulOperator.allowMultiple": "false"})
+    return out.select(F.unix_millis("w.start").alias("window_start_ms"),
+                      F.unix_millis("w.end").alias("window_end_ms"), "n")
 
-    def counts(stream):
-        return (stream.withWatermark("ts", ZERO_DELAY)
-                .groupBy(F.window("ts", LONG_WINDOW).alias("w"))
-                .agg(F.count("*").alias("n")))
 
-    # late rows filtered with the current batch's watermark
-    out = run_in_ranges(
-        arrival_order(read_table(spark, sf_dir, "events")), "seq", LATE_RANGES,
-        "late_rows_stream", counts,
-        settings={"spark.sql.streaming.statefulOperator.allowMultiple": "false"})
+# ---- a log of lines with offsets: per-record watermarks, partitions, restarts ----
+
+LOG_BATCHES = 4     # a log is streamed in about so many micro-batches
+
+
+def _write_log(lines, folder, *tie):
+    """A log folder: one append-only file per source partition, lines in order of ``seq``.
+    Returns the bytes written."""
+    (lines.repartition("partition").sortWithinPartitions("partition", "seq", *tie)
+     .select("value", "partition").write.partitionBy("partition").text(folder))
+    return lines.agg(F.sum(F.octet_length("value") + 1)).first()[0] or 1
+
+
+def log_restart_stream(spark, sf_dir):
+    """Count lines read from a log in bounded micro-batches by a query that is stopped after
+    its first one and started again: every line once, with its partition and offset."""
+    base = stream_dir(spark, "log_restart_stream")
+    size = _write_log(count_lines(read_table(spark, sf_dir, "events")), f"{base}/in")
+    lines = lambda: read_log(spark, f"{base}/in", checkpoint=f"{base}/checkpoint",
+                             max_bytes=size // LOG_BATCHES + 1).select("partition", "seq", "value")
+    where = {"out": f"{base}/out", "checkpoint": f"{base}/checkpoint"}
+    run_available_now(lines(), "log_restart_stream", **where)      # one bounded micro-batch
+    return run_until_idle(lines(), "log_restart_stream", **where)
+
+
+def log_from_offsets_stream(spark, sf_dir):
+    """The same log, read by a new query from the middle byte of every partition on."""
+    import json
+    base = stream_dir(spark, "log_from_offsets_stream")
+    _write_log(count_lines(read_table(spark, sf_dir, "events")), f"{base}/in")
+    files = (spark.read.option("recursiveFileLookup", "true").format("binaryFile").load(f"{base}/in")
+             .select("path", "length").collect())                  # one file per partition
+    start = {"/".join(f["path"].split("/")[-2:]): f["length"] // 2 for f in files}
+    lines = read_log(spark, f"{base}/in", startingOffsets=json.dumps(start))
+    return run_available_now(lines.select("partition", "seq", "value"), "log_from_offsets_stream")
+
+
+def _arrivals(lines):
+    """Parsed :func:`arrival_lines`."""
+    f = F.split("value", ",")
+    return lines.select(f[0].cast("bigint").alias("event_id"), F.timestamp_micros(f[2].cast("bigint")).alias("ts"),
+                        f[1].cast("bigint").alias("seq"), "partition")
+
+
+def late_split_stream(spark, sf_dir):
+    """:func:`late_split` on a stream: jittered arrivals from a log, several micro-batches, a
+    per-record watermark per source partition kept in state."""
+    prepare_session(spark)
+    base = stream_dir(spark, "late_split_stream")
+    size = _write_log(arrival_lines(read_table(spark, sf_dir, "events")), f"{base}/in", "event_id")
+    rows = _arrivals(read_log(spark, f"{base}/in", checkpoint=f"{base}/checkpoint",
+                              max_bytes=size // LOG_BATCHES + 1))
+    out = run_until_idle(mark_late_stream(rows, LONG_WINDOW), "late_split_stream", out=f"{base}/out",
+                         checkpoint=f"{base}/checkpoint")
+    return out.select("event_id", "seq", "partition", "window_start_ms", "watermark_ms", "late")
+
+
+def slow_partition_windows_stream(spark, sf_dir):
+    """Events per 6 hour window from a log whose partitions are read at different speeds,
+    partition 0 in one micro-batch and the last in many.  Each partition is a stream with a watermark
+    of its own; the union's watermark is their minimum, so the fast ones make no row of a slow one late."""
+    prepare_session(spark)
+    base = stream_dir(spark, "slow_partition_windows_stream")
+    events = read_table(spark, sf_dir, "events")
+    lines = events.select(F.unix_micros(F.col("ts").cast("timestamp")).cast("string").alias("value"), F.col("event_id").alias("seq"),
+                          (F.col("user_id") % sources.derive.SOURCE_PARTITIONS).cast("int").alias("partition"))
+    size = _write_log(lines, f"{base}/in")
+    union = None
+    for p in range(sources.derive.SOURCE_PARTITIONS):
+        one = read_log(spark, f"{base}/in/partition={p}", checkpoint=f"{base}/checkpoint",
+                       max_bytes=size // (1 + 2 * p) + 1)
+        one = one.select(F.timestamp_micros(F.col("value").cast("bigint")).alias("ts")).withWatermark("ts", ZERO_DELAY)
+        union = one if union is None else union.unionByName(one)
+    counts = union.groupBy(F.window("ts", LONG_WINDOW).alias("w")).agg(F.count("*").alias("n"))
+    out = run_until_idle(counts, "slow_partition_windows_stream", out=f"{base}/out", checkpoint=f"{base}/checkpoint",
+                         settings={"spark.sql.streaming.multipleWatermarkPolicy": "min"})
     return out.select(F.unix_millis("w.start").alias("window_start_ms"),
                       F.unix_millis("w.end").alias("window_end_ms"), "n")
 
 
+# ---- windows by timers, times as rows ----
+
+def access_window_times_q(spark, sf_dir):
+    """The flagship's time list as rows, no group's rows brought together."""
+    prepare_session(spark)
+    rows = parse_access_lines(access_lines(read_table(spark, sf_dir, "events"))).rows
+    return access_window_times(rows, REFERENCE_WINDOW).select(
+        "url", "response", _ms("window_start"), _ms("window_end"), "position", "time")
+
+
+def count_window_times_6h(spark, sf_dir):
+    prepare_session(spark)
+    rows = parse_count_lines(count_lines(read_table(spark, sf_dir, "events"))).rows
+    return count_window_times(rows, LONG_WINDOW).select(
+        "key", _ms("window_start"), _ms("window_end"), "position", "time")
+
+
+def _timers(spark, sf_dir, name, times):
+    rows = parse_access_lines(access_lines(_events_stream(spark, sf_dir))).rows
+    return run_available_now(access_window_timers(rows, REFERENCE_WINDOW, ZERO_DELAY, times), name)
+
+
+def access_window_timers_stream(spark, sf_dir):
+    """The flagship's scalars as a stream with one state tuple per window, closed by timers."""
+    out = _timers(spark, sf_dir, "access_window_timers_stream", False).where("kind = 'window'")
+    return out.select("url", "response", "window_start_ms", "window_end_ms", "method", "code", "count",
+                      "response_time_avg", F.round("response_time_mean", 6).alias("response_time_mean"))
+
+
+def access_window_times_stream(spark, sf_dir):
+    """The times of the same stream, each written once with its position in its window."""
+    out = _timers(spark, sf_dir, "access_window_times_stream", True).where("kind = 'time'")
+    return out.select("url", "response", "window_start_ms", "window_end_ms", "position",
+                      noted_time().alias("time"))
+
+
+CLOCK_WINDOW = "5 seconds"
+
+
+def word_clock_windows_stream(spark, sf_dir):
+    """Words of a document stream per processing-time window, in append mode: windows leave when the
+    clock passes their end, and the query ends when no state is left.  The windows hang
+    on the clock, so a word's sum is returned and whether all windows are aligned."""
+    prepare_session(spark)
+    words = word_pairs(text_lines(read_table(spark, sf_dir, "documents", streaming=True)))
+    out = run_until_idle(word_clock_windows(words, CLOCK_WINDOW), "word_clock_windows_stream", trigger="1 second",
+                         until_state_empty=True)
+    width = F.col("window_end_ms") - F.col("window_start_ms")
+    return out.groupBy("word").agg(
+        F.sum("count_sum").cast("bigint").alias("count_sum"),
+        F.bool_and((F.pmod("window_start_ms", F.lit(5000)) == 0) & (width == 5000)).alias("windows_aligned"))
+
+
+# ---- keyed state: nulls, reading it back, starting from a batch ----
+
+def count_average_nulls(spark, sf_dir):
+    """Averages where some keys and values are null."""
+    return count_average(keyed_pairs(read_table(spark, sf_dir, "events"), damaged=True), COUNT_AVERAGE_N)
+
+
+def count_average_nulls_stream(spark, sf_dir):
+    pairs = keyed_pairs(_events_stream(spark, sf_dir), damaged=True)
+    return run_available_now(count_average_stream(pairs, COUNT_AVERAGE_N), "count_average_nulls_stream")
+
+
+def chunk_rows_nulls(spark, sf_dir):
+    """Chunks where some buckets and values are null."""
+    return chunk_rows(named_pairs(read_table(spark, sf_dir, "events"), damaged=True), CHUNK_N).full
+
+
+def chunk_rows_nulls_stream(spark, sf_dir):
+    rows = named_pairs(_events_stream(spark, sf_dir), damaged=True)
+    return run_available_now(chunk_rows_stream(rows, CHUNK_N), "chunk_rows_nulls_stream")
+
+
+STATE_N = 3     # with three to a group, a key can hold one value or two
+
+
+def count_average_pending(spark, sf_dir):
+    """What every key's last, incomplete group holds."""
+    return average_pending(keyed_pairs(read_table(spark, sf_dir, "events"), damaged=True), STATE_N)
+
+
+def count_average_pending_state(spark, sf_dir):
+    """The same, read from the state of the stream's checkpoint."""
+    ck = f"{stream_dir(spark, 'count_average_pending_state')}/checkpoint"
+    pairs = keyed_pairs(_events_stream(spark, sf_dir), damaged=True)
+    run_available_now(count_average_stream(pairs, STATE_N), "count_average_pending_state", checkpoint=ck)
+    return pending_averages(spark, ck)
+
+
+def chunk_pending_state(spark, sf_dir):
+    """The rows that the streamed sink still buffers, read from its checkpoint."""
+    ck = f"{stream_dir(spark, 'chunk_pending_state')}/checkpoint"
+    rows = named_pairs(_events_stream(spark, sf_dir), damaged=True)
+    run_available_now(chunk_rows_stream(rows, CHUNK_N), "chunk_pending_state", checkpoint=ck)
+    return pending_chunks(spark, ck)
+
+
+def _halves(spark, sf_dir):
+    """The earlier events as a static frame and the later ones as a stream."""
+    rows = read_table(spark, sf_dir, "events")
+    middle = (rows.agg(F.max("event_id")).first()[0] or 0) // 2
+    return (rows.where(F.col("event_id") <= middle),
+            _events_stream(spark, sf_dir).where(F.col("event_id") > middle))
+
+
+def count_average_resumed_stream(spark, sf_dir):
+    """Averages of a static first half and of a stream that starts from what it left pending."""
+    first, later = _halves(spark, sf_dir)
+    first = keyed_pairs(first, damaged=True)
+    done = count_average(first, STATE_N)
+    out = run_available_now(count_average_stream(keyed_pairs(later, damaged=True), STATE_N,
+                                                 initial=average_pending(first, STATE_N)),
+                            "count_average_resumed_stream")
+    return done.unionByName(out)
+
+
+def chunk_rows_resumed_stream(spark, sf_dir):
+    """Chunks of a static first half and of a stream that starts from its buffered rows."""
+    first, later = _halves(spark, sf_dir)
+    done = chunk_rows(named_pairs(first, damaged=True), CHUNK_N)
+    out = run_available_now(chunk_rows_stream(named_pairs(later, damaged=True), CHUNK_N, initial=chunk_state(done)),
+                            "chunk_rows_resumed_stream")
+    return done.full.select(*out.columns).unionByName(out)
+
+
+def prefix_char_rows(spark, sf_dir):
+    """The characters of every prefixed line as rows, with their positions."""
+    prepare_session(spark)
+    return prefix_chars(count_lines(read_table(spark, sf_dir, "events")))
+
+
 # ---- the reference's jobs end to end: lines -> job -> document index ----
 
 def _parquet_lines(lines, folder):
@@ -473,6 +690,19 @@ STREAM_QUERIES = {
     "count_job_docs": count_job_docs,
     "late_rows_stream": late_rows_stream,
     "word_session_job_docs": word_session_job_docs,
+    "log_restart_stream": log_restart_stream,
+    "log_from_offsets_stream": log_from_offsets_stream,
+    "late_split_stream": late_split_stream,
+    "slow_partition_windows_stream": slow_partition_windows_stream,
+    "access_window_timers_stream": access_window_timers_stream,
+    "access_window_times_stream": access_window_times_stream,
+    "word_clock_windows_stream": word_clock_windows_stream,
+    "count_average_nulls_stream": count_average_nulls_stream,
+    "chunk_rows_nulls_stream": chunk_rows_nulls_stream,
+    "count_average_pending_state": count_average_pending_state,
+    "chunk_pending_state": chunk_pending_state,
+    "count_average_resumed_stream": count_average_resumed_stream,
+    "chunk_rows_resumed_stream": chunk_rows_resumed_stream,
 }
 
 QUERIES = {
@@ -507,5 +737,11 @@ QUERIES = {
     "count_window_reduce_6h": count_window_reduce_6h,
     "count_window_reduce_compat": count_window_reduce_compat,
     "count_window_totals": count_window_totals,
+    "access_window_times": access_window_times_q,
+    "count_window_times_6h": count_window_times_6h,
+    "count_average_nulls": count_average_nulls,
+    "chunk_rows_nulls": chunk_rows_nulls,
+    "count_average_pending": count_average_pending,
+    "prefix_char_rows": prefix_char_rows,
 }
 QUERIES.update(STREAM_QUERIES)

@@ -476,3 +476,107 @@ GROUP BY ALL
 ORACLE_SQL["word_windows"] = WORD_WINDOWS
 ORACLE_SQL["word_windows_stream"] = (
     f"SELECT * FROM ({WORD_WINDOWS}) q WHERE window_end_ms <= (SELECT max({MS}) FROM events)")
+
+
+# A log of lines: a record's offset is the number of bytes before it in its partition.
+LOG_LINES = f"""
+WITH {COUNT_SRC.strip()}
+SELECT partition, CAST(coalesce(sum(strlen(value) + 1) OVER (
+         PARTITION BY partition ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS seq,
+       value
+FROM count_src
+"""
+
+# Null keys and values: see eddyline.sources.derive.
+_KEYED_NULLS = """
+  SELECT CASE WHEN event_id % 13 <> 0 THEN user_id END AS key,
+         CASE WHEN event_id % 3 <> 0 THEN CAST(floor(value) AS BIGINT) END AS value, event_id AS seq
+  FROM events"""
+
+
+def _averages(n: int) -> str:
+    return f"""
+WITH p AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY seq) AS rn FROM ({_KEYED_NULLS}) q),
+g AS (SELECT key, (rn - 1) // {n} AS grp, count(*) AS n, sum(value) AS s, max(seq) AS seq
+      FROM p GROUP BY key, grp)
+SELECT key, CAST(s // {n} AS BIGINT) AS average, seq FROM g WHERE n = {n}
+"""
+
+
+AVERAGE_PENDING = f"""
+WITH p AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY seq) AS rn,
+                  count(*) OVER (PARTITION BY key) AS total
+           FROM ({_KEYED_NULLS}) q)
+SELECT key, count(*) AS count, CAST(coalesce(sum(value), 0) AS BIGINT) AS total, count(value) AS known
+FROM p WHERE rn > total - total % 3 GROUP BY key
+"""
+
+_CHUNK_NULLS = """
+WITH p AS (
+  SELECT event_type AS name, CASE WHEN event_id % 3 <> 0 THEN CAST(floor(value) AS INTEGER) END AS value,
+         event_id AS seq, CASE WHEN event_id % 13 <> 0 THEN CAST(user_id % 4 AS INTEGER) END AS bucket
+  FROM events),
+r AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY seq) AS rn,
+             count(*) OVER (PARTITION BY bucket) AS total
+      FROM p)
+"""
+CHUNK_NULLS = _CHUNK_NULLS + """SELECT name, value, seq, bucket, CAST((rn - 1) // 8 AS BIGINT) AS chunk,
+       CAST((rn - 1) % 8 AS INTEGER) AS position
+FROM r WHERE (rn - 1) // 8 < total // 8
+"""
+CHUNK_STATE = _CHUNK_NULLS + "SELECT name, value, seq, bucket FROM r WHERE (rn - 1) // 8 >= total // 8"
+
+
+def _time_rows(src: str, rows: str, keys: str, entry: str, window_ms: int) -> str:
+    return f"""
+WITH {src.strip()}
+SELECT {keys}, (ms // {window_ms}) * {window_ms} AS window_start_ms,
+       (ms // {window_ms}) * {window_ms} + {window_ms} AS window_end_ms,
+       row_number() OVER (PARTITION BY {keys}, ms // {window_ms} ORDER BY seq, partition) - 1 AS position,
+       {entry} AS time
+FROM {rows}
+"""
+
+
+_NOTED = f"{_fmt_text('time_text')} || ' took' || CAST(took AS VARCHAR) || 'ms'"
+ACCESS_TIMES = _time_rows(ACCESS_SRC, "access_rows", "url, response", _NOTED, W30S)
+
+PREFIX_CHAR_ROWS = f"""
+WITH {COUNT_SRC.strip()},
+c AS (SELECT seq, 'PREFIX:' || value AS t FROM count_src),
+p AS (SELECT seq, t, unnest(range(length(t))) AS i FROM c)
+SELECT seq, CAST(i AS INTEGER) AS pos, substring(t, i + 1, 1) AS ch FROM p
+"""
+
+# The watermark of a union is that of its slowest partition.
+SLOW_PARTITION = f"""
+WITH e AS (SELECT {MS} AS ms, user_id % 4 AS p FROM events),
+m AS (SELECT min(mx) AS mark FROM (SELECT max(ms) AS mx FROM e GROUP BY p))
+SELECT (ms // {W6H}) * {W6H} AS window_start_ms, (ms // {W6H}) * {W6H} + {W6H} AS window_end_ms, count(*) AS n
+FROM e, m WHERE (ms // {W6H}) * {W6H} + {W6H} <= mark GROUP BY ms // {W6H}
+"""
+
+ORACLE_SQL.update({
+    "log_restart_stream": LOG_LINES,
+    "log_from_offsets_stream": f"""
+SELECT partition, seq, value FROM (
+  SELECT *, sum(strlen(value) + 1) OVER (PARTITION BY partition) AS size FROM ({LOG_LINES}) q)
+WHERE seq >= size // 2""",
+    "late_split_stream": LATE_SPLIT,
+    "slow_partition_windows_stream": SLOW_PARTITION,
+    "access_window_times": ACCESS_TIMES,
+    "access_window_times_stream": ACCESS_TIMES,
+    "count_window_times_6h": _time_rows(COUNT_SRC, "count_rows", "key", _fmt_text("time_text"), W6H),
+    "access_window_timers_stream": ORACLE_SQL["access_window_stats_stream"],
+    "word_clock_windows_stream": f"SELECT word, count_sum, true AS windows_aligned FROM ({WORD_COUNT}) q",
+    "count_average_nulls": _averages(2),
+    "count_average_nulls_stream": _averages(2),
+    "chunk_rows_nulls": CHUNK_NULLS,
+    "chunk_rows_nulls_stream": CHUNK_NULLS,
+    "count_average_pending": AVERAGE_PENDING,
+    "count_average_pending_state": AVERAGE_PENDING,
+    "chunk_pending_state": CHUNK_STATE,
+    "count_average_resumed_stream": _averages(3),
+    "chunk_rows_resumed_stream": CHUNK_NULLS,
+    "prefix_char_rows": PREFIX_CHAR_ROWS,
+})

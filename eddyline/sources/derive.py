@@ -22,6 +22,7 @@ CUT_EVERY, NAN_EVERY, LINE_END_EVERY, NULL_EVERY, FAR_EVERY, MINUS_EVERY = 97, 1
 TAIL_EVERY, TWICE_EVERY, NO_PRODUCT_EVERY, NO_AMOUNT_EVERY, BAD_AMOUNT_EVERY, CLOSER_EVERY = (
     97, 101, 103, 107, 109, 113)
 FAR_MS = "999999999999999999"     # a whole number of ms past the year 9999
+NO_KEY_EVERY, NO_VALUE_EVERY = 13, 3
 JITTER_PRIME = 7919
 JITTER_SPAN = 50
 
@@ -127,22 +128,36 @@ def order_lines(orders: DataFrame, damaged: bool = False) -> DataFrame:
         F.col("o_orderdate").cast("timestamp").alias("timestamp"))
 
 
-def keyed_pairs(events: DataFrame) -> DataFrame:
-    """``(key, value)`` pairs in arrival order ``seq``."""
+def _gone(c, every: int, damaged: bool):
+    """``c``, with ``damaged`` null in every ``every``-th event."""
+    return F.when(F.col("event_id") % every != 0, c) if damaged else c
+
+
+def keyed_pairs(events: DataFrame, damaged: bool = False) -> DataFrame:
+    """``(key, value)`` pairs in arrival order ``seq``; with ``damaged`` some keys
+    and values are null."""
     return events.select(
-        F.col("user_id").alias("key"),
-        F.floor("value").cast("bigint").alias("value"),
+        _gone(F.col("user_id"), NO_KEY_EVERY, damaged).alias("key"),
+        _gone(F.floor("value").cast("bigint"), NO_VALUE_EVERY, damaged).alias("value"),
         F.col("event_id").alias("seq"))
 
 
-def named_pairs(events: DataFrame) -> DataFrame:
+def named_pairs(events: DataFrame, damaged: bool = False) -> DataFrame:
     """``(name, value)`` rows for the buffered sink, with a bucket that stands
-    for the parallel sink instance."""
+    for the parallel sink instance; with ``damaged`` some buckets and values are null."""
     return events.select(
         F.col("event_type").alias("name"),
-        F.floor("value").cast("int").alias("value"),
+        _gone(F.floor("value").cast("int"), NO_VALUE_EVERY, damaged).alias("value"),
         F.col("event_id").alias("seq"),
-        (F.col("user_id") % SOURCE_PARTITIONS).cast("int").alias("bucket"))
+        _gone((F.col("user_id") % SOURCE_PARTITIONS).cast("int"), NO_KEY_EVERY, damaged).alias("bucket"))
+
+
+def arrival_lines(events: DataFrame) -> DataFrame:
+    """``<event_id>,<arrival>,<epoch microseconds>`` lines of :func:`arrival_order`, ``seq``
+    the arrival; ``event_id`` orders equal ones."""
+    a = arrival_order(events)
+    return a.select(F.concat_ws(",", "event_id", "seq", F.unix_micros("ts")).alias("value"), "seq", "partition",
+                    F.col("ts").alias("timestamp"), "event_id")
 
 
 def arrival_order(events: DataFrame) -> DataFrame:

@@ -134,16 +134,22 @@ def _numbered(raw: DataFrame) -> DataFrame:
     def count(batches):
         import numpy as np
         import pyarrow as pa
-        block, done = None, 0
+        import pyarrow.compute as pc
+        path, start, done = None, None, 0
         for b in batches:
-            paths, starts = b.column(1).to_pylist(), b.column(2).to_pylist()
-            at = np.empty(b.num_rows, dtype=np.int64)
-            for i, here in enumerate(zip(paths, starts)):
-                if here != block:
-                    block, done = here, 0
-                at[i] = here[1] + done
-                done += 1
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(at)], [*b.schema.names, "at"])
+            n = b.num_rows
+            if not n:
+                continue
+            starts = b.column(2).to_numpy()
+            paths = b.column(1)
+            new = np.ones(n, dtype=bool)
+            new[0] = (paths[0].as_py(), starts[0]) != (path, start)
+            new[1:] = (starts[1:] != starts[:-1]) | pc.not_equal(paths[1:], paths[:-1]).to_numpy(zero_copy_only=False)
+            row = np.arange(n)
+            first = np.maximum.accumulate(np.where(new, row, 0 if new[0] else -done))
+            at = row - first
+            path, start, done = paths[n - 1].as_py(), starts[-1], int(at[-1]) + 1
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(starts + at)], [*b.schema.names, "at"])
 
     meta = raw.select("value", F.col("_metadata.file_path").alias("path"),
                       F.col("_metadata.file_block_start").cast("bigint").alias("start"),

@@ -9,12 +9,10 @@ the whole result per batch, which is idempotent for a replayed batch.
 
 from __future__ import annotations
 
+import time
 import uuid
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from eddyline.session import checkpoint_root, settings_for_start
@@ -69,34 +67,42 @@ def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
     return spark.read.schema(df.schema).parquet(out)
 
 
-def run_in_ranges(df: DataFrame, order_col: str, ranges: int, name: str,
-                  build: Callable[[DataFrame], DataFrame],
-                  settings: dict | None = None) -> DataFrame:
-    """Stream a static ``df`` as ``ranges`` consecutive micro-batches of equal
-    ranges of ``order_col``, and return what ``build(stream)`` wrote.
-
-    After a pass for the bounds of ``order_col``, ``df`` is written by range, by all tasks.  Then every range
-    is appended to the stream's folder, in parallel, and the query resumes from
-    its checkpoint until it has taken that range in: rows of a range arrive
-    together, after all earlier ones.  A range holds many files and tasks;
-    rows of a null ``order_col`` come with the first.
-    """
+def run_until_idle(df: DataFrame, name: str, out: str | None = None, checkpoint: str | None = None,
+                   state_partitions: int | None = None, settings: dict | None = None,
+                   trigger: str = "0 seconds", until_state_empty: bool = False,
+                   limit_seconds: float = 3600) -> DataFrame:
+    """Process micro-batches until the source has nothing more, stop, and return what
+    was written.  Unlike an available-now run this takes bounded micro-batches from any
+    source and lets processing-time timers fire; with ``until_state_empty`` it
+    ends only when no keyed state is left."""
     spark = df.sparkSession
     base = stream_dir(spark, name)
-    lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
-    step = (hi - lo) // ranges + 1 if lo is not None else 1
-    place = F.coalesce(F.floor((F.col(order_col) - F.lit(lo)) / F.lit(step)), F.lit(0)).cast("int")
-    (df.withColumn("_range", place if lo is not None else F.lit(0)).write.partitionBy("_range")
-     .parquet(f"{base}/ranges"))
-    whole = (spark.read.schema(T.StructType([*df.schema, T.StructField("_range", T.IntegerType())]))
-             .parquet(f"{base}/ranges"))
-    spark.createDataFrame([], df.schema).write.parquet(f"{base}/in")     # a stream's folder must exist
-    # Windows are closed by the next range's batch; only the last range needs an
-    # empty batch behind it.
-    no_empty = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
-    for i in range(ranges):
-        whole.where(F.col("_range") == i).drop("_range").write.mode("append").parquet(f"{base}/in")
-        out = run_available_now(build(spark.readStream.schema(df.schema).parquet(f"{base}/in")), name,
-                                out=f"{base}/out", checkpoint=f"{base}/checkpoint",
-                                settings={**(settings or {}), **(no_empty if i < ranges - 1 else {})})
-    return out
+    out = out or f"{base}/out"
+    parts = state_partitions or spark.sparkContext.defaultParallelism
+    with settings_for_start(spark, {"spark.sql.shuffle.partitions": parts, **(settings or {})}):
+        q = start_stream(df, out, checkpoint or f"{base}/checkpoint", trigger={"processingTime": trigger})
+    try:
+        if until_state_empty:
+            _wait_for_empty_state(q, limit_seconds)
+        else:
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    if q.exception() is not None:
+        raise q.exception()
+    return spark.read.schema(df.schema).parquet(out)
+
+
+def _wait_for_empty_state(q: StreamingQuery, limit_seconds: float) -> None:
+    end = time.monotonic() + limit_seconds
+    taken = False
+    while time.monotonic() < end:
+        if not q.isActive:
+            return
+        p = q.lastProgress
+        if p is not None:
+            taken = taken or any(x["numInputRows"] for x in q.recentProgress)
+            if taken and not p["numInputRows"] and not sum(o["numRowsTotal"] for o in p["stateOperators"]):
+                return
+        time.sleep(0.2)
+    raise TimeoutError("the stream still holds state")

@@ -1,14 +1,23 @@
 """Keyed state with ``transformWithStateInPandas``.
 
-``CountAverage``: per key, a value state ``(count, sum)``; every ``n``-th
+``CountAverage``: per key, a value state ``(count, sum, known)``; every ``n``-th
 value emits ``sum div n`` and clears it; a lone last value stays pending.
 ``ChunkBuffer``: per bucket (a sink instance), a list state of buffered rows;
 whenever ``n`` are present they are released as one chunk.  The pending rows
 are checkpointed with the query and restored on restart.
 
-Rows of one key within one micro-batch are ordered by ``seq`` and source
+Both can start from what a static run left pending (``initial``), and what they hold can
+be read back from a checkpoint (:func:`pending_averages`, :func:`pending_chunks`).
+
+Rows of one key within one micro-batch are ordered by ``seq`` (null first) and source
 partition (the arrival order) before use; the micro-batch size (``maxFilesPerTrigger`` /
 ``maxOffsetsPerTrigger``) bounds what one key holds in memory at once.
+
+Nulls are as in the static operators: a null key or bucket is one of its own, a null
+value takes a place in its group and adds nothing, a group of nulls alone averages
+null.  A group whose sum leaves 64 bits stops the query, as there.  Whole numbers
+travel as value and null mark, since a pandas column with nulls would turn them into
+floating point.
 """
 
 from __future__ import annotations
@@ -20,7 +29,8 @@ import sys
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 # The processors are shipped to the Python workers by value, so executors need no
@@ -32,9 +42,30 @@ CHUNK_ROW = "name STRING, value INT, seq LONG"
 CHUNK_OUT = "name STRING, value INT, seq LONG, bucket INT, chunk LONG, position INT"
 
 
-def _trunc_div(x: np.ndarray, n: int) -> np.ndarray:
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
+
+
+def _trunc_div(x: int, n: int) -> int:
     """Integer division toward zero (Java long division)."""
-    return np.sign(x) * (np.abs(x) // n)
+    return x // n if x >= 0 else -(-x // n)
+
+
+def _group_sums(v: np.ndarray, starts: np.ndarray) -> list[int]:
+    """Exact sums of consecutive runs; a sum beyond 64 bits is an error."""
+    if not len(starts):
+        return []
+    sums = np.add.reduceat(v, starts).tolist()
+    near = np.flatnonzero(np.abs(np.add.reduceat(v.astype(np.float64), starts)) > 2.0 ** 62)
+    ends = np.append(starts[1:], len(v))
+    for i in near.tolist():
+        sums[i] = sum(v[starts[i]:ends[i]].tolist())
+    return sums
+
+
+def _checked(x: int) -> int:
+    if not LEAST <= x <= MOST:
+        raise OverflowError("the sum of a group does not fit in 64 bits")
+    return x
 
 
 def _sorted(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
@@ -42,13 +73,19 @@ def _sorted(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
     if not frames:
         return pd.DataFrame()
     pdf = pd.concat(frames, ignore_index=True)
-    return pdf.sort_values([c for c in ("seq", "partition") if c in pdf.columns], kind="stable")
+    return pdf.sort_values(["seq_known", *[c for c in ("seq", "partition") if c in pdf.columns]], kind="stable")
+
+
+def _marked(df: DataFrame, *cols: str, also: tuple = ()) -> DataFrame:
+    """Each of the whole-number ``cols`` with its null mark; and, where the rows have
+    one, the source partition (it orders rows of equal ``seq``)."""
+    marked = [x for c in cols for x in (F.coalesce(F.col(c), F.lit(0)).alias(c), F.col(c).isNotNull().alias(f"{c}_known"))]
+    order = [F.coalesce("partition", F.lit(-1)).alias("partition")] if "partition" in df.columns else []
+    return df.select(*marked, *order, *[c for c in ("name",) if c in df.columns], *also)
 
 
-def _ordered(df: DataFrame, *cols: str) -> DataFrame:
-    """``cols`` and, where the rows have one, the source partition (it orders
-    rows of equal ``seq``)."""
-    return df.select(*cols, *[c for c in ("partition",) if c in df.columns])
+def _nullable(values: list, known: list | np.ndarray, kind: str) -> pd.array:
+    return pd.array([x if k else None for x, k in zip(values, known)], kind)
 
 
 class CountAverage(StatefulProcessor):
@@ -56,78 +93,129 @@ class CountAverage(StatefulProcessor):
         self.n = n
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.acc = handle.getValueState("average", "count LONG, total LONG")
+        self.acc = handle.getValueState("average", "count LONG, total LONG, known LONG")
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        count, total, known = initialState[["count", "total", "known"]].iloc[0].tolist()
+        self.acc.update((int(count), int(total), int(known)))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows)
         if pdf.empty:
             return
-        c, s = self.acc.get() if self.acc.exists() else (0, 0)
-        v = pdf["value"].to_numpy(dtype=np.int64)
-        pos = c + np.arange(len(v))
-        csum = s + np.cumsum(v)
-        ends = np.nonzero(pos % self.n == self.n - 1)[0]
-        if len(ends):
-            sums = np.diff(np.concatenate([[0], csum[ends]]))
-            yield pd.DataFrame({"key": np.full(len(ends), key[0], dtype=np.int64),
-                                "average": _trunc_div(sums, self.n),
-                                "seq": pdf["seq"].to_numpy(dtype=np.int64)[ends]})
+        c, s, k = self.acc.get() if self.acc.exists() else (0, 0, 0)
+        v, known = pdf["value"].to_numpy(dtype=np.int64), pdf["value_known"].to_numpy()
+        starts = np.flatnonzero((c + np.arange(len(v))) % self.n == 0)
+        if c:
+            starts = np.concatenate(([0], starts))
+        sums = _group_sums(v, starts)
+        some = np.add.reduceat(known.astype(np.int64), starts).tolist()
+        sums[0], some[0] = sums[0] + s, some[0] + k
+        sums = list(map(_checked, sums))
         left = (c + len(v)) % self.n
-        if left == 0:
-            self.acc.clear()
+        full = len(sums) - (1 if left else 0)
+        if full:
+            ends = np.append(starts[1:], len(v))[:full] - 1
+            yield pd.DataFrame({
+                "key": _nullable([key[0]] * full, [key[1]] * full, "Int64"),
+                "average": _nullable([_trunc_div(x, self.n) for x in sums[:full]], some[:full], "Int64"),
+                "seq": _nullable(pdf["seq"].to_numpy()[ends].tolist(), pdf["seq_known"].to_numpy()[ends], "Int64")})
+        if left:
+            self.acc.update((int(left), int(sums[-1]), int(some[-1])))
         else:
-            rest = csum[-1] - (csum[ends[-1]] if len(ends) else 0)
-            self.acc.update((int(left), int(rest)))
+            self.acc.clear()
 
     def close(self) -> None:
         pass
 
 
+HELD = ["name", "value", "value_known", "seq", "seq_known"]
+HELD_STATE = "name STRING, value INT, value_known BOOLEAN, seq LONG, seq_known BOOLEAN"
+
+
 class ChunkBuffer(StatefulProcessor):
     def __init__(self, n: int):
         self.n = n
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.buffer = handle.getListState("buffered", CHUNK_ROW)
+        self.buffer = handle.getListState("buffered", HELD_STATE)
         self.released = handle.getValueState("released", "chunks LONG")
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        held = initialState[initialState["held"]].sort_values("position")
+        self.released.update((int(initialState["chunk"].max()),))
+        if len(held):
+            self._hold(held[HELD])
+
+    def _hold(self, rows: pd.DataFrame) -> None:
+        self.buffer.put([(name, int(v), bool(vk), int(s), bool(sk))
+                         for name, v, vk, s, sk in rows.itertuples(index=False, name=None)])
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         new = _sorted(rows)
         if new.empty:
             return
         old = list(self.buffer.get()) if self.buffer.exists() else []
-        held = pd.DataFrame(old, columns=["name", "value", "seq"])
-        pdf = pd.concat([held, new[["name", "value", "seq"]]], ignore_index=True)
+        pdf = pd.concat([pd.DataFrame(old, columns=HELD), new[HELD]], ignore_index=True) if old else (
+            new[HELD].reset_index(drop=True))
         full = (len(pdf) // self.n) * self.n
         done = self.released.get()[0] if self.released.exists() else 0
         if full:
-            out = pdf.iloc[:full].copy()
-            idx = np.arange(full)
-            out["bucket"] = np.int32(key[0])
-            out["chunk"] = (done + idx // self.n).astype(np.int64)
-            out["position"] = (idx % self.n).astype(np.int32)
-            out["value"] = out["value"].astype("Int32")
-            out["seq"] = out["seq"].astype("Int64")
+            out, idx = pdf.iloc[:full], np.arange(full)
             self.released.update((int(done + full // self.n),))
-            yield out[["name", "value", "seq", "bucket", "chunk", "position"]]
-        rest = pdf.iloc[full:]
+            yield pd.DataFrame({
+                "name": out["name"], "value": _nullable(out["value"].tolist(), out["value_known"], "Int32"),
+                "seq": _nullable(out["seq"].tolist(), out["seq_known"], "Int64"),
+                "bucket": _nullable([key[0]] * full, [key[1]] * full, "Int32"),
+                "chunk": (done + idx // self.n).astype(np.int64), "position": (idx % self.n).astype(np.int32)})
         self.buffer.clear()
-        if len(rest):
-            self.buffer.put([(n, None if pd.isna(v) else int(v), None if pd.isna(s) else int(s))
-                             for n, v, s in rest.itertuples(index=False, name=None)])
+        if full < len(pdf):
+            self._hold(pdf.iloc[full:])
 
     def close(self) -> None:
         pass
 
 
-def count_average_stream(pairs: DataFrame, n: int = 2) -> DataFrame:
-    """Streaming twin of :func:`eddyline.operators.keyed.count_average`."""
-    return (_ordered(pairs, "key", "value", "seq").groupBy("key")
-            .transformWithStateInPandas(CountAverage(n), AVERAGE_OUT, "Append", "None"))
+def count_average_stream(pairs: DataFrame, n: int = 2, initial: DataFrame | None = None) -> DataFrame:
+    """Streaming twin of :func:`eddyline.operators.keyed.count_average`.  ``initial``
+    (``key, count, total, known``, see :func:`eddyline.operators.keyed.average_pending`) is
+    what a static run over the earlier rows left pending."""
+    start = None
+    if initial is not None:
+        start = _marked(initial, "key", "count", "total", "known").groupBy("key", "key_known")
+    return (_marked(pairs, "key", "value", "seq").groupBy("key", "key_known")
+            .transformWithStateInPandas(CountAverage(n), AVERAGE_OUT, "Append", "None", initialState=start))
 
 
-def chunk_rows_stream(rows: DataFrame, n: int) -> DataFrame:
+def chunk_rows_stream(rows: DataFrame, n: int, initial: DataFrame | None = None) -> DataFrame:
     """Streaming twin of :func:`eddyline.operators.keyed.chunk_rows` (the
-    released chunks; the remainder stays in state)."""
-    return (_ordered(rows, "name", "value", "seq", "bucket").groupBy("bucket")
-            .transformWithStateInPandas(ChunkBuffer(n), CHUNK_OUT, "Append", "None"))
+    released chunks; the remainder stays in state).  ``initial`` (see
+    :func:`eddyline.operators.keyed.chunk_state`) is what a static run over the earlier rows holds."""
+    start = None
+    if initial is not None:
+        start = _marked(initial, "value", "seq", "bucket", also=("chunk", "position", "held")).groupBy(
+            "bucket", "bucket_known")
+    return (_marked(rows, "value", "seq", "bucket").groupBy("bucket", "bucket_known")
+            .transformWithStateInPandas(ChunkBuffer(n), CHUNK_OUT, "Append", "None", initialState=start))
+
+
+def _state(spark: SparkSession, checkpoint: str, name: str) -> DataFrame:
+    return spark.read.format("statestore").option("stateVarName", name).load(checkpoint)
+
+
+def _unmark(field: str, kind: str) -> Column:
+    return F.when(F.col(f"{field}_known"), F.col(field)).cast(kind)
+
+
+def pending_averages(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """``key, count, total, known`` that a count average stream holds, from its checkpoint."""
+    s = _state(spark, checkpoint, "average").where("value IS NOT NULL").select("key.*", "value.*")
+    return s.select(_unmark("key", "bigint").alias("key"), "count", "total", "known")
+
+
+def pending_chunks(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """``name, value, seq, bucket`` rows that a chunk stream holds, from its checkpoint."""
+    s = (spark.read.format("statestore").option("stateVarName", "buffered")
+         .option("flattenCollectionTypes", "true").load(checkpoint).select("key.*", "list_element.*"))
+    return s.select("name", _unmark("value", "int").alias("value"), _unmark("seq", "bigint").alias("seq"),
+                    _unmark("bucket", "int").alias("bucket"))
