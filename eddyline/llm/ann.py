@@ -13,6 +13,9 @@
 5. The routed parts are reranked exactly: cosine in double precision on the
    original vectors.
 
+6. A query whose routed parts hold fewer than ``k`` other ids is sent to all parts,
+   so it gets ``k`` neighbours wherever there are so many.
+
 A part's rows are cut into blocks of about ``BLOCK`` and its queries into slices,
 so a part of any size is spread over (block, slice) tasks; a task holds one
 slice of queries and a chunk of rows, and passes on the best few of each query.
@@ -21,7 +24,8 @@ Vectors that are null, zero or hold null or non-finite components take no part,
 nor do those whose length is not the most common one (the smallest of equally
 common ones).  Ties go to the smaller id.  A query's own id is no candidate, nor
 are repeated rows of that id; repeated rows of another id count once.  Rows of a
-null id take no part.
+null id take no part.  An empty table gives no row.  Other columns, whatever their
+names, are not looked at.
 """
 
 from __future__ import annotations
@@ -182,6 +186,7 @@ def fit_index(vectors: np.ndarray, k: int, parts: int = PARTS, recall: float = R
     # Where in a held-back query's order of parts its true neighbours lie.
     placed = index.route(base, 1)[:, 0]
     order = np.argsort(index.route(ask, parts), axis=1)
+    k = min(k, len(base))
     nearest = np.argpartition(-(ask @ base.T), k - 1, axis=1)[:, :k]
     at = np.sort(np.take_along_axis(order, placed[nearest], axis=1), axis=None)
     index.probes = int(at[min(len(at) - 1, int(np.ceil(recall * len(at))) - 1)]) + 1
@@ -296,25 +301,40 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id
         return pa.array(index.route(_matrix(col, dim), probes).tolist(), pa.list_(pa.int32()))
 
     placed = materialize(d.select("id", "vec", "ask", home("vec").alias("part")))
+    rows_of = {r["part"]: r["n"] for r in placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
     asked = (placed.where("ask").select("id", "vec", routes("vec").alias("to"))
              .select("id", "vec", F.explode("to").alias("part")))
-    # At most PARTS rows each: sizes of the parts, and queries sent to them.
-    rows_of = {r["part"]: r["n"] for r in placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
+    found = materialize(_search_parts(placed, asked, rows_of, index.parts, dim, k))
+    # Queries whose parts hold fewer than k other ids go to all parts as well.
+    held = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
+    short = (placed.where("ask").join(held, F.col("id") == F.col("query_id"), "left")
+             .where(F.coalesce("n", F.lit(0)) < k).select("id", "vec"))
+    if probes < index.parts and not short.isEmpty():
+        every = short.select("id", "vec", F.explode(F.sequence(F.lit(0), F.lit(index.parts - 1))).alias("part"))
+        more = _search_parts(placed, every, rows_of, index.parts, dim, k)
+        found = (found.unionByName(more).groupBy("query_id", "vec_id").agg(F.max("score").alias("score")))
+    rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return (found.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
+            .select("query_id", "rank", "vec_id", "score"))
+
+
+def _search_parts(placed: DataFrame, asked: DataFrame, rows_of: dict[int, int], parts: int, dim: int,
+                  k: int) -> DataFrame:
+    """``query_id, vec_id, score``: the ``k`` best of each (block, slice) task for the queries
+    ``asked(id, vec, part)`` in the rows ``placed(id, vec, part)``."""
+    # At most PARTS rows: queries sent to the parts.
     asks_of = {r["part"]: r["n"] for r in asked.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
-    blocks = [-(-rows_of.get(p, 0) // BLOCK) or 1 for p in range(index.parts)]
-    slices = [-(-asks_of.get(p, 0) // SLICE) or 1 for p in range(index.parts)]
+    blocks = [-(-rows_of.get(p, 0) // BLOCK) or 1 for p in range(parts)]
+    slices = [-(-asks_of.get(p, 0) // SLICE) or 1 for p in range(parts)]
     pick = lambda xs: F.element_at(F.array(*map(F.lit, xs)), F.col("part") + 1)
     own = lambda tag, xs: F.pmod(F.xxhash64(F.lit(tag), "id"), pick(xs))
     every = lambda xs: F.explode(F.sequence(F.lit(0), pick(xs) - 1))
     number = lambda: F.xxhash64("part", F.col("block").cast("bigint"), F.col("slice").cast("bigint"))
     queries = (asked.withColumn("slice", own("slice", slices)).withColumn("block", every(blocks))
                .select(number().alias("g"), F.lit(0).alias("role"), "id", "vec"))
-    candidates = (placed.where(pick([int(p in asks_of) for p in range(index.parts)]) == 1)
+    candidates = (placed.where(pick([int(p in asks_of) for p in range(parts)]) == 1)
                   .withColumn("block", own("block", blocks)).withColumn("slice", every(slices))
                   .select(number().alias("g"), F.lit(1).alias("role"), "id", "vec"))
-    found = (queries.unionByName(candidates).repartition("g").sortWithinPartitions("g", "role")
-             .mapInArrow(_search(dim, k), "query_id bigint, vec_id bigint, score double")
-             .groupBy("query_id", "vec_id").agg(F.max("score").alias("score")))
-    rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    return (queries.unionByName(candidates).repartition("g").sortWithinPartitions("g", "role")
+            .mapInArrow(_search(dim, k), "query_id bigint, vec_id bigint, score double")
+            .groupBy("query_id", "vec_id").agg(F.max("score").alias("score")))

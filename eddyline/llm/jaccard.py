@@ -16,7 +16,8 @@ metric, so distances to a few pivots bound all others.
   prefix shingles.  No two pivots of a round hold a prefix shingle in common (in the
   first round), so a hot group costs one row per member and shingle, not its square.
   Every member whose distance to a pivot is at most ``2 r`` (``r = 1 - t``) is
-  found with its exact distance; at most ``r`` is a link and ends that member's
+  found with its exact distance (the places of the shingles that two prefixes share bound the
+  difference of the sets, so few others are compared whole); at most ``r`` is a link and ends that member's
   search; a member belongs to the region of its nearest pivot.  Later rounds
   elect among more and more parts of a shingle's holders, the last round makes
   all that remain pivots.
@@ -111,7 +112,29 @@ def _able(keys: DataFrame, sizes: DataFrame, percent: int) -> tuple[DataFrame, D
     able = (shared.groupBy("rid").agg(F.count(F.lit(1)).alias("c")).join(sizes, "rid")
             .where(F.col("c") >= _need(F.col("n"), percent)).select(*sizes.columns))
     able = materialize(able)
-    return shared.join(able.select("rid"), "rid", "left_semi").select("key", "rid"), able
+    return shared.join(able.select("rid"), "rid", "left_semi").select("key", "rid", "place"), able
+
+
+def _prefix(n: Column, percent: int) -> Column:
+    """:func:`prefix_length` of a column."""
+    return n - F.ceil(n * percent / 100) + 1
+
+
+def _candidates(keys: DataFrame, marked: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``x, p`` of a member and a pivot that may have similarity ``percent``.
+
+    Up to the last shingle that their prefixes share, at places ``i`` and ``j`` (from 0), ``c`` are
+    shared, so ``i + j + 2 - 2 c`` shingles are in one set only; behind it, the rest of the prefix that
+    ends first is too.  A pair with more such shingles than the similarity admits is left out."""
+    shared = (keys.join(marked, "key").where("rid <> p").groupBy(F.col("rid").alias("x"), "p")
+              .agg(F.count(F.lit(1)).alias("c"), F.max("place").alias("i"), F.max("mark").alias("j")))
+    nx, np_ = F.col("nx"), F.col("np")
+    rest = F.least(_prefix(nx, percent) - F.col("i"), _prefix(np_, percent) - F.col("j")) - 1
+    apart = F.col("i") + F.col("j") + 2 - 2 * F.col("c") + rest
+    return (shared.join(sizes.select(F.col("rid").alias("x"), F.col("n").alias("nx")), "x")
+            .join(sizes.select(F.col("rid").alias("p"), F.col("n").alias("np")), "p")
+            .where((100 * F.least(nx, np_) >= percent * F.greatest(nx, np_))
+                   & (apart * (100 + percent) <= (100 - percent) * (nx + np_))).select("x", "p"))
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -119,9 +142,8 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     union), those of similarity ``percent`` or more."""
     a = sets.select(F.col("rid").alias("x"), F.col("n").alias("nx"), F.col("hashes").alias("hx"))
     b = sets.select(F.col("rid").alias("p"), F.col("n").alias("np"), F.col("hashes").alias("hp"))
-    sized = (pairs.join(a.select("x", "nx"), "x").join(b.select("p", "np"), "p")
-             .where(100 * F.least("nx", "np") >= percent * F.greatest("nx", "np")).select("x", "p"))
-    met = (sized.join(a, "x").join(b, "p")
+    met = (pairs.join(a, "x").join(b, "p")
+           .where(100 * F.least("nx", "np") >= percent * F.greatest("nx", "np"))
            .withColumn("both", F.size(F.array_intersect("hx", "hp")).cast("bigint"))
            .withColumn("either", F.col("nx") + F.col("np") - F.col("both")))
     return met.select("x", "p", "both", "either").where(100 * F.col("both") >= percent * F.col("either"))
@@ -138,7 +160,7 @@ def _pivots(keys: DataFrame, seed: int, parts: int | None) -> DataFrame:
     return led.join(held, "p").where("led = held").select("p")
 
 
-def voronoi_pairs(keys: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def voronoi_pairs(keys: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """``x, p, both, either`` of every member and pivot within ``2 r``, and all
     pivots ``p``; each member is a pivot or within ``r`` of one, or links with nothing."""
     window = 2 * percent - 100
@@ -146,8 +168,9 @@ def voronoi_pairs(keys: DataFrame, sets: DataFrame, percent: int) -> tuple[DataF
     for i, parts in enumerate([*PARTS, None]):
         left = materialize(left)
         pivots = materialize(_pivots(left, 2 * i, parts))
-        marked = left.join(pivots, left.rid == pivots.p, "left_semi").select("key", F.col("rid").alias("p"))
-        pairs = keys.join(marked, "key").where("rid <> p").select(F.col("rid").alias("x"), "p").distinct()
+        marked = left.join(pivots, left.rid == pivots.p, "left_semi").select(
+            "key", F.col("rid").alias("p"), F.col("place").alias("mark"))
+        pairs = materialize(_candidates(keys, marked, sizes, window))
         near = materialize(_similar(pairs, sets, window))
         found.append(near)
         chosen.append(pivots)
@@ -214,7 +237,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
               .agg(F.min("id").alias("low"), F.min("mark").alias("mark"), F.first("n").alias("n"),
                    F.first("hashes").alias("hashes")))
     member = materialize(member.withColumn("rid", F.monotonically_increasing_id()))
-    keys = member.select(F.explode("hashes").alias("key"), "rid")
+    keys = member.select(F.posexplode("hashes").alias("place", "key"), "rid")
     sizes = member.select("rid", "n", "mark", "d1", "d2")
     keys, sizes = _able(keys, sizes, percent)
     keys, sizes = _able(keys, sizes, percent)
@@ -227,7 +250,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     whole = (again.select("d1", "d2", "hashes").join(sizes.select("d1", "d2", "rid", "n"), ["d1", "d2"])
              .groupBy("rid").agg(F.first("n").alias("n"), F.first("hashes").alias("hashes")))
     sets = materialize(whole)
-    pairs, pivots = voronoi_pairs(keys, sets, percent)
+    pairs, pivots = voronoi_pairs(keys, sizes, sets, percent)
     links = materialize(pairs.where(100 * F.col("both") >= percent * F.col("either")).select("x", "p"))
     links = _boundary_links(pairs, pivots, links, sets, percent)
     label = components(links.select(F.col("x").alias("a"), F.col("p").alias("b")))

@@ -5,8 +5,9 @@ repetition rate ``w * total / n``.  A document's number of copies is a Poisson
 number of that mean, found by inverting the distribution at a number in [0, 1)
 made from a hash of ``(seed, id, text digest)``: the same document gives the
 same copies on every run and after a lost executor.  Copies are exploded and the
-result is sorted by a hash of ``(seed, id, copy)``, a global shuffle in which
-hot sources and repeated texts spread evenly.
+result is sorted by a hash of ``(seed, id, text digest, copy)``, a global shuffle in which
+hot sources and repeated texts spread evenly; a hash is uniform, so it is cut into ranges without
+a pass to sample it.
 
 A mean above ``PIECE`` is split into equal parts, each inverted with its own
 hash and summed (a sum of Poisson numbers is one), so the recurrence never
@@ -87,17 +88,19 @@ def with_rates(docs: DataFrame, rates: DataFrame, source_col: str, key: str, rat
     after a check of their size; beyond it, both sides are dealt out by source
     and a salt, so a hot source is spread over ``SALTS`` tasks."""
     parts = F.greatest(F.ceil(F.col("rate") / PIECE), F.lit(1)).cast("int")
-    r = (rates.withColumn(rate + "_parts", parts)
-         .withColumn(rate + "_table", poisson_table(F.col("rate") / F.col(rate + "_parts")))
-         .select(F.col("source").alias(key), F.col("rate").alias(rate), rate + "_parts", rate + "_table"))
+    r = (rates.withColumn("parts", parts)
+         .select(F.col("source").alias(key), F.struct("rate", "parts", poisson_table(
+             F.col("rate") / F.col("parts")).alias("table")).alias(rate)))
     on = F.col(f"`{source_col}`").eqNullSafe(F.col(key))
     rows, chars = rates.agg(F.count(F.lit(1)), F.sum(F.length("source"))).first()
     if rows <= BROADCAST_SOURCES and (chars or 0) <= 100 * BROADCAST_SOURCES:
         return docs.join(F.broadcast(r), on).drop(key)
-    salt = key + "_salt"
-    r = r.withColumn(salt + "r", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    d = docs.withColumn(salt, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]), F.lit(SALTS)).cast("int"))
-    return d.join(r, on & (F.col(salt) == F.col(salt + "r"))).drop(key, salt, salt + "r")
+    salt = fresh(docs, "_salt")
+    other = fresh(docs, salt + "_r")
+    r = r.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    spread = [F.col(f"`{f.name}`") for f in docs.schema if f.dataType.typeName() not in ("map", "array", "struct")]
+    d = docs.withColumn(salt, F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
+    return d.join(r, on & (F.col(salt) == F.col(other))).drop(key, salt, other)
 
 
 def poisson_mix(docs: DataFrame, weights: Mapping[str, float] | None = None, epochs: float = 1.0,
@@ -105,8 +108,8 @@ def poisson_mix(docs: DataFrame, weights: Mapping[str, float] | None = None, epo
                 seed: str = SEED, copy_col: str | None = "copy", key_col: str | None = "shuffle_key",
                 rate_col: str | None = None) -> DataFrame:
     """``docs`` replicated to the target weights and globally shuffled; the
-    added columns (each left out if its name is None) hold the copy number from
-    0, the shuffle key and the document's mean rate."""
+    added columns (each left out if its name is None; a column of that name is replaced) hold the
+    copy number from 0, the shuffle key and the document's mean rate."""
     cols = [F.col(f"`{c}`") for c in docs.columns]
     rate, key, digest, copies, copy, order = (fresh(docs, x) for x in (
         "_rate", "_src", "_digest", "_copies", "_copy", "_order"))
@@ -115,12 +118,17 @@ def poisson_mix(docs: DataFrame, weights: Mapping[str, float] | None = None, epo
     d = (with_rates(docs, rates, source_col, key, rate)
          .withColumn(digest, F.concat_ws("|", F.lit(seed), named(id_col), F.md5(named(text_col)))))
     drawn = F.aggregate(
-        F.sequence(F.lit(1), F.col(rate + "_parts")), F.lit(0).cast("bigint"),
+        F.sequence(F.lit(1), F.col(rate)["parts"]), F.lit(0).cast("bigint"),
         lambda acc, i: acc + poisson_inverse(
-            F.col(rate + "_table"), unit(F.concat_ws("|", F.col(digest), F.lit("n"), i.cast("string")))))
+            F.col(rate)["table"], unit(F.concat_ws("|", F.col(digest), F.lit("n"), i.cast("string")))))
     d = d.withColumn(copies, drawn).where(F.col(copies) > 0)
     d = d.withColumn(copy, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(copies) - 1)))
     d = d.withColumn(order, F.md5(F.concat_ws("|", F.col(digest), F.lit("o"), F.col(copy).cast("string"))))
-    d = d.orderBy(order)
-    added = [F.col(c).alias(n) for c, n in ((copy, copy_col), (order, key_col), (rate, rate_col)) if n]
-    return d.select(*cols, *added)
+    # The key is uniform, so ranges of it are known without sampling, which would read every text again.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.floor(F.conv(F.substring(order, 1, 8), 16, 10).cast("bigint") * parts / F.lit(1 << 32)).cast("int")
+    d = d.repartitionById(parts, place).sortWithinPartitions(order)
+    added = [c.alias(n) for c, n in ((F.col(copy), copy_col), (F.col(order), key_col),
+                                     (F.col(rate)["rate"], rate_col)) if n]
+    replaced = {n.lower() for n in (copy_col, key_col, rate_col) if n}
+    return d.select(*[c for c, n in zip(cols, docs.columns) if n.lower() not in replaced], *added)

@@ -86,26 +86,30 @@ def url_filter() -> str:
       SELECT page_id, url,
         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{url.UPPER}', '{url.LOWER}') AS host,
         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
-    ruled AS (SELECT *, {rule} END AS rule, {says} END AS says, host || path AS body FROM parts),
-    urls AS (SELECT body, count(*) AS weight, min(says) AS says FROM ruled GROUP BY body),
+    ruled AS (SELECT *, {rule} END AS rule, {says} END AS says, coalesce(url, '') AS body FROM parts),
+    urls AS (SELECT body, count(*) AS weight, min(says) AS says,
+                    substr(md5(body), 1, 1) IN ('0', '1', '2') AS held FROM ruled GROUP BY body),
     spots AS (
-      SELECT body, weight, says, substr({start} || body || {end}, i::BIGINT, {order + 1}) AS gram
+      SELECT body, weight, says, held, substr({start} || body || {end}, i::BIGINT, {order + 1}) AS gram
       FROM (SELECT *, unnest(generate_series(1, length(body) + 1)) AS i FROM urls)),
     grams AS (
-      SELECT gram, sum(CASE WHEN says = 'allow' THEN weight ELSE 0 END) AS good,
-                   sum(CASE WHEN says = 'block' THEN weight ELSE 0 END) AS bad FROM spots GROUP BY gram),{tables}
+      SELECT gram, sum(CASE WHEN says = 'allow' AND NOT held THEN weight ELSE 0 END) AS good,
+                   sum(CASE WHEN says = 'block' AND NOT held THEN weight ELSE 0 END) AS bad FROM spots GROUP BY gram),{tables}
     scores AS (SELECT gram, round((ln({pg}) - ln({pb})) * 1e6)::BIGINT AS score FROM grams{joins}),
     scored AS (
-      SELECT body, any_value(weight) AS weight, any_value(says) AS says, sum(score)::DOUBLE / count(*) AS score
+      SELECT body, any_value(weight) AS weight, any_value(says) AS says, any_value(held) AS held,
+             sum(score)::DOUBLE / count(*) AS score
       FROM spots JOIN scores USING (gram) GROUP BY body),
+    judged AS (SELECT *, held AS part FROM scored WHERE held UNION ALL SELECT *, false AS part FROM scored),
     sums AS (
-      SELECT says, sum(weight)::DOUBLE AS n, sum(round(score)::HUGEINT * weight)::DOUBLE AS s,
+      SELECT part, says, sum(weight)::DOUBLE AS n, sum(round(score)::HUGEINT * weight)::DOUBLE AS s,
              sum(round(score)::HUGEINT * round(score)::HUGEINT * weight)::DOUBLE AS q
-      FROM scored WHERE says IS NOT NULL GROUP BY says),
-    stat AS (SELECT says, s / n AS mean, sqrt(greatest(q / n - (s / n) * (s / n), 0.0)) + 1.0 AS dev FROM sums),
+      FROM judged WHERE says IS NOT NULL GROUP BY part, says),
+    stat AS (SELECT part, says, s / n AS mean, sqrt(greatest(q / n - (s / n) * (s / n), 0.0)) + 1.0 AS dev FROM sums),
     cut AS (
       SELECT (a.mean * b.dev + b.mean * a.dev) / (a.dev + b.dev) AS t
-      FROM stat a JOIN stat b ON a.says = 'allow' AND b.says = 'block')
+      FROM stat a JOIN stat b ON a.part = b.part AND a.says = 'allow' AND b.says = 'block'
+      ORDER BY a.part DESC LIMIT 1)
     SELECT page_id, url, host, path, rule,
            coalesce(ruled.says, CASE WHEN (SELECT t FROM cut) IS NULL OR score >= (SELECT t FROM cut)
                                 THEN 'allow' ELSE 'block' END) AS verdict,
@@ -114,14 +118,19 @@ def url_filter() -> str:
 
 
 def _canonical_url(u: str) -> str:
-    rest = rf"regexp_replace(regexp_replace({u}, '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.\-]*://', '')"
-    host = f"translate(regexp_extract({rest}, '^[^/?]*', 0), '{url.UPPER}', '{url.LOWER}')"
-    host = rf"regexp_replace(regexp_replace({host}, '^www\.', ''), ':(80|443)$', '')"
-    tail = f"regexp_replace({rest}, '^[^/?]*', '')"
+    u = f"regexp_replace({u}, '#.*$', '')"
+    scheme = f"translate(regexp_extract({u}, {quoted(w.SCHEME)}, 1), '{url.UPPER}', '{url.LOWER}')"
+    rest = f"regexp_replace({u}, {quoted(w.SCHEME)}, '')"
+    host = f"translate(regexp_extract({rest}, {quoted(w.HOST)}, 0), '{url.UPPER}', '{url.LOWER}')"
+    host = rf"regexp_replace({host}, '^www\.', '')"
+    host = (f"CASE WHEN {scheme} = 'https' THEN regexp_replace({host}, ':443$', '') "
+            f"WHEN {scheme} IN ('', 'http') THEN regexp_replace({host}, ':80$', '') ELSE {host} END")
+    tail = f"regexp_replace({rest}, {quoted(w.HOST)}, '')"
     path = f"regexp_replace(regexp_extract({tail}, '^[^?]*', 0), '/+$', '')"
     query = rf"regexp_replace(regexp_replace({tail}, '^[^?]*\??', ''), {quoted('(^|&)' + w.TRACKING)}, '', 'g')"
     query = f"regexp_replace({query}, '^&', '')"
-    return f"'http://' || {host} || {path} || CASE WHEN {query} <> '' THEN '?' || {query} ELSE '' END"
+    return (f"CASE WHEN {scheme} IN ('', 'https') THEN 'http' ELSE {scheme} END || '://' || {host} || {path} "
+            f"|| CASE WHEN {query} <> '' THEN '?' || {query} ELSE '' END")
 
 
 def warc() -> str:
@@ -146,7 +155,7 @@ def warc() -> str:
     judged AS (
       SELECT *, CASE WHEN kind = 'response' THEN 'full' WHEN canonical_url IS NULL THEN 'no url or time'
         WHEN f IS NULL THEN 'no earlier response' WHEN etag <> f.etag THEN 'etag differs'
-        WHEN etag IS NULL AND modified <> f.modified THEN 'last-modified differs' ELSE 'resolved' END AS resolution
+        WHEN (etag IS NULL OR f.etag IS NULL) AND modified <> f.modified THEN 'last-modified differs' ELSE 'resolved' END AS resolution
       FROM found)
     SELECT record_id, url, canonical_url, kind, at_s AS fetched_at, resolution,
       CASE WHEN resolution = 'resolved' THEN f.id END AS refers_to,

@@ -12,10 +12,13 @@ connected component of links.
 * Each shard holds a BK-tree: a node's children are keyed by their integer
   Hamming distance to it, and a search at distance ``d`` follows only the edges
   ``d - max_bits .. d + max_bits``.
-* A shard of more than ``shard_limit`` members is cut into cells: each cell's
-  tree (at most about ``shard_limit`` fingerprints) is sent to one task per
-  slice of searching members, so no task holds more than a tree and a slice.
-  Nothing is sent to all executors, and no fingerprint list goes to the driver.
+* The bits outside the block of a shard of more than ``shard_limit`` members are cut into
+  blocks again by the same rule, so a hot shard becomes many small ones at a cost in
+  proportion to its size.
+* A part that is still larger is cut into cells of about ``shard_limit`` members: a cell's tree
+  is sent to one task per slice (the members of one later cell that search it), so no task holds more
+  than a tree and a slice.  Nothing is sent to all executors, and no fingerprint list goes to
+  the driver.
 * A task joins the links it finds with a local union-find and returns a
   spanning star per group (at most one row per member), not all pairs; the
   stars of all tasks become components by distributed star contraction.
@@ -23,7 +26,8 @@ connected component of links.
 Nulls and ties: a null text counts as empty; an empty text has fingerprint 0
 and links like any other.  Rows of a null id take part: the component id is the
 smallest non-null id reachable, null if there is none.  Repeated rows and ids
-each keep their own result row.
+each keep their own result row.  An empty table gives no row; a very long text is read whole,
+in blocks.  Other columns, whatever their names, are not looked at (``keep_one`` returns them).
 """
 
 from __future__ import annotations
@@ -178,7 +182,7 @@ def _links(radius: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by (block, shard, cell, asking): one run of rows per cell."""
+        """Rows sorted by (home, cell, slice, asking): one run of rows per slice of a cell."""
         key, own, asking = None, [], []
         out: list[tuple[int, int]] = []
 
@@ -208,21 +212,41 @@ def _links(radius: int):
 def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS,
                       shard_limit: int = SHARD_LIMIT) -> DataFrame:
     """Links ``a, b`` spanning every group of the distinct fingerprints ``fp``."""
+    bits = lambda lo, hi: F.shiftrightunsigned("fp", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1))
     blocks = max_bits + 1
     edges = [64 * i // blocks for i in range(blocks + 1)]
-    keyed = fps.select("fp", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("block"),
-                 F.shiftrightunsigned("fp", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)).alias("shard"))
-        for i, (lo, hi) in enumerate(zip(edges, edges[1:]))])).alias("k")).select("fp", "k.*")
-    large = (keyed.groupBy("block", "shard").agg(F.count(F.lit(1)).alias("n"))
-             .where(F.col("n") > shard_limit)
-             .select("block", "shard", F.ceil(F.col("n") / shard_limit).alias("cells")))
-    own = F.pmod(F.xxhash64("fp"), F.coalesce("cells", F.lit(1)))
-    celled = (keyed.join(large, ["block", "shard"], "left").withColumn("own", own)
-              .select("block", "shard", "fp", "own", F.explode(F.sequence(F.lit(0).cast("bigint"), "own")).alias("cell"))
-              .select("block", "shard", "cell", (F.col("cell") != F.col("own")).alias("asking"), "fp"))
-    return (celled.repartition("block", "shard", "cell")
-            .sortWithinPartitions("block", "shard", "cell", "asking", "fp")
+    shards = F.array(*[F.struct(F.lit(i).alias("block"), bits(lo, hi).alias("shard"))
+                       for i, (lo, hi) in enumerate(zip(edges, edges[1:]))])
+    keyed = fps.select("fp", F.explode(shards).alias("k")).select("fp", "k.*")
+    # The bits outside a large shard's block are cut into blocks again.
+    size = F.count(F.lit(1)).alias("n")
+    large = keyed.groupBy("block", "shard").agg(size).where(F.col("n") > shard_limit).select("block", "shard", F.lit(True).alias("large"))
+    inner = None
+    for i, (lo, hi) in enumerate(zip(edges, edges[1:])):
+        rest = F.shiftleft(F.shiftrightunsigned("fp", hi) if hi < 64 else F.lit(0).cast("bigint"), lo).bitwiseOR(bits(0, lo))
+        width = 64 - (hi - lo)
+        cuts = [width * k // blocks for k in range(blocks + 1)]
+        parts = F.array(*[F.struct(F.lit(k).alias("sub"), F.shiftrightunsigned(rest, a).bitwiseAND(
+            F.lit((1 << (b - a)) - 1)).alias("part")) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))])
+        inner = F.when(F.col("block") == i, parts) if inner is None else inner.when(F.col("block") == i, parts)
+    whole = F.array(F.struct(F.lit(-1).alias("sub"), F.lit(0).cast("bigint").alias("part")))
+    keyed = (keyed.join(large, ["block", "shard"], "left")
+             .select("fp", "block", "shard", F.explode(F.when(F.col("large"), inner).otherwise(whole)).alias("k"))
+             .select("fp", F.xxhash64("block", "shard", "k.sub", "k.part").alias("home")))
+    # What is still large is cut into cells, and the members that search a cell into slices.
+    still = (keyed.groupBy("home").agg(size).where(F.col("n") > shard_limit)
+             .select("home", F.ceil(F.col("n") / shard_limit).alias("cells")))
+    cells = F.coalesce("cells", F.lit(1).cast("bigint"))
+    upto = lambda n: F.sequence(F.lit(0).cast("bigint"), n)
+    celled = (keyed.join(still, "home", "left").withColumn("cells", cells)
+              .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("cells")))
+              .select("home", "fp", "own", "cells", F.explode(upto(F.col("own"))).alias("cell")))
+    # A cell's own members go to all its slices, of which there is one per later cell.
+    asking = F.col("cell") != F.col("own")
+    slices = F.when(asking, F.array("own")).otherwise(F.sequence(F.col("own"), F.col("cells") - 1))
+    sliced = celled.select("home", "cell", F.explode(slices).alias("slice"), asking.alias("asking"), "fp")
+    return (sliced.repartition("home", "cell", "slice")
+            .sortWithinPartitions("home", "cell", "slice", "asking", "fp")
             .mapInArrow(_links(max_bits), "a long, b long"))
 
 
@@ -258,7 +282,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # 128 bits of the row's content: joins and drops repeats by one key, with one shuffle.
     h1 = fresh(docs, "_row_hash")
     h2 = h1 + "2"
-    tagged = docs.withColumns({h1: F.xxhash64(*cols), h2: F.xxhash64(F.lit(h2), *cols)})
+    # A hash skips nulls and refuses maps: nulls are marked, nested values hashed as JSON.
+    parts = [x for f, c in zip(docs.schema, cols) for x in (
+        F.to_json(F.struct(c)) if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) else c, c.isNull())]
+    tagged = docs.withColumns({h1: F.xxhash64(*parts), h2: F.xxhash64(F.lit(h2), *parts)})
     pick = F.struct(F.col(f"`{id_col}`").isNull().alias("last"), F.col(f"`{id_col}`").alias("id"),
                     F.col(h1).alias("h1"), F.col(h2).alias("h2"))
     rows = materialize(tagged.select(pick.alias("id"), fingerprint(text_col, words).alias("fp")))

@@ -10,9 +10,10 @@ record takes the response's payload and headers, updated by the headers that a
 304 may carry.
 
 The as-of join is one running maximum over the rows of a URL in time order.
-Rows are dealt out by (URL, time bucket): a running maximum inside each bucket,
-then the largest earlier response of the buckets before, from one pre-aggregated
-row per bucket.  So a URL with a third of all rows is spread over many tasks.
+Rows are dealt out by (URL, minute): a running maximum inside each minute, then the
+largest earlier response of the day's minutes before and of the days before, from one
+pre-aggregated row per minute and per day.  So a URL with a third of all rows is spread
+over many tasks, also where they fall on one day.
 
 Records: ``record_id, url, fetched_at, kind`` (``response`` or ``revisit``),
 ``etag``, ``last_modified``, ``headers`` (a map of lower-case names) and
@@ -21,8 +22,10 @@ Records: ``record_id, url, fetched_at, kind`` (``response`` or ``revisit``),
 Ties: of responses at one time the one of larger record id counts; a response at
 the very time of the revisit is earlier if its record id is not larger.  Nulls: a
 null URL, time or record id cannot be joined; such a revisit is unresolved
-(``no url or time``).  A null validator is not checked; null headers are empty.
-Repeated rows each keep their row.
+(``no url or time``).  A null validator is not checked; null headers are empty.  Of header
+names that differ in case only, the last one counts where a 304 updates the stored ones.
+Repeated rows each keep their row; an empty table gives no row; values of any length pass.
+Of the input's columns only those of the result's names are replaced.
 """
 
 from __future__ import annotations
@@ -30,28 +33,45 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_SECONDS = 86_400      # time bucket of the as-of join
+BUCKET_SECONDS = 60          # time bucket of the as-of join
+BUCKETS = 1440               # buckets of the next larger one
 
 # Header fields that a 304 answer may carry and that update the stored ones.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary")
 
 # Query parameters that do not change a page.
-TRACKING = r"(utm_[a-z]+|ref|fbclid|gclid)=[^&]*"
+TRACKING = r"(utm_[a-z]+|fbclid|gclid)=[^&]*"
+
+# The scheme of a URL, and the host of what follows it.
+SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*)://"
+HOST = r"^[^/?]*"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def canonical_url(url: Column) -> Column:
-    """Scheme folded to ``http``, ASCII lower-case host without ``www.`` and
-    default port, no fragment, no tracking parameters, no trailing slash."""
+    """ASCII lower-case scheme, ``http`` for ``https`` or none, and host without ``www.``
+    and without its scheme's default port, no fragment, no tracking parameters, no
+    trailing slash."""
     u = F.regexp_replace(url, r"#.*$", "")
-    rest = F.regexp_replace(u, r"^[A-Za-z][A-Za-z0-9+.\-]*://", "")
-    host = F.regexp_extract(rest, r"^[^/?]*", 0)
-    host = F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    host = F.regexp_replace(F.regexp_replace(host, r"^www\.", ""), r":(80|443)$", "")
-    tail = F.regexp_replace(rest, r"^[^/?]*", "")
+    scheme = F.translate(F.regexp_extract(u, SCHEME, 1), UPPER, LOWER)
+    rest = F.regexp_replace(u, SCHEME, "")
+    host = F.regexp_replace(F.translate(F.regexp_extract(rest, HOST, 0), UPPER, LOWER), r"^www\.", "")
+    host = (F.when(scheme == "https", F.regexp_replace(host, ":443$", ""))
+            .when(scheme.isin("", "http"), F.regexp_replace(host, ":80$", "")).otherwise(host))
+    tail = F.regexp_replace(rest, HOST, "")
     path = F.regexp_replace(F.regexp_extract(tail, r"^[^?]*", 0), r"/+$", "")
     query = F.regexp_replace(F.regexp_replace(tail, r"^[^?]*\??", ""), r"(^|&)" + TRACKING, "")
     query = F.regexp_replace(query, r"^&", "")
-    return F.concat(F.lit("http://"), host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
+    return F.concat(F.when(scheme.isin("", "https"), "http").otherwise(scheme), F.lit("://"), host, path,
+                    F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
+
+
+def _lower_names(headers: Column) -> Column:
+    """Headers by lower-case name; of equal names the last one."""
+    entries = F.map_entries(headers)
+    names = F.array_distinct(F.transform(entries, lambda e: F.lower(e["key"])))
+    return F.map_from_arrays(names, F.transform(names, lambda n: F.element_at(
+        F.filter(entries, lambda e: F.lower(e["key"]) == n), -1)["value"]))
 
 
 def resolve_revisits(records: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
@@ -59,28 +79,38 @@ def resolve_revisits(records: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -
     resolved_headers``.  ``resolution``: ``full`` (a response), ``resolved``,
     ``no url or time``, ``no earlier response``, ``etag differs``,
     ``last-modified differs``."""
+    made = ("canonical_url", "resolution", "refers_to", "resolved_digest", "resolved_headers")
+    cols = [F.col(f"`{c}`") for c in records.columns if c.lower() not in made]
+    own = "_w"
+    while any(c.lower().startswith(own) for c in records.columns):
+        own += "_"
+    key, small, big, spot, last, carry, near, day, found = (own + x for x in (
+        "key", "small", "big", "spot", "last", "carry", "near", "day", "from"))
     at = F.col("fetched_at")
     usable = F.col("url").isNotNull() & at.isNotNull() & F.col("record_id").isNotNull()
     full = F.col("kind") == "response"
-    spot = F.struct(at.alias("at"), F.col("record_id").alias("record_id"), F.col("payload_digest").alias("digest"),
-                    F.col("etag").alias("etag"), F.col("last_modified").alias("last_modified"),
-                    F.to_json(F.coalesce("headers", F.create_map().cast("map<string,string>"))).alias("headers"))
-    r = (records.withColumn("canonical_url", canonical_url(F.col("url")))
-         .withColumn("_b", F.floor(F.unix_seconds(at) / bucket_seconds))
-         .withColumn("_r", F.when(full & usable, spot)))
+    none = F.create_map().cast("map<string,string>")
+    is_spot = F.struct(at.alias("at"), F.col("record_id").alias("record_id"), F.col("payload_digest").alias("digest"),
+                       F.col("etag").alias("etag"), F.col("last_modified").alias("last_modified"),
+                       F.to_json(F.coalesce("headers", none)).alias("headers"))
+    r = (records.select(*cols, canonical_url(F.col("url")).alias("canonical_url"))
+         .withColumn(small, F.floor(F.unix_seconds(at) / bucket_seconds))
+         .withColumn(big, F.floor(F.col(small) / BUCKETS))
+         .withColumn(spot, F.when(full & usable, is_spot))
+         .withColumn(key, F.when(usable, F.col("canonical_url"))))
     # Rows that cannot be joined are spread by their content instead of meeting in one group.
-    r = r.withColumn("_k", F.when(usable, F.col("canonical_url")))
-    loose, tied = r.where("_k is null"), r.where("_k is not null")
-    ends = tied.groupBy("_k", "_b").agg(F.max("_r").alias("_last"))
-    over = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = ends.select("_k", "_b", F.max("_last").over(over).alias("_carry"))
-    inside = (Window.partitionBy("_k", "_b").orderBy("fetched_at", "record_id", "kind")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    tied = (tied.withColumn("_near", F.max("_r").over(inside)).join(carry, ["_k", "_b"])
-            .withColumn("_from", F.coalesce("_near", "_carry")))
-    loose = loose.withColumn("_from", F.lit(None).cast(r.schema["_r"].dataType))
-    both = tied.drop("_near", "_carry").unionByName(loose)
-    f = F.col("_from")
+    loose, tied = r.where(F.col(key).isNull()), r.where(F.col(key).isNotNull())
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    ends = tied.groupBy(key, big, small).agg(F.max(spot).alias(last))
+    days = ends.groupBy(key, big).agg(F.max(last).alias(last))
+    days = days.select(key, big, F.max(last).over(before(Window.partitionBy(key).orderBy(big))).alias(day))
+    ends = ends.select(key, big, small, F.max(last).over(
+        before(Window.partitionBy(key, big).orderBy(small))).alias(carry)).join(days, [key, big])
+    inside = before(Window.partitionBy(key, big, small).orderBy("fetched_at", "record_id", "kind"))
+    tied = (tied.withColumn(near, F.max(spot).over(inside)).join(ends, [key, big, small])
+            .withColumn(found, F.coalesce(near, carry, day)).drop(near, carry, day))
+    both = tied.unionByName(loose.withColumn(found, F.lit(None).cast(r.schema[spot].dataType)))
+    f = F.col(found)
     resolution = (F.when(full, "full")
                   .when(~usable | F.col("canonical_url").isNull(), "no url or time")
                   .when(f.isNull(), "no earlier response")
@@ -88,9 +118,8 @@ def resolve_revisits(records: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -
                   .when((F.col("etag").isNull() | f["etag"].isNull())
                         & (F.col("last_modified") != f["last_modified"]), "last-modified differs")
                   .otherwise("resolved"))
-    own = F.coalesce("headers", F.create_map().cast("map<string,string>"))
-    sent = F.map_filter(own, lambda k, _: F.lower(k).isin(*PERMITTED))
-    sent = F.map_from_entries(F.transform(F.map_entries(sent), lambda e: F.struct(F.lower(e["key"]), e["value"])))
+    headers = F.coalesce("headers", none)
+    sent = F.map_filter(_lower_names(headers), lambda k, _: k.isin(*PERMITTED))
     stored = F.from_json(f["headers"], "map<string,string>")
     stored = F.map_filter(stored, lambda k, _: ~F.array_contains(F.map_keys(sent), F.lower(k)))
     ok = F.col("resolution") == "resolved"
@@ -98,9 +127,9 @@ def resolve_revisits(records: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -
             .withColumn("refers_to", F.when(ok, f["record_id"]))
             .withColumn("resolved_digest", F.when(F.col("resolution") == "full", F.col("payload_digest"))
                         .when(ok, f["digest"]))
-            .withColumn("resolved_headers", F.when(F.col("resolution") == "full", own)
+            .withColumn("resolved_headers", F.when(F.col("resolution") == "full", headers)
                         .when(ok, F.map_concat(stored, sent)))
-            .drop("_b", "_r", "_k", "_from"))
+            .drop(small, big, spot, key, found))
 
 
 # ---- records derived from the pages table for the registered query ----
