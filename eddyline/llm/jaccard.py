@@ -55,6 +55,7 @@ from eddyline.llm.simhash import shingle_hashes
 WORDS = 3                 # words of a shingle, from the contract
 PERCENT = 90              # similarity of a link, from the contract
 PARTS = (1, 8, 64, 512)   # parts of a shingle's holders that elect, by round; then all are pivots
+BUCKETS = 1 << 20         # counters of shingles, for the order of a set
 SHARES = (64, 8, 1)       # a boundary share is one in so many
 SHARE_ROWS = 1000         # a share of fewer boundary rows is not worth its own pass
 BROADCAST_ROWS = 200_000  # text hashes small enough to broadcast
@@ -105,6 +106,43 @@ def _need(n: Column, percent: int) -> Column:
     return F.floor(n * percent * (100 - percent) / 10000) + 1
 
 
+def _rare_first(sets: DataFrame, percent: int) -> DataFrame:
+    """``rid, hashes``: the prefix of each set, shingles of rare buckets first.  Any one order of
+    all shingles gives the same links; a table of ``BUCKETS`` counters makes a good one."""
+    spark = sets.sparkSession
+    shift = 64 - (BUCKETS.bit_length() - 1)
+    counts = (sets.select(F.explode("hashes").alias("h"))
+              .groupBy(F.shiftrightunsigned("h", shift).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("n")))
+    got = counts.toArrow()                                   # at most BUCKETS rows
+    level = np.zeros(BUCKETS, dtype=np.uint8)
+    level[got.column("b").to_numpy()] = np.log2(got.column("n").to_numpy()).astype(np.uint8)
+    shared = spark.sparkContext.broadcast(level)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
+        for b in batches:
+            lists = b.column(1)
+            at = lists.offsets.to_numpy()
+            h = lists.flatten().to_numpy().view(np.uint64)
+            at = at - at[0]
+            kept = []
+            for lo, hi in zip(at[:-1].tolist(), at[1:].tolist()):
+                s = h[lo:hi]
+                first = np.lexsort((s, table[(s >> np.uint64(shift)).astype(np.int64)]))
+                kept.append(s[first[:prefix_length(hi - lo, percent)]].view(np.int64))
+            ends = np.concatenate(([0], np.cumsum([len(x) for x in kept]))).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(kept) if kept else [],
+                                                                                pa.int64()))], ["rid", "hashes"])
+    return sets.select("rid", "hashes").mapInArrow(cut, "rid long, hashes array<long>")
+
+
+def _free(spark) -> None:
+    """Let Spark's cleaner remove the shuffle files and checkpoints of steps that are over; it
+    learns of them when the driver collects its garbage."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def _able(keys: DataFrame, sizes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """``keys`` and ``sizes`` without members that share too few keys to link."""
     often = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
@@ -174,6 +212,7 @@ def voronoi_pairs(keys: DataFrame, sizes: DataFrame, sets: DataFrame, percent: i
         near = materialize(_similar(pairs, sets, window))
         found.append(near)
         chosen.append(pivots)
+        _free(keys.sparkSession)
         done = (near.where(100 * F.col("both") >= percent * F.col("either")).select(F.col("x").alias("rid"))
                 .unionByName(pivots.select(F.col("p").alias("rid"))).distinct())
         left = left.join(done, "rid", "left_anti")
@@ -229,6 +268,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     if not 50 < percent <= 100:
         raise ValueError("percent must be above 50 and at most 100")
     window = 2 * percent - 100
+    spark = docs.sparkSession
     raw = docs.select(F.col(f"`{id_col}`").alias("id"),
                       F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("mark"),
                       F.col(f"`{text_col}`").cast("string").alias("text"))
@@ -239,9 +279,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     member = materialize(member.withColumn("rid", F.monotonically_increasing_id()))
     keys = member.select(F.posexplode("hashes").alias("place", "key"), "rid")
     sizes = member.select("rid", "n", "mark", "d1", "d2")
-    keys, sizes = _able(keys, sizes, percent)
-    keys, sizes = _able(keys, sizes, percent)
-    keys, sizes = materialize(keys), sizes
+    _, sizes = _able(keys, sizes, percent)
+    _free(spark)
     # The whole sets of the members left, made again from their texts.
     marks = sizes.select("mark").distinct()
     if sizes.count() <= BROADCAST_ROWS:
@@ -250,6 +289,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     whole = (again.select("d1", "d2", "hashes").join(sizes.select("d1", "d2", "rid", "n"), ["d1", "d2"])
              .groupBy("rid").agg(F.first("n").alias("n"), F.first("hashes").alias("hashes")))
     sets = materialize(whole)
+    rare = materialize(_rare_first(sets, window))
+    keys, few = _able(rare.select(F.posexplode("hashes").alias("place", "key"), "rid"), sizes.select("rid", "n"), percent)
+    keys, sizes = _able(keys, few, percent)
+    keys = materialize(keys)
+    sets = materialize(sets.join(sizes.select("rid"), "rid", "left_semi"))
+    _free(spark)
     pairs, pivots = voronoi_pairs(keys, sizes, sets, percent)
     links = materialize(pairs.where(100 * F.col("both") >= percent * F.col("either")).select("x", "p"))
     links = _boundary_links(pairs, pivots, links, sets, percent)
