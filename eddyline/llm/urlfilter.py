@@ -133,18 +133,19 @@ def gram_scores(counts: DataFrame, order: int = ORDER, strength: float = STRENGT
 
 
 def score_texts(urls: DataFrame, scores: DataFrame, total: int, order: int = ORDER) -> DataFrame:
-    """``text, score``: the mean log ratio per character of every ``text``."""
+    """``uid, score``: the mean log ratio per character of every ``text``; the text
+    itself does not travel with its characters."""
     limit = total // HOT_SHARE
     hot = scores.where(F.col("n") > limit).select("gram", F.col("score").alias("hot"))
     cold = scores.where(F.col("n") <= limit).select("gram", "score")
-    g = spelt(urls, "text", order=order)
+    g = spelt(urls.select("uid", "text"), "uid", order=order)
     g = g.join(F.broadcast(hot), "gram", "left")
-    seen = g.groupBy("text").agg(F.sum("hot").alias("s"), F.count(F.lit(1)).alias("n"))
-    rest = (g.where("hot is null").groupBy("text", "gram").agg(F.count(F.lit(1)).alias("m"))
-            .join(cold, "gram").groupBy("text").agg(F.sum(F.col("score") * F.col("m")).alias("r")))
+    seen = g.groupBy("uid").agg(F.sum("hot").alias("s"), F.count(F.lit(1)).alias("n"))
+    rest = (g.where("hot is null").groupBy("uid", "gram").agg(F.count(F.lit(1)).alias("m"))
+            .join(cold, "gram").groupBy("uid").agg(F.sum(F.col("score") * F.col("m")).alias("r")))
     zero = F.lit(0).cast("bigint")
-    return seen.join(rest, "text", "left").select(
-        "text", ((F.coalesce("s", zero) + F.coalesce("r", zero)) / F.col("n")).alias("score"))
+    return seen.join(rest, "uid", "left").select(
+        "uid", ((F.coalesce("s", zero) + F.coalesce("r", zero)) / F.col("n")).alias("score"))
 
 
 def threshold(scored: DataFrame) -> float | None:
@@ -189,10 +190,10 @@ def score_urls(pages: DataFrame, url_col: str = "url", rules: Sequence[tuple[str
     # Dealt out anew: a small table would stay in one task, and a URL is many characters.
     conf = pages.sparkSession
     parts = max(conf.sparkContext.defaultParallelism, int(conf.conf.get("spark.sql.shuffle.partitions")))
-    urls = materialize(d.repartition(parts, "text"))
+    urls = materialize(d.repartition(parts, "text").withColumn("uid", F.monotonically_increasing_id()))
     scores = materialize(gram_scores(materialize(gram_counts(urls))))
     total = scores.agg(F.sum("n")).first()[0] or 0
-    return materialize(score_texts(urls, scores, total).join(urls, "text").select(
+    return materialize(score_texts(urls, scores, total).join(urls, "uid").select(
         "text", "score", "weight", "verdict"))
 
 

@@ -23,7 +23,7 @@ Ties: of responses at one time the one of larger record id counts; a response at
 the very time of the revisit is earlier if its record id is not larger.  Nulls: a
 null URL, time or record id cannot be joined; such a revisit is unresolved
 (``no url or time``).  A null validator is not checked; null headers are empty.  Of header
-names that differ in case only, the last one counts where a 304 updates the stored ones.
+names that differ in case only, the one last in byte order counts where a 304 updates the stored ones.
 Repeated rows each keep their row; an empty table gives no row; values of any length pass.
 Of the input's columns only those of the result's names are replaced.
 """
@@ -67,8 +67,9 @@ def canonical_url(url: Column) -> Column:
 
 
 def _lower_names(headers: Column) -> Column:
-    """Headers by lower-case name; of equal names the last one."""
-    entries = F.map_entries(headers)
+    """Headers by lower-case name; of equal names the one spelt last in byte order
+    (a map has no order of its own)."""
+    entries = F.array_sort(F.map_entries(headers))
     names = F.array_distinct(F.transform(entries, lambda e: F.lower(e["key"])))
     return F.map_from_arrays(names, F.transform(names, lambda n: F.element_at(
         F.filter(entries, lambda e: F.lower(e["key"]) == n), -1)["value"]))
