@@ -143,14 +143,18 @@ def _free(spark) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def _able(keys: DataFrame, sizes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """``keys`` and ``sizes`` without members that share too few keys to link."""
+def _able(keys: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """``sizes`` without members that share too few of the ``keys(key, rid)`` to link."""
     often = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    shared = materialize(keys.join(often, "key"))
-    able = (shared.groupBy("rid").agg(F.count(F.lit(1)).alias("c")).join(sizes, "rid")
-            .where(F.col("c") >= _need(F.col("n"), percent)).select(*sizes.columns))
-    able = materialize(able)
-    return shared.join(able.select("rid"), "rid", "left_semi").select("key", "rid", "place"), able
+    held = keys.select("key", "rid").join(often, "key").groupBy("rid").agg(F.count(F.lit(1)).alias("c"))
+    return materialize(held.join(sizes, "rid").where(F.col("c") >= _need(F.col("n"), percent)).select(*sizes.columns))
+
+
+def _shared(keys: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The keys of the members in ``sizes`` that two of them hold."""
+    keys = keys.join(sizes.select("rid"), "rid", "left_semi")
+    often = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
+    return materialize(keys.join(often, "key").select("key", "rid", "place"))
 
 
 def _prefix(n: Column, percent: int) -> Column:
@@ -272,14 +276,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     raw = docs.select(F.col(f"`{id_col}`").alias("id"),
                       F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("mark"),
                       F.col(f"`{text_col}`").cast("string").alias("text"))
-    rows = materialize(_sketched(raw, words, window))
-    member = (rows.where("n > 0").groupBy("d1", "d2")
-              .agg(F.min("id").alias("low"), F.min("mark").alias("mark"), F.first("n").alias("n"),
-                   F.first("hashes").alias("hashes")))
-    member = materialize(member.withColumn("rid", F.monotonically_increasing_id()))
-    keys = member.select(F.posexplode("hashes").alias("place", "key"), "rid")
-    sizes = member.select("rid", "n", "mark", "d1", "d2")
-    _, sizes = _able(keys, sizes, percent)
+    made = materialize(_sketched(raw, words, window))
+    rows = materialize(made.drop("hashes"))
+    first = (made.where("n > 0").groupBy("d1", "d2")
+             .agg(F.min("id").alias("low"), F.min("mark").alias("mark"), F.first("n").alias("n"),
+                  F.first("hashes").alias("hashes")))
+    first = materialize(first.withColumn("rid", F.monotonically_increasing_id()))
+    member = materialize(first.drop("hashes"))
+    sizes = _able(first.select(F.explode("hashes").alias("key"), "rid"),
+                  member.select("rid", "n", "mark", "d1", "d2"), percent)
+    del made, first
     _free(spark)
     # The whole sets of the members left, made again from their texts.
     marks = sizes.select("mark").distinct()
@@ -290,11 +296,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
              .groupBy("rid").agg(F.first("n").alias("n"), F.first("hashes").alias("hashes")))
     sets = materialize(whole)
     rare = materialize(_rare_first(sets, window))
-    keys, few = _able(rare.select(F.posexplode("hashes").alias("place", "key"), "rid"), sizes.select("rid", "n"), percent)
-    keys, sizes = _able(keys, few, percent)
-    keys = materialize(keys)
-    sets = materialize(sets.join(sizes.select("rid"), "rid", "left_semi"))
+    places = rare.select(F.posexplode("hashes").alias("place", "key"), "rid")
+    sizes = _able(places, sizes.select("rid", "n"), percent)
+    keys = _shared(places, _able(places.join(sizes.select("rid"), "rid", "left_semi"), sizes, percent))
+    sets = materialize(sets.join(keys.select("rid").distinct(), "rid", "left_semi"))
+    sizes = sizes.join(keys.select("rid").distinct(), "rid", "left_semi")
+    del whole, again, rare, places
     _free(spark)
+    sizes = materialize(sizes)
     pairs, pivots = voronoi_pairs(keys, sizes, sets, percent)
     links = materialize(pairs.where(100 * F.col("both") >= percent * F.col("either")).select("x", "p"))
     links = _boundary_links(pairs, pivots, links, sets, percent)
