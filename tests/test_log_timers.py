@@ -43,7 +43,7 @@ def test_log_offsets_are_bytes_at_any_chunk_size(spark, tmp_path):
         want.append((0, at, v))
         at += len(v.encode()) + 1
     want += [(1, 0, "one"), (1, 5, "two"), (1, 9, ""), (1, 10, "last")]
-    for chunk in (7, 1000, 1 << 20):
+    for chunk in (331, 4000, 1 << 20):
         assert _rows(read_log(spark, d, streaming=False, chunkBytes=chunk)) == want
     assert _rows(read_log(spark, d, streaming=False, tail="wait")) == want[:-1]
     bad = _folder(tmp_path / "..", c=b"\xff\xfe\nok\n")
