@@ -51,6 +51,7 @@ from pyspark.sql import functions as F
 
 from eddyline.llm.common import components, materialize
 from eddyline.llm.simhash import shingle_hashes
+from eddyline.session import settings_for_start
 
 WORDS = 3                 # words of a shingle, from the contract
 PERCENT = 90              # similarity of a link, from the contract
@@ -138,8 +139,8 @@ def _rare_first(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _free(spark) -> None:
-    """Let Spark's cleaner remove the shuffle files and checkpoints of steps that are over; it
-    learns of them when the driver collects its garbage."""
+    """Let Spark's cleaner remove the checkpoints of steps that are over; it learns of them
+    when the driver collects its garbage."""
     spark.sparkContext._jvm.System.gc()
 
 
@@ -271,6 +272,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """``doc_id, n_shingles, component_id``: one row per row of ``docs``."""
     if not 50 < percent <= 100:
         raise ValueError("percent must be above 50 and at most 100")
+    # The steps here are written out one by one, so a step's shuffle files can go when it is over.
+    with settings_for_start(docs.sparkSession, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        return _jaccard_components(docs, id_col, text_col, words, percent)
+
+
+def _jaccard_components(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
     window = 2 * percent - 100
     spark = docs.sparkSession
     raw = docs.select(F.col(f"`{id_col}`").alias("id"),
