@@ -5,7 +5,8 @@ every row leaves with the watermark before it and whether its window had fired.
 ``WindowFold``: per key, one small tuple per open window (count, rows, sum, first
 row, halving average); a window leaves when the watermark passes its end, by an
 event-time timer.  No list is kept.  The rows' times can leave at once, each
-with its position in its window.
+with its position in its window.  A call to the state or a timer costs far more than a row, so
+``SPAN`` consecutive windows of a key are one state value with one timer, at the end of the first.
 ``ClockWindows``: per word, sums of processing-time windows, which leave when the clock
 passes their end, by a processing-time timer; no state is left after that.
 
@@ -28,10 +29,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from eddyline.functions.timefmt import epoch_ms
+from eddyline.operators.scan import floor_div
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LOWEST = -(1 << 63)
+SPAN = 4096        # consecutive windows of a key that are one state value
 
 
 def window_ms(window: str) -> int:
@@ -120,51 +123,79 @@ def _half(x: int) -> int:
 
 
 class WindowFold(StatefulProcessor):
-    """One state tuple per open window of a key; ``times`` also lets every row's
-    time leave, with its position."""
+    """The open windows of a key and span, one small tuple each, in one state value; ``times``
+    also lets every row's time leave, with its position."""
 
     def __init__(self, width_ms: int, times: bool = False) -> None:
         self.width, self.times = width_ms, times
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getMapState(
-            "windows", "start LONG",
-            "count LONG, rows LONG, took LONG, method STRING, code INT, average LONG")
+        self.open = handle.getValueState(
+            "windows", "timer LONG, start ARRAY<LONG>, count ARRAY<LONG>, rows ARRAY<LONG>, took ARRAY<LONG>, "
+            "method ARRAY<STRING>, code ARRAY<INT>, average ARRAY<LONG>")
+
+    def _held(self) -> tuple[int | None, dict[int, tuple]]:
+        """The time of the timer and the windows by their start."""
+        if not self.open.exists():
+            return None, {}
+        timer, start, *columns = self.open.get()
+        return timer, dict(zip(start, zip(*columns)))
+
+    def _hold(self, windows: dict[int, tuple], timer: int | None) -> None:
+        """Keep the windows and one timer, at the end of the first; ``timer`` is the one there is."""
+        first = min(windows) + self.width
+        if first != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(first)
+        self.open.update((first, list(windows), *map(list, zip(*windows.values()))))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _joined(rows, ["seq", "partition"])
         if pdf.empty:
             return
         start = pdf["ms"].to_numpy(dtype=np.int64) // self.width * self.width
+        by_window = np.argsort(start, kind="stable")
+        firsts = np.flatnonzero(np.diff(start[by_window], prepend=start[by_window[0]] - 1))
+        ends = np.append(firsts[1:], len(pdf)).tolist()
+        took = pdf["took_ms"].to_numpy()[by_window].tolist()
+        counts = pdf["count"].to_numpy()[by_window].tolist()
         place = np.empty(len(pdf), dtype=np.int64)
-        for w in np.unique(start).tolist():
-            at = np.flatnonzero(start == w)
-            took = pdf["took_ms"].to_numpy()[at].tolist()
-            counts = pdf["count"].to_numpy()[at].tolist()
-            if self.open.containsKey((w,)):
-                count, n, total, method, code, average = self.open.getValue((w,))
-                rest = took
+        timer, windows = self._held()
+        for lo, hi in zip(firsts.tolist(), ends):
+            w = int(start[by_window[lo]])
+            if w in windows:
+                count, n, total, method, code, average = windows[w]
+                rest = took[lo:hi]
             else:
-                first = pdf.iloc[at[0]]
+                first = by_window[lo]
                 count, n, total = 0, 0, 0
-                method, code, average = first["method"], int(first["code"]), int(took[0])
-                rest = took[1:]
-                self.handle.registerTimer(w + self.width)
+                method, code, average = pdf["method"].iat[first], int(pdf["code"].iat[first]), int(took[lo])
+                rest = took[lo + 1:hi]
             for x in rest:
                 average = _half(average + int(x))
-            place[at] = n + np.arange(len(at))
-            self.open.updateValue((w,), (int(count + sum(counts)), int(n + len(at)), int(total + sum(took)),
-                                         method, code, int(average)))
+            place[by_window[lo:hi]] = n + np.arange(hi - lo)
+            windows[w] = (int(count + sum(counts[lo:hi])), int(n + hi - lo), int(total + sum(took[lo:hi])),
+                          method, code, int(average))
+        self._hold(windows, timer)
         if self.times:
             yield self._out("time", key, start, position=place, time_text=pdf["time_text"], took_ms=pdf["took_ms"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        start = expiredTimerInfo.getExpiryTimeInMs() - self.width
-        count, n, total, method, code, average = self.open.getValue((start,))
-        self.open.removeKey((start,))
-        yield self._out("window", key, np.array([start]), method=[method], code=[code], count=[count],
-                        response_time_avg=[average], response_time_mean=[total / n])
+        _, windows = self._held()
+        # All windows that the watermark has passed leave together.
+        passed = timerValues.getCurrentWatermarkInMs() - self.width
+        closed = sorted(w for w in windows if w <= passed)
+        if not closed:
+            return
+        count, n, total, method, code, average = zip(*map(windows.pop, closed))
+        if windows:
+            self._hold(windows, None)
+        else:
+            self.open.clear()
+        yield self._out("window", key, np.array(closed), method=method, code=code, count=count,
+                        response_time_avg=average, response_time_mean=[t / x for t, x in zip(total, n)])
 
     def _out(self, kind: str, key: tuple, start: np.ndarray, **cols) -> pd.DataFrame:
         n = len(start)
@@ -187,12 +218,14 @@ def access_window_timers(rows: DataFrame, window: str, watermark: str, times: bo
     ``kind = 'window'`` rows are closed windows; with ``times``, ``kind = 'time'`` rows
     are the times of all rows with their position in their window (from 0).
     A row whose own time is behind the watermark is dropped by the engine."""
+    width = window_ms(window)
+    ms = F.unix_millis("event_time")
     d = rows.select("url", "response", "method", "code", "count", "took_ms", "time_text", "event_time",
                     F.coalesce("seq", F.lit(LOWEST)).cast("bigint").alias("seq"),
                     F.coalesce("partition", F.lit(-1)).cast("int").alias("partition"),
-                    F.unix_millis("event_time").alias("ms")).withWatermark("event_time", watermark)
-    return d.groupBy("url", "response").transformWithStateInPandas(
-        WindowFold(window_ms(window), times), FOLD_OUT, "Append", "EventTime")
+                    ms.alias("ms"), floor_div(ms, width * SPAN).alias("span")).withWatermark("event_time", watermark)
+    return d.groupBy("url", "response", "span").transformWithStateInPandas(
+        WindowFold(width, times), FOLD_OUT, "Append", "EventTime")
 
 
 # ---- processing-time windows that end ----
