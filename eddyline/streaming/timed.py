@@ -8,7 +8,8 @@ event-time timer.  No list is kept.  The rows' times can leave at once, each
 with its position in its window.  A call to the state or a timer costs far more than a row, so
 ``SPAN`` consecutive windows of a key are one state value with one timer, at the end of the first.
 ``ClockWindows``: per word, sums of processing-time windows, which leave when the clock
-passes their end, by a processing-time timer; no state is left after that.
+passes their end, by a processing-time timer; no state is left after that.  All words are in
+``CLOCK_PARTS`` parts, each with one state value and one timer per window.
 
 Rows of a key are put in order of ``seq`` within a micro-batch; the source delivers
 batches in order.  A micro-batch's rows of one key are in one task, so bound
@@ -35,6 +36,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LOWEST = -(1 << 63)
 SPAN = 4096        # consecutive windows of a key that are one state value
+CLOCK_PARTS = 512  # parts of all words, a state value each per window
+COUNT_ROWS = 1 << 20  # words counted together before the shuffle
 
 
 def window_ms(window: str) -> int:
@@ -234,45 +237,65 @@ CLOCK_OUT = "word STRING, window_start_ms LONG, window_end_ms LONG, count_sum LO
 
 
 class ClockWindows(StatefulProcessor):
+    """The sums of one part of the words, per open window in one state value."""
+
     def __init__(self, width_ms: int) -> None:
         self.width = width_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getMapState("windows", "start LONG", "sum LONG")
+        self.open = handle.getMapState("windows", "start LONG", "words ARRAY<STRING>, sums ARRAY<LONG>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        n = sum(int(f["n"].sum()) for f in rows)
         start = timerValues.getCurrentProcessingTimeInMs() // self.width * self.width
+        sums: dict[str | None, int] = {}
         if self.open.containsKey((start,)):
-            n += self.open.getValue((start,))[0]
+            sums = dict(zip(*self.open.getValue((start,))))
         else:
             self.handle.registerTimer(start + self.width)
-        self.open.updateValue((start,), (n,))
+        for f in rows:
+            for word, n in zip(f["word"].tolist(), f["n"].tolist()):
+                word = word if isinstance(word, str) else None
+                sums[word] = sums.get(word, 0) + n
+        self.open.updateValue((start,), (list(sums), list(sums.values())))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         start = expiredTimerInfo.getExpiryTimeInMs() - self.width
-        n = self.open.getValue((start,))[0]
+        words, sums = self.open.getValue((start,))
         self.open.removeKey((start,))
-        yield pd.DataFrame({"word": [key[0]], "window_start_ms": [start], "window_end_ms": [start + self.width],
-                            "count_sum": [n]})
+        yield pd.DataFrame({"word": words, "window_start_ms": start, "window_end_ms": start + self.width,
+                            "count_sum": sums})
 
     def close(self) -> None:
         pass
 
 
+def _count_words(words: pa.ChunkedArray | pa.Array, n: pa.ChunkedArray | None = None) -> pa.Table:
+    if n is None:
+        n = pa.array(np.ones(len(words), dtype=np.int64))
+    t = pa.table({"word": words, "n": n}).group_by("word").aggregate([("n", "sum")])
+    return pa.table({"word": t.column("word"), "n": t.column("n_sum").cast(pa.int64())})
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of a batch, counted: a hot word is one row per batch."""
+    """Words counted over many batches: a word is one row per ``COUNT_ROWS`` rows or so."""
+    held: list[pa.Table] = []
     for b in batches:
-        t = pa.table({"word": b.column(0)}).group_by("word").aggregate([([], "count_all")])
-        t = pa.table({"word": t.column("word"), "n": t.column("count_all").cast(pa.int64())})
-        yield from t.to_batches()
+        held.append(_count_words(b.column(0)))
+        if sum(map(len, held)) >= COUNT_ROWS:
+            t = pa.concat_tables(held)
+            yield from _count_words(t.column("word"), t.column("n")).to_batches()
+            held = []
+    if held:
+        t = pa.concat_tables(held)
+        yield from _count_words(t.column("word"), t.column("n")).to_batches()
 
 
 def word_clock_windows(words: DataFrame, window: str) -> DataFrame:
     """Sums of ``word`` rows per processing-time window, in append mode.  Start it
     with a processing-time trigger (:func:`eddyline.streaming.runner.run_until_idle`)."""
     counted = words.select("word").mapInArrow(_counted, "word STRING, n LONG")
-    return counted.groupBy("word").transformWithStateInPandas(
+    part = F.pmod(F.xxhash64("word"), F.lit(CLOCK_PARTS)).alias("part")
+    return counted.select(part, "word", "n").groupBy("part").transformWithStateInPandas(
         ClockWindows(window_ms(window)), CLOCK_OUT, "Append", "ProcessingTime")
