@@ -606,8 +606,12 @@ def prefix_char_rows(spark, sf_dir):
 
 # ---- the reference's jobs end to end: lines -> job -> document index ----
 
+LINES_OF_A_FILE = 250_000   # a job's task reads one such file (jobs.READ_SETTINGS)
+
+
 def _parquet_lines(lines, folder):
-    write_lines(lines, folder)
+    with settings_for_start(lines.sparkSession, {"spark.sql.files.maxRecordsPerFile": LINES_OF_A_FILE}):
+        write_lines(lines, folder)
     return "parquet"
 
 
@@ -625,10 +629,11 @@ def _job_docs(spark, sf_dir, name, table, derive, job, index, lay=_parquet_lines
     base = stream_dir(spark, name)
     fmt = lay(derive(read_table(spark, sf_dir, table)), f"{base}/lines")
     slots = spark.sparkContext.defaultParallelism      # state partitions: one per slot
-    with settings_for_start(spark, {"spark.sql.shuffle.partitions": slots}):
-        q = getattr(jobs, job)(spark, f"{base}/lines", f"{base}/index", f"{base}/checkpoint",
-                               fmt=fmt, available_now=True)
-    q.awaitTermination()
+    with settings_for_start(spark, jobs.READ_SETTINGS):
+        with settings_for_start(spark, {"spark.sql.shuffle.partitions": slots}):
+            q = getattr(jobs, job)(spark, f"{base}/lines", f"{base}/index", f"{base}/checkpoint",
+                                   fmt=fmt, available_now=True)
+        q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
     return spark.read.schema("value STRING").text(f"{base}/index/{index}").select(

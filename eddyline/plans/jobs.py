@@ -67,6 +67,11 @@ def _to_index_and_console(docs: DataFrame, target: str, index: str, checkpoint:
 # micro-batch's watermark, the closest Spark gets to a per-record one.
 JOB_SETTINGS = {"spark.sql.streaming.statefulOperator.allowMultiple": "false"}
 
+# A task that reads lines also aggregates and sorts what it made of them (a row per word), so
+# a larger micro-batch of files has more tasks, not larger ones.  A file source plans each
+# micro-batch with the session's value, so this is to be set for as long as the job runs.
+READ_SETTINGS = {"spark.sql.files.maxPartitionBytes": "8m"}
+
 
 def _job(fn):
     """Start the job's query with ``JOB_SETTINGS`` (restored afterwards)."""
@@ -300,7 +305,7 @@ def main(argv: list[str] | None = None) -> None:
         extra["chars"] = True
     from eddyline.session import build_session
     from eddyline.sources import kafka_options
-    spark: SparkSession = build_session()
+    spark: SparkSession = build_session(conf=READ_SETTINGS)
     source = (kafka_options(a.source, a.topic, a.starting, **dict(o.split("=", 1) for o in a.option))
               if a.topic else a.source)
     target = topic_sink_options(a.target, a.sink_topic) if a.sink_topic else a.target

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+ROWS_OF_A_TASK = 250_000       # of a streamed table that is one file
 POSITION_BITS = 34             # a streamed text file's positions
 ZERO_SECOND = 1_577_836_800    # file times count from 2020 (2003 to 2037 fit)
 
@@ -58,9 +59,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
 
     A stream over a single file uses its folder with a glob filter, since the
     file source needs a directory; a single file is one task per micro-batch
-    whatever its size, so its rows are round-robined over the task slots.  A
-    directory of files is streamed as it is.  ``spread_small`` deals a static
-    table of fewer splits than task slots over the slots, for small tables.
+    whatever its size, so its rows are round-robined over the task slots, or over
+    more tasks of ``ROWS_OF_A_TASK`` rows.  A directory of files is streamed as it
+    is.  ``spread_small`` deals a static table of fewer splits than task slots over
+    the slots, for small tables.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     if not streaming:
@@ -72,8 +74,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
         r = r.option("maxFilesPerTrigger", max_files)
     if _is_dir(spark, path):
         return r.parquet(path)
-    return (r.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
-            .repartition(spark.sparkContext.defaultParallelism))
+    tasks = max(spark.sparkContext.defaultParallelism, -(-spark.read.parquet(path).count() // ROWS_OF_A_TASK))
+    return r.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir).repartition(tasks)
 
 
 def read_lines(spark: SparkSession, source, streaming: bool = True,
