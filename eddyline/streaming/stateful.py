@@ -11,7 +11,8 @@ be read back from a checkpoint (:func:`pending_averages`, :func:`pending_chunks`
 
 Rows of one key within one micro-batch are ordered by ``seq`` (null first) and source
 partition (the arrival order) before use; the micro-batch size (``maxFilesPerTrigger`` /
-``maxOffsetsPerTrigger``) bounds what one key holds in memory at once.
+``maxOffsetsPerTrigger``) bounds what one key holds in memory at once.  A bucket's rows are held
+as packed columns and released in frames of ``RELEASED_ROWS``.
 
 Nulls are as in the static operators: a null key or bucket is one of its own, a null
 value takes a place in its group and adds nothing, a group of nulls alone averages
@@ -28,6 +29,7 @@ import sys
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,8 +86,8 @@ def _marked(df: DataFrame, *cols: str, also: tuple = ()) -> DataFrame:
     return df.select(*marked, *order, *[c for c in ("name",) if c in df.columns], *also)
 
 
-def _nullable(values: list, known: list | np.ndarray, kind: str) -> pd.array:
-    return pd.array([x if k else None for x, k in zip(values, known)], kind)
+def _nullable(values: list | np.ndarray, known: list | np.ndarray, kind: str) -> pd.array:
+    return pd.arrays.IntegerArray(np.array(values, dtype=kind.lower()), ~np.array(known, dtype=bool))
 
 
 class CountAverage(StatefulProcessor):
@@ -130,9 +132,40 @@ class CountAverage(StatefulProcessor):
 
 
 HELD = ["name", "value", "value_known", "seq", "seq_known"]
+RELEASED_ROWS = 1 << 16   # rows of one frame of released chunks
 HELD_STATE = "name STRING, value INT, value_known BOOLEAN, seq LONG, seq_known BOOLEAN"
 
 
+def _columns(old: pd.DataFrame, rows: Iterator[pd.DataFrame]) -> tuple[dict, np.ndarray]:
+    """The ``HELD`` columns of the rows ``old`` and then the new ones, packed, and their order: the
+    new ones by ``seq`` (null first) and source partition.  A key's rows of a micro-batch are all
+    here at once, so none is kept as an object."""
+    kinds = {"value": np.int32, "value_known": bool, "seq": np.int64, "seq_known": bool, "partition": np.int32}
+    parts: dict[str, list] = {c: [] for c in ["name", *kinds]}
+    for f in ([old] if len(old) else []):
+        _pack(parts, f, kinds)
+    for f in rows:
+        _pack(parts, f, kinds)
+    held = {"name": pa.concat_arrays(parts.pop("name") or [pa.array([], pa.large_string())])}
+    for c, kind in kinds.items():
+        held[c] = np.concatenate(parts.pop(c) or [np.empty(0, kind)])
+    k = len(old)
+    by = np.lexsort((held.pop("partition")[k:], held["seq"][k:], held["seq_known"][k:]))
+    by += k
+    return held, np.concatenate((np.arange(k), by)) if k else by
+
+
+def _pack(parts: dict[str, list], f: pd.DataFrame, kinds: dict) -> None:
+    parts["name"].append(pa.array(f["name"].tolist(), pa.large_string(), from_pandas=True))
+    for c, kind in kinds.items():
+        parts[c].append(f[c].to_numpy().astype(kind) if c in f.columns else np.full(len(f), -1, kind))
+
+
+def _rows_at(held: dict, at: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame({c: pd.Series(held[c].take(pa.array(at)).to_pylist(), dtype=object) if c == "name"
+                         else held[c][at] for c in HELD})
+
+
 class ChunkBuffer(StatefulProcessor):
     def __init__(self, n: int):
         self.n = n
@@ -152,25 +185,25 @@ class ChunkBuffer(StatefulProcessor):
                          for name, v, vk, s, sk in rows.itertuples(index=False, name=None)])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = _sorted(rows)
-        if new.empty:
-            return
         old = list(self.buffer.get()) if self.buffer.exists() else []
-        pdf = pd.concat([pd.DataFrame(old, columns=HELD), new[HELD]], ignore_index=True) if old else (
-            new[HELD].reset_index(drop=True))
-        full = (len(pdf) // self.n) * self.n
+        held, order = _columns(pd.DataFrame(old, columns=HELD), rows)
+        if len(order) == len(old):
+            return
+        full = (len(order) // self.n) * self.n
         done = self.released.get()[0] if self.released.exists() else 0
         if full:
-            out, idx = pdf.iloc[:full], np.arange(full)
             self.released.update((int(done + full // self.n),))
+        for lo in range(0, full, RELEASED_ROWS):
+            idx = np.arange(lo, min(lo + RELEASED_ROWS, full))
+            out = _rows_at(held, order[idx])
             yield pd.DataFrame({
-                "name": out["name"], "value": _nullable(out["value"].tolist(), out["value_known"], "Int32"),
-                "seq": _nullable(out["seq"].tolist(), out["seq_known"], "Int64"),
-                "bucket": _nullable([key[0]] * full, [key[1]] * full, "Int32"),
+                "name": out["name"], "value": _nullable(out["value"], out["value_known"], "Int32"),
+                "seq": _nullable(out["seq"], out["seq_known"], "Int64"),
+                "bucket": _nullable([key[0]] * len(idx), [key[1]] * len(idx), "Int32"),
                 "chunk": (done + idx // self.n).astype(np.int64), "position": (idx % self.n).astype(np.int32)})
         self.buffer.clear()
-        if full < len(pdf):
-            self._hold(pdf.iloc[full:])
+        if full < len(order):
+            self._hold(_rows_at(held, order[full:]))
 
     def close(self) -> None:
         pass
