@@ -156,6 +156,35 @@ def test_query_of_the_join_equals_brute_force(spark):
     assert got == plain_components(plain_sets(rows))
 
 
+def test_join_of_a_large_group_of_edited_copies_compares_few_pairs(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SHARE_ROWS", 3)
+    rng = random.Random(12)
+    base, rows = [f"b{i}" for i in range(150)], []
+
+    def copy(words, n):
+        w = list(words)
+        for k in rng.sample(range(len(w)), n):
+            w[k] = f"c{rng.randrange(1 << 30)}" if rng.random() < 0.7 else f"e{rng.randrange(9)}"
+        return w
+
+    for _ in range(150):                 # most are far from one another and near the middle
+        rows.append((len(rows), " ".join(copy(base, rng.choice([0, 1, 2, 3, 4, 4, 5, 5, 5])))))
+    other = copy(base, 4)                # a group of its own near the first one
+    for _ in range(60):
+        rows.append((len(rows), " ".join(copy(other, rng.choice([0, 1, 1, 2])))))
+    plain, compared = jaccard._similar, []
+
+    def counting(pairs, *rest):
+        compared.append(pairs.count())
+        return plain(pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "_similar", counting)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id)
+                  for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id LONG, text STRING")).collect()), key=str)
+    assert got == plain_components(plain_sets(rows))
+    assert sum(compared) < 8 * len(rows), compared
+
+
 def test_join_of_an_empty_table(spark):
     assert jaccard.jaccard_components(spark.createDataFrame([], "doc_id LONG, text STRING")).count() == 0
 
