@@ -158,9 +158,14 @@ def _able(keys: DataFrame, sizes: DataFrame, percent: int, window: int) -> DataF
                        .select(*sizes.columns))
 
 
-def _shared(keys: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The keys of the members in ``sizes`` that two of them hold."""
-    keys = keys.join(sizes.select("rid"), "rid", "left_semi")
+def _keys(prefixes: DataFrame, members: DataFrame) -> DataFrame:
+    """``place, key, rid`` of the ``prefixes(rid, hashes)`` of the members; they are chosen before the rows are made."""
+    chosen = prefixes.select("rid", "hashes").join(members.select("rid"), "rid", "left_semi")
+    return chosen.select(F.posexplode("hashes").alias("place", "key"), "rid")
+
+
+def _shared(keys: DataFrame) -> DataFrame:
+    """The keys that two members hold."""
     often = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
     return materialize(keys.join(often, "key").select("key", "rid", "place"))
 
@@ -213,14 +218,15 @@ def _pivots(keys: DataFrame, sizes: DataFrame, window: int, seed: int, parts: in
     return led.join(held.withColumnRenamed("rid", "p"), "p").where("led = held").select("p")
 
 
-def voronoi_pairs(keys: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int,
+def voronoi_pairs(prefixes: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int,
                   window: int) -> tuple[DataFrame, DataFrame]:
     """``x, p, both, either`` of pivots and the members of similarity ``window`` that were still
     searching, and ``x, p`` of members and their homes.  Of two members that link, either one is
     a pivot and the pair is there, or the home of one has both in its window."""
     cover = window + 100 - percent
-    left, members, found, homes = keys, sizes, [], []
+    members, found, homes = sizes, [], []
     for i, parts in enumerate([*PARTS, None]):
+        left = _shared(_keys(prefixes, members))
         pivots = materialize(_pivots(left, members, window, 2 * i, parts))
         marked = left.join(pivots, left.rid == pivots.p, "left_semi").select(
             "key", F.col("rid").alias("p"), F.col("place").alias("mark"))
@@ -232,16 +238,15 @@ def voronoi_pairs(keys: DataFrame, sizes: DataFrame, sets: DataFrame, percent: i
               .agg(F.max(F.struct((F.col("both") / F.col("either")).alias("like"), "p")).alias("top"))
               .select("x", F.col("top.p").alias("p")))
         homes.append(materialize(at))
-        _free(keys.sparkSession)
+        _free(sets.sparkSession)
         if parts is None:
             break
         done = homes[-1].select(F.col("x").alias("rid")).unionByName(pivots.select(F.col("p").alias("rid")))
         # A member with a home has met all that still searched: the rest need only meet one another.
         members = materialize(members.join(done, "rid", "left_anti"))
-        members = _able(left.join(members.select("rid"), "rid", "left_semi"), members, percent, window)
+        members = _able(_keys(prefixes, members), members, percent, window)
         if members.isEmpty():
             break
-        left = _shared(left, members)
     every, settled = found[0], homes[0]
     for near, at in zip(found[1:], homes[1:]):
         every, settled = every.unionByName(near), settled.unionByName(at)
@@ -352,13 +357,12 @@ def _jaccard_components(docs: DataFrame, id_col: str, text_col: str, words: int,
     rare = materialize(_rare_first(sets.select("rid", _prefix(F.col("n"), window).alias("keep"), "hashes")))
     places = rare.select(F.posexplode("hashes").alias("place", "key"), "rid")
     sizes = _able(places, sizes.select("rid", "n"), percent, window)
-    keys = _shared(places, _able(places.join(sizes.select("rid"), "rid", "left_semi"), sizes, percent, window))
-    sets = materialize(sets.join(keys.select("rid").distinct(), "rid", "left_semi"))
-    sizes = sizes.join(keys.select("rid").distinct(), "rid", "left_semi")
-    del whole, again, rare, places
+    sizes = _able(_keys(rare, sizes), sizes, percent, window)
+    sets = materialize(sets.join(sizes.select("rid"), "rid", "left_semi"))
+    rare = materialize(rare.select("rid", "hashes").join(sizes.select("rid"), "rid", "left_semi"))
+    del whole, again, places
     _free(spark)
-    sizes = materialize(sizes)
-    pairs, homes = voronoi_pairs(keys, sizes, sets, percent, window)
+    pairs, homes = voronoi_pairs(rare, sizes, sets, percent, window)
     links = materialize(pairs.where(100 * F.col("both") >= percent * F.col("either")).select("x", "p"))
     links = _window_links(pairs, homes, links, sets, percent)
     label = components(links.select(F.col("x").alias("a"), F.col("p").alias("b")))
